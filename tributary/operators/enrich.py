@@ -83,7 +83,6 @@ def enrich(
     """
     keys = [on] if isinstance(on, str) else list(on)
     left, right = own_columns(facts, dimension, keys, prefer)
-    right = right.dropna(subset=keys)
     if fits_broadcast(right, join, limit):
         right = F.broadcast(right)
     return left.join(right, keys, "inner")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,37 +16,50 @@ REASONS = "reject_reasons"
 
 @dataclass(frozen=True)
 class Rule:
-    """A named condition that a valid row meets; null counts as not met."""
+    """A named condition that a valid row meets; null counts as not met.
+
+    The condition is built when the rule is used, so that rules can be written
+    down before there is a session.
+    """
 
     name: str
-    holds: Column
+    condition: Callable[[], Column]
+
+    @property
+    def holds(self) -> Column:
+        return F.coalesce(self.condition(), F.lit(False))
 
 
 def rule_not_null(column: str) -> Rule:
-    return Rule(f"{column}_missing", F.col(column).isNotNull())
+    return Rule(f"{column}_missing", lambda: F.col(column).isNotNull())
 
 
 def rule_castable(column: str, to: str = "float") -> Rule:
-    return Rule(f"{column}_not_{to}", is_castable(column, to))
+    return Rule(f"{column}_not_{to}", lambda: is_castable(column, to))
 
 
 def rule_max_length(column: str, characters: int) -> Rule:
     """The length limit a database column sets; a missing text is not too long."""
     return Rule(
         f"{column}_too_long",
-        F.col(column).isNull() | (F.char_length(column) <= characters),
+        lambda: F.col(column).isNull() | (F.char_length(column) <= characters),
     )
 
 
 def tag_rejects(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the names of the rules each row breaks; an empty array marks a valid row."""
-    broken = [F.when(~F.coalesce(rule.holds, F.lit(False)), F.lit(rule.name)) for rule in rules]
-    reasons = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
-    return df.withColumn(REASONS, reasons)
+    nothing = F.array(F.lit(None).cast("string"))
+    names = [F.when(~rule.holds, F.lit(rule.name)) for rule in rules]
+    return df.withColumn(REASONS, F.array_except(F.array(*names) if names else nothing, nothing))
+
+
+def is_valid(rules: Sequence[Rule]) -> Column:
+    """True for a row that meets every rule; never null."""
+    return reduce(lambda left, right: left & right, (rule.holds for rule in rules), F.lit(True))
 
 
 def split_rejects(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """The valid rows, and the rest with their reasons; together they are the input."""
-    tagged = tag_rejects(df, rules)
-    clean = F.size(REASONS) == 0
-    return tagged.filter(clean).drop(REASONS), tagged.filter(~clean)
+    valid = is_valid(rules)
+    return df.filter(valid), tag_rejects(df.filter(~valid), rules)
+

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.numbers import KEEP_NAN, exact_mean, measure
-from tributary.operators.clean import fill_missing
+from tributary.operators.clean import fill_missing, require_not_null
 from tributary.operators.enrich import AUTO, DIMENSION, fits_broadcast, own_columns
 from tributary.settings import BROADCAST_LIMIT_BYTES
 
@@ -59,6 +59,11 @@ class StatsSpec:
     def with_(self, **changes) -> StatsSpec:
         return replace(self, **changes)
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        """Every input column the spec uses, of either side."""
+        return tuple(dict.fromkeys([*self.on, *self.group_by, *self.measures.values()]))
+
 
 @dataclass(frozen=True)
 class PreparedDimension:
@@ -77,7 +82,7 @@ def prepare_dimension(dimension: DataFrame, fact_columns: Sequence[str], spec: S
     group_by = tuple(c for c in spec.group_by if c in dimension.columns and c not in spec.on)
     measures = tuple(name for name, column in spec.measures.items() if column in dimension.columns)
     needed = {*spec.on, *group_by, *(spec.measures[name] for name in measures)}
-    pruned = dimension.select(*[c for c in dimension.columns if c in needed]).dropna(subset=list(spec.on))
+    pruned = require_not_null(dimension.select(*[c for c in dimension.columns if c in needed]), *spec.on)
     if spec.fill_when == BEFORE:
         pruned = fill_missing(pruned, spec.fill)
     broadcast = fits_broadcast(pruned, spec.join, spec.broadcast_limit)
@@ -93,7 +98,7 @@ def stats_of(
     in_facts = [name for name in spec.measures if name not in dimension.measures]
     fact_keys = [c for c in spec.group_by if c not in dimension.group_by]
     needed = list(dict.fromkeys([*spec.on, *fact_keys, *(spec.measures[n] for n in in_facts)]))
-    pruned = facts.select(*needed).dropna(subset=list(spec.on))
+    pruned = require_not_null(facts.select(*needed), *spec.on)
     if spec.fill_when == BEFORE:
         pruned = fill_missing(pruned, spec.fill)
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tributary.contracts import ATHLETE_EVENT_RESULTS, Contract
 from tributary.operators.clean import require_castable, require_not_null
@@ -44,7 +45,9 @@ def run_event_enrichment(
     """Decode the topic, join it with the usable dimension, average, write to every sink.
 
     ``options`` are those of ``start_enrichment``. A message that does not parse
-    has no key, is counted, and meets no dimension row.
+    has no key, is counted, and meets no dimension row. Only the fields the spec
+    uses are decoded.
     """
-    events = decode_rows(stream_topic(spark, topic), contract.schema)
+    used = StructType([field for field in contract.schema.fields if field.name in spec.columns])
+    events = decode_rows(stream_topic(spark, topic), used)
     return start_enrichment(events, usable_dimension(bio), spec, sinks, checkpoint=checkpoint, **options)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.operators.rejects import REASONS, Rule, tag_rejects
+from tributary.operators.rejects import REASONS, Rule, is_valid, tag_rejects
 from tributary.scratch import scratch_path
 from tributary.sinks.tables import write_topic
 from tributary.sources.lake import zone_path
@@ -48,10 +48,9 @@ def copy_tables(
     outcome = {}
     for table, table_rules in rules.items():
         seen = Observation(f"copy-{table}")
-        valid = F.size(REASONS) == 0
-        tagged = tag_rejects(read(table), table_rules).withColumn(_VALID, valid)
+        tagged = tag_rejects(read(table).withColumn(_VALID, is_valid(table_rules)), table_rules)
         counted = tagged.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(~valid, F.lit(1))).alias("rejected")
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(_VALID)).alias("rejected")
         )
         path = zone_path(root, table)
         counted.write.mode("overwrite").partitionBy(_VALID).parquet(path)

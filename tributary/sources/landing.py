@@ -31,8 +31,9 @@ def largest_file(spark: SparkSession, path: str | list[str]) -> int:
 def has_broken_lines(spark: SparkSession, path: str | list[str]) -> bool:
     """Whether any record may span lines, found by a scan that splits large files.
 
-    A record that goes on after a line break leaves its first line with an odd
-    number of quotes. Where no line has one, every record is one line.
+    In well-formed CSV a record that goes on after a line break leaves its first
+    line with an odd number of quotes. Where no line has one, every record is
+    one line.
     """
     lines = spark.read.text(path)
     quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
@@ -63,8 +64,9 @@ def read_landed(
         raise ValueError(f"unknown line break choice {line_breaks!r}")
     spans = line_breaks == ALLOWED
     if line_breaks == AUTO:
-        spans = largest_file(spark, path) <= whole_file_bytes or has_broken_lines(spark, path)
-        if spans and largest_file(spark, path) > whole_file_bytes:
+        large = largest_file(spark, path) > whole_file_bytes
+        spans = not large or has_broken_lines(spark, path)
+        if large and spans:
             log.warning("%s: records span lines in large files, which cannot be split", contract.name)
 
     options = {**_QUOTING, "multiLine": str(spans).lower()}

@@ -44,13 +44,16 @@ def enrich_batches(
     batch's rows are counted while they are averaged, not by a job of their own.
     """
 
+    counters = [F.count(F.lit(1)).alias("rows"), F.count_if(_all_present(spec.on)).alias("keyed")]
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"batch-{batch_id}")
-        keyed = F.count(F.when(_all_present(spec.on), F.lit(1)))
-        counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"), keyed.alias("keyed"))
-        stats = stats_of(counted, dimension, spec, run_ts(batch_id) if run_ts else None)
+        stamp = run_ts(batch_id) if run_ts else None
+        stats = stats_of(batch.observe(seen, *counters), dimension, spec, stamp)
         written = fan_out(stats, sinks, batch_id, on_error)
-        counts = BatchCounts(batch_id, seen.get["rows"], seen.get["keyed"])
+        # Adaptive execution drops a branch it finds empty, and what it observed with it.
+        counted = seen.get if written else batch.agg(*counters).first().asDict()
+        counts = BatchCounts(batch_id, **counted)
         log.info("%s%s", counts, "" if written else ", nothing to write")
         if on_counts:
             on_counts(counts)
