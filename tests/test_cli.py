@@ -1,0 +1,64 @@
+import json
+
+import pytest
+
+from conformance.lake import land
+from conformance.shapes import bio, results
+from tributary import cli
+from tributary.contracts import AVERAGE_STATS
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_lake_in_one_go_and_step_by_step(spark, folder, capsys):
+    land(bio(spark, SF), folder("landing") + "/athlete_bio")
+    land(results(spark, SF), folder("landing") + "/athlete_event_results")
+    cli.main(["lake", "--landing", folder("landing"), "--lake", folder("lake")], spark)
+    cli.main(["bronze", "--landing", folder("landing"), "--bronze", folder("b"), "--line-breaks", "allowed"], spark)
+    cli.main(["silver", "--bronze", folder("b"), "--silver", folder("s")], spark)
+    cli.main(["gold", "--silver", folder("s"), "--gold", folder("g"), "--preview", "3"], spark)
+    assert "avg_height" in capsys.readouterr().out
+    whole, steps = (spark.read.parquet(f"{folder(name)}/avg_stats") for name in ("lake/gold", "g"))
+    assert AVERAGE_STATS.conform(whole).count() == steps.count() > 0
+
+
+def test_replay_and_stream(spark, folder):
+    bio(spark, SF).write.parquet(folder("bio"))
+    results(spark, SF).write.parquet(folder("results"))
+    cli.main(["replay", "--table", folder("results"), "--topic", folder("topic")], spark)
+    assert spark.read.text(folder("topic")).count() == 1000
+    arguments = ["stream", "--table", folder("bio"), "--topic", folder("topic"), "--checkpoint", folder("progress")]
+    arguments += ["--out-path", folder("out"), "--out-topic", folder("sent"), "--available-now", "--batch-limit", "1"]
+    cli.main(arguments, spark)
+    averages = spark.read.parquet(folder("out"))
+    assert averages.count() == spark.read.text(folder("sent") + "/batch_id=*").count() > 0
+
+
+def test_copy_reads_settings_and_hands_them_on(spark, folder, monkeypatch, tmp_path):
+    for name in ("source", "target"):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"url": f"jdbc:{name}"}))
+    seen = []
+    monkeypatch.setattr(cli, "key_bounds", lambda spark, connection, table, key, n: seen.append((table, key, n)))
+
+    def read(spark, connection, table, contract, keys):
+        assert connection == {"url": "jdbc:source"} and contract.name == table
+        return spark.createDataFrame([], contract.schema)
+
+    def write(df, connection, table, mode, connections):
+        seen.append((connection["url"], table, mode, connections, len(df.columns)))
+
+    monkeypatch.setattr(cli, "read_table", read)
+    monkeypatch.setattr(cli, "append_table", write)
+    arguments = ["copy", "--source", str(tmp_path / "source.json"), "--target", str(tmp_path / "target.json")]
+    cli.main([*arguments, "--key", "athlete_id", "--partitions", "4", "--mode", "overwrite"], spark)
+    assert seen == [
+        ("athlete_bio", "athlete_id", 4),
+        ("jdbc:target", "athlete_bio", "overwrite", 8, 10),
+        ("athlete_event_results", "athlete_id", 4),
+        ("jdbc:target", "athlete_event_results", "overwrite", 8, 11),
+    ]
+
+
+def test_a_job_is_needed():
+    with pytest.raises(SystemExit):
+        cli.main([])

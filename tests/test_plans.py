@@ -6,8 +6,9 @@ import pytest
 
 from conformance.batch import EVENT_STATS, customers
 from conformance.registry import table
-from tributary.operators import enrich, grouped_stats
+from tributary.operators import enrich, grouped_stats, prepare_dimension, stats_of
 from tributary.operators.clean import normalize_text
+from tributary.streaming import freeze
 
 SF = "/root/testdata/sf0.01"
 
@@ -84,3 +85,22 @@ def test_unused_columns_are_not_read(spark, columns, want):
     spec = EVENT_STATS.with_(group_by=columns, measures={"avg_value": "value"})
     plan = plan_of(grouped_stats(table(spark, SF, "events"), customers(spark, SF), spec))
     assert "props" not in plan and "c_name" not in plan and want in plan
+
+
+def test_a_frozen_large_dimension_is_not_shuffled_again(spark, folder):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        events, spec = table(spark, SF, "events"), EVENT_STATS.with_(join="shuffle", fold_facts=False)
+        frozen = freeze(prepare_dimension(customers(spark, SF), events.columns, spec), folder("copy"))
+        plan = plan_of(stats_of(events, frozen, spec))
+        plan = plan[: plan.index("InMemoryRelation")]
+        assert plan.count("Exchange hashpartitioning") == 2, "the events, and the partial averages"
+        assert plan.count("Sort [") == 1
+        assert stats_of(events, frozen, spec).count() == grouped_stats(events, customers(spark, SF), spec).count()
+        frozen.rows.unpersist()
+
+
+def test_facts_can_be_left_unfolded(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        spec = EVENT_STATS.with_(join="shuffle", fold_facts=False, unique_dimension=True)
+        plan = plan_of(grouped_stats(table(spark, SF, "events"), customers(spark, SF), spec))
+    assert "partial_count(1)" not in plan and plan.count("Exchange") == 3

@@ -34,9 +34,13 @@ class StatsSpec:
     ``measures`` maps an output name to a column of either side. ``prefer``
     names the side that owns a column both have. ``fill`` replaces null group
     keys ``before`` or ``after`` the grouping. ``stamp`` names the column that
-    takes the run's time, or is None for no such column. ``unique_dimension``
-    is a promise that saves folding the dimension; results are right without
-    it being kept, only slower.
+    takes the run's time, or is None for no such column.
+
+    Results do not depend on ``join``, ``broadcast_limit``, ``fold_facts`` and
+    ``unique_dimension``, only the work does. ``fold_facts=False`` shuffles the
+    facts of a large dimension as they are, which is cheaper when keys hardly
+    repeat; adaptive execution then splits the partitions of hot keys.
+    ``unique_dimension=True`` saves folding a dimension known to hold each key once.
     """
 
     on: tuple[str, ...]
@@ -49,6 +53,7 @@ class StatsSpec:
     fill_when: str = AFTER
     join: str = AUTO
     broadcast_limit: int = BROADCAST_LIMIT_BYTES
+    fold_facts: bool = True
     unique_dimension: bool = False
     stamp: str | None = "timestamp"
 
@@ -70,6 +75,7 @@ class PreparedDimension:
     """A dimension reduced to what a spec needs, and how it is to be joined."""
 
     rows: DataFrame
+    on: tuple[str, ...]
     group_by: tuple[str, ...]
     measures: tuple[str, ...]
     broadcast: bool
@@ -88,7 +94,7 @@ def prepare_dimension(dimension: DataFrame, fact_columns: Sequence[str], spec: S
     broadcast = fits_broadcast(pruned, spec.join, spec.broadcast_limit)
     keys = (*spec.on, *group_by)
     partials = _one_each if spec.unique_dimension else _folded
-    return PreparedDimension(partials(pruned, keys, measures, spec, "d"), group_by, measures, broadcast)
+    return PreparedDimension(partials(pruned, keys, measures, spec, "d"), spec.on, group_by, measures, broadcast)
 
 
 def stats_of(
@@ -103,12 +109,10 @@ def stats_of(
         pruned = fill_missing(pruned, spec.fill)
 
     keys = list(dict.fromkeys([*spec.on, *fact_keys]))
-    if dimension.broadcast:
-        left = _one_each(pruned, keys, in_facts, spec, "f")
-        joined = left.join(F.broadcast(dimension.rows), list(spec.on), "inner")
-    else:
-        left = _folded(pruned, keys, in_facts, spec, "f")
-        joined = left.join(dimension.rows, list(spec.on), "inner")
+    partials = _folded if spec.fold_facts and not dimension.broadcast else _one_each
+    left = partials(pruned, keys, in_facts, spec, "f")
+    right = F.broadcast(dimension.rows) if dimension.broadcast else dimension.rows
+    joined = left.join(right, list(spec.on), "inner")
 
     averages = []
     for name in spec.measures:

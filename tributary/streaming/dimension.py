@@ -1,22 +1,30 @@
 from __future__ import annotations
 
+import logging
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
-
 from tributary.operators.stats import PreparedDimension
 from tributary.scratch import scratch_path
 
+log = logging.getLogger(__name__)
+
 
 def freeze(dimension: PreparedDimension, path: str | None = None) -> PreparedDimension:
     """The dimension as it is now, for the life of a stream.
 
     It is written once and read back, so that a lost executor's part comes from
     the copy and not from a database that may have moved on, and cached so that
-    a batch does not read the copy again.
+    a batch does not read the copy again. One that is too large to broadcast is
+    cached where its keys hash to and in their order, so that a batch shuffles
+    and sorts its events only.
     """
-    rows: DataFrame = dimension.rows
-    spark = rows.sparkSession
+    spark = dimension.rows.sparkSession
     copy = path or scratch_path(spark, "dimension")
-    rows.write.mode("overwrite").parquet(copy)
-    return replace(dimension, rows=spark.read.parquet(copy).cache())
+    dimension.rows.write.mode("overwrite").parquet(copy)
+    rows = spark.read.parquet(copy)
+    if not dimension.broadcast:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(partitions, *dimension.on).sortWithinPartitions(*dimension.on)
+    cached = rows.cache()
+    log.info("dimension of %s rows frozen at %s", cached.count(), copy)
+    return replace(dimension, rows=cached)
