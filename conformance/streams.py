@@ -153,3 +153,28 @@ def batch_metrics(spark, sf_dir):
     return spark.createDataFrame(
         [(c.batch_id, c.rows, c.keyed) for c in counts], "batch_id bigint, rows bigint, keyed bigint"
     )
+
+
+def ten_batches(spark, sf_dir):
+    """All events as ten micro-batches of one file each: rows per second and time per batch."""
+    topic = FileTopic(scratch_path(spark, "topic"), {"maxFilesPerTrigger": "1"})
+    replay_table(table(spark, sf_dir, "events").select(*EVENT.names).repartition(10), topic)
+    stream = start_enrichment(
+        decode_rows(stream_topic(spark, topic), EVENT),
+        customers(spark, sf_dir),
+        EVENT_STATS,
+        [parquet_batches(scratch_path(spark, "stats"))],
+        checkpoint=scratch_path(spark, "progress"),
+        available_now=True,
+    )
+    wait(stream)
+    batches = [progress for progress in stream.recentProgress if progress["numInputRows"]]
+    rows = sum(progress["numInputRows"] for progress in batches)
+    spent = [progress["durationMs"]["triggerExecution"] / 1000 for progress in batches]
+    return {
+        "batches": len(batches),
+        "rows": rows,
+        "rows_per_sec": round(rows / sum(spent)),
+        "median_batch_sec": sorted(spent)[len(spent) // 2],
+        "max_batch_sec": max(spent),
+    }

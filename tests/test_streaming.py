@@ -6,11 +6,11 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tributary.contracts import ATHLETE_EVENT_RESULTS, AVERAGE_STATS
-from tributary.operators import decode_rows
+from tributary.operators import decode_rows, prepare_dimension
 from tributary.plans import STREAM_STATS, replay_table, run_event_enrichment
 from tributary.sinks import parquet_batches, topic_batches
 from tributary.sources import FileTopic, read_topic
-from tributary.streaming import fan_out, freeze, wait
+from tributary.streaming import enrich_batches, fan_out, freeze, wait
 
 BIO = "athlete_id int, name string, sex string, height string, weight string, country_noc string"
 BIO_ROWS = [(1, "a", "M", "180", "80", "X"), (2, "b", "F", "170", "60", "Y"), (3, "c", "F", "bad", "60", "Y")]
@@ -187,3 +187,35 @@ def test_interval_trigger_and_wait(spark, folder):
     finally:
         query.stop()
     assert wait(query)
+
+
+def test_useless_messages_are_set_aside(spark, folder):
+    topic = FileTopic(folder("in"))
+    bad = ["not json", "{}", json.dumps({"athlete_id": "x", "sport": "row"})]
+    put(topic.path, "0.txt", [message(1), *bad, message(9)])
+    counts = []
+    run(
+        spark,
+        topic,
+        [parquet_batches(folder("out"))],
+        folder("progress"),
+        rejects=parquet_batches(folder("aside")),
+        on_counts=counts.append,
+    )
+    assert sorted(r.value for r in spark.read.parquet(folder("aside")).collect()) == sorted(bad)
+    assert stored(spark, folder("out")) == [(0, "row", "nan", "M", "E", 180.0)]
+    assert (counts[0].rows, counts[0].keyed) == (5, 2)
+
+
+@pytest.mark.parametrize("join", ["broadcast", "shuffle"])
+@pytest.mark.parametrize("athletes, keyed", [([], 0), ([None, None], 0), ([9], 1)])
+def test_batches_without_a_result_are_counted_not_written(spark, join, athletes, keyed):
+    spec = STREAM_STATS.with_(join=join)
+    schema = "athlete_id int, sport string, medal string, country_noc string"
+    batch = spark.createDataFrame([(a, "row", None, "E") for a in athletes], schema)
+    for people in (bio(spark), bio(spark).filter("athlete_id < 0")):
+        counts, written = [], []
+        dimension = prepare_dimension(people, batch.columns, spec)
+        handle = enrich_batches(dimension, spec, [lambda df, b: written.append(b)], on_counts=counts.append)
+        handle(batch, 5)
+        assert not written and [(c.batch_id, c.rows, c.keyed) for c in counts] == [(5, len(athletes), keyed)]

@@ -26,6 +26,7 @@ from tributary.plans import (
 )
 from tributary.plans.medallion import TABLES
 from tributary.plans.presets import STREAM_STATS
+from tributary.settings import session_settings
 from tributary.sinks import append_table, parquet_batches, table_batches, topic_batches
 from tributary.sources import FileTopic, KafkaTopic, key_bounds, read_table
 from tributary.sources.topics import Topic
@@ -35,6 +36,8 @@ from tributary.streaming.enrichment import TRIGGER_SECONDS
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tributary")
+    parser.add_argument("--shuffle-bytes", type=int, help="size the session for a shuffle of so many bytes")
+    parser.add_argument("--cores", type=int, default=1, help="cores of the cluster, with --shuffle-bytes")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(name: str, *required: str) -> argparse.ArgumentParser:
@@ -49,6 +52,8 @@ def _parser() -> argparse.ArgumentParser:
     lake = job("lake", "--landing", "--lake")
     for sub in (bronze, lake):
         sub.add_argument("--line-breaks", default="auto", choices=["auto", "allowed", "absent"])
+    for sub in (silver, lake):
+        sub.add_argument("--with-rejected", action="store_true", help="keep rows that did not fit, with nulls")
     for sub in (bronze, silver, gold):
         sub.add_argument("--preview", type=int, default=0, help="rows to show of each table")
 
@@ -69,6 +74,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--out-topic")
     stream.add_argument("--out-connection", help="settings of the database for the averages")
     stream.add_argument("--out-table")
+    stream.add_argument("--rejects-path", help="Parquet folder of the messages that are of no use")
     stream.add_argument("--every", type=int, default=TRIGGER_SECONDS, help="seconds between batches")
     stream.add_argument("--batch-limit", help="the most offsets, or files, of one batch")
     stream.add_argument("--policy", default="keep_nan", choices=["keep_nan", "nan_is_null"])
@@ -81,7 +87,9 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     args = _parser().parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
     own = spark is None
-    spark = spark or SparkSession.builder.appName(f"tributary-{args.job}").getOrCreate()
+    if own:
+        wanted = session_settings(args.shuffle_bytes, args.cores) if args.shuffle_bytes else {}
+        spark = SparkSession.builder.appName(f"tributary-{args.job}").config(map=wanted).getOrCreate()
     try:
         _JOBS[args.job](spark, args)
     finally:
@@ -95,7 +103,9 @@ def _bronze(spark, args):
 
 
 def _silver(spark, args):
-    bronze_to_silver(spark, args.bronze, args.silver, preview_rows=args.preview)
+    bronze_to_silver(
+        spark, args.bronze, args.silver, with_rejected=args.with_rejected, preview_rows=args.preview
+    )
 
 
 def _gold(spark, args):
@@ -103,7 +113,8 @@ def _gold(spark, args):
 
 
 def _lake(spark, args):
-    run_medallion(spark, _landed(args.landing), args.lake, line_breaks=args.line_breaks)
+    landed = _landed(args.landing)
+    run_medallion(spark, landed, args.lake, line_breaks=args.line_breaks, with_rejected=args.with_rejected)
 
 
 def _copy(spark, args):
@@ -139,6 +150,7 @@ def _stream(spark, args):
         sinks,
         checkpoint=args.checkpoint,
         spec=STREAM_STATS.with_(measure_policy=args.policy),
+        rejects=parquet_batches(args.rejects_path) if args.rejects_path else None,
         every_seconds=args.every,
         available_now=args.available_now,
         on_error=args.on_error,

@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tributary.contracts import ATHLETE_EVENT_RESULTS, Contract
+from tributary.functions.payload import CORRUPT
 from tributary.operators.clean import require_castable, require_not_null
-from tributary.operators.codec import decode_rows
+from tributary.operators.codec import decode_rows, undecodable
 from tributary.operators.stats import StatsSpec
 from tributary.plans.presets import STREAM_STATS
 from tributary.sinks.batches import BatchSink
@@ -40,14 +41,25 @@ def run_event_enrichment(
     checkpoint: str,
     contract: Contract = ATHLETE_EVENT_RESULTS,
     spec: StatsSpec = STREAM_STATS,
+    rejects: BatchSink | None = None,
     **options,
 ) -> StreamingQuery:
     """Decode the topic, join it with the usable dimension, average, write to every sink.
 
-    ``options`` are those of ``start_enrichment``. A message that does not parse
-    has no key, is counted, and meets no dimension row. Only the fields the spec
-    uses are decoded.
+    ``options`` are those of ``start_enrichment``. Only the fields the spec uses
+    are decoded. A message that does not parse has no key, is counted, and meets
+    no dimension row; ``rejects`` gets such messages and those without a key, at
+    the price of decoding each batch a second time.
     """
     used = StructType([field for field in contract.schema.fields if field.name in spec.columns])
-    events = decode_rows(stream_topic(spark, topic), used)
+    messages = stream_topic(spark, topic)
+    if rejects:
+        events = decode_rows(messages, used, corrupt=CORRUPT, keep=("value",))
+        options["first"] = lambda batch, batch_id: rejects(_useless(batch, spec), batch_id)
+    else:
+        events = decode_rows(messages, used)
     return start_enrichment(events, usable_dimension(bio), spec, sinks, checkpoint=checkpoint, **options)
+
+
+def _useless(batch: DataFrame, spec: StatsSpec) -> DataFrame:
+    return batch.filter(undecodable(CORRUPT, *spec.on)).select("value")

@@ -74,7 +74,11 @@ def bronze_to_silver(
     with_rejected: bool = False,
     preview_rows: int = 0,
 ) -> None:
-    """Normalise the text of each table and drop rows that are then equal."""
+    """Normalise the text of each table and drop rows that are then equal.
+
+    ``with_rejected`` takes along the rows that did not fit, with nulls for the
+    cells that could not be read.
+    """
     for table in tables:
         rows = read_bronze(spark, bronze, table, with_rejected=with_rejected)
         path = overwrite_zone(distinct_rows(normalize_text(rows)), silver, table)
@@ -109,12 +113,13 @@ def run_medallion(
     contracts: Sequence[Contract] = TABLES,
     *,
     line_breaks: str = AUTO,
+    with_rejected: bool = False,
     **gold_options,
 ) -> str:
     """All three steps in order; a step that fails ends the run before the next."""
     bronze, silver, gold = (f"{lake.rstrip('/')}/{zone}" for zone in ("bronze", "silver", "gold"))
     landing_to_bronze(spark, landed, bronze, contracts, line_breaks=line_breaks)
-    bronze_to_silver(spark, bronze, silver, [contract.name for contract in contracts])
+    bronze_to_silver(spark, bronze, silver, [contract.name for contract in contracts], with_rejected=with_rejected)
     return silver_to_gold(spark, silver, gold, **gold_options)
 
 

@@ -35,6 +35,7 @@ def enrich_batches(
     sinks: Sequence[BatchSink],
     *,
     on_error: str = RAISE,
+    first: BatchSink | None = None,
     on_counts: Callable[[BatchCounts], None] | None = None,
     run_ts: Callable[[int], Column] | None = None,
 ) -> Callable[[DataFrame, int], None]:
@@ -42,11 +43,14 @@ def enrich_batches(
 
     Averages are over that batch alone and never merged with another's. The
     batch's rows are counted while they are averaged, not by a job of their own.
+    ``first`` is given the batch itself before that.
     """
 
     counters = [F.count(F.lit(1)).alias("rows"), F.count_if(_all_present(spec.on)).alias("keyed")]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if first:
+            first(batch, batch_id)
         seen = Observation(f"batch-{batch_id}")
         stamp = run_ts(batch_id) if run_ts else None
         stats = stats_of(batch.observe(seen, *counters), dimension, spec, stamp)
@@ -71,6 +75,7 @@ def start_enrichment(
     every_seconds: int = TRIGGER_SECONDS,
     available_now: bool = False,
     on_error: str = RAISE,
+    first: BatchSink | None = None,
     on_counts: Callable[[BatchCounts], None] | None = None,
     run_ts: Callable[[int], Column] | None = None,
     name: str | None = None,
@@ -81,7 +86,9 @@ def start_enrichment(
     which events have been handled and belongs to one stream.
     """
     frozen = freeze(prepare_dimension(dimension, events.columns, spec))
-    handle = enrich_batches(frozen, spec, sinks, on_error=on_error, on_counts=on_counts, run_ts=run_ts)
+    handle = enrich_batches(
+        frozen, spec, sinks, on_error=on_error, first=first, on_counts=on_counts, run_ts=run_ts
+    )
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
     if name:
         writer = writer.queryName(name)
