@@ -40,6 +40,15 @@ def csv_landing_documents(spark, sf_dir):
     return read_landed(spark, path, Contract("documents", documents.schema, ("doc_id",)), corrupt=None)
 
 
+@query("csv_landing_joined", "select doc_id, text, lang, source, n_chars from documents")
+def csv_landing_joined(spark, sf_dir):
+    """The same as for files too large for one task: split, and broken records put together again."""
+    documents = table(spark, sf_dir, "documents")
+    path = land(documents, scratch_path(spark, "documents"))
+    contract = Contract("documents", documents.schema, ("doc_id",))
+    return read_landed(spark, path, contract, corrupt=None, whole_file_bytes=1)
+
+
 @query("csv_landing_split", "select * from orders")
 def csv_landing_split(spark, sf_dir):
     """As for files too large for one task: found to have no broken lines, then split."""

@@ -14,7 +14,7 @@ def test_lake_in_one_go_and_step_by_step(spark, folder, capsys):
     land(bio(spark, SF), folder("landing") + "/athlete_bio")
     land(results(spark, SF), folder("landing") + "/athlete_event_results")
     cli.main(["lake", "--landing", folder("landing"), "--lake", folder("lake")], spark)
-    cli.main(["bronze", "--landing", folder("landing"), "--bronze", folder("b"), "--line-breaks", "allowed"], spark)
+    cli.main(["bronze", "--landing", folder("landing"), "--bronze", folder("b"), "--line-breaks", "joined"], spark)
     cli.main(["silver", "--bronze", folder("b"), "--silver", folder("s"), "--with-rejected"], spark)
     cli.main(["gold", "--silver", folder("s"), "--gold", folder("g"), "--preview", "3"], spark)
     assert "avg_height" in capsys.readouterr().out

@@ -1,4 +1,6 @@
+import csv
 import os
+import random
 
 import pytest
 
@@ -44,9 +46,10 @@ def table(df):
 WANT_GOOD = [(1, "last, first", "180"), (2, 'said "hi"', "nan"), (3, None, "77-80")]
 
 
-def test_every_kind_of_record(spark, folder):
+@pytest.mark.parametrize("line_breaks", ["auto", "whole", "joined"])
+def test_every_kind_of_record(spark, folder, line_breaks):
     path = land(folder("in"), "a.csv", GOOD + BROKEN + BAD)
-    rows = read_landed(spark, path, CONTRACT)
+    rows = read_landed(spark, path, CONTRACT, line_breaks=line_breaks)
     good = rows.cache().filter(f"{CORRUPT} is null").drop(CORRUPT)
     assert table(good) == sorted([*WANT_GOOD, (4, "two\nlines", "170")], key=repr)
     assert sorted(r[CORRUPT] for r in rows.filter(f"{CORRUPT} is not null").collect()) == sorted(BAD)
@@ -65,11 +68,43 @@ def test_a_required_column_must_be_there(spark, folder):
         read_landed(spark, path, CONTRACT)
 
 
-def test_files_with_another_header_are_refused(spark, folder):
+@pytest.mark.parametrize("line_breaks", ["absent", "whole", "joined"])
+def test_files_with_another_header_are_refused(spark, folder, line_breaks):
     path = land(folder("in"), "a.csv", GOOD)
     land(path, "b.csv", ["x,1,2"], header="name,athlete_id,height")
     with pytest.raises(Exception, match="[Hh]eader|FAILED_READ_FILE"):
-        read_landed(spark, path, CONTRACT).collect()
+        read_landed(spark, path, CONTRACT, line_breaks=line_breaks).collect()
+
+
+def test_an_unknown_way_to_read(spark, folder):
+    with pytest.raises(ValueError):
+        read_landed(spark, folder("in"), CONTRACT, line_breaks="other")
+
+
+def test_records_cut_by_splits(spark, folder):
+    """Random texts, in files cut every thousand bytes; one record is longer than several cuts."""
+    rnd = random.Random(3)
+    pieces = ["a", "bc", ",", '"', "\n", "é", " ", '""', "\n\n", "x" * 30, "\\"]
+    want = []
+    os.makedirs(folder("in"))
+    for number, ending in enumerate(["\n", "\r\n", "\n"]):
+        with open(folder("in") + f"/{number}.csv", "w", newline="", encoding="utf-8") as file:
+            writer = csv.writer(file, lineterminator=ending)
+            writer.writerow(CONTRACT.schema.names)
+            for i in range(300):
+                cells = ["".join(rnd.choices(pieces, k=rnd.randint(1, 8))) for _ in range(2)]
+                if i == 150:
+                    cells[0] = "line\n" * 1500
+                want.append((len(want), *cells))
+                writer.writerow(want[-1])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert spark.read.text(folder("in")).rdd.getNumPartitions() > 20
+        joined = read_landed(spark, folder("in"), CONTRACT, corrupt=None, whole_file_bytes=10)
+        assert table(joined) == sorted(want, key=repr)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_large_files_are_split_when_no_record_spans_lines(spark, folder):
@@ -88,7 +123,7 @@ def test_large_files_are_split_when_no_record_spans_lines(spark, folder):
         assert split.distinct().count() == 20_000
         assert split.filter("name = concat('a, \"', athlete_id, '\"')").count() == 20_000
         kept = read_landed(spark, broken, CONTRACT, corrupt=None, whole_file_bytes=10)
-        assert kept.count() == 4
+        assert table(kept) == sorted([*WANT_GOOD, (4, "two\nlines", "170")], key=repr)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 

@@ -51,7 +51,7 @@ def _parser() -> argparse.ArgumentParser:
     gold = job("gold", "--silver", "--gold")
     lake = job("lake", "--landing", "--lake")
     for sub in (bronze, lake):
-        sub.add_argument("--line-breaks", default="auto", choices=["auto", "allowed", "absent"])
+        sub.add_argument("--line-breaks", default="auto", choices=["auto", "absent", "whole", "joined"])
     for sub in (silver, lake):
         sub.add_argument("--with-rejected", action="store_true", help="keep rows that did not fit, with nulls")
     for sub in (bronze, silver, gold):

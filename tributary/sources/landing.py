@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -11,15 +9,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tributary.contracts import Contract
 from tributary.functions.payload import CORRUPT
 from tributary.settings import MIB
-
-log = logging.getLogger(__name__)
+from tributary.sources.records import joined_records, odd_quotes, parse_records
 
 # A file up to this size is read by one task without a second thought.
 WHOLE_FILE_BYTES = 256 * MIB
 
-AUTO, ALLOWED, ABSENT = "auto", "allowed", "absent"
+AUTO, ABSENT, WHOLE, JOINED = "auto", "absent", "whole", "joined"
 
-_QUOTING = {"header": "true", "quote": '"', "escape": '"'}
+_QUOTING = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
 def largest_file(spark: SparkSession, path: str | list[str]) -> int:
@@ -35,9 +32,7 @@ def has_broken_lines(spark: SparkSession, path: str | list[str]) -> bool:
     line with an odd number of quotes. Where no line has one, every record is
     one line.
     """
-    lines = spark.read.text(path)
-    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
+    return not spark.read.text(path).filter(odd_quotes("value") == 1).isEmpty()
 
 
 def read_landed(
@@ -53,26 +48,31 @@ def read_landed(
 
     Nothing is inferred, so one odd cell cannot change a column's type. A row
     that does not fit (a bad number, too few or too many cells) is kept with
-    what could be read, and its text stands in the ``corrupt`` column.
-
-    Quoted line breaks (``line_breaks="allowed"``) need a file to be read by a
-    single task. ``auto`` accepts that for files up to ``whole_file_bytes``;
-    when a larger one is there it first checks whether any record spans lines,
-    and splits the files when none does. ``absent`` always splits.
+    what could be read, and its text stands in the ``corrupt`` column. Every
+    file has to have the same header.
+
+    ``line_breaks`` says how to read records that span lines: ``absent``, there
+    are none and files are split; ``whole``, one task reads a file; ``joined``,
+    files are split and such records put together again, which shuffles the
+    lines. ``auto`` takes ``whole`` for files up to ``whole_file_bytes``; when a
+    larger one is there it looks whether any record spans lines and takes
+    ``joined`` or ``absent``.
     """
-    if line_breaks not in (AUTO, ALLOWED, ABSENT):
+    if line_breaks not in (AUTO, ABSENT, WHOLE, JOINED):
         raise ValueError(f"unknown line break choice {line_breaks!r}")
-    spans = line_breaks == ALLOWED
     if line_breaks == AUTO:
-        large = largest_file(spark, path) > whole_file_bytes
-        spans = not large or has_broken_lines(spark, path)
-        if large and spans:
-            log.warning("%s: records span lines in large files, which cannot be split", contract.name)
-
-    options = {**_QUOTING, "multiLine": str(spans).lower()}
-    schema = contract.in_order_of(spark.read.options(**options).csv(path).columns)
+        if largest_file(spark, path) <= whole_file_bytes:
+            line_breaks = WHOLE
+        else:
+            line_breaks = JOINED if has_broken_lines(spark, path) else ABSENT
+
+    options = {**_QUOTING, "multiLine": str(line_breaks != ABSENT).lower()}
+    header = spark.read.options(**options, header="true").csv(path).columns
+    schema = contract.in_order_of(header)
     if corrupt:
         schema = StructType([*schema.fields, StructField(corrupt, StringType())])
         options["columnNameOfCorruptRecord"] = corrupt
+    if line_breaks == JOINED:
+        return parse_records(joined_records(spark, path), header, schema, options)
     # The header of every file is checked against the schema, not just the first.
-    return spark.read.options(**options, enforceSchema="false").schema(schema).csv(path)
+    return spark.read.options(**options, header="true", enforceSchema="false").schema(schema).csv(path)

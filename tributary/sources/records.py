@@ -1,0 +1,92 @@
+"""CSV records that span lines, put together again from files that are read in splits.
+
+Spark reads a file with such records whole, in one task. Here a file is read as
+lines, in as many tasks as it has splits. Whether a line begins inside quotes
+follows from the number of quotes before it in its file, which is added up per
+split first and within the split then; only records of more than one line are
+gathered, each by itself.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+def odd_quotes(line: Column | str) -> Column:
+    """1 for a line after which the text is inside quotes if it was not before, else 0."""
+    quotes = F.char_length(line) - F.char_length(F.replace(line, F.lit('"'), F.lit("")))
+    return quotes % 2
+
+
+def joined_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Each record's whole text as ``record``; ``is_header`` marks the first of each file."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    lines = lines.select(
+        "value",
+        odd_quotes("value").alias("odd"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        # Rises from line to line of a split, and is the same when a split is read again.
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+    # One row per split: does it begin inside quotes?
+    splits = lines.groupBy("file", "split").agg(F.sum("odd").alias("odd"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "split", F.coalesce(F.sum("odd").over(before), F.lit(0)).alias("odd_before"))
+
+    # One split at a time: does a line begin inside quotes, and which line began its record?
+    here = Window.partitionBy("file", "split").orderBy("line")
+    up_to = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = (F.col("odd_before") + F.sum("odd").over(up_to) - F.col("odd")) % 2 == 1
+    lines = lines.join(splits, ["file", "split"]).withColumn("begins", ~inside)
+    first = F.when(F.col("split") == 0, F.row_number().over(here) == 1).otherwise(False)
+    lines = lines.select(
+        "file",
+        "split",
+        "line",
+        "value",
+        "odd",
+        "begins",
+        F.last(F.when(F.col("begins"), F.struct("split", "line")), ignorenulls=True).over(up_to).alias("began"),
+        first.alias("is_header"),
+    )
+    single = lines.filter(F.col("begins") & (F.col("odd") == 0)).select(F.col("value").alias("record"), "is_header")
+    return single.unionByName(_gathered(lines.filter(~F.col("begins") | (F.col("odd") == 1))))
+
+
+def _gathered(lines: DataFrame) -> DataFrame:
+    """The records of several lines; a split's first ones may have begun in an earlier split."""
+    openers = lines.filter("began is not null").groupBy("file", "split").agg(F.max("began").alias("last_began"))
+    strays = lines.filter("began is null").select("file", "split").distinct()
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        openers.join(strays.withColumn("stray", F.lit(True)), ["file", "split"], "full")
+        .withColumn("carried", F.last("last_began", ignorenulls=True).over(earlier))
+        .filter("stray")
+        .select("file", "split", "carried")
+    )
+    owned = lines.join(carried, ["file", "split"], "left").withColumn("began", F.coalesce("began", "carried"))
+    parts = F.array_sort(F.collect_list(F.struct("split", "line", "value")))
+    return owned.groupBy("file", "began").agg(
+        F.array_join(F.transform(parts, lambda part: part["value"]), "\n").alias("record"),
+        F.bool_or("is_header").alias("is_header"),
+    ).select("record", "is_header")
+
+
+def parse_records(
+    records: DataFrame, header: Sequence[str], schema: StructType, options: Mapping[str, str]
+) -> DataFrame:
+    """The records' cells by the schema, headers left out once they are found to be the expected one."""
+    text = F.regexp_replace("record", "\r$", "")
+    names = F.from_csv(text, ", ".join(f"c{i} string" for i in range(len(header))), dict(options))
+    expected = F.struct(*(F.lit(name).alias(f"c{i}") for i, name in enumerate(header)))
+    other = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema: "), text)).cast("boolean")
+    is_data = F.when(F.col("is_header"), F.when(names.eqNullSafe(expected), False).otherwise(other)).otherwise(True)
+    ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+    rows = records.filter(is_data & (F.trim(text) != ""))
+    return rows.select(F.from_csv(text, ddl, dict(options)).alias("row")).select("row.*")
