@@ -1,10 +1,11 @@
 """CSV records that span lines, put together again from files that are read in splits.
 
 Spark reads a file with such records whole, in one task. Here a file is read as
-lines, in as many tasks as it has splits. Whether a line begins inside quotes
-follows from the number of quotes before it in its file, which is added up per
-split first and within the split then; only records of more than one line are
-gathered, each by itself.
+lines, in as many tasks as it has splits. A line with an odd number of quotes
+either opens or closes a record of several lines, so the number of such lines
+before a line tells whether it stands inside a record, and which one. They are
+counted per split first and within the split then. Only the lines of records of
+several lines are gathered, each record by itself.
 """
 
 from __future__ import annotations
@@ -30,52 +31,41 @@ def joined_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         odd_quotes("value").alias("odd"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
-        # Rises from line to line of a split, and is the same when a split is read again.
+        # Rises from line to line of a split.
         F.monotonically_increasing_id().alias("line"),
     )
 
-    # One row per split: does it begin inside quotes?
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = lines.groupBy("file", "split").agg(F.sum("odd").alias("odd"))
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("file", "split", F.coalesce(F.sum("odd").over(before), F.lit(0)).alias("odd_before"))
+    splits = splits.select("file", "split", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("in_earlier"))
 
-    # One split at a time: does a line begin inside quotes, and which line began its record?
     here = Window.partitionBy("file", "split").orderBy("line")
-    up_to = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = (F.col("odd_before") + F.sum("odd").over(up_to) - F.col("odd")) % 2 == 1
-    lines = lines.join(splits, ["file", "split"]).withColumn("begins", ~inside)
-    first = F.when(F.col("split") == 0, F.row_number().over(here) == 1).otherwise(False)
-    lines = lines.select(
+    in_split = F.sum("odd").over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    lines = lines.join(splits, ["file", "split"]).select(
         "file",
         "split",
         "line",
         "value",
         "odd",
-        "begins",
-        F.last(F.when(F.col("begins"), F.struct("split", "line")), ignorenulls=True).over(up_to).alias("began"),
-        first.alias("is_header"),
+        (F.col("in_earlier") + in_split - F.col("odd")).alias("before"),
+        ((F.col("split") == 0) & (F.row_number().over(here) == 1)).alias("is_header"),
     )
-    single = lines.filter(F.col("begins") & (F.col("odd") == 0)).select(F.col("value").alias("record"), "is_header")
-    return single.unionByName(_gathered(lines.filter(~F.col("begins") | (F.col("odd") == 1))))
 
-
-def _gathered(lines: DataFrame) -> DataFrame:
-    """The records of several lines; a split's first ones may have begun in an earlier split."""
-    openers = lines.filter("began is not null").groupBy("file", "split").agg(F.max("began").alias("last_began"))
-    strays = lines.filter("began is null").select("file", "split").distinct()
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        openers.join(strays.withColumn("stray", F.lit(True)), ["file", "split"], "full")
-        .withColumn("carried", F.last("last_began", ignorenulls=True).over(earlier))
-        .filter("stray")
-        .select("file", "split", "carried")
-    )
-    owned = lines.join(carried, ["file", "split"], "left").withColumn("began", F.coalesce("began", "carried"))
+    alone = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
     parts = F.array_sort(F.collect_list(F.struct("split", "line", "value")))
-    return owned.groupBy("file", "began").agg(
-        F.array_join(F.transform(parts, lambda part: part["value"]), "\n").alias("record"),
-        F.bool_or("is_header").alias("is_header"),
-    ).select("record", "is_header")
+    gathered = (
+        lines.filter(~alone)
+        .groupBy("file", F.floor(F.col("before") / 2).alias("record_of_file"))
+        .agg(
+            F.array_join(F.transform(parts, lambda part: part["value"]), "\n").alias("record"),
+            F.bool_or("is_header").alias("is_header"),
+        )
+    )
+    return (
+        lines.filter(alone)
+        .select(F.col("value").alias("record"), "is_header")
+        .unionAll(gathered.select("record", "is_header"))
+    )
 
 
 def parse_records(
