@@ -5,8 +5,8 @@ import pytest
 from tributary.contracts import ATHLETE_BIO
 from tributary.operators import rule_castable, rule_max_length, rule_not_null, split_rejects, tag_rejects
 from tributary.plans import copy_tables
-from tributary.sinks import overwrite_zone, table_options
-from tributary.sources import FileTopic, KafkaTopic, KeyRange, read_options, read_table
+from tributary.sinks import append_table, batches, overwrite_zone, table_batches, table_options
+from tributary.sources import FileTopic, KafkaTopic, KeyRange, key_bounds, read_options, read_table, stream_topic
 
 ROWS = [(1, "180", "ok"), (2, "77-80", "ok"), (3, None, "much too long"), (None, "1", None)]
 RULES = [rule_not_null("id"), rule_castable("height"), rule_max_length("note", 5)]
@@ -79,3 +79,84 @@ def test_topic_options():
     assert topic.write_options(3)["topic"] == "events"
     assert FileTopic("/t").write_options(3) == {"path": "/t/batch_id=3"}
     assert FileTopic("/t").write_options() == {"path": "/t"}
+
+
+class Recorder:
+    """Stands in for a session, reader or writer and notes what is asked of it.
+
+    No database is started for a test; what Spark's JDBC source is told is all
+    that can be looked at.
+    """
+
+    def __init__(self, row=None):
+        self.calls, self.row = [], row
+
+    @property
+    def read(self):
+        return self
+
+    write = read
+
+    def first(self):
+        return self.row
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls.append((name, args, kwargs))
+            return self
+
+        return call
+
+    def seen(self, name):
+        return [(args, kwargs) for called, args, kwargs in self.calls if called == name]
+
+
+def test_a_table_is_read_by_ranges_of_its_key():
+    session = Recorder(row=(3, 900))
+    keys = key_bounds(session, CONNECTION, "people", "athlete_id", 8)
+    assert keys == KeyRange("athlete_id", 3, 900, 8)
+    ((_, asked),) = session.seen("options")
+    assert asked["query"] == "SELECT MIN(athlete_id) AS lo, MAX(athlete_id) AS hi FROM people"
+    session = Recorder()
+    read_table(session, CONNECTION, "people", contract=ATHLETE_BIO, keys=keys)
+    assert session.seen("format") == [(("jdbc",), {})] and len(session.seen("load")) == 1
+    ((_, asked),) = session.seen("options")
+    assert asked == read_options(CONNECTION, "people", contract=ATHLETE_BIO, keys=keys)
+
+
+def test_a_table_is_read_by_conditions():
+    session = Recorder()
+    read_table(session, CONNECTION, "people", predicates=["sex = 'M'", "sex <> 'M' or sex is null"])
+    ((args, options),) = session.seen("jdbc")
+    assert args == (CONNECTION["url"], "people")
+    assert options["predicates"] == ["sex = 'M'", "sex <> 'M' or sex is null"]
+    assert "url" not in options["properties"] and options["properties"]["user"] == "u"
+
+
+def test_a_table_is_written_in_bulk():
+    table = Recorder()
+    append_table(table, CONNECTION, "people", connections=3)
+    ((_, options),) = table.seen("options")
+    assert options == table_options(CONNECTION, "people", connections=3)
+    assert table.seen("mode") == [(("append",), {})] and table.seen("save") == [((), {})]
+
+
+def test_a_batch_is_appended_with_its_id(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(batches, "append_table", lambda df, connection, table, **options: written.append((df, table, options)))
+    df = spark.range(2)
+    table_batches(CONNECTION, "stats", batch_column="batch", connections=2)(df, 7)
+    table_batches(CONNECTION, "stats")(df, 8)
+    (first, table, options), (second, _, _) = written
+    assert table == "stats" and options == {"connections": 2}
+    assert [tuple(r) for r in first.collect()] == [(0, 7), (1, 7)] and first.schema["batch"].dataType.simpleString() == "bigint"
+    assert second.columns == ["id"]
+
+
+def test_a_topic_of_a_broker():
+    session = Recorder()
+    topic = KafkaTopic("host:1", "events")
+    session.readStream = session
+    stream_topic(session, topic)
+    assert session.seen("format") == [(("kafka",), {})]
+    assert session.seen("options") == [((), topic.read_options())]
