@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from conformance.registry import query, table
-from conformance.shapes import BATCH_STATS_SQL, bio, dirty, results
 from pyspark.sql import functions as F
 
+from conformance.registry import query, table
+from conformance.shapes import BATCH_STATS_SQL, bio, dirty, results
 from tributary.contracts import ATHLETE_BIO, ATHLETE_EVENT_RESULTS, Contract
 from tributary.functions.numbers import NAN_IS_NULL
 from tributary.operators import rule_castable, rule_max_length, rule_not_null
@@ -85,7 +85,8 @@ _ORDERS = f"select o_orderkey, o_custkey, o_orderpriority, {_PRICE} as price fro
 
 
 def _copy(spark, sf_dir):
-    source = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.expr(_PRICE).alias("price"))
+    orders = table(spark, sf_dir, "orders")
+    source = orders.select("o_orderkey", "o_custkey", "o_orderpriority", F.expr(_PRICE).alias("price"))
     target = scratch_path(spark, "target")
     rules = {"orders": [rule_not_null("price"), rule_castable("price"), rule_max_length("o_orderpriority", 10)]}
     copied = copy_tables(spark, rules, lambda name: source, lambda df, name: overwrite_zone(df, target, name))

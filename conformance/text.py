@@ -90,7 +90,10 @@ def json_encode_rows(spark, sf_dir):
     return encode_rows(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"))
 
 
-@query("json_round_trip", "select c_custkey, c_name, case when c_custkey % 3 = 0 then null else c_nationkey end as c_nationkey, c_mktsegment from customer")
+_NATION = "case when c_custkey % 3 = 0 then null else c_nationkey end"
+
+
+@query("json_round_trip", f"select c_custkey, c_name, {_NATION} as c_nationkey, c_mktsegment from customer")
 def json_round_trip(spark, sf_dir):
     """Encoded and decoded again, nulls included."""
     schema = StructType(
@@ -101,6 +104,5 @@ def json_round_trip(spark, sf_dir):
             StructField("c_mktsegment", StringType()),
         ]
     )
-    nation = F.expr("case when c_custkey % 3 = 0 then null else c_nationkey end")
-    rows = table(spark, sf_dir, "customer").withColumn("c_nationkey", nation)
+    rows = table(spark, sf_dir, "customer").withColumn("c_nationkey", F.expr(_NATION))
     return decode_rows(encode_rows(rows.select(*schema.names)), schema)

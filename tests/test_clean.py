@@ -45,6 +45,8 @@ def test_measure_refuses_unknown_and_contradicting_choices():
         measure("m", "other")
     with pytest.raises(ValueError):
         measure("m", KEEP_NAN, scale=2)
+    with pytest.raises(ValueError):
+        measure("m", NAN_IS_NULL, scale=7)
 
 
 def test_mean_of_text(spark):

@@ -157,3 +157,17 @@ def test_a_broken_step_ends_the_run(spark, folder):
     with pytest.raises(ContractError):
         run_medallion(spark, landed, folder("lake"), [CONTRACT])
     assert not os.path.exists(folder("lake"))
+
+
+def test_a_table_without_rows(spark, folder):
+    landed = {"people": land(folder("in"), "a.csv", [])}
+    assert landing_to_bronze(spark, landed, folder("bronze"), [CONTRACT]) == {"people": {"rows": 0, "rejected": 0}}
+    bronze_to_silver(spark, folder("bronze"), folder("silver"), ["people"])
+    assert read_zone(spark, folder("silver"), "people", CONTRACT).count() == 0
+
+
+def test_a_table_of_rejected_rows_only(spark, folder):
+    landed = {"people": land(folder("in"), "a.csv", BAD)}
+    assert landing_to_bronze(spark, landed, folder("bronze"), [CONTRACT]) == {"people": {"rows": 3, "rejected": 3}}
+    bronze_to_silver(spark, folder("bronze"), folder("silver"), ["people"])
+    assert read_zone(spark, folder("silver"), "people", CONTRACT).count() == 0

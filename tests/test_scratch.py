@@ -1,26 +1,29 @@
+import pytest
+
 from tributary.scratch import scratch_path
 from tributary.settings import session_settings
 
 
 class Session:
-    """Just the setting the function asks for."""
+    """Just the settings the function asks for."""
 
-    def __init__(self, shared):
-        self.conf = self
-        self.shared = shared
+    def __init__(self, **values):
+        self.conf, self.values = self, values
 
     def get(self, name, default=None):
-        assert name == "spark.checkpoint.dir"
-        return self.shared or default
+        return self.values.get(name.removeprefix("spark."), default)
 
 
 def test_the_shared_folder_is_used():
-    first, second = (scratch_path(Session("store://bucket/tmp/"), "x") for _ in range(2))
+    session = Session(**{"checkpoint.dir": "store://bucket/tmp/", "master": "yarn"})
+    first, second = (scratch_path(session, "x") for _ in range(2))
     assert first.startswith("store://bucket/tmp/x-") and first != second
 
 
-def test_a_local_folder_stands_in():
-    assert scratch_path(Session(None), "x").endswith("/x")
+def test_a_local_folder_stands_in_on_one_machine_only():
+    assert scratch_path(Session(master="local[4]"), "x").endswith("/x")
+    with pytest.raises(ValueError):
+        scratch_path(Session(master="yarn"), "x")
 
 
 def test_partitions_follow_the_data():

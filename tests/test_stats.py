@@ -185,3 +185,13 @@ def test_averages_do_not_depend_on_partitions(spark):
         for join in ("broadcast", "shuffle")
     }
     assert len(results) == 1
+
+
+def test_exact_sums_keep_six_places_through_weights(spark):
+    facts = spark.range(0, 3000, 1, 3).selectExpr("id % 2 as k", "'s' as sport", "id % 7 * 0.000001D as v")
+    dim = spark.range(0, 3000, 1, 3).selectExpr("id % 2 as k", "'M' as sex")
+    spec = StatsSpec(("k",), ("sport", "sex"), {"v": "v"}, stamp=None, scale=6, measure_policy=NAN_IS_NULL)
+    want = sum(i % 7 for i in range(3000)) / 3000 / 1_000_000
+    for join in ("broadcast", "shuffle"):
+        ((_, _, got),) = rows(grouped_stats(facts, dim, spec.with_(join=join)))
+        assert got == pytest.approx(want, rel=1e-15)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 KEEP_NAN = "keep_nan"
 NAN_IS_NULL = "nan_is_null"
 
-# 38 is the widest decimal; 18 digits stay in one machine word.
-_EXACT_DIGITS = 18
+# 18 digits stay in one machine word. A sum times a number of rows has 38, the
+# most there are, and Spark then keeps up to six decimal places.
+_EXACT_DIGITS, _EXACT_PLACES = 18, 6
 
 
 def is_castable(column: Column | str, to: str = "float") -> Column:
@@ -30,6 +31,8 @@ def measure(column: Column | str, policy: str = KEEP_NAN, scale: int | None = No
     if scale is not None:
         if policy == KEEP_NAN:
             raise ValueError("an exact measure cannot keep NaN; use nan_is_null")
+        if not 0 <= scale <= _EXACT_PLACES:
+            raise ValueError(f"an exact measure has up to {_EXACT_PLACES} decimal places, not {scale}")
         return _column(column).try_cast(f"decimal({_EXACT_DIGITS},{scale})")
     number = _column(column).try_cast("double")
     if policy == KEEP_NAN:

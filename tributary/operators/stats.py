@@ -151,7 +151,8 @@ def _one_each(df: DataFrame, keys, measures, spec: StatsSpec, side: str) -> Data
     partials = []
     for name in measures:
         value = measure(spec.measures[name], spec.measure_policy, spec.scale)
-        partials += [value.alias(f"__{side}_sum_{name}"), value.isNotNull().cast("bigint").alias(f"__{side}_count_{name}")]
+        count = value.isNotNull().cast("bigint")
+        partials += [value.alias(f"__{side}_sum_{name}"), count.alias(f"__{side}_count_{name}")]
     return df.select(*keys, *partials)
 
 

@@ -50,6 +50,9 @@ def landing_to_bronze(
         )
         path = overwrite_zone(tagged, bronze, contract.name, partition_by=(REJECTED,))
         counts[contract.name] = dict(seen.get)
+        if not counts[contract.name]["rows"]:
+            # No row, no folder: without a flag folder the schema at least is there to read.
+            overwrite_zone(tagged, bronze, contract.name)
         log.info("%s: %s", path, counts[contract.name])
         _preview(spark.read.parquet(path), preview_rows)
     return counts

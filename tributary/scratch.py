@@ -13,12 +13,15 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared folder the session names.
 
-    ``spark.checkpoint.dir`` is that folder. Only where it is unset, as in a
-    local test, is a folder of this machine used, and removed at exit.
+    ``spark.checkpoint.dir`` is that folder. Only where it is unset and Spark
+    runs on this machine alone, as in a test, is a local folder used, and
+    removed at exit.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     local = tempfile.mkdtemp(prefix="run-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
     return f"{local}/{label}"

@@ -48,7 +48,9 @@ def read_options(
     return options
 
 
-def key_bounds(spark: SparkSession, connection: Mapping[str, str], table: str, column: str, partitions: int) -> KeyRange:
+def key_bounds(
+    spark: SparkSession, connection: Mapping[str, str], table: str, column: str, partitions: int
+) -> KeyRange:
     """The range of a column, worked out by the database; one row comes back."""
     query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
     row = spark.read.format("jdbc").options(**connection, query=query).load().first()
