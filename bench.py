@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from conformance import QUERIES  # noqa: E402
-from conformance.streams import ten_batches  # noqa: E402
+from conformance.streams import batch_rates  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -62,7 +62,7 @@ def main():
     for name in names:
         seconds(spark, QUERIES[name])
     times = {name: [seconds(spark, QUERIES[name]) for _ in range(RUNS)] for name in names}
-    batches = [ten_batches(spark, SF_DIR) for _ in range(2)][-1]
+    batches = [batch_rates(spark, SF_DIR) for _ in range(2)][-1]
     spark.stop()
 
     median = {name: round(statistics.median(each), 4) for name, each in times.items()}

@@ -185,6 +185,56 @@ def numeric_castable_filter(spark, sf_dir):
     return require_castable(present, "height")
 
 
+_GAPS = {
+    "segment": "case when c_custkey % 4 = 1 then null else c_mktsegment end",
+    "nation": "case when c_custkey % 3 = 1 then null else c_nationkey end",
+}
+_GAPPED = f"select c_custkey, c_acctbal, {_GAPS['segment']} as segment, {_GAPS['nation']} as nation from customer"
+
+
+def _gapped(spark, sf_dir):
+    gaps = [F.expr(expression).alias(name) for name, expression in _GAPS.items()]
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", *gaps)
+
+
+@query(
+    "not_null_conjunction",
+    f"select c_custkey, segment, nation from ({_GAPPED}) where segment is not null and nation is not null",
+)
+def not_null_conjunction(spark, sf_dir):
+    return require_not_null(_gapped(spark, sf_dir), "segment", "nation").drop("c_acctbal")
+
+
+@query(
+    "null_group_keys",
+    f"select segment, nation, {exact_avg('c_acctbal')} as avg_acctbal from ({_GAPPED}) group by segment, nation",
+)
+def null_group_keys(spark, sf_dir):
+    """A missing key is a key like any other."""
+    return mean_by(
+        _gapped(spark, sf_dir), ["segment", "nation"], {"avg_acctbal": "c_acctbal"}, policy=NAN_IS_NULL, scale=CENTS
+    )
+
+
+_SPECIAL = "case user_id % 3 when 0 then null when 1 then cast('nan' as double) else user_id end"
+
+
+@query(
+    "distinct_special_values",
+    f"""
+    select event_type, count(*) as n, count(v) as present, count(case when isnan(v) then 1 end) as nans
+    from (select distinct event_type, {_SPECIAL} as v from events) group by event_type
+    """,
+)
+def distinct_special_values(spark, sf_dir):
+    """Nulls are one value, and so are NaNs."""
+    special = F.expr(_SPECIAL).alias("v")
+    distinct = distinct_rows(table(spark, sf_dir, "events").select("event_type", special))
+    return distinct.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count("v").alias("present"), F.count_if(F.isnan("v")).alias("nans")
+    )
+
+
 @query(
     "numeric_measure_clean",
     f"""

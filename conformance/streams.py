@@ -155,10 +155,11 @@ def batch_metrics(spark, sf_dir):
     )
 
 
-def ten_batches(spark, sf_dir):
-    """All events as ten micro-batches of one file each: rows per second and time per batch."""
-    topic = FileTopic(scratch_path(spark, "topic"), {"maxFilesPerTrigger": "1"})
-    replay_table(table(spark, sf_dir, "events").select(*EVENT.names).repartition(10), topic)
+def in_batches(spark, sf_dir, **options):
+    """All events in ten micro-batches, of a file per ten cores each; the finished stream."""
+    per_batch = max(1, spark.sparkContext.defaultParallelism // 10)
+    topic = FileTopic(scratch_path(spark, "topic"), {"maxFilesPerTrigger": str(per_batch)})
+    replay_table(table(spark, sf_dir, "events").select(*EVENT.names).repartition(10 * per_batch), topic)
     stream = start_enrichment(
         decode_rows(stream_topic(spark, topic), EVENT),
         customers(spark, sf_dir),
@@ -166,9 +167,26 @@ def ten_batches(spark, sf_dir):
         [parquet_batches(scratch_path(spark, "stats"))],
         checkpoint=scratch_path(spark, "progress"),
         available_now=True,
+        **options,
     )
     wait(stream)
-    batches = [progress for progress in stream.recentProgress if progress["numInputRows"]]
+    return stream
+
+
+@query("stream_batches_whole", "select count(*) as rows, count(user_id) as keyed, true as several from events")
+def stream_batches_whole(spark, sf_dir):
+    """Several batches together saw every event once."""
+    seen = []
+    in_batches(spark, sf_dir, on_counts=seen.append)
+    counts = spark.createDataFrame([(c.rows, c.keyed) for c in seen], "rows bigint, keyed bigint")
+    return counts.agg(
+        F.sum("rows").alias("rows"), F.sum("keyed").alias("keyed"), (F.count("*") > 1).alias("several")
+    )
+
+
+def batch_rates(spark, sf_dir):
+    """Rows per second and time per batch of ten micro-batches."""
+    batches = [progress for progress in in_batches(spark, sf_dir).recentProgress if progress["numInputRows"]]
     rows = sum(progress["numInputRows"] for progress in batches)
     spent = [progress["durationMs"]["triggerExecution"] / 1000 for progress in batches]
     return {

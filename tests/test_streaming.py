@@ -219,3 +219,9 @@ def test_batches_without_a_result_are_counted_not_written(spark, join, athletes,
         handle = enrich_batches(dimension, spec, [lambda df, b: written.append(b)], on_counts=counts.append)
         handle(batch, 5)
         assert not written and [(c.batch_id, c.rows, c.keyed) for c in counts] == [(5, len(athletes), keyed)]
+
+
+def test_a_table_that_cannot_be_computed_is_never_skipped(spark):
+    df = spark.range(3).select(F.raise_error(F.lit("no such luck")).alias("x"))
+    with pytest.raises(Exception, match="no such luck"):
+        fan_out(df, [], 1, on_error="skip")

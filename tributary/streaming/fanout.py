@@ -18,7 +18,8 @@ def fan_out(df: DataFrame, sinks: Sequence[BatchSink], batch_id: int, on_error:
     The table is computed once and all sinks get the same rows and time stamps.
     A failing sink ends the batch. ``raise`` lets the stream fail, which runs the
     batch again on restart; ``skip`` logs it, and the batch counts as done
-    although the remaining sinks never got it.
+    although the remaining sinks never got it. A failure to compute the table
+    always fails the stream.
     """
     if on_error not in (RAISE, SKIP):
         raise ValueError(f"unknown error policy {on_error!r}")
@@ -26,12 +27,13 @@ def fan_out(df: DataFrame, sinks: Sequence[BatchSink], batch_id: int, on_error:
     try:
         if df.isEmpty():
             return False
-        for sink in sinks:
-            sink(df, batch_id)
-    except Exception:
-        if on_error == RAISE:
-            raise
-        log.exception("batch %s: sinks left out", batch_id)
+        try:
+            for sink in sinks:
+                sink(df, batch_id)
+        except Exception:
+            if on_error == RAISE:
+                raise
+            log.exception("batch %s: sinks left out", batch_id)
+        return True
     finally:
         df.unpersist()
-    return True
