@@ -55,9 +55,10 @@ def test_every_kind_of_record(spark, folder, line_breaks):
     assert sorted(r[CORRUPT] for r in rows.filter(f"{CORRUPT} is not null").collect()) == sorted(BAD)
 
 
-def test_columns_are_found_by_name(spark, folder):
-    path = land(folder("in"), "a.csv", ["x,180,1,more"], header="name,height,athlete_id,extra")
-    rows = read_landed(spark, path, CONTRACT, corrupt=None)
+@pytest.mark.parametrize("line_breaks", ["absent", "whole", "joined"])
+def test_columns_are_found_by_name(spark, folder, line_breaks):
+    path = land(folder("in"), "a.csv", ["x,180,1,more"], header="Name,height,ATHLETE_ID,extra")
+    rows = read_landed(spark, path, CONTRACT, line_breaks=line_breaks, corrupt=None)
     assert rows.dtypes == [("name", "string"), ("height", "string"), ("athlete_id", "int"), ("extra", "string")]
     assert table(rows) == [("x", "180", 1, "more")]
 

@@ -43,16 +43,17 @@ class Contract:
         return Contract(self.name, without_fields(self.schema, *names), kept)
 
     def in_order_of(self, header: list[str]) -> StructType:
-        """The contract's types in a file's own column order.
+        """The contract's columns in a file's own order, found by name in any case.
 
         A column the contract does not know stays text. A column it requires
         must be there; any other may be missing.
         """
-        missing = [name for name in self.required if name not in header]
+        known = {field.name.lower(): field for field in self.schema.fields}
+        found = [known.get(name.lower(), StructField(name, StringType())) for name in header]
+        missing = [name for name in self.required if name not in (field.name for field in found)]
         if missing:
             raise ContractError(f"{self.name}: missing required columns {missing}")
-        known = {field.name: field for field in self.schema.fields}
-        return StructType([known.get(name, StructField(name, StringType())) for name in header])
+        return StructType(found)
 
     def conform(self, df: DataFrame) -> DataFrame:
         """Exactly the contract's columns, or ``ContractError`` when they are not there."""

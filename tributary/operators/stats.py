@@ -1,4 +1,4 @@
-"""Averages over facts joined with a dimension, without building the joined rows twice.
+"""Averages over facts joined with a dimension, without building every joined row.
 
 An average is a sum and a count, and both can be taken before the join: a fact
 that meets ``n`` equal dimension rows adds ``n`` times to a fact sum, and a

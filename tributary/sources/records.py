@@ -73,8 +73,8 @@ def parse_records(
 ) -> DataFrame:
     """The records' cells by the schema, headers left out once they are found to be the expected one."""
     text = F.regexp_replace("record", "\r$", "")
-    names = F.from_csv(text, ", ".join(f"c{i} string" for i in range(len(header))), dict(options))
-    expected = F.struct(*(F.lit(name).alias(f"c{i}") for i, name in enumerate(header)))
+    names = F.from_csv(F.lower(text), ", ".join(f"c{i} string" for i in range(len(header))), dict(options))
+    expected = F.struct(*(F.lit(name.lower()).alias(f"c{i}") for i, name in enumerate(header)))
     other = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema: "), text)).cast("boolean")
     is_data = F.when(F.col("is_header"), F.when(names.eqNullSafe(expected), False).otherwise(other)).otherwise(True)
     ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)

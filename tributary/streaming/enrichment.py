@@ -22,7 +22,11 @@ TRIGGER_SECONDS = 30
 
 @dataclass(frozen=True)
 class BatchCounts:
-    """What a batch read: its rows, and those that came with every join key."""
+    """What a batch read: its rows, and those that came with every join key.
+
+    They are for watching a stream, not for settling accounts: rows that are
+    read again because an executor was lost are counted again.
+    """
 
     batch_id: int
     rows: int
