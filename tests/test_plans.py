@@ -6,7 +6,7 @@ import pytest
 
 from conformance.batch import EVENT_STATS, customers
 from conformance.registry import table
-from tributary.operators import enrich, grouped_stats, prepare_dimension, stats_of
+from tributary.operators import enrich, folding_pays, grouped_stats, prepare_dimension, stats_of
 from tributary.operators.clean import normalize_text
 from tributary.streaming import freeze
 
@@ -42,7 +42,7 @@ def test_small_dimension_leaves_the_facts_where_they_are(spark):
 
 def test_large_dimension_folds_facts_before_the_shuffle(spark):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        spec = EVENT_STATS.with_(broadcast_limit=1)
+        spec = EVENT_STATS.with_(broadcast_limit=1, fold_facts=True)
         plan = plan_of(grouped_stats(table(spark, SF, "events"), customers(spark, SF), spec))
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
     below = plan[plan.rindex("SortMergeJoin") :]
@@ -104,3 +104,35 @@ def test_facts_can_be_left_unfolded(spark):
         spec = EVENT_STATS.with_(join="shuffle", fold_facts=False, unique_dimension=True)
         plan = plan_of(grouped_stats(table(spark, SF, "events"), customers(spark, SF), spec))
     assert "partial_count(1)" not in plan and plan.count("Exchange") == 3
+
+
+def test_facts_are_folded_where_keys_repeat(spark):
+    events = table(spark, SF, "events")
+    assert folding_pays(events, ["user_id", "event_type"]), "10,000 rows of 150 users and five types"
+    assert not folding_pays(events, ["event_id"])
+    with settings(spark, spark__sql__adaptive__skewJoin__enabled="false"):
+        assert folding_pays(events, ["event_id"]), "nothing else would take care of a hot key"
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        spec = EVENT_STATS.with_(join="shuffle", unique_dimension=True)
+        repeated = plan_of(grouped_stats(events, customers(spark, SF), spec))
+        by_id = spec.with_(group_by=("event_id", "c_mktsegment"))
+        unique = plan_of(grouped_stats(events, customers(spark, SF), by_id))
+    assert "partial_count(1)" in repeated and "partial_count(1)" not in unique
+
+
+def test_hot_key_of_unfolded_facts_is_split(spark):
+    facts = spark.range(0, 300_000, 1, 8).selectExpr("if(id % 3 = 0, 0, id) as user_id", "id % 5 as event_type", "id as value")
+    dim = spark.range(0, 300_000, 1, 8).selectExpr("id as user_id", "id % 4 as c_mktsegment", "id % 9 as c_nationkey", "id as c_acctbal")
+    spec = EVENT_STATS.with_(join="shuffle", scale=None)
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100000",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="100000",
+    ):
+        unfolded = grouped_stats(facts, dim, spec)
+        plan = plan_of(unfolded, run=True)
+        folded = grouped_stats(facts, dim, spec.with_(fold_facts=True))
+        assert sorted(map(tuple, unfolded.collect())) == sorted(map(tuple, folded.collect()))
+    assert "isSkewJoin=true" in plan or "skewed" in plan

@@ -119,7 +119,7 @@ def test_agrees_with_brute_force(spark, facts, dimension):
     right = spark.createDataFrame(dimension, "k int, sex string, h double")
     spec = StatsSpec(("k",), ("sport", "sex"), {"avg_v": "v", "avg_h": "h"}, stamp=None)
     want = brute_force(facts, dimension)
-    for join, unique, fold in itertools.product(("broadcast", "shuffle"), (False, True), (False, True)):
+    for join, unique, fold in itertools.product(("broadcast", "shuffle"), (False, True), (None, False, True)):
         variant = spec.with_(join=join, unique_dimension=unique, fold_facts=fold)
         got = rows(grouped_stats(left, right, variant))
         assert [g[:2] for g in got] == [w[:2] for w in want]

@@ -11,8 +11,22 @@ from tributary.operators.clean import (
 from tributary.operators.codec import decode_rows, encode_rows
 from tributary.operators.enrich import enrich, fits_broadcast, measured_size, own_columns
 from tributary.operators.means import mean_by
-from tributary.operators.rejects import Rule, rule_castable, rule_max_length, rule_not_null, split_rejects, tag_rejects
-from tributary.operators.stats import PreparedDimension, StatsSpec, grouped_stats, prepare_dimension, stats_of
+from tributary.operators.rejects import (
+    Rule,
+    rule_castable,
+    rule_max_length,
+    rule_not_null,
+    split_rejects,
+    tag_rejects,
+)
+from tributary.operators.stats import (
+    PreparedDimension,
+    StatsSpec,
+    folding_pays,
+    grouped_stats,
+    prepare_dimension,
+    stats_of,
+)
 
 __all__ = [
     "PreparedDimension",
@@ -25,6 +39,7 @@ __all__ = [
     "enrich",
     "fill_missing",
     "fits_broadcast",
+    "folding_pays",
     "grouped_stats",
     "mean_by",
     "measured_size",

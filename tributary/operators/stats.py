@@ -6,9 +6,13 @@ dimension row that meets ``m`` facts adds ``m`` times to a dimension sum. So
 
 * the dimension is always folded to one row per key and dimension group key,
   which keeps a key that is repeated in it from multiplying the facts, and
-* when the dimension is too large to broadcast, the facts are folded as well,
+* when the dimension is too large to broadcast, the facts may be folded as well,
   inside each task before anything is shuffled. A key that holds a third of all
   facts then shuffles a few rows per task instead of a third of the table.
+
+Folding facts pays where keys repeat. Where they hardly do, it shuffles the facts
+once to fold them and most of them again to join them; then they are better
+joined as they are, and adaptive execution splits the partitions of hot keys.
 """
 
 from __future__ import annotations
@@ -26,6 +30,11 @@ from tributary.settings import BROADCAST_LIMIT_BYTES
 
 BEFORE, AFTER = "before", "after"
 
+# Rows of a large table are spread over so many tasks that only hot keys shrink
+# before the shuffle. Folding then costs a second shuffle of one row per group,
+# and this bounds that at a quarter of the rows.
+ROWS_PER_GROUP = 4
+
 
 @dataclass(frozen=True)
 class StatsSpec:
@@ -37,10 +46,10 @@ class StatsSpec:
     takes the run's time, or is None for no such column.
 
     Results do not depend on ``join``, ``broadcast_limit``, ``fold_facts`` and
-    ``unique_dimension``, only the work does. ``fold_facts=False`` shuffles the
-    facts of a large dimension as they are, which is cheaper when keys hardly
-    repeat; adaptive execution then splits the partitions of hot keys.
-    ``unique_dimension=True`` saves folding a dimension known to hold each key once.
+    ``unique_dimension``, only the work does. ``fold_facts`` is for dimensions
+    that are not broadcast; None leaves it to ``folding_pays``, and a stream then
+    folds. ``unique_dimension=True`` saves folding a dimension known to hold each
+    key once.
     """
 
     on: tuple[str, ...]
@@ -53,7 +62,7 @@ class StatsSpec:
     fill_when: str = AFTER
     join: str = AUTO
     broadcast_limit: int = BROADCAST_LIMIT_BYTES
-    fold_facts: bool = True
+    fold_facts: bool | None = None
     unique_dimension: bool = False
     stamp: str | None = "timestamp"
 
@@ -109,7 +118,7 @@ def stats_of(
         pruned = fill_missing(pruned, spec.fill)
 
     keys = list(dict.fromkeys([*spec.on, *fact_keys]))
-    partials = _folded if spec.fold_facts and not dimension.broadcast else _one_each
+    partials = _one_each if dimension.broadcast or spec.fold_facts is False else _folded
     left = partials(pruned, keys, in_facts, spec, "f")
     right = F.broadcast(dimension.rows) if dimension.broadcast else dimension.rows
     joined = left.join(right, list(spec.on), "inner")
@@ -134,7 +143,26 @@ def grouped_stats(
 ) -> DataFrame:
     """Inner-join facts and dimension and average per group, under the spec's rules."""
     facts, dimension = own_columns(facts, dimension, spec.on, spec.prefer)
-    return stats_of(facts, prepare_dimension(dimension, facts.columns, spec), spec, run_ts)
+    prepared = prepare_dimension(dimension, facts.columns, spec)
+    if spec.fold_facts is None and not prepared.broadcast:
+        keys = [c for c in spec.group_by if c not in prepared.group_by and c not in spec.on]
+        spec = spec.with_(fold_facts=folding_pays(require_not_null(facts, *spec.on), [*spec.on, *keys]))
+    return stats_of(facts, prepared, spec, run_ts)
+
+
+def folding_pays(facts: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether facts repeat their keys often enough to be folded before a join.
+
+    One aggregate over the key columns, in a sketch of fixed size per task; the
+    answer only chooses between two plans for the same result. Without adaptive
+    execution a hot key has to be folded in any case.
+    """
+    conf = facts.sparkSession.conf
+    if "false" in (conf.get("spark.sql.adaptive.enabled"), conf.get("spark.sql.adaptive.skewJoin.enabled")):
+        return True
+    groups = F.approx_count_distinct(F.xxhash64(*keys))
+    seen = facts.agg(F.count(F.lit(1)).alias("rows"), groups.alias("groups")).first()
+    return seen["groups"] * ROWS_PER_GROUP <= seen["rows"]
 
 
 def _folded(df: DataFrame, keys, measures, spec: StatsSpec, side: str) -> DataFrame:
