@@ -63,3 +63,9 @@ def test_copy_reads_settings_and_hands_them_on(spark, folder, monkeypatch, tmp_p
 def test_a_job_is_needed():
     with pytest.raises(SystemExit):
         cli.main([])
+
+
+@pytest.mark.parametrize("sinks", [[], ["--out-connection", "c.json"]])
+def test_a_stream_needs_somewhere_to_write(sinks):
+    with pytest.raises(SystemExit):
+        cli.main(["stream", "--table", "t", "--topic", "t", "--checkpoint", "c", *sinks])

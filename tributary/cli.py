@@ -84,7 +84,13 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
-    args = _parser().parse_args(arguments)
+    parser = _parser()
+    args = parser.parse_args(arguments)
+    if args.job == "stream":
+        if not (args.out_path or args.out_topic or args.out_connection):
+            parser.error("stream: give --out-path, --out-topic or --out-connection")
+        if args.out_connection and not args.out_table:
+            parser.error("stream: --out-connection needs --out-table")
     logging.basicConfig(level=logging.INFO)
     own = spark is None
     if own:
