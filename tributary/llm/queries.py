@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, licenses, quality, secrets
+from tributary.llm import bpe, contamination, jaccard, licenses, quality, secrets
 from tributary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return contamination.digest(contamination.find_contamination(documents, benchmark))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"))
 
@@ -28,8 +33,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "component_size")
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
-    for function in (op1_secret_scans, op5_quality_rules, op6_license_scans, op9_bpe)
+    for function in (op1_secret_scans, op3_decontamination, op5_quality_rules, op6_license_scans, op9_bpe, op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {}
