@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, contamination, jaccard, licenses, quality, secrets
+from pyspark.sql import functions as F
+
+from tributary.llm import bpe, contamination, jaccard, language, licenses, lines, quality, secrets, toxicity, warc
 from tributary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +18,21 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = lines.dedupe_lines(table(spark, sf_dir, "documents"))
+    return deduped.select("doc_id", "lines_removed", "words_removed", "text")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return contamination.digest(contamination.find_contamination(documents, benchmark))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_pages(warc.normalise_archives(archives)).drop("url")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"))
 
@@ -29,6 +41,25 @@ def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxicity.score_documents(documents, toxicity.fit(documents, labels))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by all evidence, and documents by their text and source; one id of a row is null."""
+    documents, pages = (table(spark, sf_dir, name) for name in ("documents", "pages"))
+    model = language.fit(documents)
+    of_pages = language.identify(pages, model, "page_id", "html", "url", markup=True)
+    of_documents = language.identify(documents, model, "doc_id", "text", "source", markup=False)
+    no_id = F.lit(None).cast("long")
+    return (
+        of_documents.withColumnRenamed("id", "doc_id")
+        .withColumn("page_id", no_id)
+        .unionByName(of_pages.withColumnRenamed("id", "page_id").withColumn("doc_id", no_id))
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -40,6 +71,17 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     function.__name__: function
-    for function in (op1_secret_scans, op3_decontamination, op5_quality_rules, op6_license_scans, op9_bpe, op10_jaccard_join)
+    for function in (
+        op1_secret_scans,
+        op2_line_dedup,
+        op3_decontamination,
+        op4_warc,
+        op5_quality_rules,
+        op6_license_scans,
+        op7_toxicity,
+        op8_language_id,
+        op9_bpe,
+        op10_jaccard_join,
+    )
 }
 ORACLES: dict[str, str] = {}
