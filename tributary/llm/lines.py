@@ -26,7 +26,7 @@ from tributary.llm.common import ASCII_LOWER, mapped, stored, text_key
 class Blocks:
     """Blocks of at least ``min_words`` words are deleted; a line is rare if at most ``rare`` documents have it."""
 
-    min_words: int = 20
+    min_words: int = 30
     rare: int = 32
 
 
