@@ -392,11 +392,17 @@ def similar_documents(
 
 def keep_one(docs: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     """Of each component the row with the smallest id, of several such rows one; rows without words all stay."""
-    found = similar_documents(docs, rule=rule)
-    chosen = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("w"))
-    chosen = chosen.select(F.struct(F.col("w.doc_id").alias("id"), F.col("w.text_hash").alias("hash")).alias("_chosen_"))
-    c = F.col("_chosen_")
-    matches = same(F.col("doc_id").cast("long"), c.id) & (text_key(F.col("text")) == c.hash)
-    kept = docs.join(chosen, matches).drop("_chosen_").dropDuplicates(["doc_id", "text"])
-    empty = docs.where(F.coalesce(F.regexp_extract("text", r"[^\x20\x09-\x0D]", 0), F.lit("")) == "")
-    return kept.unionByName(empty)
+    found = stored(similar_documents(docs, rule=rule).where("n_shingles > 0"), "found")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    chosen = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("text_hash")).alias("own"))
+    chosen = chosen.agg(F.min(order).alias("w")).select("w.doc_id", "w.text_hash")
+    gone = stored(found.select("doc_id", "text_hash").distinct().exceptAll(chosen), "gone")
+    gone_rows = gone.count()
+    gone = gone.select(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).alias("_gone_"))
+    g = F.col("_gone_")
+    matches = same(F.col("doc_id").cast("long"), g.id) & (text_key(F.col("text")) == g.hash)
+    kept = docs.join(F.broadcast(gone) if gone_rows <= BROADCAST_ROWS else gone, matches, "left_anti")
+    if found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        return kept
+    empty = F.coalesce(F.regexp_extract("text", r"[^\x20\x09-\x0D]", 0), F.lit("")) == ""
+    return kept.where(~empty).dropDuplicates(["doc_id", "text"]).unionByName(kept.where(empty))
