@@ -27,7 +27,7 @@ from tributary.llm.common import mapped
 
 VOCABULARY = "byte_bpe_50k.json"
 WORDS_KEPT = 300_000  # encodings a worker keeps between batches of texts
-TEXTS = 256  # texts encoded together
+TOGETHER = 4_000_000  # characters of texts encoded together; the more, the more prefixes are shared
 
 
 def _byte_letters() -> dict[str, int]:
@@ -160,8 +160,14 @@ def encoder(path: str) -> Encoder:
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[list[str]]:
-    for start in range(0, batch.num_rows, TEXTS):
-        yield [scalar.as_py() or "" for scalar in batch.column(1).slice(start, TEXTS)]
+    texts, size = [], 0
+    for scalar in batch.column(1):
+        texts.append(scalar.as_py() or "")
+        size += len(texts[-1])
+        if size >= TOGETHER:
+            yield texts
+            texts, size = [], 0
+    yield texts
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
