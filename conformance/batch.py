@@ -251,7 +251,7 @@ def numeric_measure_clean(spark, sf_dir):
 @query(
     "avg_text_measure",
     f"""
-    select c_mktsegment, {exact_avg('height')} as avg_height, count(try_cast(height as decimal(18,2))) as n
+    select c_mktsegment, {exact_avg('height')} as avg_height, count(try_cast(height as decimal(28,2))) as n
     from (select c_mktsegment, {_DIRTY} as height from customer) group by c_mktsegment
     """,
 )
@@ -319,3 +319,46 @@ def reject_split(spark, sf_dir):
     return valid.select("c_custkey", "height", F.lit("").alias("reasons")).unionAll(
         rejects.select("c_custkey", "height", F.array_join(REASONS, ",").alias("reasons"))
     )
+
+
+@query(
+    "enrich_lineitem_defaults",
+    """
+    select l_returnflag, l_linestatus, p_brand, avg(l_quantity) as avg_quantity, avg(p_size) as avg_size
+    from lineitem join part on l_partkey = p_partkey
+    group by l_returnflag, l_linestatus, p_brand
+    """,
+)
+def enrich_lineitem_defaults(spark, sf_dir):
+    """The rules as they are by default: doubles that keep NaN. Whole numbers add up alike in any order."""
+    part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
+    spec = StatsSpec(
+        on=("l_partkey",),
+        group_by=("l_returnflag", "l_linestatus", "p_brand"),
+        measures={"avg_quantity": "l_quantity", "avg_size": "p_size"},
+        stamp=None,
+    )
+    return grouped_stats(table(spark, sf_dir, "lineitem"), part, spec)
+
+
+_LARGE = "concat(cast(cast(floor(o_totalprice * 100) as bigint) as string), '0000000000000', case when o_orderkey % 3 = 0 then '.25' else '' end)"
+
+
+@query(
+    "avg_large_values",
+    f"""
+    select o_orderpriority, cast(sum(cast({_LARGE} as decimal(38,2))) as double) / count(*) as avg_price, count(*) as n
+    from orders group by o_orderpriority
+    """,
+)
+def avg_large_values(spark, sf_dir):
+    """Exact averages of numbers of over twenty digits."""
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", F.expr(_LARGE).alias("price"))
+    return mean_by(
+        orders,
+        ["o_orderpriority"],
+        {"avg_price": "price"},
+        policy=NAN_IS_NULL,
+        scale=CENTS,
+        counts={"n": "price"},
+    )

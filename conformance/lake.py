@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conformance.registry import query, table
-from conformance.shapes import BATCH_STATS_SQL, bio, dirty, results
+from conformance.shapes import BATCH_STATS_SQL, bio, dirty, exact_avg, results
 from tributary.contracts import ATHLETE_BIO, ATHLETE_EVENT_RESULTS, Contract
 from tributary.functions.numbers import NAN_IS_NULL
 from tributary.operators import rule_castable, rule_max_length, rule_not_null
@@ -40,22 +44,71 @@ def csv_landing_documents(spark, sf_dir):
     return read_landed(spark, path, Contract("documents", documents.schema, ("doc_id",)), corrupt=None)
 
 
+@contextlib.contextmanager
+def _splits_of(spark, size):
+    """Files are cut into splits of this many bytes; what is read has to be written before the end."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _read_in_splits(spark, path, contract, size):
+    copy = scratch_path(spark, "read")
+    with _splits_of(spark, size):
+        read_landed(spark, path, contract, corrupt=None).write.parquet(copy)
+    return spark.read.parquet(copy)
+
+
 @query("csv_landing_joined", "select doc_id, text, lang, source, n_chars from documents")
 def csv_landing_joined(spark, sf_dir):
-    """The same as for files too large for one task: split, and broken records put together again."""
+    """The same as for files too large for one task: split, and cut records put together again."""
     documents = table(spark, sf_dir, "documents")
     path = land(documents, scratch_path(spark, "documents"))
-    contract = Contract("documents", documents.schema, ("doc_id",))
-    return read_landed(spark, path, contract, corrupt=None, whole_file_bytes=1)
+    return _read_in_splits(spark, path, Contract("documents", documents.schema, ("doc_id",)), 64 * 1024)
 
 
 @query("csv_landing_split", "select * from orders")
 def csv_landing_split(spark, sf_dir):
-    """As for files too large for one task: found to have no broken lines, then split."""
+    """As for files too large for one task, without records that span lines."""
     orders = table(spark, sf_dir, "orders")
     path = land(orders, scratch_path(spark, "orders"))
-    contract = Contract("orders", orders.schema, ("o_orderkey",))
-    return read_landed(spark, path, contract, corrupt=None, whole_file_bytes=1)
+    return _read_in_splits(spark, path, Contract("orders", orders.schema, ("o_orderkey",)), 64 * 1024)
+
+
+# Split sizes the same files are read with: uncut, and cut every so many bytes.
+_SPLITS = (128 * 1024 * 1024, 16 * 1024, 2_000)
+
+_ODD_NAME = """
+    case c_custkey % 5 when 0 then concat(c_name, '" pipe') when 1 then concat(c_name, '{br}second, "line"{br}')
+    when 2 then concat(' "', c_name) when 3 then concat('"', c_name, '" and more') else c_name end"""
+
+
+@query(
+    "csv_landing_same_by_size",
+    f"""
+    select way, c_custkey, {_ODD_NAME.format(br=chr(10))} as c_name, c_mktsegment
+    from customer, (select unnest(range({len(_SPLITS)})) as way)
+    """,
+)
+def csv_landing_same_by_size(spark, sf_dir):
+    """Stray quotes, blank lines, CRLF in cells and records over several lines, read alike in splits of any size."""
+    name = F.expr(_ODD_NAME.format(br="\r\n"))
+    # A quote that does not open its cell is written as it is, any other cell with quotes or breaks is quoted.
+    quoted = F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
+    written = F.when(F.col("c_custkey") % 5 == 1, quoted).when(F.col("c_custkey") % 5 == 3, quoted).otherwise(name)
+    blank = F.when(F.col("c_custkey") % 7 == 0, F.lit("\r\n   ")).otherwise(F.lit(""))
+    record = F.concat(F.concat_ws(",", "c_custkey", written, "c_mktsegment"), blank, F.lit("\r"))
+    customer = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customer")
+    header = spark.range(1).select(F.lit("c_custkey,c_name,c_mktsegment\r").alias("value"))
+    header.unionAll(customer.select(record)).coalesce(1).write.text(path)
+    contract = Contract("customer", customer.select("c_custkey", "c_name", "c_mktsegment").schema, ("c_custkey",))
+    ways = [_read_in_splits(spark, path, contract, size).withColumn("way", F.lit(way).cast("long")) for way, size in enumerate(_SPLITS)]
+    return reduce(DataFrame.unionAll, ways)
 
 
 @query("medallion_gold", BATCH_STATS_SQL)
@@ -113,3 +166,49 @@ def copied_rows(spark, sf_dir):
 )
 def rejected_rows(spark, sf_dir):
     return _copy(spark, sf_dir)[0].rejects.select("o_orderkey", "price", "o_orderpriority")
+
+
+# A record in twelve has a cell too many, one too few (the last), or an athlete that is no number.
+_FAULT = "c_custkey % 12"
+
+
+@query(
+    "medallion_gold_with_rejects",
+    f"""
+    with bio as (
+        select cast(c_custkey as int) as id, lower(c_mktsegment) as sex, 'n' || cast(c_nationkey as string) as country,
+            cast(c_nationkey as string) as height, case when {_FAULT} = 1 then null else cast(c_nationkey + 1 as string) end as weight
+        from customer where {_FAULT} <> 2)
+    select event_type as sport, lower(sex) as sex, country, {exact_avg('height')} as avg_height, {exact_avg('weight')} as avg_weight
+    from events join bio on user_id = id group by event_type, sex, country
+    """,
+)
+def medallion_gold_with_rejects(spark, sf_dir):
+    """Records that do not fit the contract reach gold with what could be read of them."""
+    bio_contract, fact_contract = (
+        Contract("people", spark.createDataFrame([], "id int, sex string, country string, height string, weight string").schema, ("id",)),
+        Contract("facts", spark.createDataFrame([], "id int, sport string").schema, ("id",)),
+    )
+    cells = F.concat_ws(",", "c_mktsegment", F.concat(F.lit("N"), "c_nationkey"), "c_nationkey")
+    fault, number = F.expr(_FAULT), (F.col("c_nationkey") + 1).cast("string")
+    record = F.concat_ws(",", F.when(fault == 2, F.concat(F.lit("no"), "c_custkey")).otherwise(F.col("c_custkey").cast("string")), cells)
+    record = F.when(fault == 1, record).otherwise(F.concat_ws(",", record, number))
+    record = F.when(fault == 3, F.concat_ws(",", record, F.lit("more"))).otherwise(record)
+    header = spark.range(1).select(F.lit(",".join(bio_contract.schema.names)))
+    people = header.unionAll(table(spark, sf_dir, "customer").coalesce(1).select(record)).coalesce(1)
+    path = scratch_path(spark, "people")
+    people.write.text(path)
+    facts = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("sport"))
+    landed = {"people": path, "facts": land(facts, scratch_path(spark, "facts"))}
+    spec = BATCH_STATS.with_(
+        on=("id",),
+        group_by=("sport", "sex", "country"),
+        measures={"avg_height": "height", "avg_weight": "weight"},
+        measure_policy=NAN_IS_NULL,
+        scale=CENTS,
+        fill={},
+    )
+    gold = run_medallion(
+        spark, landed, scratch_path(spark, "lake"), [bio_contract, fact_contract], spec=spec, facts="facts", dimension="people"
+    )
+    return spark.read.parquet(gold).drop("timestamp")

@@ -21,7 +21,7 @@ def dirty(key: str, value: str) -> str:
 
 def exact_avg(value: str) -> str:
     """An average whose sum does not depend on the order of the rows."""
-    number = f"try_cast({value} as decimal(18,2))"
+    number = f"try_cast({value} as decimal(28,2))"
     return f"cast(sum({number}) as double) / count({number})"
 
 

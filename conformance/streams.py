@@ -8,9 +8,9 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from conformance.batch import EVENT_STATS, EVENT_STATS_SQL, customers
 from conformance.registry import query, table
-from conformance.shapes import STREAM_STATS_SQL, bio, results
-from tributary.contracts import AVERAGE_STATS
-from tributary.functions.numbers import NAN_IS_NULL
+from conformance.shapes import STREAM_STATS_SQL, bio, exact_avg, results
+from tributary.contracts import AVERAGE_STATS, Contract
+from tributary.functions.numbers import KEEP_NAN, NAN_IS_NULL
 from tributary.operators import decode_rows
 from tributary.plans import STREAM_STATS, replay_table, run_event_enrichment
 from tributary.scratch import scratch_path
@@ -55,7 +55,7 @@ def stream_enrich_avg(spark, sf_dir):
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     out = scratch_path(spark, "stats")
     _run(spark, events, customers(spark, sf_dir), EVENT_STATS, [parquet_batches(out)])
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).drop("query", "batch_id")
 
 
 @query("stream_json_stats", STREAM_STATS_SQL)
@@ -74,7 +74,7 @@ def stream_json_stats(spark, sf_dir):
             available_now=True,
         )
     )
-    return spark.read.parquet(out).drop("batch_id", "timestamp")
+    return spark.read.parquet(out).drop("query", "batch_id", "timestamp")
 
 
 @query(
@@ -123,7 +123,7 @@ def stream_replay(spark, sf_dir):
         _run(spark, events, customers(spark, sf_dir), EVENT_STATS, sinks, progress)
     except StreamingQueryException:
         _run(spark, events, customers(spark, sf_dir), EVENT_STATS, sinks, progress)
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).drop("query", "batch_id")
 
 
 @query(
@@ -184,6 +184,78 @@ def stream_batches_whole(spark, sf_dir):
     )
 
 
+def _means(condition: str) -> str:
+    return f"""
+        select event_type, c_mktsegment, c_nationkey, {exact_avg('value')} as avg_value, {exact_avg('c_acctbal')} as avg_acctbal
+        from events join customer on user_id = c_custkey where {condition}
+        group by event_type, c_mktsegment, c_nationkey"""
+
+
+@query("stream_second_checkpoint", f"{_means('event_id % 2 = 0')} union all {_means('event_id % 2 = 1')}")
+def stream_second_checkpoint(spark, sf_dir):
+    """Two streams with a checkpoint each write to one path and leave each other's batches alone."""
+    out = scratch_path(spark, "stats")
+    for half in (0, 1):
+        events = table(spark, sf_dir, "events").select(*EVENT.names).where(F.col("event_id") % 2 == half)
+        events = decode_rows(stream_topic(spark, _topic_of(spark, events)), EVENT)
+        _run(spark, events, customers(spark, sf_dir), EVENT_STATS, [parquet_batches(out)])
+    return spark.read.parquet(out).drop("query", "batch_id")
+
+
+@query(
+    "stream_batches_stats",
+    """
+    select cast(event_id % 5 as int) as batch_id, event_type, c_mktsegment, avg(floor(value)) as avg_value, avg(c_nationkey) as avg_nation
+    from events join customer on user_id = c_custkey group by event_id % 5, event_type, c_mktsegment
+    """,
+)
+def stream_batches_stats(spark, sf_dir):
+    """Averages of each of five batches by the default rules; a file of the topic is a batch."""
+    topic = FileTopic(scratch_path(spark, "topic"), {"maxFilesPerTrigger": "1"})
+    events = table(spark, sf_dir, "events").withColumn("value", F.floor("value").cast("double"))
+    for batch in range(5):
+        replay_table(events.select(*EVENT.names).where(F.col("event_id") % 5 == batch).coalesce(1), topic)
+    out = scratch_path(spark, "stats")
+    spec = EVENT_STATS.with_(
+        group_by=("event_type", "c_mktsegment"),
+        measures={"avg_value": "value", "avg_nation": "c_nationkey"},
+        measure_policy=KEEP_NAN,
+        scale=None,
+    )
+    _run(spark, decode_rows(stream_topic(spark, topic), EVENT), customers(spark, sf_dir), spec, [parquet_batches(out)])
+    return spark.read.parquet(out).drop("query")
+
+
+@query(
+    "stream_other_schema",
+    f"""
+    select o_orderpriority, c_mktsegment, {exact_avg('o_totalprice')} as avg_price, {exact_avg('c_acctbal')} as avg_acctbal
+    from orders join customer on o_custkey = c_custkey group by o_orderpriority, c_mktsegment
+    """,
+)
+def stream_other_schema(spark, sf_dir):
+    """The streaming job with keys, measures and columns of other tables."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    out = scratch_path(spark, "stats")
+    wait(
+        run_event_enrichment(
+            spark,
+            _topic_of(spark, orders),
+            table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"),
+            [parquet_batches(out)],
+            checkpoint=scratch_path(spark, "progress"),
+            contract=Contract("orders", orders.schema, ("o_custkey",)),
+            spec=EVENT_STATS.with_(
+                on=("o_custkey",),
+                group_by=("o_orderpriority", "c_mktsegment"),
+                measures={"avg_price": "o_totalprice", "avg_acctbal": "c_acctbal"},
+            ),
+            available_now=True,
+        )
+    )
+    return spark.read.parquet(out).drop("query", "batch_id")
+
+
 def batch_rates(spark, sf_dir):
     """Rows per second and time per batch of ten micro-batches."""
     batches = [progress for progress in in_batches(spark, sf_dir).recentProgress if progress["numInputRows"]]

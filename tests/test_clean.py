@@ -95,3 +95,13 @@ def test_one_row_repeated_is_shuffled_once_per_task(spark):
 def test_drop_ignores_absent_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert drop_columns(df, "b", "zzz").columns == ["a"]
+
+
+def test_exact_averages_of_large_numbers(spark):
+    df = spark.createDataFrame([("99999999999999999",), ("1",), ("0.004",)], "m string")
+    got = mean_by(df, [], {"m": "m"}, policy=NAN_IS_NULL, scale=2, counts={"n": "m"}).first()
+    assert got == (1e17 / 3, 3)
+    for large in ("1" + "0" * 26, "inf"):
+        one = spark.createDataFrame([(large,), ("1",)], "m string")
+        with pytest.raises(Exception, match="no exact average"):
+            mean_by(one, [], {"m": "m"}, policy=NAN_IS_NULL, scale=2).collect()

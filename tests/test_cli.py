@@ -14,8 +14,8 @@ def test_lake_in_one_go_and_step_by_step(spark, folder, capsys):
     land(bio(spark, SF), folder("landing") + "/athlete_bio")
     land(results(spark, SF), folder("landing") + "/athlete_event_results")
     cli.main(["lake", "--landing", folder("landing"), "--lake", folder("lake")], spark)
-    cli.main(["bronze", "--landing", folder("landing"), "--bronze", folder("b"), "--line-breaks", "joined"], spark)
-    cli.main(["silver", "--bronze", folder("b"), "--silver", folder("s"), "--with-rejected"], spark)
+    cli.main(["bronze", "--landing", folder("landing"), "--bronze", folder("b")], spark)
+    cli.main(["silver", "--bronze", folder("b"), "--silver", folder("s")], spark)
     cli.main(["gold", "--silver", folder("s"), "--gold", folder("g"), "--preview", "3"], spark)
     assert "avg_height" in capsys.readouterr().out
     whole, steps = (spark.read.parquet(f"{folder(name)}/avg_stats") for name in ("lake/gold", "g"))
@@ -31,7 +31,7 @@ def test_replay_and_stream(spark, folder):
     arguments += ["--rejects-path", folder("aside"), "--out-path", folder("out"), "--out-topic", folder("sent"), "--available-now", "--batch-limit", "1"]
     cli.main(arguments, spark)
     averages = spark.read.parquet(folder("out"))
-    assert averages.count() == spark.read.text(folder("sent") + "/batch_id=*").count() > 0
+    assert averages.count() == spark.read.text(folder("sent") + "/query=*/batch_id=*").count() > 0
     assert spark.read.parquet(folder("aside")).count() == 20, "the events without an athlete"
 
 

@@ -1,14 +1,19 @@
+import contextlib
 import csv
 import os
 import random
 
+import pandas as pd
 import pytest
 
 from tributary.contracts import Contract, ContractError
 from tributary.functions.payload import CORRUPT
 from tributary.plans import bronze_to_silver, landing_to_bronze
 from tributary.plans.medallion import read_bronze
-from tributary.sources import has_broken_lines, largest_file, read_landed, read_zone
+from tributary.sources import records
+from tributary.sources import largest_file, read_landed, read_zone
+from tributary.sources.landing import least_split
+from tributary.sources.records import inside_after, opened_splits
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 CONTRACT = Contract(
@@ -46,21 +51,38 @@ def table(df):
 WANT_GOOD = [(1, "last, first", "180"), (2, 'said "hi"', "nan"), (3, None, "77-80")]
 
 
-@pytest.mark.parametrize("line_breaks", ["auto", "whole", "joined"])
-def test_every_kind_of_record(spark, folder, line_breaks):
+@contextlib.contextmanager
+def splits_of(spark, size):
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+SIZES = [128 * 2**20, 1000, 7]
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_every_kind_of_record(spark, folder, size):
     path = land(folder("in"), "a.csv", GOOD + BROKEN + BAD)
-    rows = read_landed(spark, path, CONTRACT, line_breaks=line_breaks)
-    good = rows.cache().filter(f"{CORRUPT} is null").drop(CORRUPT)
-    assert table(good) == sorted([*WANT_GOOD, (4, "two\nlines", "170")], key=repr)
-    assert sorted(r[CORRUPT] for r in rows.filter(f"{CORRUPT} is not null").collect()) == sorted(BAD)
+    with splits_of(spark, size):
+        rows = read_landed(spark, path, CONTRACT).cache()
+        good = rows.filter(f"{CORRUPT} is null").drop(CORRUPT)
+        assert table(good) == sorted([*WANT_GOOD, (4, "two\nlines", "170")], key=repr)
+        assert sorted(r[CORRUPT] for r in rows.filter(f"{CORRUPT} is not null").collect()) == sorted(BAD)
+        rows.unpersist()
 
 
-@pytest.mark.parametrize("line_breaks", ["absent", "whole", "joined"])
-def test_columns_are_found_by_name(spark, folder, line_breaks):
+@pytest.mark.parametrize("size", SIZES)
+def test_columns_are_found_by_name(spark, folder, size):
     path = land(folder("in"), "a.csv", ["x,180,1,more"], header="Name,height,ATHLETE_ID,extra")
-    rows = read_landed(spark, path, CONTRACT, line_breaks=line_breaks, corrupt=None)
-    assert rows.dtypes == [("name", "string"), ("height", "string"), ("athlete_id", "int"), ("extra", "string")]
-    assert table(rows) == [("x", "180", 1, "more")]
+    with splits_of(spark, size):
+        rows = read_landed(spark, path, CONTRACT, corrupt=None)
+        assert rows.dtypes == [("name", "string"), ("height", "string"), ("athlete_id", "int"), ("extra", "string")]
+        assert table(rows) == [("x", "180", 1, "more")]
 
 
 def test_a_required_column_must_be_there(spark, folder):
@@ -69,17 +91,60 @@ def test_a_required_column_must_be_there(spark, folder):
         read_landed(spark, path, CONTRACT)
 
 
-@pytest.mark.parametrize("line_breaks", ["absent", "whole", "joined"])
-def test_files_with_another_header_are_refused(spark, folder, line_breaks):
+@pytest.mark.parametrize("size", SIZES)
+def test_files_with_another_header_are_refused(spark, folder, size):
     path = land(folder("in"), "a.csv", GOOD)
     land(path, "b.csv", ["x,1,2"], header="name,athlete_id,height")
-    with pytest.raises(Exception, match="[Hh]eader|FAILED_READ_FILE"):
-        read_landed(spark, path, CONTRACT, line_breaks=line_breaks).collect()
+    with splits_of(spark, size), pytest.raises(Exception, match="[Hh]eader"):
+        read_landed(spark, path, CONTRACT).collect()
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_a_file_that_ends_inside_a_cell_is_named(spark, folder, size):
+    path = land(folder("in"), "a.csv", [*GOOD, '4,"never closed,180', *(f"{i},a,1" for i in range(500))])
+    with splits_of(spark, size), pytest.raises(Exception, match="a.csv: the file ends inside a quoted cell"):
+        read_landed(spark, path, CONTRACT).collect()
 
 
-def test_an_unknown_way_to_read(spark, folder):
-    with pytest.raises(ValueError):
-        read_landed(spark, folder("in"), CONTRACT, line_breaks="other")
+STRAY = ['1,5" pipe,180', '2,a "quoted" word,170', '3, "not open,165', '4,"closed" and more,160', "   ", "", '5,"""",1', '6,"a""",""', '7,"x" ,2', '8,",",3', '9,"a\r\nb",4']
+WANT_STRAY = [(1, '5" pipe', "180"), (2, 'a "quoted" word', "170"), (3, ' "not open', "165"), (5, '"', "1"), (6, 'a"', None), (8, ",", "3"), (9, "a\nb", "4")]
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", SIZES)
+def test_stray_quotes_blank_lines_and_line_ends(spark, folder, size, ending):
+    os.makedirs(folder("in"))
+    with open(folder("in") + "/a.csv", "w", newline="", encoding="utf-8") as file:
+        file.write(ending.join(["athlete_id,name,height", *STRAY]) + ending)
+    with splits_of(spark, size):
+        rows = read_landed(spark, folder("in"), CONTRACT).collect()
+    assert len(rows) == 9 and all(r[CORRUPT] is None for r in rows)
+    assert set(WANT_STRAY) <= {tuple(r)[:3] for r in rows}
+
+
+def test_spark_reads_the_same_records(spark, folder):
+    """Random quotes, delimiters and breaks, against Spark's reader of whole files."""
+    rnd = random.Random(5)
+    schema = StructType([StructField(f"c{i}", StringType()) for i in range(3)])
+    contract = Contract("t", schema)
+    compared = 0
+    for number in range(60):
+        lines = ["".join(rnd.choices(['"', ",", "a", " ", "\n", "bc", '""', '",', ',"'], k=rnd.randrange(1, 14))) for _ in range(12)]
+        text = "c0,c1,c2\n" + "\n".join(lines) + "\n"
+        inside = False
+        for line in text.split("\n")[:-1]:
+            inside = inside_after(line, inside)
+        if inside or any(line.strip(" ") == "" and line for line in text.split("\n")):
+            continue
+        path = folder(f"in{number}")
+        os.makedirs(path)
+        with open(f"{path}/a.csv", "w", encoding="utf-8") as file:
+            file.write(text)
+        own = read_landed(spark, path, contract, corrupt=None)
+        whole = spark.read.options(header="true", multiLine="true", quote='"', escape='"').schema(schema).csv(path)
+        assert table(own) == table(whole), text
+        compared += 1
+    assert compared > 8
 
 
 def test_records_cut_by_splits(spark, folder):
@@ -98,50 +163,55 @@ def test_records_cut_by_splits(spark, folder):
                     cells[0] = "line\n" * 1500
                 want.append((len(want), *cells))
                 writer.writerow(want[-1])
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    try:
-        assert spark.read.text(folder("in")).rdd.getNumPartitions() > 20
-        joined = read_landed(spark, folder("in"), CONTRACT, corrupt=None, whole_file_bytes=10)
-        assert table(joined) == sorted(want, key=repr)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for size in (1000, 2**27):
+        with splits_of(spark, size):
+            assert (spark.read.text(folder("in")).rdd.getNumPartitions() > 20) == (size == 1000)
+            assert table(read_landed(spark, folder("in"), CONTRACT, corrupt=None)) == sorted(want, key=repr)
+
+
+def test_starts_that_are_too_many_to_hand_out(spark, folder, monkeypatch):
+    monkeypatch.setattr(records, "STARTS_BROADCAST", 0)
+    path = land(folder("in"), "a.csv", [f'{i},"two\nlines {i}",{i}' for i in range(300)])
+    with splits_of(spark, 100):
+        assert table(read_landed(spark, path, CONTRACT, corrupt=None)) == sorted([(i, f"two\nlines {i}", str(i)) for i in range(300)], key=repr)
 
 
-def test_large_files_are_split_when_no_record_spans_lines(spark, folder):
-    whole = land(folder("whole"), "a.csv", GOOD)
-    broken = land(folder("broken"), "a.csv", GOOD + BROKEN)
-    assert largest_file(spark, whole) == os.path.getsize(os.path.join(whole, "a.csv"))
-    assert not has_broken_lines(spark, whole)
-    assert has_broken_lines(spark, broken)
+def test_open_records_are_followed_through_splits():
+    columns = ["file", "split", "outside", "outside_new", "inside", "inside_new"]
+    rows = [("f", 0, True, True, True, False), ("f", 9, False, True, True, False), ("f", 5, True, True, True, False), ("f", 12, True, True, True, True), ("f", 20, True, True, False, True)]
+    found = opened_splits(pd.DataFrame(rows, columns=columns))
+    assert found.values.tolist() == [["f", 5, 0], ["f", 9, 0], ["f", 12, 0], ["f", 20, 12]]
+    with pytest.raises(ValueError, match="f: the file ends"):
+        opened_splits(pd.DataFrame(rows[:2], columns=columns))
 
+
+def test_large_files_are_split(spark, folder):
     many = land(folder("many"), "a.csv", [f'{i},"a, ""{i}""",180' for i in range(20_000)])
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
-    try:
-        split = read_landed(spark, many, CONTRACT, corrupt=None, whole_file_bytes=1000)
+    assert largest_file(spark, many) == os.path.getsize(os.path.join(many, "a.csv"))
+    with splits_of(spark, 65536):
+        assert least_split(spark) == 65536
+        split = read_landed(spark, many, CONTRACT, corrupt=None)
         assert split.rdd.getNumPartitions() > 4
         assert split.distinct().count() == 20_000
         assert split.filter("name = concat('a, \"', athlete_id, '\"')").count() == 20_000
-        kept = read_landed(spark, broken, CONTRACT, corrupt=None, whole_file_bytes=10)
-        assert table(kept) == sorted([*WANT_GOOD, (4, "two\nlines", "170")], key=repr)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_bronze_keeps_rejected_rows_aside(spark, folder):
     landed = {"people": land(folder("in"), "a.csv", GOOD + BROKEN + BAD)}
     counts = landing_to_bronze(spark, landed, folder("bronze"), [CONTRACT])
     assert counts == {"people": {"rows": 7, "rejected": 3}}
-    assert read_bronze(spark, folder("bronze"), "people").count() == 4
-    whole = read_bronze(spark, folder("bronze"), "people", with_rejected=True)
+    assert read_bronze(spark, folder("bronze"), "people", with_rejected=False).count() == 4
+    whole = read_bronze(spark, folder("bronze"), "people")
     assert whole.count() == 7 and whole.columns == CONTRACT.schema.names
     assert read_zone(spark, folder("bronze"), "people").filter("rejected = 'true'").select(CORRUPT).distinct().count() == 3
 
-    bronze_to_silver(spark, folder("bronze"), folder("silver"), ["people"], preview_rows=2)
+    left_out = bronze_to_silver(
+        spark, folder("bronze"), folder("silver"), ["people"], with_rejected=False, preview_rows=2
+    )
+    assert left_out == {"people": 3}
     silver = read_zone(spark, folder("silver"), "people", CONTRACT)
     assert silver.count() == 4
-    bronze_to_silver(spark, folder("bronze"), folder("silver"), ["people"], with_rejected=True)
+    assert bronze_to_silver(spark, folder("bronze"), folder("silver"), ["people"]) == {"people": 0}
     assert read_zone(spark, folder("silver"), "people").count() == 7
 
 
@@ -170,5 +240,5 @@ def test_a_table_without_rows(spark, folder):
 def test_a_table_of_rejected_rows_only(spark, folder):
     landed = {"people": land(folder("in"), "a.csv", BAD)}
     assert landing_to_bronze(spark, landed, folder("bronze"), [CONTRACT]) == {"people": {"rows": 3, "rejected": 3}}
-    bronze_to_silver(spark, folder("bronze"), folder("silver"), ["people"])
+    bronze_to_silver(spark, folder("bronze"), folder("silver"), ["people"], with_rejected=False)
     assert read_zone(spark, folder("silver"), "people", CONTRACT).count() == 0

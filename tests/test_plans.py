@@ -1,6 +1,7 @@
 """The physical plans the operators are meant to have."""
 
 import contextlib
+import os
 
 import pytest
 
@@ -90,13 +91,15 @@ def test_unused_columns_are_not_read(spark, columns, want):
 def test_a_frozen_large_dimension_is_not_shuffled_again(spark, folder):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         events, spec = table(spark, SF, "events"), EVENT_STATS.with_(join="shuffle", fold_facts=False)
-        frozen = freeze(prepare_dimension(customers(spark, SF), events.columns, spec), folder("copy"))
+        kept = freeze(customers(spark, SF), events.columns, spec, folder("copy"))
+        frozen = kept.dimension
         plan = plan_of(stats_of(events, frozen, spec))
         plan = plan[: plan.index("InMemoryRelation")]
         assert plan.count("Exchange hashpartitioning") == 2, "the events, and the partial averages"
         assert plan.count("Sort [") == 1
         assert stats_of(events, frozen, spec).count() == grouped_stats(events, customers(spark, SF), spec).count()
-        frozen.rows.unpersist()
+        kept.release()
+        assert not os.path.exists(folder("copy"))
 
 
 def test_facts_can_be_left_unfolded(spark):
@@ -136,3 +139,30 @@ def test_hot_key_of_unfolded_facts_is_split(spark):
         folded = grouped_stats(facts, dim, spec.with_(fold_facts=True))
         assert sorted(map(tuple, unfolded.collect())) == sorted(map(tuple, folded.collect()))
     assert "isSkewJoin=true" in plan or "skewed" in plan
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+@pytest.mark.parametrize("name", ["enrich_avg_stats_shuffled", "repeated_keys_shuffled"])
+def test_large_dimensions_are_not_broadcast_under_default_settings(spark, name, sf):
+    from conformance import QUERIES
+
+    df = QUERIES[name](spark, f"/root/testdata/{sf}")
+    df.collect()
+    plan = plan_of(df)
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+
+
+def test_a_large_table_is_not_broadcast_on_request(spark):
+    with pytest.raises(ValueError, match="not broadcast"):
+        enrich(table(spark, SF, "events"), customers(spark, SF), "user_id", join="broadcast", limit=1)
+
+
+def test_a_dimension_that_takes_a_shuffle_is_worked_out_once(spark):
+    from conformance import QUERIES
+
+    df = QUERIES["grouped_stats_batch"](spark, SF)
+    plan = plan_of(df)
+    assert "customer.parquet" not in plan, "only its written copy is read"
+    assert plan.count("events.parquet") == 1
+    assert QUERIES["enrich_avg_stats"](spark, SF).inputFiles() and "customer.parquet" in plan_of(QUERIES["enrich_avg_stats"](spark, SF))

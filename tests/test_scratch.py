@@ -22,8 +22,9 @@ def test_the_shared_folder_is_used():
 
 def test_a_local_folder_stands_in_on_one_machine_only():
     assert scratch_path(Session(master="local[4]"), "x").endswith("/x")
-    with pytest.raises(ValueError):
-        scratch_path(Session(master="yarn"), "x")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            scratch_path(Session(master=master), "x")
 
 
 def test_partitions_follow_the_data():

@@ -161,7 +161,9 @@ def test_measured_size_decides(spark):
     size = measured_size(df)
     assert size.rows == 50 and 50_000 < size.bytes < 60_000
     assert fits_broadcast(df, limit=60_000) and not fits_broadcast(df, limit=50_000)
-    assert fits_broadcast(df, "broadcast", 0) and not fits_broadcast(df, "shuffle", 10**9)
+    assert fits_broadcast(df, "broadcast", 60_000) and not fits_broadcast(df, "shuffle", 10**9)
+    with pytest.raises(ValueError, match="not broadcast"):
+        fits_broadcast(df, "broadcast", 50_000)
     with pytest.raises(ValueError):
         fits_broadcast(df, "other")
     nested = spark.createDataFrame([([1, 2, 3], {"a": "b"})], "a array<int>, m map<string,string>")

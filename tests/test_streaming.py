@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -9,7 +10,7 @@ from tributary.contracts import ATHLETE_EVENT_RESULTS, AVERAGE_STATS
 from tributary.operators import decode_rows, prepare_dimension
 from tributary.plans import STREAM_STATS, replay_table, run_event_enrichment
 from tributary.sinks import parquet_batches, topic_batches
-from tributary.sources import FileTopic, read_topic
+from tributary.sources import FileTopic, read_topic, stream_topic
 from tributary.streaming import enrich_batches, fan_out, freeze, wait
 
 BIO = "athlete_id int, name string, sex string, height string, weight string, country_noc string"
@@ -116,7 +117,7 @@ def test_both_sinks_get_the_same_rows_and_times(spark, folder):
     run(spark, topic, [parquet_batches(folder("out")), topic_batches(messages)], folder("progress"))
     sent = decode_rows(read_topic(spark, messages), AVERAGE_STATS.schema)
     table = spark.read.parquet(folder("out")).withColumn("timestamp", F.date_trunc("millisecond", "timestamp"))
-    assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, table.drop("batch_id").collect()))
+    assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, table.drop("query", "batch_id").collect()))
     assert sent.select("timestamp").distinct().count() == 1
 
 
@@ -143,16 +144,68 @@ def test_fan_out_releases_and_guards(spark):
 
 
 def test_the_dimension_is_frozen(spark, folder):
-    from tributary.operators import prepare_dimension
-
     source = folder("dimension")
     bio(spark).write.parquet(source)
     spec = STREAM_STATS
-    frozen = freeze(prepare_dimension(spark.read.parquet(source).drop("country_noc"), ["athlete_id"], spec), folder("copy"))
+    kept = freeze(spark.read.parquet(source).drop("country_noc"), ["athlete_id"], spec, folder("copy"))
+    frozen = kept.dimension
     before = frozen.rows.count()
     bio(spark).limit(1).write.mode("overwrite").parquet(source)
     frozen.rows.unpersist()
     assert frozen.rows.count() == before == 3
+    kept.release()
+    assert not os.path.exists(folder("copy"))
+
+
+def test_the_frozen_copy_goes_when_the_stream_ends(spark, folder):
+    topic = FileTopic(folder("in"))
+    put(topic.path, "0.txt", [message(1)])
+    run(spark, topic, [parquet_batches(folder("out"))], folder("progress"), frozen_path=folder("copy"))
+    for _ in range(100):
+        if not os.path.exists(folder("copy")):
+            break
+        time.sleep(0.1)
+    assert not os.path.exists(folder("copy"))
+    assert len(stored(spark, folder("out"))) == 1
+
+
+def test_a_stream_folds_facts_of_a_large_dimension(spark, folder):
+    topic = FileTopic(folder("in"))
+    put(topic.path, "0.txt", [message(1)])
+    spec = STREAM_STATS.with_(broadcast_limit=1, fold_facts=False)
+    with pytest.raises(ValueError, match="hot key"):
+        run(spark, topic, [parquet_batches(folder("out"))], folder("progress"), spec=spec)
+
+
+def test_streams_leave_each_others_batches_alone(spark, folder):
+    for i, sport in enumerate(("row", "swim")):
+        topic = FileTopic(folder(f"in{i}"))
+        put(topic.path, "0.txt", [message(1, sport=sport)])
+        run(spark, topic, [parquet_batches(folder("out"))], folder(f"progress{i}"))
+    assert [(r[0], r[1]) for r in stored(spark, folder("out"))] == [(0, "row"), (0, "swim")]
+
+
+def test_a_replayed_batch_reaches_a_reader_of_the_topic_once(spark, folder):
+    topic, sent = FileTopic(folder("in")), FileTopic(folder("sent"))
+    put(topic.path, "0.txt", [message(1), message(2)])
+    failures = iter([RuntimeError("gone")])
+
+    def fails_once(df, batch_id):
+        for error in failures:
+            raise error
+
+    sinks = [topic_batches(sent), fails_once]
+    with pytest.raises(StreamingQueryException):
+        run(spark, topic, sinks, folder("progress"))
+
+    def read_on():
+        reader = stream_topic(spark, sent).writeStream.format("parquet").option("checkpointLocation", folder("reader"))
+        assert wait(reader.option("path", folder("read")).trigger(availableNow=True).start(), 60)
+
+    read_on()
+    run(spark, topic, sinks, folder("progress"))
+    read_on()
+    assert spark.read.parquet(folder("read")).count() == read_topic(spark, sent).count() == 2
 
 
 def test_injected_time(spark, folder):

@@ -160,3 +160,32 @@ def test_a_topic_of_a_broker():
     stream_topic(session, topic)
     assert session.seen("format") == [(("kafka",), {})]
     assert session.seen("options") == [((), topic.read_options())]
+
+
+def test_key_ranges():
+    from decimal import Decimal
+
+    from tributary.sources.database import key_range
+
+    assert key_range("k", None, None, 4) is None
+    assert key_range("k", 1.5, 9.25, 4) == KeyRange("k", 1, 10, 4)
+    assert key_range("k", Decimal("-1.5"), Decimal("3.00"), 4) == KeyRange("k", -2, 3, 4)
+    assert key_range("k", 1, 9, 4) == KeyRange("k", 1, 9, 4)
+
+
+def test_rejects_are_written_where_the_caller_says(spark, folder):
+    from tributary.contracts import Contract
+    from tributary.operators.rejects import contract_rules
+    from tributary.sinks import overwrite_zone
+
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    rules = {"t": contract_rules(Contract("t", df.schema, ("k",)))}
+    copy_tables(
+        spark,
+        rules,
+        lambda name: df,
+        lambda rows, name: overwrite_zone(rows, folder("to"), name),
+        write_rejects=lambda rows, name: overwrite_zone(rows, folder("aside"), name),
+    )
+    assert [tuple(r) for r in spark.read.parquet(folder("to") + "/t").collect()] == [(1, "a")]
+    assert [tuple(r) for r in spark.read.parquet(folder("aside") + "/t").collect()] == [(None, "b", ["k_missing"])]

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from tributary.operators.rejects import contract_rules
 from tributary.plans import (
     bronze_to_silver,
     copy_tables,
@@ -26,8 +27,8 @@ from tributary.plans import (
 )
 from tributary.plans.medallion import TABLES
 from tributary.plans.presets import STREAM_STATS
-from tributary.settings import session_settings
-from tributary.sinks import append_table, parquet_batches, table_batches, topic_batches
+from tributary.settings import BASE_SETTINGS, input_bytes, session_settings
+from tributary.sinks import append_table, overwrite_zone, parquet_batches, table_batches, topic_batches
 from tributary.sources import FileTopic, KafkaTopic, key_bounds, read_table
 from tributary.sources.topics import Topic
 from tributary.streaming import wait
@@ -36,8 +37,8 @@ from tributary.streaming.enrichment import TRIGGER_SECONDS
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tributary")
-    parser.add_argument("--shuffle-bytes", type=int, help="size the session for a shuffle of so many bytes")
-    parser.add_argument("--cores", type=int, default=1, help="cores of the cluster, with --shuffle-bytes")
+    parser.add_argument("--shuffle-bytes", type=int, help="size the session for a shuffle of so many bytes instead of the input's")
+    parser.add_argument("--cores", type=int, default=1, help="cores of the cluster")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(name: str, *required: str) -> argparse.ArgumentParser:
@@ -50,22 +51,22 @@ def _parser() -> argparse.ArgumentParser:
     silver = job("silver", "--bronze", "--silver")
     gold = job("gold", "--silver", "--gold")
     lake = job("lake", "--landing", "--lake")
-    for sub in (bronze, lake):
-        sub.add_argument("--line-breaks", default="auto", choices=["auto", "absent", "whole", "joined"])
     for sub in (silver, lake):
-        sub.add_argument("--with-rejected", action="store_true", help="keep rows that did not fit, with nulls")
+        sub.add_argument("--without-rejected", action="store_true", help="leave out rows that did not fit")
     for sub in (bronze, silver, gold):
         sub.add_argument("--preview", type=int, default=0, help="rows to show of each table")
 
     copy = job("copy", "--source", "--target")
     copy.add_argument("--mode", default="append", choices=["append", "overwrite"])
-    copy.add_argument("--connections", type=int, default=8, help="tasks that write at a time")
+    copy.add_argument("--rejects-path", help="Parquet folder of the rows without a required value; else they fail the job")
     replay = job("replay", "--topic")
     stream = job("stream", "--topic", "--checkpoint")
     for sub in (replay, stream):
         sub.add_argument("--servers", help="the broker; without it a topic is a folder of text files")
         sub.add_argument("--source", help="settings of the database that holds the table")
         sub.add_argument("--table", help="a database table or, without --source, a Parquet folder", required=True)
+    for sub in (copy, stream):
+        sub.add_argument("--connections", type=int, default=8, help="tasks that write to a database at a time")
     for sub in (copy, replay, stream):
         sub.add_argument("--key", help="an evenly spread column to read a database table by in parallel")
         sub.add_argument("--partitions", type=int, default=16, help="parallel reads when --key is given")
@@ -74,6 +75,8 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--out-topic")
     stream.add_argument("--out-connection", help="settings of the database for the averages")
     stream.add_argument("--out-table")
+    stream.add_argument("--batch-column", help="column of --out-table that takes the batch id")
+    stream.add_argument("--frozen-path", help="folder for the copy of the table while the stream runs")
     stream.add_argument("--rejects-path", help="Parquet folder of the messages that are of no use")
     stream.add_argument("--every", type=int, default=TRIGGER_SECONDS, help="seconds between batches")
     stream.add_argument("--batch-limit", help="the most offsets, or files, of one batch")
@@ -94,8 +97,10 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     logging.basicConfig(level=logging.INFO)
     own = spark is None
     if own:
-        wanted = session_settings(args.shuffle_bytes, args.cores) if args.shuffle_bytes else {}
-        spark = SparkSession.builder.appName(f"tributary-{args.job}").config(map=wanted).getOrCreate()
+        spark = SparkSession.builder.appName(f"tributary-{args.job}").config(map=BASE_SETTINGS).getOrCreate()
+        size = args.shuffle_bytes or input_bytes(spark, _inputs(args))
+        for name, value in (session_settings(size, args.cores) if size else {}).items():
+            spark.conf.set(name, value)
     try:
         _JOBS[args.job](spark, args)
     finally:
@@ -105,12 +110,12 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
 
 def _bronze(spark, args):
     landed = _landed(args.landing)
-    landing_to_bronze(spark, landed, args.bronze, line_breaks=args.line_breaks, preview_rows=args.preview)
+    landing_to_bronze(spark, landed, args.bronze, preview_rows=args.preview)
 
 
 def _silver(spark, args):
     bronze_to_silver(
-        spark, args.bronze, args.silver, with_rejected=args.with_rejected, preview_rows=args.preview
+        spark, args.bronze, args.silver, with_rejected=not args.without_rejected, preview_rows=args.preview
     )
 
 
@@ -120,19 +125,21 @@ def _gold(spark, args):
 
 def _lake(spark, args):
     landed = _landed(args.landing)
-    run_medallion(spark, landed, args.lake, line_breaks=args.line_breaks, with_rejected=args.with_rejected)
+    run_medallion(spark, landed, args.lake, with_rejected=not args.without_rejected)
 
 
 def _copy(spark, args):
     source, target = _settings(args.source), _settings(args.target)
     contracts = {contract.name: contract for contract in TABLES}
+    rejects = args.rejects_path
     copy_tables(
         spark,
-        {name: () for name in contracts},
+        {name: contract_rules(contract) if rejects else () for name, contract in contracts.items()},
         read=lambda name: read_table(
             spark, source, name, contract=contracts[name], keys=_keys(spark, source, name, args)
         ),
         write=lambda df, name: append_table(df, target, name, mode=args.mode, connections=args.connections),
+        write_rejects=(lambda df, name: overwrite_zone(df, rejects, name)) if rejects else None,
     )
 
 
@@ -146,7 +153,14 @@ def _stream(spark, args):
     if args.out_path:
         sinks.append(parquet_batches(args.out_path))
     if args.out_connection:
-        sinks.append(table_batches(_settings(args.out_connection), args.out_table))
+        sinks.append(
+            table_batches(
+                _settings(args.out_connection),
+                args.out_table,
+                batch_column=args.batch_column,
+                connections=args.connections,
+            )
+        )
     if args.out_topic:
         sinks.append(topic_batches(_topic(args.servers, args.out_topic)))
     query = run_event_enrichment(
@@ -160,6 +174,7 @@ def _stream(spark, args):
         every_seconds=args.every,
         available_now=args.available_now,
         on_error=args.on_error,
+        frozen_path=args.frozen_path,
     )
     wait(query)
 
@@ -176,8 +191,18 @@ _JOBS = {
 
 
 def _landed(landing: str) -> dict[str, str]:
-    """Each table's files are in a folder, or a file, of its name below the landing zone."""
-    return {contract.name: f"{landing.rstrip('/')}/{contract.name}*" for contract in TABLES}
+    """Each table's files are in a folder of its name below the landing zone, or in files of its name with an ending."""
+    return {contract.name: f"{landing.rstrip('/')}/{contract.name}{{,.*}}" for contract in TABLES}
+
+
+def _inputs(args) -> list[str]:
+    """The folders a job reads, as far as they are folders."""
+    if args.job in ("bronze", "lake"):
+        return list(_landed(args.landing).values())
+    if args.job in ("silver", "gold"):
+        zone = (args.bronze if args.job == "silver" else args.silver).rstrip("/")
+        return [f"{zone}/{contract.name}" for contract in TABLES]
+    return [args.table] if args.job in ("replay", "stream") and not args.source else []
 
 
 def _settings(path: str) -> dict[str, str]:

@@ -27,7 +27,10 @@ def without_fields(schema: StructType, *names: str) -> StructType:
 
 @dataclass(frozen=True)
 class Contract:
-    """A named schema and the columns that may not be null."""
+    """A named schema, and the columns without which a row is of no use.
+
+    A file has to have the required columns; ``contract_rules`` refuses rows that have a null in one.
+    """
 
     name: str
     schema: StructType

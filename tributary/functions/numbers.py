@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 KEEP_NAN = "keep_nan"
 NAN_IS_NULL = "nan_is_null"
 
-# 18 digits stay in one machine word. A sum times a number of rows has 38, the
-# most there are, and Spark then keeps up to six decimal places.
-_EXACT_DIGITS, _EXACT_PLACES = 18, 6
+# A sum has ten digits more than its values, and 38 are the most there are. Of a
+# sum times a number of rows Spark then keeps up to six decimal places.
+_EXACT_DIGITS, _EXACT_PLACES = 28, 6
 
 
 def is_castable(column: Column | str, to: str = "float") -> Column:
@@ -23,8 +23,9 @@ def measure(column: Column | str, policy: str = KEEP_NAN, scale: int | None = No
 
     ``keep_nan`` lets the text ``nan`` through as NaN, which makes the average
     of its group NaN; ``nan_is_null`` leaves such values out. With a ``scale``
-    the number is a decimal of that many places, so that sums do not depend on
-    the order of the rows; a decimal has no NaN.
+    the number is a decimal of that many places, further ones rounded, so that
+    sums do not depend on the order of the rows; a decimal has no NaN. A number
+    that has more than 28 digits then, or is infinite, fails the job rather than be left out.
     """
     if policy not in (KEEP_NAN, NAN_IS_NULL):
         raise ValueError(f"unknown measure policy {policy!r}")
@@ -33,7 +34,9 @@ def measure(column: Column | str, policy: str = KEEP_NAN, scale: int | None = No
             raise ValueError("an exact measure cannot keep NaN; use nan_is_null")
         if not 0 <= scale <= _EXACT_PLACES:
             raise ValueError(f"an exact measure has up to {_EXACT_PLACES} decimal places, not {scale}")
-        return _column(column).try_cast(f"decimal({_EXACT_DIGITS},{scale})")
+        exact, number = _column(column).try_cast(f"decimal({_EXACT_DIGITS},{scale})"), _column(column).try_cast("double")
+        too_large = F.raise_error(F.concat(F.lit("no exact average of "), _column(column).cast("string")))
+        return F.when(exact.isNotNull() | number.isNull() | F.isnan(number), exact).otherwise(too_large)
     number = _column(column).try_cast("double")
     if policy == KEEP_NAN:
         return number

@@ -45,12 +45,22 @@ def measured_size(df: DataFrame) -> Size:
 def fits_broadcast(df: DataFrame, join: str = AUTO, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     """Whether to hand the table to every executor.
 
-    ``auto`` measures it first; ``broadcast`` and ``shuffle`` are the caller's
-    own word for it.
+    Unless the choice is ``shuffle`` it is measured first. Under ``broadcast`` a
+    table beyond the limit is refused.
     """
     if join not in (AUTO, BROADCAST, SHUFFLE):
         raise ValueError(f"unknown join choice {join!r}")
-    return join == BROADCAST or (join == AUTO and measured_size(df).bytes <= limit)
+    if join == SHUFFLE:
+        return False
+    size = measured_size(df).bytes
+    if join == BROADCAST and size > limit:
+        raise ValueError(f"a table of {size} bytes is not broadcast; the limit is {limit}")
+    return size <= limit
+
+
+def joinable(df: DataFrame, broadcast: bool) -> DataFrame:
+    """The smaller side of a join with the hint for its plan; beyond the limit Spark's own estimate does not count."""
+    return F.broadcast(df) if broadcast else df.hint("merge")
 
 
 def own_columns(
@@ -83,6 +93,4 @@ def enrich(
     """
     keys = [on] if isinstance(on, str) else list(on)
     left, right = own_columns(facts, dimension, keys, prefer)
-    if fits_broadcast(right, join, limit):
-        right = F.broadcast(right)
-    return left.join(right, keys, "inner")
+    return left.join(joinable(right, fits_broadcast(right, join, limit)), keys, "inner")

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.contracts import Contract
 from tributary.functions.numbers import is_castable
 
 REASONS = "reject_reasons"
@@ -46,6 +47,11 @@ def rule_max_length(column: str, characters: int) -> Rule:
     )
 
 
+def contract_rules(contract: Contract) -> list[Rule]:
+    """What a contract asks of a row: its required columns are there."""
+    return [rule_not_null(column) for column in contract.required]
+
+
 def tag_rejects(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the names of the rules each row breaks; an empty array marks a valid row."""
     nothing = F.array(F.lit(None).cast("string"))

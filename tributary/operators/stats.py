@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from tributary.functions.numbers import KEEP_NAN, exact_mean, measure
 from tributary.operators.clean import fill_missing, require_not_null
-from tributary.operators.enrich import AUTO, DIMENSION, fits_broadcast, own_columns
+from tributary.operators.enrich import AUTO, DIMENSION, SHUFFLE, fits_broadcast, joinable, own_columns
+from tributary.scratch import scratch_path
 from tributary.settings import BROADCAST_LIMIT_BYTES
 
 BEFORE, AFTER = "before", "after"
@@ -46,7 +47,8 @@ class StatsSpec:
     takes the run's time, or is None for no such column.
 
     Results do not depend on ``join``, ``broadcast_limit``, ``fold_facts`` and
-    ``unique_dimension``, only the work does. ``fold_facts`` is for dimensions
+    ``unique_dimension``, only the work does; without ``scale`` the last digits of averages
+    follow the order in which doubles are added. ``fold_facts`` is for dimensions
     that are not broadcast; None leaves it to ``folding_pays``, and a stream then
     folds. ``unique_dimension=True`` saves folding a dimension known to hold each
     key once.
@@ -90,8 +92,14 @@ class PreparedDimension:
     broadcast: bool
 
 
-def prepare_dimension(dimension: DataFrame, fact_columns: Sequence[str], spec: StatsSpec) -> PreparedDimension:
-    """Fold the dimension once; a stream does this at start and reuses it for every batch."""
+def prepare_dimension(
+    dimension: DataFrame, fact_columns: Sequence[str], spec: StatsSpec, path: str | None = None
+) -> PreparedDimension:
+    """Fold the dimension once; a stream does this at start and reuses it for every batch.
+
+    With a ``path``, or if working the dimension out takes a shuffle, the folded rows are written
+    there, or to a scratch table, and the copy is measured and joined.
+    """
     if spec.prefer != DIMENSION:
         dimension = dimension.drop(*(set(fact_columns) - set(spec.on)))
     group_by = tuple(c for c in spec.group_by if c in dimension.columns and c not in spec.on)
@@ -100,10 +108,19 @@ def prepare_dimension(dimension: DataFrame, fact_columns: Sequence[str], spec: S
     pruned = require_not_null(dimension.select(*[c for c in dimension.columns if c in needed]), *spec.on)
     if spec.fill_when == BEFORE:
         pruned = fill_missing(pruned, spec.fill)
-    broadcast = fits_broadcast(pruned, spec.join, spec.broadcast_limit)
     keys = (*spec.on, *group_by)
-    partials = _one_each if spec.unique_dimension else _folded
-    return PreparedDimension(partials(pruned, keys, measures, spec, "d"), spec.on, group_by, measures, broadcast)
+    rows = (_one_each if spec.unique_dimension else _folded)(pruned, keys, measures, spec, "d")
+    if path or (spec.join != SHUFFLE and shuffles(pruned)):
+        path = path or scratch_path(rows.sparkSession, "dimension")
+        rows.write.mode("overwrite").parquet(path)
+        rows = pruned = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    broadcast = fits_broadcast(pruned, spec.join, spec.broadcast_limit)
+    return PreparedDimension(rows, spec.on, group_by, measures, broadcast)
+
+
+def shuffles(df: DataFrame) -> bool:
+    """Whether working a table out shuffles rows, so that it is better not done twice."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def stats_of(
@@ -120,8 +137,7 @@ def stats_of(
     keys = list(dict.fromkeys([*spec.on, *fact_keys]))
     partials = _one_each if dimension.broadcast or spec.fold_facts is False else _folded
     left = partials(pruned, keys, in_facts, spec, "f")
-    right = F.broadcast(dimension.rows) if dimension.broadcast else dimension.rows
-    joined = left.join(right, list(spec.on), "inner")
+    joined = left.join(joinable(dimension.rows, dimension.broadcast), list(spec.on), "inner")
 
     averages = []
     for name in spec.measures:
@@ -154,12 +170,14 @@ def folding_pays(facts: DataFrame, keys: Sequence[str]) -> bool:
     """Whether facts repeat their keys often enough to be folded before a join.
 
     One aggregate over the key columns, in a sketch of fixed size per task; the
-    answer only chooses between two plans for the same result. Without adaptive
-    execution a hot key has to be folded in any case.
+    answer only chooses between two plans for the same result. Facts that take a shuffle
+    to work out are not worked out to ask. Without adaptive execution a hot key has to be folded in any case.
     """
     conf = facts.sparkSession.conf
     if "false" in (conf.get("spark.sql.adaptive.enabled"), conf.get("spark.sql.adaptive.skewJoin.enabled")):
         return True
+    if shuffles(facts):
+        return True
     groups = F.approx_count_distinct(F.xxhash64(*keys))
     seen = facts.agg(F.count(F.lit(1)).alias("rows"), groups.alias("groups")).first()
     return seen["groups"] * ROWS_PER_GROUP <= seen["rows"]

@@ -12,6 +12,7 @@ from tributary.contracts import ATHLETE_EVENT_RESULTS, Contract
 from tributary.functions.payload import CORRUPT
 from tributary.operators.clean import require_castable, require_not_null
 from tributary.operators.codec import decode_rows, undecodable
+from tributary.operators.enrich import DIMENSION
 from tributary.operators.stats import StatsSpec
 from tributary.plans.presets import STREAM_STATS
 from tributary.sinks.batches import BatchSink
@@ -19,17 +20,17 @@ from tributary.sources.topics import Topic, stream_topic
 from tributary.streaming.enrichment import start_enrichment
 
 
-def usable_dimension(
-    bio: DataFrame,
-    measures: Sequence[str] = ("height", "weight"),
-    columns: Sequence[str] = ("athlete_id", "sex", "height", "weight"),
-) -> DataFrame:
-    """The rows whose measures all read as numbers, and the columns a stream takes from them.
+def usable_dimension(dimension: DataFrame, spec: StatsSpec = STREAM_STATS, facts: Sequence[str] = ()) -> DataFrame:
+    """The rows whose measures all read as numbers, and the columns a spec takes from them.
 
-    The text ``nan`` reads as a number and stays.
+    ``facts`` are the fact columns, which come first if the spec prefers them. The
+    text ``nan`` reads as a number and stays.
     """
-    present = require_not_null(bio, *measures)
-    return require_castable(present, *measures).select(*columns)
+    taken = set(facts) - set(spec.on) if spec.prefer != DIMENSION else set()
+    columns = [c for c in spec.columns if c in dimension.columns and c not in taken]
+    measures = [c for c in spec.measures.values() if c in columns]
+    present = require_not_null(dimension.select(*columns), *measures) if measures else dimension.select(*columns)
+    return require_castable(present, *measures) if measures else present
 
 
 def run_event_enrichment(
@@ -58,7 +59,8 @@ def run_event_enrichment(
         options["first"] = lambda batch, batch_id: rejects(_useless(batch, spec), batch_id)
     else:
         events = decode_rows(messages, used)
-    return start_enrichment(events, usable_dimension(bio), spec, sinks, checkpoint=checkpoint, **options)
+    dimension = usable_dimension(bio, spec, used.names)
+    return start_enrichment(events, dimension, spec, sinks, checkpoint=checkpoint, **options)
 
 
 def _useless(batch: DataFrame, spec: StatsSpec) -> DataFrame:

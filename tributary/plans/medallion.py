@@ -15,7 +15,7 @@ from tributary.operators.stats import StatsSpec, grouped_stats
 from tributary.plans.presets import BATCH_STATS
 from tributary.sinks.tables import overwrite_zone
 from tributary.sources.lake import read_zone
-from tributary.sources.landing import AUTO, read_landed
+from tributary.sources.landing import read_landed
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +32,6 @@ def landing_to_bronze(
     bronze: str,
     contracts: Sequence[Contract] = TABLES,
     *,
-    line_breaks: str = AUTO,
     preview_rows: int = 0,
 ) -> dict[str, dict[str, int]]:
     """Write each table's landed files, found by table name, to bronze.
@@ -43,7 +42,7 @@ def landing_to_bronze(
     """
     counts = {}
     for contract in contracts:
-        rows = read_landed(spark, landed[contract.name], contract, line_breaks=line_breaks)
+        rows = read_landed(spark, landed[contract.name], contract)
         seen = Observation(f"bronze-{contract.name}")
         tagged = rows.withColumn(REJECTED, F.col(CORRUPT).isNotNull()).observe(
             seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("rejected")
@@ -58,8 +57,8 @@ def landing_to_bronze(
     return counts
 
 
-def read_bronze(spark: SparkSession, bronze: str, table: str, *, with_rejected: bool = False) -> DataFrame:
-    """A bronze table's columns; the rows that were set aside only on request."""
+def read_bronze(spark: SparkSession, bronze: str, table: str, *, with_rejected: bool = True) -> DataFrame:
+    """A bronze table's columns; without the rows that did not fit only on request."""
     rows = read_zone(spark, bronze, table)
     if REJECTED not in rows.columns:
         return rows
@@ -68,25 +67,34 @@ def read_bronze(spark: SparkSession, bronze: str, table: str, *, with_rejected:
     return kept.drop(REJECTED, CORRUPT)
 
 
+def rejected_rows(spark: SparkSession, bronze: str, table: str) -> int:
+    """How many rows of a bronze table did not fit the contract; only their files are looked at."""
+    rows = read_zone(spark, bronze, table)
+    return rows.filter(F.col(REJECTED).cast("boolean")).count() if REJECTED in rows.columns else 0
+
+
 def bronze_to_silver(
     spark: SparkSession,
     bronze: str,
     silver: str,
     tables: Sequence[str] = tuple(contract.name for contract in TABLES),
     *,
-    with_rejected: bool = False,
+    with_rejected: bool = True,
     preview_rows: int = 0,
-) -> None:
+) -> dict[str, int]:
     """Normalise the text of each table and drop rows that are then equal.
 
-    ``with_rejected`` takes along the rows that did not fit, with nulls for the
-    cells that could not be read.
+    Rows that did not fit come along, with nulls for the cells that could not be
+    read, unless ``with_rejected`` is off. Returns how many rows of each table were left out for it.
     """
+    left_out = {}
     for table in tables:
+        left_out[table] = 0 if with_rejected else rejected_rows(spark, bronze, table)
         rows = read_bronze(spark, bronze, table, with_rejected=with_rejected)
         path = overwrite_zone(distinct_rows(normalize_text(rows)), silver, table)
-        log.info("%s written", path)
+        log.info("%s written, %s rejected rows left out", path, left_out[table])
         _preview(spark.read.parquet(path), preview_rows)
+    return left_out
 
 
 def silver_to_gold(
@@ -115,13 +123,12 @@ def run_medallion(
     lake: str,
     contracts: Sequence[Contract] = TABLES,
     *,
-    line_breaks: str = AUTO,
-    with_rejected: bool = False,
+    with_rejected: bool = True,
     **gold_options,
 ) -> str:
     """All three steps in order; a step that fails ends the run before the next."""
     bronze, silver, gold = (f"{lake.rstrip('/')}/{zone}" for zone in ("bronze", "silver", "gold"))
-    landing_to_bronze(spark, landed, bronze, contracts, line_breaks=line_breaks)
+    landing_to_bronze(spark, landed, bronze, contracts)
     bronze_to_silver(spark, bronze, silver, [contract.name for contract in contracts], with_rejected=with_rejected)
     return silver_to_gold(spark, silver, gold, **gold_options)
 

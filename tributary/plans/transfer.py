@@ -36,9 +36,12 @@ def copy_tables(
     write: Callable[[DataFrame, str], None],
     *,
     staging: str | None = None,
+    write_rejects: Callable[[DataFrame, str], None] | None = None,
 ) -> dict[str, Copied]:
     """Copy each named table, leaving out the rows its rules refuse.
 
+    Those go to ``write_rejects``, with the names of the rules they break.
+
     ``read`` and ``write`` are the two ends, for instance a database reader and
     a database writer. The source is read once, into a staged table cut by
     whether a row is valid. Both the copy and the rejects come from there, so
@@ -57,6 +60,8 @@ def copy_tables(
         staged = spark.read.schema(tagged.schema).parquet(path)
         write(staged.filter(_VALID).drop(_VALID, REASONS), table)
         rejects = staged.filter(f"not {_VALID}").drop(_VALID)
+        if write_rejects:
+            write_rejects(rejects, table)
         outcome[table] = Copied(seen.get["rows"], seen.get["rejected"], rejects)
         log.info("%s: %s rows, %s rejected", table, outcome[table].rows, outcome[table].rejected)
     return outcome

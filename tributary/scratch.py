@@ -20,8 +20,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     local = tempfile.mkdtemp(prefix="run-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
     return f"{local}/{label}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder a job wrote, wherever it is."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)

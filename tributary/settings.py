@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.sql import SparkSession
+
 MIB = 1024 * 1024
 PARTITION_BYTES = 128 * MIB
 
@@ -24,5 +28,22 @@ def session_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.session.timeZone": "UTC",
     }
+
+
+# What every job's own session gets. Time stamps in messages are in UTC whatever the machine says, and tables
+# cut by a flag are written with a file open for each of its values instead of sorted.
+BASE_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
+}
+
+
+def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Bytes of the files below some paths, from their listing; paths may hold patterns and need not exist."""
+    total = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += sum(files.getContentSummary(found.getPath()).getLength() for found in files.globStatus(place) or [])
+    return total

@@ -1,8 +1,13 @@
-"""Sinks of one micro-batch: functions of a table and its batch id."""
+"""Sinks of one micro-batch: functions of a table and its batch id.
+
+Batch ids start at 0 with every checkpoint. A sink that replaces a batch when it
+is run again therefore also has to know the stream, by ``sink_of_query``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,20 +18,45 @@ from tributary.sources.topics import Topic
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def parquet_batches(path: str) -> BatchSink:
-    """One ``batch_id=<n>`` folder per batch, replaced when the batch is run again."""
+@dataclass(frozen=True)
+class ParquetBatches:
+    """See ``parquet_batches``."""
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    path: str
+    query: str | None = None
 
-    return write
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        of_query = f"/query={self.query}" if self.query else ""
+        df.write.mode("overwrite").parquet(f"{self.path.rstrip('/')}{of_query}/batch_id={batch_id}")
+
+
+@dataclass(frozen=True)
+class TopicBatches:
+    """See ``topic_batches``."""
+
+    topic: Topic
+    query: str | None = None
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        write_topic(df, self.topic, batch_id, self.query)
+
+
+def parquet_batches(path: str) -> BatchSink:
+    """One folder per stream and batch, replaced when the batch is run again.
+
+    The folders are ``query=<id>/batch_id=<n>``; outside a stream ``batch_id=<n>``.
+    """
+    return ParquetBatches(path)
 
 
 def topic_batches(topic: Topic) -> BatchSink:
-    def write(df: DataFrame, batch_id: int) -> None:
-        write_topic(df, topic, batch_id)
+    """A message per row. A topic of files has a folder per stream and batch, and one that is complete is left as it is."""
+    return TopicBatches(topic)
 
-    return write
+
+def sink_of_query(sink: BatchSink, query_id: str) -> BatchSink:
+    """The sink for the batches of one stream; sinks that only add rows stay as they are."""
+    return replace(sink, query=query_id) if isinstance(sink, ParquetBatches | TopicBatches) else sink
 
 
 def table_batches(

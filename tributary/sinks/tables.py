@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from tributary.operators.codec import encode_rows
+from tributary.scratch import exists
 from tributary.sources.lake import zone_path
 from tributary.sources.topics import KafkaTopic, Topic
 
@@ -52,12 +53,16 @@ def append_table(
     df.write.format("jdbc").options(**options).mode(mode).save()
 
 
-def write_topic(df: DataFrame, topic: Topic, batch_id: int | None = None) -> None:
+def write_topic(df: DataFrame, topic: Topic, batch_id: int | None = None, query_id: str | None = None) -> None:
     """Send every row as one JSON message, without a message key.
 
-    A broker gets the messages at least once. A folder of files is added to,
-    or, where a batch id is given, that batch's folder is replaced.
+    A broker gets the messages at least once. A folder of files is added to. Where
+    a batch id is given, that batch of the stream has a folder: once it is complete it stays as it is,
+    so that whoever reads the topic as a stream does not meet its messages again.
     """
-    replace = batch_id is not None and not isinstance(topic, KafkaTopic)
-    writer = encode_rows(df).write.format(topic.format).options(**topic.write_options(batch_id))
-    writer.mode("overwrite" if replace else "append").save()
+    options = topic.write_options(batch_id, query_id)
+    of_batch = batch_id is not None and not isinstance(topic, KafkaTopic)
+    if of_batch and exists(df.sparkSession, f"{options['path']}/_SUCCESS"):
+        return
+    writer = encode_rows(df).write.format(topic.format).options(**options)
+    writer.mode("overwrite" if of_batch else "append").save()

@@ -2,14 +2,13 @@
 
 from tributary.sources.database import KeyRange, key_bounds, read_options, read_table
 from tributary.sources.lake import read_zone, zone_path
-from tributary.sources.landing import has_broken_lines, largest_file, read_landed
+from tributary.sources.landing import largest_file, read_landed
 from tributary.sources.topics import FileTopic, KafkaTopic, read_topic, stream_topic
 
 __all__ = [
     "FileTopic",
     "KafkaTopic",
     "KeyRange",
-    "has_broken_lines",
     "key_bounds",
     "largest_file",
     "read_landed",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,11 +52,23 @@ def read_options(
 
 def key_bounds(
     spark: SparkSession, connection: Mapping[str, str], table: str, column: str, partitions: int
-) -> KeyRange:
-    """The range of a column, worked out by the database; one row comes back."""
+) -> KeyRange | None:
+    """The range of a column, worked out by the database; one row comes back. None if no row has a value."""
     query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
     row = spark.read.format("jdbc").options(**connection, query=query).load().first()
-    return KeyRange(column, row[0], row[1], partitions)
+    return key_range(column, row[0], row[1], partitions)
+
+
+def key_range(column: str, lower: object, upper: object, partitions: int) -> KeyRange | None:
+    """The range between two values; None where there are none, as of a table without rows.
+
+    Numbers are taken to the whole ones around them, the only ones Spark has as bounds.
+    """
+    if lower is None or upper is None:
+        return None
+    if isinstance(lower, float | Decimal) and isinstance(upper, float | Decimal):
+        lower, upper = math.floor(lower), math.ceil(upper)
+    return KeyRange(column, lower, upper, partitions)
 
 
 def read_table(

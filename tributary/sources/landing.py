@@ -8,13 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tributary.contracts import Contract
 from tributary.functions.payload import CORRUPT
-from tributary.settings import MIB
-from tributary.sources.records import joined_records, odd_quotes, parse_records
-
-# A file up to this size is read by one task without a second thought.
-WHOLE_FILE_BYTES = 256 * MIB
-
-AUTO, ABSENT, WHOLE, JOINED = "auto", "absent", "whole", "joined"
+from tributary.sources.records import joined_records, parse_records
 
 _QUOTING = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
@@ -25,24 +19,14 @@ def largest_file(spark: SparkSession, path: str | list[str]) -> int:
     return files.agg(F.max("length")).first()[0] or 0
 
 
-def has_broken_lines(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether any record may span lines, found by a scan that splits large files.
-
-    In well-formed CSV a record that goes on after a line break leaves its first
-    line with an odd number of quotes. Where no line has one, every record is
-    one line.
-    """
-    return not spark.read.text(path).filter(odd_quotes("value") == 1).isEmpty()
+def least_split(spark: SparkSession) -> int:
+    """Files up to so many bytes are not cut into splits under the session's settings."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    return min(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(n)) for n in names)
 
 
 def read_landed(
-    spark: SparkSession,
-    path: str | list[str],
-    contract: Contract,
-    *,
-    line_breaks: str = AUTO,
-    corrupt: str | None = CORRUPT,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    spark: SparkSession, path: str | list[str], contract: Contract, *, corrupt: str | None = CORRUPT
 ) -> DataFrame:
     """CSV with a header, its columns found by name and typed by the contract.
 
@@ -51,28 +35,15 @@ def read_landed(
     what could be read, and its text stands in the ``corrupt`` column. Every
     file has to have the same header.
 
-    ``line_breaks`` says how to read records that span lines: ``absent``, there
-    are none and files are split; ``whole``, one task reads a file; ``joined``,
-    files are split and such records put together again, which shuffles the
-    lines. ``auto`` takes ``whole`` for files up to ``whole_file_bytes``; when a
-    larger one is there it looks whether any record spans lines and takes
-    ``joined`` or ``absent``.
+    Large files are split wherever Spark's settings say, and the rows do not depend on it: quoted cells may
+    hold line breaks, a CRLF is one line break, in cells too, lines of blanks only
+    are no records, and a file that ends inside a quoted cell fails the job with its name.
     """
-    if line_breaks not in (AUTO, ABSENT, WHOLE, JOINED):
-        raise ValueError(f"unknown line break choice {line_breaks!r}")
-    if line_breaks == AUTO:
-        if largest_file(spark, path) <= whole_file_bytes:
-            line_breaks = WHOLE
-        else:
-            line_breaks = JOINED if has_broken_lines(spark, path) else ABSENT
-
-    options = {**_QUOTING, "multiLine": str(line_breaks != ABSENT).lower()}
-    header = spark.read.options(**options, header="true").csv(path).columns
+    header = spark.read.options(**_QUOTING, multiLine="true", header="true").csv(path).columns
     schema = contract.in_order_of(header)
+    options = dict(_QUOTING)
     if corrupt:
         schema = StructType([*schema.fields, StructField(corrupt, StringType())])
         options["columnNameOfCorruptRecord"] = corrupt
-    if line_breaks == JOINED:
-        return parse_records(joined_records(spark, path), header, schema, options)
-    # The header of every file is checked against the schema, not just the first.
-    return spark.read.options(**options, header="true", enforceSchema="false").schema(schema).csv(path)
+    files_are_whole = largest_file(spark, path) <= least_split(spark)
+    return parse_records(joined_records(spark, path, files_are_whole), header, schema, options)

@@ -1,82 +1,228 @@
-"""CSV records that span lines, put together again from files that are read in splits.
-
-Spark reads a file with such records whole, in one task. Here a file is read as
-lines, in as many tasks as it has splits. A line with an odd number of quotes
-either opens or closes a record of several lines, so the number of such lines
-before a line tells whether it stands inside a record, and which one. They are
-counted per split first and within the split then. Only the lines of records of
-several lines are gathered, each record by itself.
+"""The records of CSV files, some of which span lines, from files that are read in splits.
+
+Whether a line break ends a record depends on whether it stands inside a quoted
+cell, and that on all text before. Where files are split, each split is therefore looked at under
+both assumptions first, which gives a few flags for each. Put together file by
+file they say how each split really starts. Then every task puts the records of its splits
+together as it reads them; only the pieces of a record that a border cuts are shuffled.
+
+A quote opens a cell only at the cell's start, and closes it only before a
+delimiter or the end of a line; anywhere else it is a character like any other.
+This is how Spark's own parser reads a file it need not split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tributary.workers import mapped
+
+# So many splits that start inside a record are made known to every task; more are joined by a shuffle.
+STARTS_BROADCAST = 100_000
+RECORDS = 10_000  # of a batch
+BLANK = "".join(map(chr, range(33)))
+BOM = "\ufeff"
+
+
+def inside_after(line: str, inside: bool, delimiter: str = ",") -> bool:
+    """Whether the line break after a line stands inside a quoted cell, given whether the one before it does."""
+    at = 0
+    while True:
+        if not inside:
+            if not line.startswith('"', at):
+                at = line.find(delimiter, at) + 1
+                if not at:
+                    return False
+                continue
+            at += 1
+        quote = line.find('"', at)
+        if quote < 0:
+            return True
+        if line.startswith('"', quote + 1):
+            at, inside = quote + 2, True
+            continue
+        # A delimiter ends the cell here, or else the quote was a character of it and the next delimiter does.
+        at, inside = line.find(delimiter, quote + 1) + 1, False
+        if not at:
+            return False
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str]]]:
+    """Lines, without the CR of a CRLF, in runs of one split: file, where it starts, where its open record does."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = list(zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), strict=True))
+        edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+        lines = pc.replace_substring_regex(batch.column(2), "\r$", "")
+        for start, end in zip(edges, edges[1:], strict=False):
+            yield keys[start], lines.slice(start, end - start).to_pylist()
+
+
+def border_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """file, split, value, null -> how each split ends if it starts outside a cell, and if inside.
+
+    ``new`` says that the record which is open at the end begins in the split.
+    """
+    found: dict[tuple, list[list[bool]]] = {}  # inside, new
+    for (file, split, _), lines in _runs(batches):
+        states = found.setdefault((file, split), [[False, True], [True, False]])
+        for line in lines:
+            if '"' in line:
+                for state in states:
+                    state[0] = inside_after(line, state[0])
+                    state[1] |= not state[0]
+    rows = [(file, split, *outside, *inside) for (file, split), (outside, inside) in found.items()]
+    columns = zip(*rows, strict=True) if rows else [()] * 6
+    kinds = [pa.string(), pa.int64()] + [pa.bool_()] * 4
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
+    yield pa.RecordBatch.from_arrays(arrays, names=["file", "split", "outside", "outside_new", "inside", "inside_new"])
+
+
+BORDERS = "file string, split long, outside boolean, outside_new boolean, inside boolean, inside_new boolean"
+
+
+def opened_splits(borders: pd.DataFrame) -> pd.DataFrame:
+    """Of one file's splits those that start inside a record, and the split it begins in."""
+    out, open_from = [], None
+    for row in borders.sort_values("split").itertuples():
+        if open_from is not None:
+            out.append((row.file, row.split, open_from))
+        ends_inside, new = (row.outside, True) if open_from is None else (row.inside, row.inside_new)
+        open_from = (row.split if new else open_from) if ends_inside else None
+    if open_from is not None:
+        raise ValueError(f"{borders['file'].iloc[0]}: the file ends inside a quoted cell")
+    return pd.DataFrame(out, columns=["file", "split", "open_from"]).astype({"split": "int64", "open_from": "int64"})
+
+
+def record_batches(batches: Iterator[pa.RecordBatch], files_are_whole: bool) -> Iterator[pa.RecordBatch]:
+    """file, split, value, open_from -> records, and pieces of those that the border of a split cuts.
 
-def odd_quotes(line: Column | str) -> Column:
-    """1 for a line after which the text is inside quotes if it was not before, else 0."""
-    quotes = F.char_length(line) - F.char_length(F.replace(line, F.lit('"'), F.lit("")))
-    return quotes % 2
+    A piece names the file and the split its record begins in. Blank lines are no records.
+    """
+    out: list[tuple] = []
+    current: tuple | None = None
+    parts: list[str] = []  # the lines of the open record
+    inside = first = False
+    open_from: int | None = None
 
+    def emit(text: str, begins: int | None) -> None:
+        nonlocal first
+        if begins is not None or text.strip(BLANK):
+            file, split = current[:2]
+            out.append((text, first and split == 0, file if begins is not None else None, begins, split))
+            first = False
 
-def joined_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Each record's whole text as ``record``; ``is_header`` marks the first of each file."""
+    def leave() -> None:
+        if not inside:
+            return
+        if files_are_whole:
+            raise ValueError(f"{current[0]}: the file ends inside a quoted cell")
+        emit("\n".join(parts), current[1] if open_from is None else open_from)
+
+    def full() -> pa.RecordBatch:
+        kinds = [pa.string(), pa.bool_(), pa.string(), pa.int64(), pa.int64()]
+        columns = zip(*out, strict=True) if out else [()] * len(kinds)
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
+        out.clear()
+        return pa.RecordBatch.from_arrays(arrays, names=["record", "is_header", "file", "open_from", "split"])
+
+    for key, lines in _runs(batches):
+        if key != current:
+            leave()
+            current, first, parts, open_from = key, True, [], key[2]
+            inside = open_from is not None
+            if key[1] == 0 and lines:
+                lines[0] = lines[0].removeprefix(BOM)
+        for line in lines:
+            was_inside, inside = inside, inside_after(line, inside) if '"' in line else inside
+            if not (was_inside or inside):
+                emit(line, None)
+                continue
+            parts.append(line)
+            if not inside:
+                emit("\n".join(parts), open_from)
+                parts, open_from = [], None
+        if len(out) >= RECORDS:
+            yield full()
+    leave()
+    yield full()
+
+
+PIECES = "record string, is_header boolean, file string, open_from long, split long"
+
+
+def joined_records(spark: SparkSession, path: str | list[str], files_are_whole: bool) -> DataFrame:
+    """Each record's whole text as ``record``; ``is_header`` marks the first of each file.
+
+    ``files_are_whole`` says that no file is cut into splits; each is then read once.
+    """
     lines = spark.read.option("lineSep", "\n").text(path)
-    lines = lines.select(
-        "value",
-        odd_quotes("value").alias("odd"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        # Rises from line to line of a split.
-        F.monotonically_increasing_id().alias("line"),
-    )
+    file, split = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")
+    nowhere = F.lit(None).cast("long").alias("open_from")
+    if files_are_whole:
+        pieces = mapped(lines.select(file, split, "value", nowhere), record_batches, PIECES, True)
+        return pieces.select("record", "is_header")
 
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = lines.groupBy("file", "split").agg(F.sum("odd").alias("odd"))
-    splits = splits.select("file", "split", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("in_earlier"))
-
-    here = Window.partitionBy("file", "split").orderBy("line")
-    in_split = F.sum("odd").over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    lines = lines.join(splits, ["file", "split"]).select(
-        "file",
-        "split",
-        "line",
-        "value",
-        "odd",
-        (F.col("in_earlier") + in_split - F.col("odd")).alias("before"),
-        ((F.col("split") == 0) & (F.row_number().over(here) == 1)).alias("is_header"),
-    )
+    borders = mapped(lines.select(file, split, "value", nowhere), border_batches, BORDERS)
+    found = borders.groupBy("file").applyInPandas(_opened_of_file(), "file string, split long, open_from long")
+    starts = found.persist()
+    try:
+        few = starts.count() <= STARTS_BROADCAST
+        known = spark.createDataFrame(starts.collect(), starts.schema) if few else None
+    finally:
+        starts.unpersist()
+    in_order = lines.select(file, split, "value", F.monotonically_increasing_id().alias("line"))
+    if few:
+        placed = in_order.join(F.broadcast(known), ["file", "split"], "left")
+    else:
+        placed = in_order.join(found, ["file", "split"], "left")
+        placed = placed.repartition("file", "split").sortWithinPartitions("file", "split", "line")
+    pieces = mapped(placed.select("file", "split", "value", "open_from"), record_batches, PIECES, False)
 
-    alone = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
-    parts = F.array_sort(F.collect_list(F.struct("split", "line", "value")))
+    cut = F.col("open_from").isNotNull()
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("split", "record"))), lambda piece: piece["record"])
     gathered = (
-        lines.filter(~alone)
-        .groupBy("file", F.floor(F.col("before") / 2).alias("record_of_file"))
-        .agg(
-            F.array_join(F.transform(parts, lambda part: part["value"]), "\n").alias("record"),
-            F.bool_or("is_header").alias("is_header"),
-        )
-    )
-    return (
-        lines.filter(alone)
-        .select(F.col("value").alias("record"), "is_header")
-        .unionAll(gathered.select("record", "is_header"))
+        pieces.filter(cut)
+        .groupBy("file", "open_from")
+        .agg(F.array_join(texts, "\n").alias("record"), F.bool_or("is_header").alias("is_header"))
     )
+    return pieces.filter(~cut).select("record", "is_header").unionAll(gathered.select("record", "is_header"))
+
+
+def _opened_of_file():
+    """``opened_splits`` as the task's function, found by its name there."""
+    from tributary.workers import ROOT
+
+    root = ROOT
+
+    def run(borders):
+        import importlib
+        import sys
+
+        if root not in sys.path:
+            sys.path.append(root)
+        return importlib.import_module("tributary.sources.records").opened_splits(borders)
+
+    return run
 
 
 def parse_records(
     records: DataFrame, header: Sequence[str], schema: StructType, options: Mapping[str, str]
 ) -> DataFrame:
     """The records' cells by the schema, headers left out once they are found to be the expected one."""
-    text = F.regexp_replace("record", "\r$", "")
-    names = F.from_csv(F.lower(text), ", ".join(f"c{i} string" for i in range(len(header))), dict(options))
+    # A record is one by now: the breaks in it are those of its cells.
+    options = {**options, "multiLine": "true", "lineSep": "\n"}
+    names = F.from_csv(F.lower("record"), ", ".join(f"c{i} string" for i in range(len(header))), options)
     expected = F.struct(*(F.lit(name.lower()).alias(f"c{i}") for i, name in enumerate(header)))
-    other = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema: "), text)).cast("boolean")
+    other = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema: "), "record")).cast("boolean")
     is_data = F.when(F.col("is_header"), F.when(names.eqNullSafe(expected), False).otherwise(other)).otherwise(True)
     ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
-    rows = records.filter(is_data & (F.trim(text) != ""))
-    return rows.select(F.from_csv(text, ddl, dict(options)).alias("row")).select("row.*")
+    return records.filter(is_data).select(F.from_csv("record", ddl, options).alias("row")).select("row.*")

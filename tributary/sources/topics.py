@@ -34,7 +34,7 @@ class KafkaTopic:
             **self.options,
         }
 
-    def write_options(self, batch_id: int | None = None) -> dict[str, str]:
+    def write_options(self, batch_id: int | None = None, query_id: str | None = None) -> dict[str, str]:
         return {"kafka.bootstrap.servers": self.servers, "topic": self.name, **self.options}
 
 
@@ -56,9 +56,10 @@ class FileTopic:
     def read_options(self) -> dict[str, str]:
         return {"path": self.path, "recursiveFileLookup": "true", **self.options}
 
-    def write_options(self, batch_id: int | None = None) -> dict[str, str]:
-        """Each batch has a folder of its own, so that writing it again replaces it."""
-        return {"path": self.path if batch_id is None else f"{self.path}/batch_id={batch_id}"}
+    def write_options(self, batch_id: int | None = None, query_id: str | None = None) -> dict[str, str]:
+        """Each batch of a stream has a folder of its own."""
+        of_query = f"/query={query_id}" if query_id else ""
+        return {"path": self.path if batch_id is None else f"{self.path}{of_query}/batch_id={batch_id}"}
 
 
 Topic = KafkaTopic | FileTopic

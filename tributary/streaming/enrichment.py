@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tributary.operators.stats import PreparedDimension, StatsSpec, prepare_dimension, stats_of
-from tributary.sinks.batches import BatchSink
-from tributary.streaming.dimension import freeze
+from tributary.operators.stats import PreparedDimension, StatsSpec, stats_of
+from tributary.sinks.batches import BatchSink, sink_of_query
+from tributary.streaming.dimension import Frozen, freeze
 from tributary.streaming.fanout import RAISE, fan_out
 
 log = logging.getLogger(__name__)
@@ -42,23 +45,26 @@ def enrich_batches(
     first: BatchSink | None = None,
     on_counts: Callable[[BatchCounts], None] | None = None,
     run_ts: Callable[[int], Column] | None = None,
+    query_id: Callable[[], str] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The function that handles one micro-batch.
 
     Averages are over that batch alone and never merged with another's. The
     batch's rows are counted while they are averaged, not by a job of their own.
-    ``first`` is given the batch itself before that.
+    ``first`` is given the batch itself before that. With a ``query_id`` sinks that
+    keep batches apart keep those of different streams apart as well.
     """
 
     counters = [F.count(F.lit(1)).alias("rows"), F.count_if(_all_present(spec.on)).alias("keyed")]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        own = (lambda sink: sink_of_query(sink, query_id())) if query_id else (lambda sink: sink)
         if first:
-            first(batch, batch_id)
+            own(first)(batch, batch_id)
         seen = Observation(f"batch-{batch_id}")
         stamp = run_ts(batch_id) if run_ts else None
         stats = stats_of(batch.observe(seen, *counters), dimension, spec, stamp)
-        written = fan_out(stats, sinks, batch_id, on_error)
+        written = fan_out(stats, [own(sink) for sink in sinks], batch_id, on_error)
         # Adaptive execution drops a branch it finds empty, and what it observed with it.
         counted = seen.get if written else batch.agg(*counters).first().asDict()
         counts = BatchCounts(batch_id, **counted)
@@ -83,22 +89,53 @@ def start_enrichment(
     on_counts: Callable[[BatchCounts], None] | None = None,
     run_ts: Callable[[int], Column] | None = None,
     name: str | None = None,
+    frozen_path: str | None = None,
 ) -> StreamingQuery:
     """Start averaging an event stream; the dimension stays as it is at this moment.
 
     ``available_now`` handles what is there and ends. The checkpoint remembers
-    which events have been handled and belongs to one stream.
+    which events have been handled and belongs to one stream; its id keeps the stream's output
+    apart from that of any other. The dimension's copy is at ``frozen_path``, or a scratch
+    table, until the stream ends.
     """
-    frozen = freeze(prepare_dimension(dimension, events.columns, spec))
+    frozen = freeze(dimension, events.columns, spec, frozen_path)
+    if spec.fold_facts is False and not frozen.dimension.broadcast:
+        frozen.release()
+        raise ValueError("a stream folds its facts if the dimension is not broadcast, as a hot key would not be split")
+    started: Future[str] = Future()
     handle = enrich_batches(
-        frozen, spec, sinks, on_error=on_error, first=first, on_counts=on_counts, run_ts=run_ts
+        frozen.dimension,
+        spec,
+        sinks,
+        on_error=on_error,
+        first=first,
+        on_counts=on_counts,
+        run_ts=run_ts,
+        query_id=started.result,
     )
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
     if name:
         writer = writer.queryName(name)
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{every_seconds} seconds").start()
+    trigger = {"availableNow": True} if available_now else {"processingTime": f"{every_seconds} seconds"}
+    try:
+        query = writer.trigger(**trigger).start()
+    except Exception:
+        frozen.release()
+        raise
+    started.set_result(query.id)
+    threading.Thread(target=_release_at_end, args=(query, frozen), daemon=True).start()
+    return query
+
+
+def _release_at_end(query: StreamingQuery, frozen: Frozen) -> None:
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        pass  # whoever waits for the stream is told
+    try:
+        frozen.release()
+    except Exception:
+        log.warning("the dimension at %s was not released", frozen.path, exc_info=True)
 
 
 def wait(query: StreamingQuery, seconds: float | None = None) -> bool:
