@@ -1,18 +1,12 @@
-"""What the operators of this package share: running a function over Arrow batches, and scratch tables."""
+"""What the operators of this package share: words, keys of rows, scratch tables."""
 
 from __future__ import annotations
 
-import os
-import pickle
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.scratch import scratch_path
-
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from tributary.workers import mapped  # noqa: F401  (the operators take it from here)
 
 # The words of two contracts, as ranges of code points: letters, digits and all beyond ASCII; all but blanks.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -24,26 +18,6 @@ WORD_BYTES = bytes(
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def mapped(df: DataFrame, function: Callable[..., Iterator[pa.RecordBatch]], schema: str, *args) -> DataFrame:
-    """``mapInArrow`` with a module-level function of this library and its further arguments.
-
-    The function is found by name in the worker, so that what its module keeps
-    between calls serves all tasks of a worker.
-    """
-    module, name, root, values = function.__module__, function.__qualname__, ROOT, pickle.dumps(args)
-
-    def run(batches):
-        import importlib
-        import pickle
-        import sys
-
-        if root not in sys.path:
-            sys.path.append(root)
-        return getattr(importlib.import_module(module), name)(batches, *pickle.loads(values))
-
-    return df.mapInArrow(run, schema)
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to a scratch table in the shared folder and read back: a cut of the lineage."""
     path = scratch_path(df.sparkSession, label)

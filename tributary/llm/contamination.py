@@ -18,6 +18,7 @@ from tributary.llm.common import LOWER, UPPER, WORD, same, stored, text_key
 
 # The words before A-Z are lowered: the same places, any case.
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BROADCAST_ROWS = 1_000_000  # 16 bytes each
 BROADCAST_CHARACTERS = 32 * 1024 * 1024  # items with more text than this are joined by shuffles
 
 
@@ -58,8 +59,8 @@ def _small(df: DataFrame, bounded: bool) -> DataFrame:
 def build_index(docs: DataFrame, items: DataFrame, bounded: bool, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Postings of the items' terms: doc_id, text_hash, term, position.
 
-    Each row of ``docs`` also has one posting of the empty term, whose position is
-    its number of words.
+    Each row of ``docs`` also has one posting of the empty term, after its words, so that
+    its position is their number.
     """
     text = F.col(text_column)
     rows = docs.select(
@@ -67,17 +68,14 @@ def build_index(docs: DataFrame, items: DataFrame, bounded: bool, id_column: str
         text_key(text).alias("text_hash"),
         F.coalesce(F.regexp_extract_all(text, F.lit(WORD_ANY_CASE), F.lit(0)), F.array().cast("array<string>")).alias("words"),
     )
-    each = rows.select(
-        "doc_id", "text_hash", F.size("words").alias("n"), F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("i", "word")
-    )
+    each = rows.select("doc_id", "text_hash", F.posexplode(F.concat("words", F.array(F.lit("")))).alias("position", "word"))
     terms = items.select(F.explode("words").alias("term")).distinct()
     terms = terms.union(terms.sparkSession.range(1).select(F.lit("")))
     # Lower case first: cheap, and equal wherever the words are equal with A-Z lowered.
     vocabulary = terms.select(F.lower("term").alias("any_case"), "term")
     is_term = (F.col("word") == F.col("term")) | (_lowered(F.col("word")) == F.col("term"))
-    return each.join(_small(vocabulary, bounded), (F.lower("word") == F.col("any_case")) & is_term).select(
-        "doc_id", "text_hash", "term", F.when(F.col("i") == 0, F.col("n")).otherwise(F.col("i") - 1).alias("position")
-    )
+    found = each.join(_small(vocabulary, bounded), (F.lower("word") == F.col("any_case")) & is_term)
+    return found.select("doc_id", "text_hash", "term", "position")
 
 
 def rarest_terms(items: DataFrame, index: DataFrame, rule: Rule) -> DataFrame:
@@ -122,16 +120,16 @@ def phrase_matches(docs: DataFrame, candidates: DataFrame, id_column: str = "doc
     A document's candidates are compared with its words in one pass over them.
     """
     each = F.struct("item_id", "words", "width", "begin")
-    wanted = candidates.groupBy("doc_id", "text_hash").agg(F.collect_list(each).alias("candidates"))
+    wanted = stored(candidates.groupBy("doc_id", "text_hash").agg(F.collect_list(each).alias("candidates")), "candidates")
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("d"), text_key(text).alias("h"), text.alias("text"))
-    both = rows.join(wanted.hint("shuffle_hash"), same(F.col("d"), F.col("doc_id")) & (F.col("h") == F.col("text_hash")))
-    words = F.regexp_extract_all(_lowered(F.col("text")), F.lit(WORD), F.lit(0))
+    matches = same(F.col("d"), F.col("doc_id")) & (F.col("h") == F.col("text_hash"))
+    if wanted.count() <= BROADCAST_ROWS:
+        rows = rows.join(F.broadcast(wanted.select("doc_id", "text_hash")), matches, "left_semi")
+    both = rows.join(wanted.hint("shuffle_hash"), matches)
 
-    def matched(c: Column) -> Column:
-        there = F.transform(
-            c.words, lambda word, place: F.coalesce(F.get(F.col("doc_words"), c.begin + place) == word, F.lit(False))
-        )
+    def matched(words: Column, c: Column) -> Column:
+        there = F.transform(c.words, lambda word, place: F.coalesce(F.get(words, c.begin + place) == word, F.lit(False)))
         return F.struct(c.item_id.alias("item_id"), c.begin.alias("begin"), c.width.alias("width"), there.alias("there"))
 
     def found(c: Column) -> Column:
@@ -142,10 +140,14 @@ def phrase_matches(docs: DataFrame, candidates: DataFrame, id_column: str = "doc
             F.flatten(F.transform(exact, lambda s: F.sequence(c.begin + s, c.begin + s + c.width - 1))).alias("places"),
         )
 
-    matches = F.filter(F.transform(F.transform("candidates", matched), found), lambda m: F.size(m.places) > 0)
+    def all_found(words: Column) -> Column:
+        each = F.transform("candidates", lambda c: matched(words, c))
+        return F.filter(F.transform(each, found), lambda m: F.size(m.places) > 0)
+
+    # The words are an argument, as a column of them would be made anew for each place they are asked for.
+    words = F.regexp_extract_all(_lowered(F.col("text")), F.lit(WORD), F.lit(0))
     return (
-        both.select("doc_id", "text_hash", words.alias("doc_words"), "candidates")
-        .select("doc_id", "text_hash", matches.alias("matches"))
+        both.select("doc_id", "text_hash", F.get(F.transform(F.array(words), all_found), F.lit(0)).alias("matches"))
         .where(F.size("matches") > 0)
         .select(
             "doc_id",
