@@ -1,7 +1,8 @@
 """Lines that a later document shares with an earlier one, found by aligning the two.
 
-Documents that share a line meet through its hash: each with the earliest that has it and,
-where few have it, also with the one just before. A pair is
+Only runs of lines with enough words are ever deleted, and these are rare. Documents meet
+through the hashes of such runs, each as short as may be: every later holder of a run with the
+earliest, whose number of pairs is at most that of runs, however many hold one. A pair is
 aligned by patience diff: lines that both have once, in the longest common
 order, are anchors, and what lies between them is aligned in turn. Runs of aligned
 lines with enough words are deleted from the later document.
@@ -9,6 +10,7 @@ lines with enough words are deleted from the later document.
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -16,7 +18,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import ASCII_LOWER, mapped, stored, text_key
@@ -24,17 +26,41 @@ from tributary.llm.common import ASCII_LOWER, mapped, stored, text_key
 
 @dataclass(frozen=True)
 class Blocks:
-    """Blocks of at least ``min_words`` words are deleted; a line is rare if at most ``rare`` documents have it."""
+    """Blocks of at least ``min_words`` words are deleted."""
 
     min_words: int = 30
-    rare: int = 32
 
 
-def line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_hash, text -> doc_id, text_hash, hash and number of words of each line."""
+def short_runs(words: Sequence[int], min_words: int) -> set[tuple[int, int]]:
+    """The runs of lines with enough words that have none without their first, or without their last, line.
+
+    Every line with words of a longer run is in one of those inside it.
+    """
+    out, start, total = set(), 0, 0
+    for end, count in enumerate(words):
+        total += count
+        while total - words[start] >= min_words:
+            total -= words[start]
+            start += 1
+        if total >= min_words and count and words[start]:
+            out.add((start, end + 1))
+    end, total = len(words), 0
+    for start in range(len(words) - 1, -1, -1):
+        total += words[start]
+        while total - words[end - 1] >= min_words:
+            end -= 1
+            total -= words[end]
+        if total >= min_words and words[start] and words[end - 1]:
+            out.add((start, end))
+    return out
+
+
+def line_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, text_hash, text -> doc_id, text_hash, hash and number of words of each line, hashes of its short runs."""
     for batch in batches:
         hashes: list[int] = []
         sizes: list[int] = []
+        runs: list[list[int]] = []
         ends = [0]
         for scalar in batch.column(2):
             for line in (scalar.as_py() or "").encode().split(b"\n"):
@@ -42,13 +68,17 @@ def line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes.append(len(words))
                 joined = b" ".join(words).translate(ASCII_LOWER)
                 hashes.append(xxhash.xxh3_64_intdigest(joined) - 2**63 if words else 0)
+            own = array("q", hashes[ends[-1] :])
+            found = short_runs(sizes[ends[-1] :], min_words)
+            runs.append(sorted({xxhash.xxh3_64_intdigest(own[start:end].tobytes()) - 2**63 for start, end in found}))
             ends.append(len(hashes))
         offsets = pa.array(ends, pa.int32())
         columns = [
             pa.ListArray.from_arrays(offsets, pa.array(hashes, pa.int64())),
             pa.ListArray.from_arrays(offsets, pa.array(sizes, pa.int32())),
+            pa.array(runs, pa.list_(pa.int64())),
         ]
-        names = ["doc_id", "text_hash", "lines", "words"]
+        names = ["doc_id", "text_hash", "lines", "words", "runs"]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
 
@@ -138,19 +168,11 @@ def _doc(id_column: Column, text: Column) -> Column:
     return F.struct(known.isNull().alias("unknown"), known.alias("id"), text_key(text).alias("hash"))
 
 
-def overlapping(lines: DataFrame, rule: Blocks) -> DataFrame:
-    """The pairs of documents to align: doc and earlier. As many as lines that documents share, at most twice."""
-    held = lines.select("doc", F.explode(F.array_distinct(F.filter("lines", lambda line: line != 0))).alias("line")).distinct()
-    shared = (
-        held.groupBy("line")
-        .agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("holders"))
-        .where("holders > 1")
-    )
-    each = held.join(shared, "line").where("doc != first")
-    in_order = Window.partitionBy("line").orderBy("doc")
-    chain = each.where((F.col("holders") > 2) & (F.col("holders") <= rule.rare))
-    chain = chain.select("doc", F.lag("doc").over(in_order).alias("earlier")).where("earlier is not null")
-    return each.select("doc", F.col("first").alias("earlier")).union(chain).distinct()
+def overlapping(lines: DataFrame) -> DataFrame:
+    """The pairs of documents to align: doc and earlier, the first to hold one of its runs."""
+    held = lines.select("doc", F.explode("runs").alias("run"))
+    shared = held.groupBy("run").agg(F.min("doc").alias("earlier"), F.max("doc").alias("last")).where("earlier != last")
+    return held.join(shared, "run").where("doc != earlier").select("doc", "earlier").distinct()
 
 
 def shared_blocks(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -158,10 +180,11 @@ def shared_blocks(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "do
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), text_key(F.col(text_column)).alias("text_hash"), F.col(text_column).alias("text")
     )
-    lines = mapped(rows, line_batches, "doc_id long, text_hash long, lines array<long>, words array<int>")
+    schema = "doc_id long, text_hash long, lines array<long>, words array<int>, runs array<long>"
+    lines = mapped(rows, line_batches, schema, rule.min_words)
     doc = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    lines = stored(lines.select(doc.alias("doc"), "lines", "words").dropDuplicates(["doc"]), "lines")
-    pairs = overlapping(lines, rule)
+    lines = stored(lines.select(doc.alias("doc"), "lines", "words", "runs").dropDuplicates(["doc"]), "lines")
+    pairs = overlapping(lines)
     earlier = lines.select(F.col("doc").alias("earlier"), F.col("lines").alias("earlier_lines"))
     both = pairs.join(earlier, "earlier").join(lines, "doc").select("doc", "lines", "words", "earlier_lines")
     found = mapped(both, align_batches, f"doc {DOC}, places array<int>", rule.min_words)
