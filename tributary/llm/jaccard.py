@@ -7,7 +7,8 @@ single parts say little, use combinations of parts. So each set has one signatur
 combination, in the size bands it can share with a similar set, and similar sets share one.
 
 Sets that share a signature are compared with the smallest of their group first;
-groups that this leaves in several components are then compared block by block.
+what this leaves in several components is then compared block by block. Counts of the
+shingles in a fixed partition rule most pairs out before any shingles are moved.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ SEEN = 500_000  # sets a task remembers to have signed
 BAND = 1.5  # ratio of the largest to the smallest size of a band
 BLOCK = 512  # sets compared in one task at a time
 BROADCAST_ROWS = 1_000_000  # 16 bytes each
-SKETCH = 64  # parts of which a set's counts are compared before its shingles
+SKETCH = 256  # parts of the fixed partition
 
 
 @dataclass(frozen=True)
@@ -42,10 +43,9 @@ class Similarity:
     words: int = 5
     percent: int = 80
 
-    def differences(self, smaller: int, larger: int) -> int:
-        """The most shingles that are in one of two similar sets of these sizes, but not in both."""
-        shared = -(-self.percent * (smaller + larger) // (100 + self.percent))
-        return smaller + larger - 2 * shared
+    def differences(self, total: int) -> int:
+        """The most shingles that are in one of two similar sets of these sizes together, but not in both."""
+        return total - 2 * -(-self.percent * total // (100 + self.percent))
 
     def largest(self, size: int) -> int:
         return size * 100 // self.percent
@@ -102,11 +102,8 @@ def scheme(rule: Similarity, low: int, high: int) -> Scheme:
     without the differing ones are signed. Beyond, there are a sixth more parts than can differ, so
     that a few may be empty.
     """
-    most = max(
-        (rule.differences(a, b) for a in range(low, high + 1) for b in {a, rule.largest(a)}), default=0
-    )
-    most = max(most, *(rule.differences(high, b) for b in range(high, rule.largest(high) + 1)))
-    if most == 0:
+    most = max(map(rule.differences, range(2 * low, high + rule.largest(high) + 1)))
+    if most <= 0:
         return Scheme(0, 0)
     if most <= 3:
         return Scheme(2 * most + 1, most, most + 1)
@@ -146,19 +143,27 @@ def node_of(codes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(codes.tobytes()) - 2**63
 
 
+def sketch(codes: np.ndarray) -> bytes:
+    """Counts of a set's shingles in a fixed partition, up to 255; sets differ in at least as many as their counts do."""
+    counts = np.bincount((codes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+SETS = "doc_id long, text_hash long, n_shingles long, node long, sketch binary"
+
+
 def set_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_hash, text -> doc_id, text_hash, n_shingles, node (null without shingles)."""
+    """doc_id, text_hash, text -> doc_id, text_hash, n_shingles, node and sketch (null without shingles)."""
     for batch in batches:
-        sets = [shingles(scalar.as_py() or "", rule.words) for scalar in batch.column(2)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array([len(codes) for codes in sets], pa.int64()),
-                pa.array([node_of(codes) if len(codes) else None for codes in sets], pa.int64()),
-            ],
-            names=["doc_id", "text_hash", "n_shingles", "node"],
-        )
+        sizes, nodes, sketches = [], [], []
+        for scalar in batch.column(2):
+            codes = shingles(scalar.as_py() or "", rule.words)
+            sizes.append(len(codes))
+            nodes.append(node_of(codes) if len(codes) else None)
+            sketches.append(sketch(codes) if len(codes) else None)
+        columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())]
+        names = [part.split()[0] for part in SETS.split(", ")]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
 
 def signature_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
@@ -183,49 +188,41 @@ def signature_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> It
 
 
 def code_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
-    """text -> node, codes."""
+    """text -> node, codes; copies that a task meets come once."""
+    seen: set[int] = set()
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
-            sets = [shingles(scalar.as_py() or "", rule.words) for scalar in batch.column(0).slice(start, 256)]
-            sets = [codes for codes in sets if len(codes)]
+            sets = {}
+            for scalar in batch.column(0).slice(start, 256):
+                codes = shingles(scalar.as_py() or "", rule.words)
+                sets[node_of(codes)] = codes
+            sets = {node: codes for node, codes in sets.items() if len(codes) and node not in seen}
+            seen.update(sets)
+            if len(seen) > SEEN:
+                seen.clear()
             if sets:
-                ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-                codes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
-                nodes = pa.array([node_of(codes) for codes in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([nodes, codes], names=["node", "codes"])
+                ends = np.cumsum([0, *map(len, sets.values())], dtype=np.int32)
+                codes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(list(sets.values())).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), codes], names=["node", "codes"])
 
 
 def shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """signature, node in this order -> signature, node, first: the rows of signatures with several nodes.
+    """signature, node in this order -> first, node: the smallest node of a signature with each other one.
 
-    ``first`` is the smallest node of the signature. One row is kept between batches,
-    however many nodes a signature has.
+    One row is kept between batches, however many nodes a signature has.
     """
-    held: tuple | None = None  # signature, node, first, whether the signature had another node before
+    held: tuple | None = None  # the signature and its first node
     for batch in batches:
         signature, node = (batch.column(i).to_numpy() for i in range(2))
         if held:
             signature, node = np.append(held[0], signature), np.append(held[1], node)
-        new = np.append(True, (signature[1:] != signature[:-1]) | (node[1:] != node[:-1]))
-        signature, node = signature[new], node[new]
         follows = np.append(False, signature[1:] == signature[:-1])
-        start = np.maximum.accumulate(np.where(follows, 0, np.arange(len(node))))
-        first = node[start]
-        if held:
-            first[start == 0] = held[2]
-            follows[0] = held[3]
-        shared = follows | np.append(signature[1:] == signature[:-1], False)
-        held = signature[-1], node[-1], first[-1], follows[-1]
-        out = np.flatnonzero(shared[:-1])
-        if len(out):
-            yield _shared(signature[out], node[out], first[out])
-    if held and held[3]:
-        yield _shared(*(np.array([x]) for x in held[:3]))
-
-
-def _shared(signature, node, first) -> pa.RecordBatch:
-    columns = [pa.array(x, pa.int64()) for x in (signature, node, first)]
-    return pa.RecordBatch.from_arrays(columns, names=["signature", "node", "first"])
+        first = node[np.maximum.accumulate(np.where(follows, 0, np.arange(len(node))))]
+        held = signature[-1], first[-1]
+        pairs = np.unique(np.stack([first, node], 1)[first != node], axis=0)
+        if len(pairs):
+            columns = [pa.array(pairs[:, k], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["first", "node"])
 
 
 def similar(a: np.ndarray, b: np.ndarray, rule: Similarity) -> bool:
@@ -235,11 +232,14 @@ def similar(a: np.ndarray, b: np.ndarray, rule: Similarity) -> bool:
     return 100 * shared >= rule.percent * (len(a) + len(b) - shared)
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Counts of each set's shingles in a fixed partition; sets differ in at least as many as their counts do."""
-    owner = np.repeat(np.arange(len(sets)), [len(codes) for codes in sets])
-    part = (np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64)
-    return np.bincount(owner * SKETCH + part, minlength=len(sets) * SKETCH).reshape(len(sets), SKETCH)
+def may_be_similar(i: int, others: np.ndarray, sizes: np.ndarray, counts: np.ndarray, rule: Similarity) -> np.ndarray:
+    """Which of the others a set may be similar to by their sizes and sketches.
+
+    Similar sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes.
+    """
+    apart = np.abs(counts[others] - counts[i]).sum(axis=1, dtype=np.int64)
+    near = apart * (100 + rule.percent) <= (100 - rule.percent) * (sizes[others] + sizes[i])
+    return near & (100 * np.minimum(sizes[others], sizes[i]) >= rule.percent * np.maximum(sizes[others], sizes[i]))
 
 
 def joining_links(
@@ -253,66 +253,92 @@ def joining_links(
             i = root[i]
         return i
 
-    counts = sketches(sets) if len(left) * len(right) > 4 else None
+    within = left is right
     sizes = np.array([len(codes) for codes in sets])
-    for i in left:
-        near = right[right != i]
-        if counts is not None:
-            # Similar sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes.
-            apart = np.abs(counts[near] - counts[i]).sum(axis=1) * (100 + rule.percent)
-            near = near[apart <= (100 - rule.percent) * (sizes[near] + sizes[i])]
-        for j in near:
+    counts = np.frombuffer(b"".join(map(sketch, sets)), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+    for i in left.tolist():
+        others = right[right > i] if within else right
+        for j in others[may_be_similar(i, others, sizes, counts, rule)].tolist():
             if find(i) != find(j) and similar(sets[i], sets[j], rule):
                 root[find(j)] = find(i)
-                yield int(i), int(j)
+                yield i, j
 
 
-def compare_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of their block -> the links a, b found in each block.
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int]]]]:
+    """Batches of whole blocks, from rows in the order of their block, and where each block starts and ends."""
+
+    def cut(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[tuple[int, int]]]:
+        block = batch.column(0).to_numpy()
+        edges = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block)).tolist()
+        return batch, list(zip(edges[:-1], edges[1:], strict=True))
 
-    The sets of a block's side 0 are compared with those of side 1 and, where it has no side 1, with each other.
-    """
     held: pa.RecordBatch | None = None
     for batch in batches:
-        if held is not None and held.num_rows:
+        if not batch.num_rows:
+            continue
+        if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         block = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(block, block[-1]))
-        held = batch.slice(cut)
-        if cut:
-            yield _compare(batch.slice(0, cut), rule)
-    if held is not None and held.num_rows:
-        yield _compare(held, rule)
-
-
-def _compare(batch: pa.RecordBatch, rule: Similarity) -> pa.RecordBatch:
-    block, side, node, component = (batch.column(i).to_numpy() for i in range(4))
-    codes = batch.column(4)
-    ends = codes.offsets.to_numpy()
-    flat = codes.values.to_numpy().view(np.uint64)
-    links: list[tuple[int, int]] = []
-    edges = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block))
-    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        sets = [flat[ends[i] : ends[i + 1]] for i in range(start, end)]
-        known: dict[int, int] = {}
-        root = [known.setdefault(c, i) for i, c in enumerate(component[start:end].tolist())]
-        left, right = (np.flatnonzero(side[start:end] == k) for k in (0, 1))
-        found = joining_links(left, right if len(right) else left, sets, root, rule)
-        links += [(int(node[start + i]), int(node[start + j])) for i, j in found]
-    a, b = (pa.array([link[k] for link in links], pa.int64()) for k in (0, 1))
-    return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
-
-
-def _links(blocks: DataFrame, codes: DataFrame, rule: Similarity) -> DataFrame:
-    """The links of blocks of nodes; ``blocks``: block, side, node, component."""
-    rows = blocks.join(codes, "node").select("block", "side", "node", "component", "codes")
-    dealt = rows.repartition("block").sortWithinPartitions("block", "side")
-    return mapped(dealt, compare_batches, "a long, b long", rule)
-
-
-def star_blocks(shared: DataFrame) -> DataFrame:
-    """Each signature's first node against its other ones, in blocks of about ``BLOCK``."""
-    pairs = shared.where("node != first").select("first", "node").distinct()
+        end = int(np.searchsorted(block, block[-1]))
+        held = batch.slice(end)
+        if end:
+            yield cut(batch.slice(0, end))
+    if held is not None:
+        yield cut(held)
+
+
+def _sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    return (left, right) if len(right) else (left, left)
+
+
+BLOCKS = "block long, side int, node long, component long"
+
+
+def near_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
+    """BLOCKS, size, sketch in the order of blocks -> the rows that may be similar to one of another component.
+
+    The sets of a block's side 0 are compared with those of side 1 or, where it has none, with each other.
+    """
+    for batch, edges in _blocks(batches):
+        side, component, size = (batch.column(i).to_numpy() for i in (1, 3, 4))
+        counts = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+        near = np.zeros(len(side), bool)
+        for start, end in edges:
+            left, right = (start + x for x in _sides(side[start:end]))
+            for i in left:
+                others = right[component[right] != component[i]]
+                close = may_be_similar(i, others, size, counts, rule)
+                if close.any():
+                    near[i] = True
+                    near[others[close]] = True
+        if near.any():
+            yield batch.filter(pa.array(near)).select(["block", "side", "node", "component"])
+
+
+def compare_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
+    """BLOCKS, codes in the order of blocks -> links a, b, found as for ``near_batches``."""
+    for batch, edges in _blocks(batches):
+        side, node, component = (batch.column(i).to_numpy() for i in (1, 2, 3))
+        ends = batch.column(4).offsets.to_numpy()
+        flat = batch.column(4).values.to_numpy().view(np.uint64)
+        links: list[tuple[int, int]] = []
+        for start, end in edges:
+            sets = [flat[ends[i] : ends[i + 1]] for i in range(start, end)]
+            known: dict[int, int] = {}
+            root = [known.setdefault(c, i) for i, c in enumerate(component[start:end].tolist())]
+            found = joining_links(*_sides(side[start:end]), sets, root, rule)
+            links += [(int(node[start + i]), int(node[start + j])) for i, j in found]
+        columns = [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition("block").sortWithinPartitions("block", "side")
+
+
+def star_blocks(pairs: DataFrame) -> DataFrame:
+    """Each first node against its other ones, in blocks of about ``BLOCK``."""
     many = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("blocks > 1")
     part = F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1)))
     dealt = pairs.join(many, "first", "left").select("first", "node", F.xxhash64("first", part).alias("block"))
@@ -320,30 +346,37 @@ def star_blocks(shared: DataFrame) -> DataFrame:
     return dealt.select("block", F.lit(1).alias("side"), "node").union(centre).withColumn("component", F.col("node"))
 
 
-def open_blocks(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """The signatures whose nodes are in several components, once for each set of nodes.
+def open_blocks(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes that have a first one in common and are in several components.
 
-    Two nodes have been compared already. More than ``BLOCK`` are cut into parts,
-    and each pair of parts is a block, so that all are compared and no task holds more than two parts.
+    More than ``BLOCK`` are cut into parts, and each pair of parts is a block, so
+    that all are compared and no task holds more than two parts.
     """
-    labelled = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    groups = (
-        labelled.groupBy("signature")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.bit_xor(F.xxhash64("node")).alias("nodes"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        )
-        .where("n > 2 and low != high")
-        .groupBy("n", "nodes")
-        .agg(F.min("signature").alias("signature"))
+    labelled = pairs.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = labelled.groupBy("first").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    rows = labelled.join(groups, "signature").withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int"))
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    block = F.xxhash64("signature", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(block.alias("block"), F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "node", "component")
+    several = several.where("low != high").select("first", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    rows = labelled.join(several, "first")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    block = F.xxhash64("first", F.least("own", "other"), F.greatest("own", "other"))
+    side = F.when(F.col("own") > F.col("other"), 1).otherwise(0)
+    return rows.select(block.alias("block"), side.alias("side"), "node", "component")
+
+
+def _links(blocks: DataFrame, nodes: DataFrame, rows: DataFrame, rule: Similarity) -> DataFrame:
+    """The links of blocks of nodes, whose texts are read again if their sketches are near."""
+    sketched = blocks.join(nodes.select("node", "size", "sketch"), "node")
+    sketched = _in_blocks(sketched.select("block", "side", "node", "component", "size", "sketch"))
+    near = stored(mapped(sketched, near_batches, BLOCKS, rule), "near")
+    wanted = nodes.join(near.select("node").distinct(), "node", "left_semi").select("w_id", "w_hash")
+    if near.select("node").distinct().count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    matches = same(F.col("doc_id"), F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))
+    codes = mapped(rows.join(wanted, matches, "left_semi").select("text"), code_batches, "node long, codes array<long>", rule)
+    compared = _in_blocks(near.join(codes, "node").select("block", "side", "node", "component", "codes"))
+    return stored(mapped(compared, compare_batches, "a long, b long", rule), "links")
 
 
 def similar_documents(
@@ -358,24 +391,21 @@ def similar_documents(
     """
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(text).alias("text_hash"), text.alias("text"))
-    sets = stored(mapped(rows, set_batches, "doc_id long, text_hash long, n_shingles long, node long", rule), "sets")
+    sets = stored(mapped(rows, set_batches, SETS, rule), "sets")
 
     signed = mapped(rows.select("text"), signature_batches, "signature long, node long", rule)
     dealt = signed.repartition("signature").sortWithinPartitions("signature", "node")
-    shared = stored(mapped(dealt, shared_batches, "signature long, node long, first long"), "shared")
+    pairs = stored(mapped(dealt, shared_batches, "first long, node long").distinct(), "pairs")
 
     # One text for each node that shares a signature.
-    wanted = sets.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node")
-    wanted = stored(wanted.agg(F.min_by(F.struct("doc_id", "text_hash"), "text_hash").alias("w")).select("w.*"), "wanted")
-    few = wanted.count() <= BROADCAST_ROWS
-    w = (F.broadcast(wanted) if few else wanted).select(F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"))
-    matches = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))
-    chosen = rows.join(w, matches, "left_semi").select("text")
-    codes = stored(mapped(chosen, code_batches, "node long, codes array<long>", rule).dropDuplicates(["node"]), "codes")
-
-    links = stored(_links(star_blocks(shared), codes, rule), "links")
-    labels = components(links)
-    links = links.union(stored(_links(open_blocks(shared, labels), codes, rule), "links"))
+    paired = pairs.select("node").union(pairs.select("first")).distinct()
+    nodes = sets.join(paired, "node", "left_semi").groupBy("node")
+    nodes = nodes.agg(F.min_by(F.struct("doc_id", "text_hash", "n_shingles", "sketch"), "text_hash").alias("w"))
+    nodes = nodes.select("node", F.col("w.doc_id").alias("w_id"), F.col("w.text_hash").alias("w_hash"), F.col("w.n_shingles").alias("size"), "w.sketch")
+    nodes = stored(nodes, "nodes")
+
+    links = _links(star_blocks(pairs), nodes, rows, rule)
+    links = links.union(_links(open_blocks(pairs, components(links)), nodes, rows, rule))
     labels = components(links)
 
     labelled = sets.join(labels, "node", "left").withColumn("key", F.coalesce("component", "node"))
