@@ -1,14 +1,14 @@
 """Texts whose sets of word shingles are similar, by signatures of partitions of the shingle domain.
 
 Two sets with a Jaccard similarity of at least t differ in a bounded number of
-shingles, given their sizes. The hashed domain is cut into more parts than that; the
-parts in which a set has the same shingles as a similar one cannot all differ. Small sets, for which
-single parts say little, use combinations of parts. So each set has one signature for each chosen part or
-combination, in the size bands it can share with a similar set, and similar sets share one.
+shingles, given their sizes (PartEnum). The hashed domain is cut into more parts than that, so that similar
+sets have the same shingles in some part. Each set has a signature for each part, in every size band it can share with a
+similar set, and similar sets share one. This is the scheme's first level; in small sets a
+part holds too little to tell, and each combination of parts that may be left equal is signed instead, its second level.
 
 Sets that share a signature are compared with the smallest of their group first;
-what this leaves in several components is then compared block by block. Counts of the
-shingles in a fixed partition rule most pairs out before any shingles are moved.
+what this leaves in several components is then compared block by block. Sketches, counts of
+the shingles in a coarse partition, rule most pairs out before any shingles are moved.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ SEEN = 500_000  # sets a task remembers to have signed
 BAND = 1.5  # ratio of the largest to the smallest size of a band
 BLOCK = 512  # sets compared in one task at a time
 BROADCAST_ROWS = 1_000_000  # 16 bytes each
-SKETCH = 256  # parts of the fixed partition
 
 
 @dataclass(frozen=True)
@@ -143,10 +142,63 @@ def node_of(codes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(codes.tobytes()) - 2**63
 
 
-def sketch(codes: np.ndarray) -> bytes:
-    """Counts of a set's shingles in a fixed partition, up to 255; sets differ in at least as many as their counts do."""
-    counts = np.bincount((codes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+def sketch(codes: np.ndarray) -> np.ndarray:
+    """Counts, up to 3, of a set's shingles in a partition of as many parts as it has shingles, or up to twice as many."""
+    parts = 1 << max(2, (len(codes) - 1).bit_length())
+    counts = np.bincount((codes & np.uint64(parts - 1)).astype(np.int64), minlength=parts)
+    return np.minimum(counts, 3).astype(np.int8)
+
+
+def folded(counts: np.ndarray, parts: int) -> np.ndarray:
+    """A sketch as it would be with fewer parts."""
+    while len(counts) > parts:
+        half = len(counts) // 2
+        counts = np.minimum(counts[:half] + counts[half:], 3)
+    return counts
+
+
+def packed(counts: np.ndarray) -> bytes:
+    return (counts.reshape(-1, 4) << np.array([0, 2, 4, 6])).sum(1).astype(np.uint8).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return ((np.frombuffer(data, np.uint8)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int8).ravel()
+
+
+class Sketches:
+    """The sketches of several sets, compared with as many parts as both of two have.
+
+    Sets differ in at least as many shingles as their counts differ by in all.
+    """
+
+    def __init__(self, sketches: list[np.ndarray], sizes: np.ndarray, rule: Similarity):
+        self.sketches, self.sizes, self.rule = sketches, sizes, rule
+        self.parts = np.array([len(counts) for counts in sketches])
+        self.rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _with(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sketches folded to so many parts, and the row of each set that has as many."""
+        if parts not in self.rows:
+            chosen = np.flatnonzero(self.parts >= parts)
+            place = np.full(len(self.parts), -1)
+            place[chosen] = np.arange(len(chosen))
+            self.rows[parts] = np.stack([folded(self.sketches[i], parts) for i in chosen]), place
+        return self.rows[parts]
+
+    def near(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of the others that a set may be similar to, by sizes and sketches.
+
+        Similar sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes.
+        """
+        percent, size = self.rule.percent, self.sizes[others]
+        others = others[100 * np.minimum(size, self.sizes[i]) >= percent * np.maximum(size, self.sizes[i])]
+        out = []
+        for parts in np.unique(self.parts[others]).tolist():
+            alike = others[self.parts[others] == parts]
+            table, place = self._with(min(parts, int(self.parts[i])))
+            apart = np.abs(table[place[alike]] - table[place[i]]).sum(axis=1, dtype=np.int64)
+            out.append(alike[apart * (100 + percent) <= (100 - percent) * (self.sizes[alike] + self.sizes[i])])
+        return np.sort(np.concatenate(out)) if out else others
 
 
 SETS = "doc_id long, text_hash long, n_shingles long, node long, sketch binary"
@@ -160,7 +212,7 @@ def set_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator
             codes = shingles(scalar.as_py() or "", rule.words)
             sizes.append(len(codes))
             nodes.append(node_of(codes) if len(codes) else None)
-            sketches.append(sketch(codes) if len(codes) else None)
+            sketches.append(packed(sketch(codes)) if len(codes) else None)
         columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())]
         names = [part.split()[0] for part in SETS.split(", ")]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
@@ -232,16 +284,6 @@ def similar(a: np.ndarray, b: np.ndarray, rule: Similarity) -> bool:
     return 100 * shared >= rule.percent * (len(a) + len(b) - shared)
 
 
-def may_be_similar(i: int, others: np.ndarray, sizes: np.ndarray, counts: np.ndarray, rule: Similarity) -> np.ndarray:
-    """Which of the others a set may be similar to by their sizes and sketches.
-
-    Similar sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes.
-    """
-    apart = np.abs(counts[others] - counts[i]).sum(axis=1, dtype=np.int64)
-    near = apart * (100 + rule.percent) <= (100 - rule.percent) * (sizes[others] + sizes[i])
-    return near & (100 * np.minimum(sizes[others], sizes[i]) >= rule.percent * np.maximum(sizes[others], sizes[i]))
-
-
 def joining_links(
     left: np.ndarray, right: np.ndarray, sets: list[np.ndarray], root: list[int], rule: Similarity
 ) -> Iterator[tuple[int, int]]:
@@ -254,11 +296,9 @@ def joining_links(
         return i
 
     within = left is right
-    sizes = np.array([len(codes) for codes in sets])
-    counts = np.frombuffer(b"".join(map(sketch, sets)), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+    sketches = Sketches([sketch(codes) for codes in sets], np.array([len(codes) for codes in sets]), rule)
     for i in left.tolist():
-        others = right[right > i] if within else right
-        for j in others[may_be_similar(i, others, sizes, counts, rule)].tolist():
+        for j in sketches.near(i, right[right > i] if within else right).tolist():
             if find(i) != find(j) and similar(sets[i], sets[j], rule):
                 root[find(j)] = find(i)
                 yield i, j
@@ -302,16 +342,17 @@ def near_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterato
     """
     for batch, edges in _blocks(batches):
         side, component, size = (batch.column(i).to_numpy() for i in (1, 3, 4))
-        counts = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
         near = np.zeros(len(side), bool)
         for start, end in edges:
-            left, right = (start + x for x in _sides(side[start:end]))
-            for i in left:
-                others = right[component[right] != component[i]]
-                close = may_be_similar(i, others, size, counts, rule)
-                if close.any():
-                    near[i] = True
-                    near[others[close]] = True
+            own = component[start:end]
+            left, right = _sides(side[start:end])
+            counts = [unpacked(data.as_py()) for data in batch.column(5).slice(start, end - start)]
+            sketches = Sketches(counts, size[start:end], rule)
+            for i in left.tolist():
+                found = sketches.near(i, right[own[right] != own[i]])
+                if len(found):
+                    near[start + i] = True
+                    near[start + found] = True
         if near.any():
             yield batch.filter(pa.array(near)).select(["block", "side", "node", "component"])
 
@@ -382,9 +423,10 @@ def _links(blocks: DataFrame, nodes: DataFrame, rows: DataFrame, rule: Similarit
 def similar_documents(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rule: Similarity = Similarity()
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash, n_shingles, component_id and the size of the component.
+    """One row per row of ``docs``: doc_id, text_hash, n_shingles, component_id, component_size and component.
 
-    ``component_id`` is the smallest doc_id reachable by links, its own included.
+    ``component_id`` is the smallest doc_id reachable by links, its own included; ``component`` tells
+    components apart whatever their ids, and is null for an empty set.
     A text of fewer words than a shingle is one shingle. Null and empty texts have an empty
     set and no links. Rows with equal sets are linked, whatever their ids. A
     null id is larger than any other. Other columns are not read.
@@ -401,8 +443,8 @@ def similar_documents(
     paired = pairs.select("node").union(pairs.select("first")).distinct()
     nodes = sets.join(paired, "node", "left_semi").groupBy("node")
     nodes = nodes.agg(F.min_by(F.struct("doc_id", "text_hash", "n_shingles", "sketch"), "text_hash").alias("w"))
-    nodes = nodes.select("node", F.col("w.doc_id").alias("w_id"), F.col("w.text_hash").alias("w_hash"), F.col("w.n_shingles").alias("size"), "w.sketch")
-    nodes = stored(nodes, "nodes")
+    own = F.col("w.doc_id").alias("w_id"), F.col("w.text_hash").alias("w_hash"), F.col("w.n_shingles").alias("size")
+    nodes = stored(nodes.select("node", *own, "w.sketch"), "nodes")
 
     links = _links(star_blocks(pairs), nodes, rows, rule)
     links = links.union(_links(open_blocks(pairs, components(links)), nodes, rows, rule))
@@ -417,15 +459,15 @@ def similar_documents(
         "n_shingles",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
         F.coalesce("n", F.lit(1)).alias("component_size"),
+        F.col("key").alias("component"),
     )
 
 
 def keep_one(docs: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     """Of each component the row with the smallest id, of several such rows one; rows without words all stay."""
-    found = stored(similar_documents(docs, rule=rule).where("n_shingles > 0"), "found")
+    found = stored(similar_documents(docs, rule=rule).where("component is not null"), "found")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
-    chosen = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("text_hash")).alias("own"))
-    chosen = chosen.agg(F.min(order).alias("w")).select("w.doc_id", "w.text_hash")
+    chosen = found.groupBy("component").agg(F.min(order).alias("w")).select("w.doc_id", "w.text_hash")
     gone = stored(found.select("doc_id", "text_hash").distinct().exceptAll(chosen), "gone")
     gone_rows = gone.count()
     gone = gone.select(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).alias("_gone_"))
@@ -434,5 +476,5 @@ def keep_one(docs: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     kept = docs.join(F.broadcast(gone) if gone_rows <= BROADCAST_ROWS else gone, matches, "left_anti")
     if found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
         return kept
-    empty = F.coalesce(F.regexp_extract("text", r"[^\x20\x09-\x0D]", 0), F.lit("")) == ""
-    return kept.where(~empty).dropDuplicates(["doc_id", "text"]).unionByName(kept.where(empty))
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return kept.where(has_words).dropDuplicates(["doc_id", "text"]).unionByName(kept.where(~has_words))
