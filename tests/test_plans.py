@@ -166,3 +166,19 @@ def test_a_dimension_that_takes_a_shuffle_is_worked_out_once(spark):
     assert "customer.parquet" not in plan, "only its written copy is read"
     assert plan.count("events.parquet") == 1
     assert QUERIES["enrich_avg_stats"](spark, SF).inputFiles() and "customer.parquet" in plan_of(QUERIES["enrich_avg_stats"](spark, SF))
+
+
+def test_tables_cut_by_a_flag_are_written_without_a_sort(spark, folder):
+    from tributary.settings import BASE_SETTINGS
+
+    spark.sql(
+        f"create table flagged (id bigint, rejected boolean) using parquet partitioned by (rejected) location '{folder('t')}'"
+    )
+    insert = "explain insert overwrite flagged select id, id % 2 = 0 as rejected from range(100)"
+    try:
+        assert "Sort" in spark.sql(insert).first()[0]
+        name = "spark.sql.maxConcurrentOutputFileWriters"
+        with settings(spark, **{name.replace(".", "__"): BASE_SETTINGS[name]}):
+            assert "Sort" not in spark.sql(insert).first()[0]
+    finally:
+        spark.sql("drop table flagged")
