@@ -79,6 +79,19 @@ def test_postfix_keeps_the_meaning():
                 assert stack == [eval(text, {}, given)]
 
 
+def test_the_longest_expression_is_taken():
+    for tokens in itertools.product(["(", ")", "and", "with", "a"], repeat=5):
+        found = []
+        for end in range(1, 6):
+            try:
+                licenses.postfix(list(tokens[:end]))
+                found = list(tokens[:end])
+            except ValueError:
+                pass
+        assert licenses.longest_expression(tokens) == found
+    assert len(licenses.longest_expression(["a", "or"] * 500 + ["b", "c"])) == 1001
+
+
 @pytest.mark.parametrize("tokens", ["( a", "a )", "a b", "and a", "a or", "( )", ""])
 def test_what_is_no_expression(tokens):
     with pytest.raises(ValueError):

@@ -9,7 +9,7 @@ to the licences it names.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import ahocorasick
@@ -109,19 +109,27 @@ def licences(expression: list[str]) -> set[str]:
     return stack.pop()
 
 
-def tagged(line: str) -> set[str]:
-    """The families of the longest expression at the start of a line that has one."""
-    tokens = []
-    for match in TOKEN.finditer(line):
-        tokens.append(match[0])
-        if len(tokens) == 64:
+def longest_expression(tokens: Iterable[str]) -> list[str]:
+    """The most of the first tokens that are an expression."""
+    taken: list[str] = []
+    whole = depth = 0
+    operand_next = True
+    for token in tokens:
+        starts_operand = token == "(" or token != ")" and token not in POWER
+        if starts_operand != operand_next or token == ")" and not depth:
             break
-    for end in range(len(tokens), 0, -1):
-        try:
-            return licences(tokens[:end])
-        except ValueError:
-            continue
-    return set()
+        depth += (token == "(") - (token == ")")
+        operand_next = token == "(" or token in POWER
+        taken.append(token)
+        if not operand_next and not depth:
+            whole = len(taken)
+    return taken[:whole]
+
+
+def tagged(line: str) -> set[str]:
+    """The families of the longest expression at the start of a line; none if it starts with none."""
+    expression = longest_expression(match[0] for match in TOKEN.finditer(line))
+    return licences(expression) if expression else set()
 
 
 @cache
