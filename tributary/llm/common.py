@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from tributary.scratch import scratch_path
 from tributary.workers import mapped  # noqa: F401  (the operators take it from here)
 
-# The words of two contracts, as ranges of code points: letters, digits and all beyond ASCII; all but blanks.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# The same over UTF-8 bytes: everything that is no word byte becomes a blank, A-Z become a-z.
+# Over UTF-8 bytes: what is no digit, letter or beyond ASCII becomes a blank, A-Z become a-z.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
