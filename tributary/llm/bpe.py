@@ -27,6 +27,7 @@ from tributary.llm.common import mapped
 
 VOCABULARY = "byte_bpe_50k.json"
 WORDS_KEPT = 300_000  # encodings a worker keeps between batches of texts
+PAIRS_KEPT = 500_000  # pairs of tokens known to stay or fall
 TOGETHER = 4_000_000  # characters of texts encoded together; the more, the more prefixes are shared
 
 
@@ -87,7 +88,7 @@ class Encoder:
             else:
                 limit, b = rank_b + 1, self.parts[b][0]
                 # A merge across of the same rank comes before the one to its right.
-        if len(self.stays) > 2_000_000:
+        if len(self.stays) > PAIRS_KEPT:
             self.stays.clear()
         self.stays[left, right] = result
         return result
