@@ -12,7 +12,7 @@ from tributary.plans import bronze_to_silver, landing_to_bronze
 from tributary.plans.medallion import read_bronze
 from tributary.sources import records
 from tributary.sources import largest_file, read_landed, read_zone
-from tributary.sources.landing import least_split
+from tributary.sources.landing import uncut_bytes
 from tributary.sources.records import inside_after, opened_splits
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -169,8 +169,8 @@ def test_records_cut_by_splits(spark, folder):
             assert table(read_landed(spark, folder("in"), CONTRACT, corrupt=None)) == sorted(want, key=repr)
 
 
-def test_starts_that_are_too_many_to_hand_out(spark, folder, monkeypatch):
-    monkeypatch.setattr(records, "STARTS_BROADCAST", 0)
+def test_splits_that_are_too_many_for_the_driver(spark, folder, monkeypatch):
+    monkeypatch.setattr(records, "SPLITS_AT_ONCE", 0)
     path = land(folder("in"), "a.csv", [f'{i},"two\nlines {i}",{i}' for i in range(300)])
     with splits_of(spark, 100):
         assert table(read_landed(spark, path, CONTRACT, corrupt=None)) == sorted([(i, f"two\nlines {i}", str(i)) for i in range(300)], key=repr)
@@ -189,7 +189,7 @@ def test_large_files_are_split(spark, folder):
     many = land(folder("many"), "a.csv", [f'{i},"a, ""{i}""",180' for i in range(20_000)])
     assert largest_file(spark, many) == os.path.getsize(os.path.join(many, "a.csv"))
     with splits_of(spark, 65536):
-        assert least_split(spark) == 65536
+        assert uncut_bytes(spark) == 65536
         split = read_landed(spark, many, CONTRACT, corrupt=None)
         assert split.rdd.getNumPartitions() > 4
         assert split.distinct().count() == 20_000

@@ -8,8 +8,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tributary.contracts import Contract
 from tributary.functions.payload import CORRUPT
+from tributary.settings import MIB
 from tributary.sources.records import joined_records, parse_records
 
+WHOLE_BYTES = 32 * MIB
+
 _QUOTING = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
@@ -19,10 +22,10 @@ def largest_file(spark: SparkSession, path: str | list[str]) -> int:
     return files.agg(F.max("length")).first()[0] or 0
 
 
-def least_split(spark: SparkSession) -> int:
-    """Files up to so many bytes are not cut into splits under the session's settings."""
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    return min(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(n)) for n in names)
+def uncut_bytes(spark: SparkSession) -> int:
+    """Files up to so many bytes are read whole, which saves a pass over them."""
+    largest_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return min(WHOLE_BYTES, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(largest_split))
 
 
 def read_landed(
@@ -45,5 +48,5 @@ def read_landed(
     if corrupt:
         schema = StructType([*schema.fields, StructField(corrupt, StringType())])
         options["columnNameOfCorruptRecord"] = corrupt
-    files_are_whole = largest_file(spark, path) <= least_split(spark)
+    files_are_whole = largest_file(spark, path) <= uncut_bytes(spark)
     return parse_records(joined_records(spark, path, files_are_whole), header, schema, options)

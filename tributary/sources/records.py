@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,8 +25,8 @@ from pyspark.sql.types import StructType
 
 from tributary.workers import mapped
 
-# So many splits that start inside a record are made known to every task; more are joined by a shuffle.
-STARTS_BROADCAST = 100_000
+# Up to so many splits, their ends are put together on the driver and made known to every task.
+SPLITS_AT_ONCE = 100_000
 RECORDS = 10_000  # of a batch
 BLANK = "".join(map(chr, range(33)))
 BOM = "\ufeff"
@@ -54,16 +55,33 @@ def inside_after(line: str, inside: bool, delimiter: str = ",") -> bool:
             return False
 
 
+def _whole_files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str]]]:
+    """The lines of files of which each is one row."""
+    for batch in batches:
+        for file, text in zip(batch.column(0), batch.column(2), strict=True):
+            lines = text.as_py().replace("\r\n", "\n").split("\n")
+            if not lines[-1]:
+                lines.pop()
+            elif lines[-1].endswith("\r"):
+                lines[-1] = lines[-1][:-1]
+            yield (file.as_py(), 0, None), lines
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str]]]:
     """Lines, without the CR of a CRLF, in runs of one split: file, where it starts, where its open record does."""
     for batch in batches:
-        if not batch.num_rows:
+        rows = batch.num_rows
+        if not rows:
             continue
-        keys = list(zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), strict=True))
-        edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-        lines = pc.replace_substring_regex(batch.column(2), "\r$", "")
+        file, split, lines, open_from = batch.columns
+        edges = [0, rows]
+        if file[0] != file[-1] or split[0] != split[-1]:
+            new = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(split[1:], split[:-1]))
+            edges[1:1] = (np.flatnonzero(new.to_numpy(zero_copy_only=False)) + 1).tolist()
+        if pc.any(pc.ends_with(lines, "\r")).as_py():
+            lines = pc.replace_substring_regex(lines, "\r$", "")
         for start, end in zip(edges, edges[1:], strict=False):
-            yield keys[start], lines.slice(start, end - start).to_pylist()
+            yield (file[start].as_py(), split[start].as_py(), open_from[start].as_py()), lines[start:end].to_pylist()
 
 
 def border_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +123,7 @@ def opened_splits(borders: pd.DataFrame) -> pd.DataFrame:
 def record_batches(batches: Iterator[pa.RecordBatch], files_are_whole: bool) -> Iterator[pa.RecordBatch]:
     """file, split, value, open_from -> records, and pieces of those that the border of a split cuts.
 
-    A piece names the file and the split its record begins in. Blank lines are no records.
+    A value is a line or, where files are whole, a file. A piece names the file and the split its record begins in. Blank lines are no records.
     """
     out: list[tuple] = []
     current: tuple | None = None
@@ -134,7 +152,7 @@ def record_batches(batches: Iterator[pa.RecordBatch], files_are_whole: bool) ->
         out.clear()
         return pa.RecordBatch.from_arrays(arrays, names=["record", "is_header", "file", "open_from", "split"])
 
-    for key, lines in _runs(batches):
+    for key, lines in (_whole_files if files_are_whole else _runs)(batches):
         if key != current:
             leave()
             current, first, parts, open_from = key, True, [], key[2]
@@ -156,33 +174,35 @@ def record_batches(batches: Iterator[pa.RecordBatch], files_are_whole: bool) ->
     yield full()
 
 
+STARTS = "file string, split long, open_from long"
 PIECES = "record string, is_header boolean, file string, open_from long, split long"
 
 
 def joined_records(spark: SparkSession, path: str | list[str], files_are_whole: bool) -> DataFrame:
     """Each record's whole text as ``record``; ``is_header`` marks the first of each file.
 
-    ``files_are_whole`` says that no file is cut into splits; each is then read once.
+    With ``files_are_whole`` a file is one row of a task, read once; it has to be small.
     """
-    lines = spark.read.option("lineSep", "\n").text(path)
     file, split = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")
     nowhere = F.lit(None).cast("long").alias("open_from")
     if files_are_whole:
-        pieces = mapped(lines.select(file, split, "value", nowhere), record_batches, PIECES, True)
+        files = spark.read.text(path, wholetext=True)
+        pieces = mapped(files.select(file, split, "value", nowhere), record_batches, PIECES, True)
         return pieces.select("record", "is_header")
 
+    lines = spark.read.option("lineSep", "\n").text(path)
     borders = mapped(lines.select(file, split, "value", nowhere), border_batches, BORDERS)
-    found = borders.groupBy("file").applyInPandas(_opened_of_file(), "file string, split long, open_from long")
-    starts = found.persist()
-    try:
-        few = starts.count() <= STARTS_BROADCAST
-        known = spark.createDataFrame(starts.collect(), starts.schema) if few else None
-    finally:
-        starts.unpersist()
-    in_order = lines.select(file, split, "value", F.monotonically_increasing_id().alias("line"))
-    if few:
-        placed = in_order.join(F.broadcast(known), ["file", "split"], "left")
+    first = borders.limit(SPLITS_AT_ONCE + 1).toPandas()
+    if len(first) <= SPLITS_AT_ONCE:
+        opened = [opened_splits(of_file) for _, of_file in first.groupby("file")]
+        starts = pd.concat(opened) if opened else first.iloc[:0, :2]
+        placed = lines.select(file, split, "value", nowhere)
+        if len(starts):
+            known = spark.createDataFrame(list(starts.itertuples(index=False, name=None)), STARTS)
+            placed = placed.drop("open_from").join(F.broadcast(known), ["file", "split"], "left")
     else:
+        found = borders.groupBy("file").applyInPandas(_opened_of_file(), STARTS)
+        in_order = lines.select(file, split, "value", F.monotonically_increasing_id().alias("line"))
         placed = in_order.join(found, ["file", "split"], "left")
         placed = placed.repartition("file", "split").sortWithinPartitions("file", "split", "line")
     pieces = mapped(placed.select("file", "split", "value", "open_from"), record_batches, PIECES, False)
