@@ -23,9 +23,7 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         large = _towards_smallest(links.union(links.select("b", "a")), larger=True)
         links = stored(_towards_smallest(large, larger=False), "links")
-        state = links.agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b") % (1 << 40)), F.lit(0)).alias("sum")
-        ).first()
+        state = links.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("all")).first()
         if state == before:
             break
         before = state
