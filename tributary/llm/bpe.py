@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from tributary.llm.common import mapped
 
 VOCABULARY = "byte_bpe_50k.json"
-WORDS_KEPT = 300_000  # encodings a worker keeps between batches of texts
-PAIRS_KEPT = 500_000  # pairs of tokens known to stay or fall
-TOGETHER = 4_000_000  # characters of texts encoded together; the more, the more prefixes are shared
+WORDS_KEPT = 150_000  # encodings a worker keeps between batches of texts
+PAIRS_KEPT = 300_000  # pairs of tokens known to stay or fall
+TOGETHER = 3_000_000  # characters of texts encoded together; the more, the more prefixes are shared
 
 
 def _byte_letters() -> dict[str, int]:
@@ -145,9 +145,8 @@ class Encoder:
         distinct = set().union(*pieces)
         new = distinct - self.words.keys()
         if len(self.words) + len(new) > WORDS_KEPT:
-            self.words.clear()
-            self.words.update({text: struct.pack("<I", number) for text, number in self.special.items()})
-            new = distinct - self.words.keys()
+            # Those of these texts stay; the frequent ones are among them.
+            self.words = {word: self.words[word] for word in (distinct | self.special.keys()) & self.words.keys()}
         self.learn(new)
         return [b"".join(map(self.words.__getitem__, each)) for each in pieces]
 

@@ -23,6 +23,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_VALUES = 2_000_000
+
+
+def joinable(df: DataFrame, array: str | None = None) -> DataFrame:
+    """A stored table of ids, and perhaps an array of numbers, with the hint to broadcast it if it is small enough.
+
+    Rows and numbers are counted first: up to ``BROADCAST_VALUES`` the other side stays where it is.
+    """
+    numbers = F.sum(F.size(array)) if array else F.lit(0)
+    n = df.agg((F.count(F.lit(1)) + F.coalesce(numbers, F.lit(0))).alias("n")).first()["n"]
+    return F.broadcast(df) if n <= BROADCAST_VALUES else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

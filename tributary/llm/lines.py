@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ASCII_LOWER, mapped, stored, text_key
+from tributary.llm.common import ASCII_LOWER, joinable, mapped, stored, text_key
 
 
 @dataclass(frozen=True)
@@ -199,7 +199,7 @@ def dedupe_lines(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "doc
     lose lines to each other. A null text stays null, an empty one empty. Lines are compared by
     their words, A-Z lowered; lines without words match only next to others.
     """
-    found = shared_blocks(docs, rule, id_column, text_column).select(F.struct("doc", "places").alias("_found_"))
+    found = stored(shared_blocks(docs, rule, id_column, text_column).select(F.struct("doc", "places").alias("_found_")), "found")
     places = F.col("_found_").places
     text = F.col(text_column)
     lines = F.split(text, "\n")
@@ -207,7 +207,7 @@ def dedupe_lines(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "doc
     gone = F.array_join(F.filter(lines, lambda line, i: F.array_contains(places, i)), " ")
     # Blanks as the contract has them; a text of blanks only has no words.
     n_words = F.size(F.regexp_extract_all(gone, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
-    joined = docs.join(found, F.col("_found_").doc == _doc(F.col(id_column), text), "left")
+    joined = docs.join(joinable(found, "_found_.places"), F.col("_found_").doc == _doc(F.col(id_column), text), "left")
     return joined.select(
         *(c if c != text_column else F.when(places.isNull(), text).otherwise(left).alias(c) for c in docs.columns),
         F.when(places.isNull(), 0).otherwise(F.size(places)).alias("lines_removed"),

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ASCII_LOWER, mapped, same, stored, text_key
+from tributary.llm.common import ASCII_LOWER, joinable, mapped, same, stored, text_key
 
 
 @dataclass(frozen=True)
@@ -181,9 +181,9 @@ def keep_good(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
 
     ``n_chars``, where there is one, follows the text.
     """
-    verdicts = judged(stored(profiles(docs), "quality"), limits).where("kept")
-    v = verdicts.select("doc_id", "host", "text_hash", "lines_removed").distinct()
-    v = v.select(F.struct("*").alias("_verdict_"))
+    verdicts = judged(stored(profiles(docs), "quality"), limits).where("not kept or size(lines_removed) > 0")
+    verdict = F.struct("doc_id", "host", "text_hash", "kept", "lines_removed").alias("_verdict_")
+    verdicts = stored(verdicts.select(verdict).distinct(), "verdicts")
     verdict = F.col("_verdict_")
     matches = (
         same(F.col("doc_id").cast("long"), verdict.doc_id)
@@ -194,7 +194,8 @@ def keep_good(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
         F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(verdict.lines_removed, i)), "\n"
     )
     text = F.when(F.size(verdict.lines_removed) > 0, left).otherwise(F.col("text"))
-    return with_text(docs.join(v, matches), text, docs).select(*docs.columns)
+    judged_docs = docs.join(joinable(verdicts, "_verdict_.lines_removed"), matches, "left")
+    return with_text(judged_docs.where(F.coalesce(verdict.kept, F.lit(True))), text, docs).select(*docs.columns)
 
 
 def with_text(df: DataFrame, text, docs: DataFrame) -> DataFrame:
