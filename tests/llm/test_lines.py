@@ -123,3 +123,48 @@ def test_long_documents():
     b = a[:20_000] + [-1] + a[25_000:]
     assert len(lines.aligned(a, b)) == 55_000
     assert len(lines.aligned([1] * 50_000, [1] * 50_000)) == 50_000
+
+
+def blocks(rng, n, lines_each=5, words=9):
+    return [[plain.sentence(rng, words) for _ in range(lines_each)] for _ in range(n)]
+
+
+def run_lines(a, b, least):
+    """The lines of ``a`` in any run with enough words that is somewhere in ``b``, by trying all runs."""
+    inside = {tuple(b[i:j]) for i, j in itertools.combinations(range(len(b) + 1), 2)}
+    out = set()
+    for i, j in itertools.combinations(range(len(a) + 1), 2):
+        words = [len(line.split()) for line in a[i:j]]
+        if words[0] and words[-1] and sum(words) >= least and tuple(a[i:j]) in inside:
+            out.update(range(i, j))
+    return out
+
+
+def test_passages_go_however_often_and_in_whatever_order_they_come(spark):
+    rng = random.Random(5)
+    p, q, r = blocks(rng, 3)
+    own = iter(blocks(rng, 40, 1))
+    texts = [
+        [*next(own), *p, *next(own), *p, *next(own)],  # the earliest holder has it twice
+        [*next(own), *p, *next(own)],
+        [*next(own), *p, *next(own), *p, *next(own), *p],
+        [*next(own), *q, *next(own), *r, *next(own)],
+        [*next(own), *r, *next(own), *q, *next(own)],  # the other order
+        [*r, *q, *r, *next(own)],
+        [*q[:2], *next(own), *q[2:]],  # too short on both sides of the cut
+        [*next(own), *p, *next(own)],
+    ]
+    docs = [(i, "\n".join(text)) for i, text in enumerate(texts)]
+    got = {row["doc_id"]: row["text"].split("\n") for row in lines.dedupe_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    gone = {i: set().union(*(run_lines(text, texts[k], 30) for k in range(i))) for i, text in enumerate(texts)}
+    assert got == {i: [line for k, line in enumerate(text) if k not in gone[i]] for i, text in enumerate(texts)}
+    assert [len(gone[i]) for i in range(8)] == [0, 5, 15, 0, 10, 15, 0, 5]
+
+
+def test_all_shared_runs_are_found():
+    rng = random.Random(6)
+    for _ in range(400):
+        pool = [plain.sentence(rng, rng.randrange(1, 5)) for _ in range(rng.randrange(1, 7))]
+        a, b = ([rng.choice(pool) for _ in range(rng.randrange(14))] for _ in range(2))
+        least = rng.randrange(1, 12)
+        assert set(lines.common_blocks(a, b, [len(line.split()) for line in a], least)) == run_lines(a, b, least)

@@ -5,7 +5,9 @@ through the hashes of such runs, each as short as may be: every later holder of
 earliest, whose number of pairs is at most that of runs, however many hold one. A pair is
 aligned by patience diff: lines that both have once, in the longest common
 order, are anchors, and what lies between them is aligned in turn. Runs of aligned
-lines with enough words are deleted from the later document.
+lines with enough words are deleted from the later document. Of the lines left, those in shared
+runs that no alignment in one order finds, as they repeat or have moved, go in the same way: every
+occurrence in the later document is paired with the first in the earlier.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 import xxhash
@@ -130,19 +133,45 @@ def aligned(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _runs_of(lines: Sequence[int], other: set[int], sizes: dict[int, int], min_words: int) -> Iterator[tuple[int, int]]:
+    """The short runs of ``lines`` that have only lines of ``other``."""
+    for shared, group in groupby(range(len(lines)), lambda i: lines[i] in other):
+        if shared:
+            places = list(group)
+            for start, end in short_runs([sizes[lines[i]] for i in places], min_words):
+                yield places[0] + start, places[0] + end
+
+
+def shared_runs(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_words: int, gone: set[int]) -> set[int]:
+    """The places in ``a`` of short runs that ``b`` has too, wherever and however often; those all in ``gone`` are left out."""
+    sizes = dict(zip(a, words, strict=True))
+    wanted: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+    for start, end in _runs_of(a, set(b), sizes, min_words):
+        if not gone.issuperset(range(start, end)):
+            wanted.setdefault(tuple(a[start:end]), []).append((start, end))
+    out: set[int] = set()
+    if wanted:
+        for start, end in _runs_of(b, set(a), sizes, min_words):
+            for first, last in wanted.pop(tuple(b[start:end]), ()):
+                out.update(range(first, last))
+    return out
+
+
 def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_words: int) -> list[int]:
-    """The places in ``a`` of runs of lines aligned with runs in ``b`` that have enough words."""
-    out: list[int] = []
+    """The places in ``a`` of runs of lines with enough words that ``b`` has too, in any order and number."""
+    gone: set[int] = set()
     run: list[int] = []
     last = (-2, -2)
     for i, j in [*aligned(a, b), (len(a) + 1, -1)]:
         if (i - 1, j - 1) != last:
             if sum(words[k] for k in run) >= min_words:
-                out += run
+                gone.update(run)
             run = []
         run.append(i)
         last = (i, j)
-    return out
+    if len(gone) < len(a):
+        gone |= shared_runs(a, b, words, min_words, gone)
+    return sorted(gone)
 
 
 def align_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
