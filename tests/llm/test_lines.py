@@ -168,3 +168,26 @@ def test_all_shared_runs_are_found():
         a, b = ([rng.choice(pool) for _ in range(rng.randrange(14))] for _ in range(2))
         least = rng.randrange(1, 12)
         assert set(lines.common_blocks(a, b, [len(line.split()) for line in a], least)) == run_lines(a, b, least)
+
+
+def test_empty_lines_within_a_passage_do_not_matter(spark):
+    rng = random.Random(7)
+    passage = [plain.sentence(rng, 8) for _ in range(6)]
+    own = [plain.sentence(rng, 7) for _ in range(8)]
+    spaced = "\n \n".join(passage)
+    docs = [
+        (1, "\n".join([own[0], *passage, own[1]])),
+        (2, f"{own[2]}\n\n{spaced}\n\n{own[3]}"),
+        (3, "\n".join([own[4], *passage[:3], "", "", *passage[3:], own[5]])),
+        (4, f"\n{spaced}\n\n"),
+        (5, f"{own[6]}\n\n{own[7]}\n" + "\n\n".join(passage[:3])),  # 24 words only
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["lines_removed"], r["words_removed"]) for r in lines.dedupe_lines(df).collect()}
+    assert got == {
+        1: (docs[0][1], 0, 0),
+        2: (f"{own[2]}\n\n\n{own[3]}", 11, 48),
+        3: (f"{own[4]}\n{own[5]}", 8, 48),
+        4: ("", 14, 48),
+        5: (docs[4][1], 0, 0),
+    }

@@ -59,7 +59,10 @@ def short_runs(words: Sequence[int], min_words: int) -> set[tuple[int, int]]:
 
 
 def line_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_hash, text -> doc_id, text_hash, hash and number of words of each line, hashes of its short runs."""
+    """doc_id, text_hash, text -> doc_id, text_hash, hash and number of words of each line, hashes of its short runs.
+
+    A line without words has hash 0 and is in no run: those around it are next to each other.
+    """
     for batch in batches:
         hashes: list[int] = []
         sizes: list[int] = []
@@ -71,8 +74,8 @@ def line_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[
                 sizes.append(len(words))
                 joined = b" ".join(words).translate(ASCII_LOWER)
                 hashes.append(xxhash.xxh3_64_intdigest(joined) - 2**63 if words else 0)
-            own = array("q", hashes[ends[-1] :])
-            found = short_runs(sizes[ends[-1] :], min_words)
+            own = array("q", [line for line, size in zip(hashes[ends[-1] :], sizes[ends[-1] :], strict=True) if size])
+            found = short_runs([size for size in sizes[ends[-1] :] if size], min_words)
             runs.append(sorted({xxhash.xxh3_64_intdigest(own[start:end].tobytes()) - 2**63 for start, end in found}))
             ends.append(len(hashes))
         offsets = pa.array(ends, pa.int32())
@@ -158,7 +161,13 @@ def shared_runs(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_wo
 
 
 def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_words: int) -> list[int]:
-    """The places in ``a`` of runs of lines with enough words that ``b`` has too, in any order and number."""
+    """The places in ``a`` of runs of lines with enough words that ``b`` has too, in any order and number.
+
+    Lines without words, which are 0 or empty, are set aside first. They go where the lines with words next to them all go.
+    """
+    size = len(words)
+    at = [i for i, count in enumerate(words) if count]
+    a, b, words = [a[i] for i in at], [line for line in b if line], [words[i] for i in at]
     gone: set[int] = set()
     run: list[int] = []
     last = (-2, -2)
@@ -171,7 +180,14 @@ def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_
         last = (i, j)
     if len(gone) < len(a):
         gone |= shared_runs(a, b, words, min_words, gone)
-    return sorted(gone)
+    if not gone:
+        return []
+    out = [at[k] for k in gone]
+    at, gone = [-1, *at, size], {0, len(at) + 1, *(k + 1 for k in gone)}
+    for k in range(1, len(at)):
+        if k - 1 in gone and k in gone:
+            out += range(at[k - 1] + 1, at[k])
+    return sorted(out)
 
 
 def align_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
@@ -226,7 +242,8 @@ def dedupe_lines(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "doc
     Earlier is what has the smaller id; a null id comes last, equal ids go by a
     hash of their texts. Rows with the same id and text are one document and never
     lose lines to each other. A null text stays null, an empty one empty. Lines are compared by
-    their words, A-Z lowered; lines without words match only next to others.
+    their words, A-Z lowered; lines without words are set aside, and go where all lines with words
+    next to them go.
     """
     found = stored(shared_blocks(docs, rule, id_column, text_column).select(F.struct("doc", "places").alias("_found_")), "found")
     places = F.col("_found_").places
