@@ -97,3 +97,21 @@ def test_rows_that_are_odd(spark):
 
 def test_a_very_long_value_takes_time_in_proportion():
     assert secrets.guess_log10("aB3x" * 25_000) > 0
+
+
+def test_quoted_values_are_judged_whole():
+    cases = {
+        'password="Xk9(vR2,qLm8"': "Xk9(vR2,qLm8",
+        "pwd = 'x9<K>q2;L{m}Z\"7v`Tr' # set": 'x9<K>q2;L{m}Z"7v`Tr',
+        '"secret": "x9Kq (2LmZ", "user": "me"': "x9Kq (2LmZ",
+        r'token="x9K\"q2LmZ7"': r"x9K\"q2LmZ7",
+        'token="x9Kq2LmZ7vTr,\n"': "x9Kq2LmZ7vTr",  # no matching quote on the line
+        'token="x9Kq2LmZ7vTr\', "': "x9Kq2LmZ7vTr', ",
+        "auth: 'x9Kq2LmZ7vTr, done": "x9Kq2LmZ7vTr",
+        "pwd = x9Kq2LmZ7vTr;": "x9Kq2LmZ7vTr",
+    }
+    for text, value in cases.items():
+        assert [text[start:end] for start, _, end, _ in secrets.guessed_spans(text, secrets.GuessModel())] == [value], text
+    assert secrets.guessed_spans('token="" pwd="abc,d"', secrets.GuessModel()) == []
+    assert secrets.guessed_spans('"token=" + value + "&q=" + shown', secrets.GuessModel()) == []
+    assert secrets.guessed_spans('token="' * 20_000 + "'" * 20_000, secrets.GuessModel()) == []

@@ -30,10 +30,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ACCESS_LEAST = 20
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so the least length can stand in the pattern
 
-# Fields whose value is judged by its cost: more names, any value without blanks.
+# Fields whose value is judged by its cost: more names, and any value: from a quote to the next of its kind on the
+# line that no backslash precedes, or else without blanks, quotes and , ; < > ( ) { }. A quote before a blank opens none.
 FIELD = re.compile(
     r"""(?:passwords?|passwd|passphrase|pwd|secret|token|api[_-]?key|private[_-]?key|access[_-]?key|credentials?|auth)"""
-    r"""["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*["'`]?([^\s"'`,;<>(){}]+)""",
+    r"""["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*(?:(["'`])(?!\x20|\t)((?:\\[^\r\n]|(?!\1)[^\\\r\n])++)\1|["'`]?([^\s"'`,;<>(){}]+))""",
     re.IGNORECASE | re.ASCII,
 )
 BEARER = re.compile(r"\bbearer[\x20\t]+([A-Za-z0-9+/_.=~-]+)", re.IGNORECASE | re.ASCII)
@@ -154,7 +155,7 @@ def guessed_spans(text: str, model: GuessModel) -> list[tuple[int, int, int, flo
     low = text.lower()
     if not any(hint in low for hint in HINTS):
         return []
-    found = {m.span(1): m[1] for pattern in (FIELD, BEARER) for m in pattern.finditer(text)}
+    found = {m.span(m.lastindex): m[m.lastindex] for pattern in (FIELD, BEARER) for m in pattern.finditer(text)}
     costs = ((s, e, guess_log10(value, model)) for (s, e), value in found.items() if e - s >= model.min_length)
     return sorted((s, 3, e, cost) for s, e, cost in costs if cost >= model.min_log10)
 
