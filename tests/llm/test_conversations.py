@@ -1,0 +1,212 @@
+import collections
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from tributary.llm import conversations
+from tributary.llm.conversations import Audits, Costs
+
+PATTERN = re.compile(r"(s?(ua)+)?")
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def damaged(rows):
+    """The rule for damage, row by row."""
+    out = []
+    for conv_id, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        name = f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}"
+        fault = zlib.crc32(name.encode()) % 20
+        if fault == 0:
+            continue
+        text = "" if fault == 1 else re.sub(r"[.!?]", "", text) if fault == 2 else text
+        out += [(conv_id, turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1)
+    return out
+
+
+def digest(role, text):
+    return hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+
+
+def faults(rows):
+    """Of a conversation's rows, in order: role, text, and the first fault."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, digest(*r[1:])))
+    seen, out = set(), []
+    for _, role, text in rows:
+        end = re.sub(r"[\x20\x09-\x0D]+\Z", "", text)
+        fault = "blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else ""
+        seen.add((role, text))
+        out.append((role, text, fault))
+    return out
+
+
+def cheapest(rows):
+    """Cost, audit and repaired rows by a plain programme over whole strings."""
+    states = {"": (0, "", ())}
+    steps = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+    free = {"": "u", "s": "u", "a": "u", "u": "a"}
+    names = {"u": "user", "a": "assistant"}
+
+    def inserted(states):
+        for _ in range(3):
+            for state, (cost, audit, made) in list(states.items()):
+                to = free[state]
+                new = cost + 3, audit + "I", (*made, (names[to], ""))
+                states[to] = min(states.get(to, new), new, key=lambda x: x[:2])
+        return states
+
+    states = inserted(states)
+    for role, text, fault in rows:
+        after = {}
+
+        def offer(state, new, after=after):
+            after[state] = min(after.get(state, new), new, key=lambda x: x[:2])
+
+        for state, (cost, audit, made) in states.items():
+            offer(state, (cost + 4, audit + "D", made))
+            if fault not in ("blank", "duplicate"):
+                more = 3 * (fault == "truncated")
+                if (state, role[:1]) in steps:
+                    offer(steps[state, role[:1]], (cost + more, audit + "K", (*made, (role, text))))
+                offer(free[state], (cost + 3 + more, audit + "R", (*made, (names[free[state]], text))))
+        states = inserted(after)
+    return min((states[s] for s in ("", "a") if s in states), key=lambda x: x[:2])
+
+
+def exhaustive(rows):
+    """Cost and audit of every series of edits with up to two insertions in a place."""
+    best = None
+    gaps = ["", "u", "a", "ua", "au"]
+    options = []
+    for role, _, fault in rows:
+        more = 3 * (fault == "truncated")
+        kept = [] if fault in ("blank", "duplicate") else [("K", role[:1], more), ("R", "u", 3 + more), ("R", "a", 3 + more)]
+        options.append([("D", "", 4), *kept])
+    for edits in itertools.product(*options):
+        for added in itertools.product(gaps, repeat=len(rows) + 1):
+            roles = added[0] + "".join(e[1] + g for e, g in zip(edits, added[1:], strict=True))
+            if PATTERN.fullmatch(roles):
+                audit = "I" * len(added[0]) + "".join(e[0] + "I" * len(g) for e, g in zip(edits, added[1:], strict=True))
+                found = sum(e[2] for e in edits) + 3 * sum(map(len, added)), audit
+                best = min(best, found) if best else found
+    return best
+
+
+def expected(original, rows):
+    by = collections.defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        by[conv_id].append((turn, role, text))
+    out = {}
+    for conv_id in {r[0] for r in original}:
+        turns = [t for t, _, _ in by[conv_id] if t is not None]
+        told = faults(by[conv_id])
+        count = collections.Counter(fault for *_, fault in told)
+        initials = [role[:1] for role, *_ in told]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in itertools.pairwise(initials))
+        cost, audit, made = cheapest(told)
+        text = "\n".join(f"{role}:{text}" for role, text in made)
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        out[conv_id] = (gaps, count["blank"], count["duplicate"], count["truncated"], illegal, cost, audit, sha)
+    return out
+
+
+def found(df):
+    names = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    rows = df.collect()
+    assert len({r["conv_id"] for r in rows}) == len(rows)
+    return {r["conv_id"]: tuple(r[n] for n in names) for r in rows}
+
+
+def conversation(rng, n, conv_id, turns=None):
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", "", "User", None]
+    texts = ["Hello there.", "what", "", " \n", "yes!", "no. \t", "end?\x1c", "Why?", None, "üñ。"]
+    return [(conv_id, rng.choice([i, i, i, i * 2, None]) if turns is None else turns(i), rng.choice(roles), rng.choice(texts) or f"t{i}.") for i in range(n)]
+
+
+def test_the_plain_programme_finds_what_all_series_of_edits_hold():
+    rng = random.Random(1)
+    for _ in range(60):
+        rows = [(rng.choice(["user", "assistant", "system", "tool"]), "x", rng.choice(["", "", "truncated", "blank"])) for _ in range(rng.randrange(4))]
+        assert exhaustive(rows) == cheapest(rows)[:2]
+
+
+def test_agrees_with_the_plain_programme(spark):
+    rng = random.Random(2)
+    rows = [row for c in range(150) for row in conversation(rng, rng.randrange(1, 14), c)]
+    original = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = found(conversations.audit_conversations(original, conversations.damage(original)))
+    assert got == expected(rows, damaged(rows))
+
+
+@pytest.mark.parametrize("segment", [1, 2, 7])
+def test_a_conversation_cut_into_segments_is_repaired_alike(spark, segment):
+    rng = random.Random(segment)
+    rows = [row for c in range(12) for row in conversation(rng, rng.choice([3, 40, 200]), c)]
+    # Rows of no role that fits cost the same whichever way, so that the least audit is told by its first edit.
+    rows += [(99, i, "tool", f"t{i}.") for i in range(301)] + [(98, i, "a", f"t{i % 7}.") for i in range(90)]
+    damaged_rows = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        repairs = conversations.find_repairs(damaged_rows, segment=segment).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = expected(rows, [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows])
+    got = {r["conv_id"]: (r["gaps"], r["blank"], r["duplicate"], r["truncated"], r["illegal"], r["cost"], r["audit"]) for r in repairs}
+    assert got == {c: w[:-1] for c, w in want.items()}
+
+
+def test_repaired_rows_follow_the_pattern(spark):
+    rng = random.Random(4)
+    rows = [row for c in range(40) for row in conversation(rng, rng.randrange(1, 9), c)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    repaired = collections.defaultdict(list)
+    for r in conversations.repaired_rows(df, conversations.find_repairs(df)).collect():
+        repaired[r["conv_id"]].append((r["place"], r["role"], r["text"]))
+    want = expected(rows, [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows])
+    for conv_id in range(40):
+        made = sorted(repaired[conv_id])
+        assert [place for place, *_ in made] == list(range(len(made)))
+        assert PATTERN.fullmatch("".join(role[:1] for _, role, _ in made))
+        assert hashlib.sha256("\n".join(f"{role}:{text}" for _, role, text in made).encode()).hexdigest() == want[conv_id][-1]
+
+
+@pytest.mark.parametrize("modulus", [Audits.MODULUS, 3, 1])
+def test_audits_are_ordered_as_their_strings_even_if_hashes_collide(monkeypatch, modulus):
+    monkeypatch.setattr(Audits, "MODULUS", modulus)
+    rng = random.Random(modulus)
+    audits, nodes = Audits(), [0]
+    for _ in range(400):
+        nodes.append(audits.add(rng.choice(nodes[-30:]), rng.choice(["D", "I", "K", "KK", "R", "DDD", ""])))
+    text = {node: audits.tail(node) for node in nodes}
+    for _ in range(4000):
+        a, b = rng.choice(nodes), rng.choice(nodes)
+        assert audits.less(a, b) == (text[a] < text[b])
+
+
+def test_odd_rows(spark):
+    long = "word " * 200_000 + "."
+    rows = [
+        (None, 0, "user", "no id."), (None, 1, "assistant", "no id either."), (1, None, "user", "no turn."), (1, None, None, None),
+        (2, 0, "user", long), (2, 1, "assistant", long + " cut"), (3, 5, "user", "same."), (3, 5, "user", "same."), (3, 5, "user", "same."),
+        (4, -(2**63), "user", "least."), (4, 2**63 - 1, "assistant", "largest."), (5, 3, "", ""), (6, 3, "tool", "x"),
+    ]
+    original = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA + ", digest int, copies int, audit string")
+    got = found(conversations.audit_conversations(original, original))
+    want = expected(rows, [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows])
+    want[4] = (2**63 - 1, *want[4][1:])
+    assert got == want
+    assert found(conversations.audit_conversations(original, original.limit(0)))[6] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    empty = original.limit(0)
+    assert conversations.audit_conversations(empty, conversations.damage(empty)).count() == 0
+    assert conversations.repaired_rows(original, conversations.find_repairs(original, Costs())).count() > 0
+
+
+def test_many_copies_of_a_row_are_counted_before_they_are_moved(spark):
+    rows = [(1, 0, "user", "hi."), (1, 1, "assistant", "ho.")] + [(1, 2, "user", "again.")] * 500
+    got = found(conversations.audit_conversations(*[spark.createDataFrame(rows, SCHEMA).repartition(4)] * 2))[1]
+    assert got == expected(rows, rows)[1] and got[2] == 499
