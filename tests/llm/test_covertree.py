@@ -1,0 +1,141 @@
+import math
+import random
+
+import numpy as np
+import plain
+import pytest
+
+from tributary.llm import covertree
+from tributary.llm.covertree import CoverTree, Links, Nearness
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def usable(vector):
+    return bool(vector) and all(x is not None and math.isfinite(x) for x in vector) and any(vector)
+
+
+def expected(rows, cosine=0.93):
+    """n_links, component_id by position; every pair is compared."""
+    links, n = [], len(rows)
+    for i in range(n):
+        for j in range(i):
+            (_, a, x), (_, b, y) = rows[i], rows[j]
+            if x is not None and x == y and usable(a) and usable(b) and len(a) == len(b):
+                a, b = (np.array(v, np.float32).astype(float) for v in (a, b))
+                if a @ b / math.sqrt(a @ a) / math.sqrt(b @ b) >= cosine:
+                    links.append((i, j))
+    roots = plain.joined(links, range(n))
+    counts = np.bincount([i for link in links for i in link], minlength=n).tolist()
+    ids = {}
+    for i in range(n):
+        if rows[i][0] is not None:
+            ids[roots[i]] = min(ids.get(roots[i], rows[i][0]), rows[i][0])
+    return sorted(((rows[i][0], counts[i], ids.get(roots[i]), rows[i][0] == ids.get(roots[i])) for i in range(n)), key=repr)
+
+
+def found(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = covertree.near_vectors(df, **options).collect()
+    return sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got), key=repr)
+
+
+def clouds(rng, n, dim, spread, clusters=12, labels=3):
+    """Clusters of vectors, some of which are noise, shuffled."""
+    centres = rng.normal(size=(clusters, dim))
+    out = []
+    for i in range(n):
+        base = centres[rng.integers(clusters)] if rng.random() < 0.8 else rng.normal(size=dim)
+        vector = (base + rng.normal(size=dim) * spread * np.linalg.norm(base) / math.sqrt(dim)) * 10 ** rng.uniform(-3, 3)
+        out.append((i, vector.astype(np.float32).tolist(), int(rng.integers(labels))))
+    out += [(n + i, out[i][1], out[i][2]) for i in range(0, n // 5)]
+    return [out[i] for i in rng.permutation(len(out))]
+
+
+@pytest.mark.parametrize(("spread", "dim"), [(0.05, 64), (0.25, 16), (0.4, 3)])
+def test_agrees_with_comparing_every_pair(spark, monkeypatch, spread, dim):
+    monkeypatch.setattr(covertree, "SHARE", 20)
+    rows = clouds(np.random.default_rng(dim), 260, dim, spread)
+    want = expected(rows)
+    assert sum(n for _, n, *_ in want) > 300
+    assert found(spark, rows) == want
+
+
+@pytest.mark.parametrize("share", [6, 10**9])
+def test_small_blocks_change_nothing(spark, monkeypatch, share):
+    monkeypatch.setattr(covertree, "SHARE", share)
+    monkeypatch.setattr(covertree, "BLOCK", 16)
+    rows = clouds(np.random.default_rng(9), 220, 8, 0.2, labels=2)
+    assert found(spark, rows) == expected(rows)
+
+
+@pytest.mark.parametrize("cosine", [0.5, 0.8, 0.999, 1.0])
+def test_other_thresholds(spark, monkeypatch, cosine):
+    monkeypatch.setattr(covertree, "SHARE", 15)
+    rows = [r for r in clouds(np.random.default_rng(3), 150, 6, 0.3, labels=2)]
+    if cosine == 1.0:  # equal vectors only, as rounded cosines of others may be 1
+        rows = [(i, [float(x) for x in np.eye(6)[i % 6]], 1) for i in range(40)]
+    assert found(spark, rows, rule=Nearness(cosine)) == expected(rows, cosine)
+
+
+def test_trees_are_nested_and_their_radii_halve():
+    points = np.stack([covertree.unit(v) for v in np.random.default_rng(1).normal(size=(300, 4))])
+    tree, seen = CoverTree(points), 0
+    nodes = [tree.root]
+    while nodes:
+        node = nodes.pop()
+        seen += 1
+        away = covertree.distances(points[node.points], points[[node.centre]]).ravel()
+        assert node.centre in node.points and away.max() <= node.radius + 1e-7 <= node.scale + 2e-7
+        if tree.leaf(node):
+            continue
+        children = tree.children(node)
+        assert len(children) > 1 and children[0].centre == node.centre
+        assert sorted(np.concatenate([c.points for c in children])) == sorted(node.points)
+        assert len({c.scale for c in children}) == 1 and math.log2(node.scale / children[0].scale) % 1 == 0
+        apart = covertree.distances(*[points[[c.centre for c in children]]] * 2)
+        np.fill_diagonal(apart, 9)
+        assert apart.min() > children[0].scale
+        nodes += children
+    assert seen > 100
+
+
+def test_far_and_near_nodes_are_not_opened(monkeypatch):
+    rng = np.random.default_rng(2)
+    near = [np.stack([covertree.unit(c + rng.normal(size=32) * 0.004) for _ in range(400)]) for c in (np.eye(32)[0], np.eye(32)[1])]
+    asked = []
+    monkeypatch.setattr(CoverTree, "children", lambda self, node: asked.append(node) or [])
+    links = Links([np.ones(400, np.int64)] * 2)
+    covertree.traverse([CoverTree(near[0]), CoverTree(near[1])], links, Nearness())
+    assert not links.counts[0].any()
+    links = Links([np.ones(400, np.int64)])
+    covertree.traverse([CoverTree(near[0])], links, Nearness())
+    assert (links.counts[0] == 399).all() and len(links.joined) == 399
+    assert len(asked) == 2  # the two roots of the pair that is far apart
+
+
+def test_a_hot_cluster_is_counted_without_meeting(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "SHARE", 10)
+    rng = np.random.default_rng(4)
+    rows = [(i, (np.eye(16)[0] + rng.normal(size=16) * 0.01).tolist(), 1) for i in range(300)]
+    dealt = []
+    monkeypatch.setattr(covertree, "_walked", lambda blocks, rule, real=covertree._walked: dealt.append(blocks.count()) or real(blocks, rule))
+    assert {(n, c) for _, n, c, _ in found(spark, rows)} == {(299, 0)}
+    assert dealt == [0]
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    one, other = [1.0, 0.0, 0.5], [1.0, 0.1, 0.5]
+    rows = [
+        (1, one, 1), (2, other, 1), (3, one, 2), (4, one, None), (5, None, 1), (6, [], 1), (7, [0.0, 0.0, 0.0], 1), (8, [1.0, None, 0.5], 1),
+        (9, [1.0, nan, 0.5], 1), (10, [1.0, inf, 0.5], 1), (11, [1.0, 0.0], 1), (None, one, 1), (None, [0.0, 1.0, 0.0], 3), (None, None, 3),
+        (12, [1e38, 0.0, 5e37], 1), (13, [1e-38, 0.0, 5e-39], 1), (2, other, 1), (14, [-0.0, 1.0, 0.0], 3), (15, [-1.0, 0.0, -0.5], 1),
+    ]
+    want = expected(rows)
+    assert found(spark, rows) == [(a, n, c, a == c) for a, n, c, _ in want]
+    clashing = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA + ", key int, node int, n_links int")
+    assert covertree.near_vectors(clashing).count() == len(rows)
+    assert covertree.near_vectors(clashing).columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert found(spark, [(random.randrange(9), None, 1)])[0][1] == 0
+    assert covertree.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0

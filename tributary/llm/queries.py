@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, contamination, jaccard, language, licenses, lines, quality, secrets, toxicity, warc
+from tributary.llm import bpe, contamination, conversations, covertree, jaccard, language, licenses, lines
+from tributary.llm import negatives, quality, secrets, toxicity, warc
 from tributary.llm.common import LOWER, UPPER, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "component_size")
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.audit_conversations(rows, conversations.damage(rows))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth row is an anchor; every seventh row is given the next label first."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -82,6 +99,9 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_bpe,
         op10_jaccard_join,
+        op11_embedding_near_dedup,
+        op12_conversation_repair,
+        op13_hard_negatives,
     )
 }
 # Words of texts with A-Z lowered, as the contracts take them.
@@ -186,5 +206,37 @@ links AS (
 reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(b) AS component_id, count(*) AS component_size
 FROM docs d JOIN reach ON d.doc_id = a LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id, n
+""",
+    "op11_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [CAST(x AS DOUBLE) for x in embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS size FROM v),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON vec_id = least.a LEFT JOIN counts ON vec_id = counts.a
+""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
 """,
 }
