@@ -36,6 +36,34 @@ def joinable(df: DataFrame, array: str | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_VALUES else df
 
 
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A stored table of a few bytes a row, with the hint to broadcast it if it has few enough of them."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, made longer until no column of the table has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def node_key(least: Column, digest: Column) -> Column:
+    """The key of a node of a graph: the smallest id of its rows, then a digest of what they have in common.
+
+    Keys compare as ids do, a null id last, so that the smallest node of a component tells the smallest id in it.
+    """
+    ordered = F.lpad(F.hex(least.bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    return F.concat(F.unhex(F.coalesce(F.concat(F.lit("00"), ordered), F.lit("FF" * 9))), digest)
+
+
+def id_of(key: Column) -> Column:
+    """The id a ``node_key`` starts with."""
+    ordered = F.conv(F.hex(F.substring(key, 2, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(-(2**63)))
+    return F.when(F.hex(F.substring(key, 1, 1)) == "00", ordered)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,10 +1,10 @@
 """Texts whose sets of word shingles are similar, by signatures of partitions of the shingle domain.
 
 Two sets with a Jaccard similarity of at least t differ in a bounded number of
-shingles, given their sizes (PartEnum). The hashed domain is cut into more parts than that, so that similar
-sets have the same shingles in some part. Each set has a signature for each part, in every size band it can share with a
-similar set, and similar sets share one. This is the scheme's first level; in small sets a
-part holds too little to tell, and each combination of parts that may be left equal is signed instead, its second level.
+shingles, given their sizes (PartEnum). The hashed domain is cut into parts so many that one of them holds at
+most one differing shingle, and each part into three: a signature stands for two of the three, and of the three subsets of this kind one
+is the same in both sets. Small sets have one part, cut into more, of which all subsets of a number that the differences must
+leave alone are signed. Each set has signatures in every size band it can share with a similar set, and similar sets share one.
 
 Sets that share a signature are compared with the smallest of their group first;
 what this leaves in several components is then compared block by block. Sketches, counts of
@@ -22,16 +22,17 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ASCII_LOWER, mapped, same, stored, text_key
+from tributary.llm.common import ASCII_LOWER, id_of, mapped, node_key, same, small, stored, text_key, unused
 from tributary.llm.graph import components
 
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
-SEEN = 500_000  # sets a task remembers to have signed
+SEEN = 100_000  # sets a task remembers to have signed
 BAND = 1.5  # ratio of the largest to the smallest size of a band
 BLOCK = 512  # sets compared in one task at a time
+BLOCK_CODES = 2_000_000  # and shingles of these, 16 MB
 BROADCAST_ROWS = 1_000_000  # 16 bytes each
 
 
@@ -75,11 +76,12 @@ def shingles(text: str, n: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Scheme:
-    """How the sets of a band are signed: ``parts`` parts, and combinations of ``chosen`` of them each."""
+    """How the sets of a band are signed: ``parts`` parts, each cut into ``inner`` ones, and subsets that leave ``out`` of these out."""
 
     parts: int
+    inner: int
+    out: int
     differences: int
-    chosen: int = 1
 
 
 @cache
@@ -97,51 +99,67 @@ def bands(rule: Similarity, limit: int) -> tuple[tuple[int, int], ...]:
 def scheme(rule: Similarity, low: int, high: int) -> Scheme:
     """The parts of a band. Without differences there is nothing to sign: such sets are equal.
 
-    Up to 3 differences, sets are small: of twice as many parts as differences, and one more, all combinations
-    without the differing ones are signed. Beyond, there are a sixth more parts than can differ, so
-    that a few may be empty.
+    Up to 3 differences, one part is cut into twice as many and one more, and as many as can differ are left out. Beyond, there are
+    more than half as many parts as differences, so that one has one at most, and a quarter more, so that a few may be empty.
     """
     most = max(map(rule.differences, range(2 * low, high + rule.largest(high) + 1)))
     if most <= 0:
-        return Scheme(0, 0)
+        return Scheme(0, 0, 0, 0)
     if most <= 3:
-        return Scheme(2 * most + 1, most, most + 1)
-    return Scheme(most + 1 + max(2, most // 6), most)
+        return Scheme(1, 2 * most + 1, most, most)
+    needed = most // 2 + 1
+    return Scheme(needed + max(2, needed // 4), 3, 1, most)
+
+
+@cache
+def edges(parts: int) -> np.ndarray:
+    """Where the parts of the domain begin, but for the first."""
+    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+
+
+@cache
+def salts(number: int, parts: int) -> np.ndarray:
+    return mixed(np.arange(1, parts + 1, dtype=np.uint64) * MIX[0] + np.uint64(number))
 
 
 def signatures(codes: np.ndarray, rule: Similarity) -> np.ndarray:
-    """The signatures of a set, for the bands of all smaller and equal similar sets."""
+    """The signatures of a set, its codes in order, for the bands of all smaller and equal similar sets."""
     size = len(codes)
     out = []
+    # A sum of mixed hashes stands for the shingles of a part.
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(codes * MIX[1]))])
     for number, (low, high) in enumerate(bands(rule, size)):
         if high < rule.smallest(size):
             continue
         plan = scheme(rule, low, high)
         if not plan.parts:
             continue
-        salt = mixed(np.arange(1, plan.parts + 1, dtype=np.uint64) * MIX[0] + np.uint64(number))
-        part = ((codes >> np.uint64(20)) % np.uint64(plan.parts)).astype(np.int64)
-        counts = np.bincount(part, minlength=plan.parts)
-        # A sum of mixed hashes stands for the shingles of a part.
-        sums = np.zeros(plan.parts, np.uint64)
-        np.add.at(sums, part, mixed(codes * MIX[1] + np.uint64(number)))
-        if plan.chosen > 1:
-            each = mixed(sums + salt)
-            for combination in itertools.combinations(range(plan.parts), plan.chosen):
-                out.append(mixed(each[list(combination)].sum(keepdims=True) * MIX[2] + np.uint64(1)))
+        cuts = plan.parts * plan.inner
+        at = np.concatenate([[0], np.searchsorted(codes, edges(cuts)), [size]])
+        counts, sums = np.diff(at).reshape(plan.parts, -1), np.diff(upto[at]).reshape(plan.parts, -1)
+        if plan.parts == 1:
+            each = mixed(sums[0] + salts(number, cuts))
+            for subset in itertools.combinations(range(cuts), cuts - plan.out):
+                out.append(mixed(each[list(subset)].sum(keepdims=True) * MIX[2] + np.uint64(1)))
             continue
-        signed = mixed(sums + salt)
-        filled = counts > 0
-        # Enough filled parts that one of them is equal in any similar set; else empty ones are signed, too.
-        out.append(signed[filled] if filled.sum() > plan.differences else signed)
+        signed = mixed((sums.sum(axis=1, keepdims=True) - sums) * MIX[2] + salts(number, cuts).reshape(sums.shape))
+        # Parts with shingles left whichever third is left out: if enough of them have to be alike but for
+        # one difference, signatures of no shingles are not needed.
+        full = (np.count_nonzero(counts, axis=1) > 1).sum()
+        filled = counts.sum(axis=1, keepdims=True) > counts
+        out.append(signed[filled] if 2 * full > plan.differences else signed.ravel())
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def node_of(codes: np.ndarray) -> int:
-    """The id of a set: a hash of its shingles."""
+    """The short id of a set, under which it is signed; sets that share one are told apart by their digests."""
     return xxhash.xxh3_64_intdigest(codes.tobytes()) - 2**63
 
 
+def digest_of(codes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(codes.tobytes())
+
+
 def sketch(codes: np.ndarray) -> np.ndarray:
     """Counts, up to 3, of a set's shingles in a partition of as many parts as it has shingles, or up to twice as many."""
     parts = 1 << max(2, (len(codes) - 1).bit_length())
@@ -201,19 +219,20 @@ class Sketches:
         return np.sort(np.concatenate(out)) if out else others
 
 
-SETS = "doc_id long, text_hash long, n_shingles long, node long, sketch binary"
+SETS = "doc_id long, text_hash long, n_shingles long, node long, digest binary, sketch binary"
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_hash, text -> doc_id, text_hash, n_shingles, node and sketch (null without shingles)."""
+    """doc_id, text_hash, text -> doc_id, text_hash, n_shingles, node, digest and sketch (null without shingles)."""
     for batch in batches:
-        sizes, nodes, sketches = [], [], []
+        sizes, nodes, digests, sketches = [], [], [], []
         for scalar in batch.column(2):
             codes = shingles(scalar.as_py() or "", rule.words)
             sizes.append(len(codes))
             nodes.append(node_of(codes) if len(codes) else None)
+            digests.append(digest_of(codes) if len(codes) else None)
             sketches.append(packed(sketch(codes)) if len(codes) else None)
-        columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())]
+        columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())]
         names = [part.split()[0] for part in SETS.split(", ")]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
@@ -240,22 +259,22 @@ def signature_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> It
 
 
 def code_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
-    """text -> node, codes; copies that a task meets come once."""
-    seen: set[int] = set()
+    """text -> digest, codes; copies that a task meets come once."""
+    seen: set[bytes] = set()
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             sets = {}
             for scalar in batch.column(0).slice(start, 256):
                 codes = shingles(scalar.as_py() or "", rule.words)
-                sets[node_of(codes)] = codes
-            sets = {node: codes for node, codes in sets.items() if len(codes) and node not in seen}
+                sets[digest_of(codes)] = codes
+            sets = {digest: codes for digest, codes in sets.items() if len(codes) and digest not in seen}
             seen.update(sets)
             if len(seen) > SEEN:
                 seen.clear()
             if sets:
                 ends = np.cumsum([0, *map(len, sets.values())], dtype=np.int32)
                 codes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(list(sets.values())).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), codes], names=["node", "codes"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.binary()), codes], names=["digest", "codes"])
 
 
 def shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +351,11 @@ def _sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (left, right) if len(right) else (left, left)
 
 
-BLOCKS = "block long, side int, node long, component long"
+BLOCKS = "block long, side int, key binary, component binary"
+
+
+def _components(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(3).dictionary_encode().indices.to_numpy()
 
 
 def near_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
@@ -341,7 +364,7 @@ def near_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterato
     The sets of a block's side 0 are compared with those of side 1 or, where it has none, with each other.
     """
     for batch, edges in _blocks(batches):
-        side, component, size = (batch.column(i).to_numpy() for i in (1, 3, 4))
+        side, component, size = batch.column(1).to_numpy(), _components(batch), batch.column(4).to_numpy()
         near = np.zeros(len(side), bool)
         for start, end in edges:
             own = component[start:end]
@@ -354,13 +377,13 @@ def near_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterato
                     near[start + i] = True
                     near[start + found] = True
         if near.any():
-            yield batch.filter(pa.array(near)).select(["block", "side", "node", "component"])
+            yield batch.filter(pa.array(near)).select(["block", "side", "key", "component"])
 
 
 def compare_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iterator[pa.RecordBatch]:
     """BLOCKS, codes in the order of blocks -> links a, b, found as for ``near_batches``."""
     for batch, edges in _blocks(batches):
-        side, node, component = (batch.column(i).to_numpy() for i in (1, 2, 3))
+        side, keys, component = batch.column(1).to_numpy(), batch.column(2), _components(batch)
         ends = batch.column(4).offsets.to_numpy()
         flat = batch.column(4).values.to_numpy().view(np.uint64)
         links: list[tuple[int, int]] = []
@@ -369,8 +392,8 @@ def compare_batches(batches: Iterator[pa.RecordBatch], rule: Similarity) -> Iter
             known: dict[int, int] = {}
             root = [known.setdefault(c, i) for i, c in enumerate(component[start:end].tolist())]
             found = joining_links(*_sides(side[start:end]), sets, root, rule)
-            links += [(int(node[start + i]), int(node[start + j])) for i, j in found]
-        columns = [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)]
+            links += [(start + i, start + j) for i, j in found]
+        columns = [keys.take(pa.array([link[k] for link in links], pa.int64())) for k in (0, 1)]
         yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
@@ -378,46 +401,49 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     return rows.repartition("block").sortWithinPartitions("block", "side")
 
 
+def _n_blocks() -> Column:
+    """The number of blocks for a group, by its sets and by its shingles."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_CODES)).cast("int")
+
+
 def star_blocks(pairs: DataFrame) -> DataFrame:
     """Each first node against its other ones, in blocks of about ``BLOCK``."""
-    many = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("blocks > 1")
+    many = stored(pairs.groupBy("first").agg(_n_blocks().alias("blocks")).where("blocks > 1"), "many")
     part = F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1)))
-    dealt = pairs.join(many, "first", "left").select("first", "node", F.xxhash64("first", part).alias("block"))
+    dealt = pairs.join(small(many), "first", "left").select("first", "node", F.xxhash64("first", part).alias("block"))
     centre = dealt.select("block", F.lit(0).alias("side"), F.col("first").alias("node")).distinct()
-    return dealt.select("block", F.lit(1).alias("side"), "node").union(centre).withColumn("component", F.col("node"))
+    return dealt.select("block", F.lit(1).alias("side"), "node").union(centre)
 
 
-def open_blocks(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+def open_blocks(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The nodes that have a first one in common and are in several components.
 
     More than ``BLOCK`` are cut into parts, and each pair of parts is a block, so
     that all are compared and no task holds more than two parts.
     """
-    labelled = pairs.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = labelled.groupBy("first").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    several = several.where("low != high").select("first", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    rows = labelled.join(several, "first")
+    labelled = pairs.join(nodes.select("node", "component"), "node")
+    several = labelled.groupBy("first").agg(_n_blocks().alias("parts"), F.min("component").alias("low"), F.max("component").alias("high"))
+    several = stored(several.where("low != high").select("first", "parts"), "several")
+    rows = pairs.join(small(several), "first")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     block = F.xxhash64("first", F.least("own", "other"), F.greatest("own", "other"))
     side = F.when(F.col("own") > F.col("other"), 1).otherwise(0)
-    return rows.select(block.alias("block"), side.alias("side"), "node", "component")
+    return rows.select(block.alias("block"), side.alias("side"), "node")
 
 
 def _links(blocks: DataFrame, nodes: DataFrame, rows: DataFrame, rule: Similarity) -> DataFrame:
     """The links of blocks of nodes, whose texts are read again if their sketches are near."""
-    sketched = blocks.join(nodes.select("node", "size", "sketch"), "node")
-    sketched = _in_blocks(sketched.select("block", "side", "node", "component", "size", "sketch"))
+    sketched = blocks.join(nodes.select("node", "key", "component", "size", "sketch"), "node")
+    sketched = _in_blocks(sketched.select("block", "side", "key", "component", "size", "sketch"))
     near = stored(mapped(sketched, near_batches, BLOCKS, rule), "near")
-    wanted = nodes.join(near.select("node").distinct(), "node", "left_semi").select("w_id", "w_hash")
-    if near.select("node").distinct().count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    wanted = nodes.join(near.select("key").distinct(), "key", "left_semi").select("w_id", "w_hash")
+    wanted = small(stored(wanted, "wanted"), BROADCAST_ROWS)
     matches = same(F.col("doc_id"), F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))
-    codes = mapped(rows.join(wanted, matches, "left_semi").select("text"), code_batches, "node long, codes array<long>", rule)
-    compared = _in_blocks(near.join(codes, "node").select("block", "side", "node", "component", "codes"))
-    return stored(mapped(compared, compare_batches, "a long, b long", rule), "links")
+    codes = mapped(rows.join(wanted, matches, "left_semi").select("text"), code_batches, "digest binary, codes array<long>", rule)
+    compared = near.withColumn("digest", F.substring("key", 10, 16)).join(codes, "digest")
+    compared = _in_blocks(compared.select("block", "side", "key", "component", "codes"))
+    return stored(mapped(compared, compare_batches, "a binary, b binary", rule), "links")
 
 
 def similar_documents(
@@ -434,32 +460,38 @@ def similar_documents(
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(text).alias("text_hash"), text.alias("text"))
     sets = stored(mapped(rows, set_batches, SETS, rule), "sets")
-
     signed = mapped(rows.select("text"), signature_batches, "signature long, node long", rule)
     dealt = signed.repartition("signature").sortWithinPartitions("signature", "node")
     pairs = stored(mapped(dealt, shared_batches, "first long, node long").distinct(), "pairs")
 
-    # One text for each node that shares a signature.
-    paired = pairs.select("node").union(pairs.select("first")).distinct()
-    nodes = sets.join(paired, "node", "left_semi").groupBy("node")
-    nodes = nodes.agg(F.min_by(F.struct("doc_id", "text_hash", "n_shingles", "sketch"), "text_hash").alias("w"))
-    own = F.col("w.doc_id").alias("w_id"), F.col("w.text_hash").alias("w_hash"), F.col("w.n_shingles").alias("size")
-    nodes = stored(nodes.select("node", *own, "w.sketch"), "nodes")
-
-    links = _links(star_blocks(pairs), nodes, rows, rule)
-    links = links.union(_links(open_blocks(pairs, components(links)), nodes, rows, rule))
-    labels = components(links)
-
-    labelled = sets.join(labels, "node", "left").withColumn("key", F.coalesce("component", "node"))
-    least = labelled.where("key is not null").groupBy("key")
-    least = least.agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    return labelled.join(least, "key", "left").select(
+    # The distinct sets, each with one of its texts.
+    one = F.min_by(F.struct("node", "n_shingles", "doc_id", "text_hash", "sketch"), "text_hash")
+    nodes = sets.where("digest is not null").groupBy("digest")
+    nodes = nodes.agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), one.alias("w"))
+    own = F.col("w.n_shingles").alias("size"), F.col("w.doc_id").alias("w_id"), F.col("w.text_hash").alias("w_hash")
+    nodes = stored(nodes.select("w.node", node_key(F.col("least"), F.col("digest")).alias("key"), "copies", *own, "w.sketch"), "nodes")
+
+    pairs = stored(pairs.join(nodes.groupBy("node").agg(F.max("size").alias("size")), "node"), "sized")
+    links = _links(star_blocks(pairs), nodes.withColumn("component", F.col("key")), rows, rule)
+    labels = components(links).withColumnRenamed("node", "key")
+    labelled = nodes.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    links = links.union(_links(open_blocks(pairs, labelled), labelled, rows, rule))
+
+    labels = components(links).withColumnRenamed("node", "key")
+    linked = stored(nodes.select("key", "copies").join(labels, "key"), "labels")
+    sizes = stored(linked.groupBy("component").agg(F.sum("copies").alias("n")), "components")
+    linked = linked.join(small(sizes), "component").select("key", "component", "n")
+    known = nodes.select("key", "copies").join(linked, "key", "left")
+    component = F.coalesce("component", "key")
+    known = known.select(F.substring("key", 10, 16).alias("digest"), component.alias("component"), F.coalesce("n", "copies").alias("n"))
+    known = stored(known, "known")
+    return sets.join(known, "digest", "left").select(
         "doc_id",
         "text_hash",
         "n_shingles",
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(id_of(F.col("component"))).alias("component_id"),
         F.coalesce("n", F.lit(1)).alias("component_size"),
-        F.col("key").alias("component"),
+        "component",
     )
 
 
@@ -468,12 +500,12 @@ def keep_one(docs: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     found = stored(similar_documents(docs, rule=rule).where("component is not null"), "found")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
     chosen = found.groupBy("component").agg(F.min(order).alias("w")).select("w.doc_id", "w.text_hash")
-    gone = stored(found.select("doc_id", "text_hash").distinct().exceptAll(chosen), "gone")
-    gone_rows = gone.count()
-    gone = gone.select(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).alias("_gone_"))
-    g = F.col("_gone_")
+    gone = found.select("doc_id", "text_hash").distinct().exceptAll(chosen)
+    name = unused(docs, "_gone_")
+    gone = stored(gone.select(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).alias(name)), "gone")
+    g = F.col(name)
     matches = same(F.col("doc_id").cast("long"), g.id) & (text_key(F.col("text")) == g.hash)
-    kept = docs.join(F.broadcast(gone) if gone_rows <= BROADCAST_ROWS else gone, matches, "left_anti")
+    kept = docs.join(small(gone, BROADCAST_ROWS), matches, "left_anti")
     if found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
         return kept
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
