@@ -3,8 +3,10 @@ import random
 import numpy as np
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 from tributary.llm import graph, jaccard
+from tributary.llm.common import id_of, node_key
 from tributary.llm.jaccard import Similarity
 
 
@@ -89,8 +91,9 @@ def test_one_of_each_group_stays(spark):
     assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted([rows[1], rows[4], rows[4], rows[6], rows[7]], key=repr)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_components(spark, seed):
+@pytest.mark.parametrize(("seed", "together"), [(1, 10), (2, 25), (3, 250_000)])
+def test_components(spark, monkeypatch, seed, together):
+    monkeypatch.setattr(graph, "TOGETHER", together)
     rng = random.Random(seed)
     n = 120
     links = [(rng.randrange(n), rng.randrange(n)) for _ in range(rng.choice([40, 90]))]
@@ -102,3 +105,23 @@ def test_components(spark, seed):
 
 def test_no_links(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_other_keys(spark):
+    links = [(b"\x00b", b"\x00a"), (b"\x00c", b"\x00b"), (b"\xff", b"\x01"), (b"\x02", b"\x02")]
+    got = {bytes(r["node"]): bytes(r["component"]) for r in graph.components(spark.createDataFrame(links, "a binary, b binary")).collect()}
+    assert got == {b"\x00a": b"\x00a", b"\x00b": b"\x00a", b"\x00c": b"\x00a", b"\xff": b"\x01", b"\x01": b"\x01"}
+
+
+def test_node_keys_compare_as_ids_do(spark):
+    ids = [-(2**63), -5, -1, 0, 1, 7, 2**40, 2**63 - 1, None]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    keyed = df.select("id", node_key(F.col("id"), F.lit(b"digest").cast("binary")).alias("key")).repartition(3).orderBy("key")
+    assert [(r["id"], r["of"]) for r in keyed.select("id", id_of(F.col("key")).alias("of")).collect()] == [(i, i) for i in ids]
+
+
+def test_all_candidates_come_from_subsets_of_parts():
+    rule = Similarity()
+    for low, high in jaccard.bands(rule, 3000):
+        plan = jaccard.scheme(rule, low, high)
+        assert plan.parts == 0 or (plan.inner > plan.inner - plan.out > 1 and plan.parts * (plan.out + 1) > plan.differences)

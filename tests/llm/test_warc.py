@@ -105,3 +105,13 @@ def test_a_lost_record_is_noticed(spark):
     archives = warc.write_archives(df)
     with pytest.raises(Exception, match="records instead of"):
         warc.normalise_archives(archives.selectExpr("path", "records + 1 as records"))
+
+
+def test_each_archive_has_a_task_of_its_own(spark):
+    pages = spark.range(400).selectExpr("id as page_id", "concat('http://h/', id) as url", "repeat(cast(id as string), 40) as html").repartition(3)
+    archives = warc.write_archives(pages, warc.ArchiveSettings(archive_bytes=20_000))
+    n = archives.count()
+    assert n > 8 and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    for each in (archives, warc.normalise_archives(archives).drop("index")):
+        assert warc._dealt(each).selectExpr("spark_partition_id() as task").distinct().count() == n
+    assert warc.read_pages(warc.normalise_archives(archives)).count() == 400

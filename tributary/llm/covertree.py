@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import mapped, stored
+from tributary.llm.common import id_of, mapped, node_key, stored
 from tributary.llm.graph import components
 
 BLOCK = 2048  # vectors of a side in a block
@@ -238,15 +238,17 @@ class Upper:
 
     number: int  # of the first node
     centres: np.ndarray
+    keys: list[bytes]
     low: np.ndarray = field(default_factory=lambda: np.empty(0))
     high: np.ndarray = field(default_factory=lambda: np.empty(0))
 
 
-def upper_levels(sample: list[tuple[str, int, np.ndarray]], rule: Nearness) -> dict[tuple[str, int], Upper]:
+def upper_levels(sample: list[tuple[str, int, np.ndarray, bytes]], rule: Nearness) -> dict[tuple[str, int], Upper]:
     """Centres that are further apart than half the threshold, by label and length of vectors."""
-    by = defaultdict(list)
-    for label, dim, vector in sample:
+    by, keys = defaultdict(list), defaultdict(list)
+    for label, dim, vector, key in sample:
         by[label, dim].append(vector)
+        keys[label, dim].append(key)
     out, number = {}, 0
     for name in sorted(by):
         points = np.stack(by[name])
@@ -254,7 +256,7 @@ def upper_levels(sample: list[tuple[str, int, np.ndarray]], rule: Nearness) -> d
         while len(left):
             chosen.append(left[0])
             left = left[distances(points[left], points[left[:1]]).ravel() > rule.distance / 2]
-        out[name] = Upper(number, points[chosen])
+        out[name] = Upper(number, points[chosen], [keys[name][i] for i in chosen])
         number += 2 * len(chosen)
     return out
 
@@ -440,9 +442,9 @@ def _sampled(nodes: DataFrame, rule: Nearness) -> dict[tuple[str, int], Upper]:
     if not size["n"]:
         return {}
     share = min(1 / SHARE, CENTRES / size["n"], SAMPLE_VALUES / size["dim"] / size["n"])
-    chosen = F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long") < F.lit(int(share * 2**32))
+    chosen = F.pmod(F.xxhash64("key"), F.lit(2**32)) < F.lit(int(share * 2**32))
     sample = nodes.where(chosen).select("label", "dim", "vector", "key").orderBy("label", "dim", "key").collect()
-    return upper_levels([(r["label"], r["dim"], np.frombuffer(r["vector"])) for r in sample], rule)
+    return upper_levels([(r["label"], r["dim"], np.frombuffer(r["vector"]), bytes(r["key"])) for r in sample], rule)
 
 
 def find_links(nodes: DataFrame, rule: Nearness = Nearness()) -> DataFrame:
@@ -468,10 +470,7 @@ def find_links(nodes: DataFrame, rule: Nearness = Nearness()) -> DataFrame:
     open_[open_.T == 0] = 0
     sizes = {node: row["vectors"] for node, row in known.items()}
     copies = {node: row["copies"] for node, row in known.items()}
-    first = {}
-    for (label, _), level in upper.items():
-        for i, centre in enumerate(level.centres):
-            first[level.number + 2 * i] = xxhash.xxh3_128_digest(f"{len(label)}:{label}:".encode() + centre.tobytes())
+    first = {level.number + 2 * i: key for level in upper.values() for i, key in enumerate(level.keys)}
     blocks = blocks.union(mapped(vectors, deal_batches, BLOCKS, upper, open_, sizes, rule))
     return _walked(blocks, rule).union(mapped(vectors, core_batches, LINKS, upper, copies, first, rule))
 
@@ -491,20 +490,23 @@ def near_vectors(
     """
     columns = F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("string").alias("label"), F.col(vector_column).alias("embedding")
     each = stored(mapped(rows.select(*columns), vector_batches, ROWS), "vectors")
-    nodes = each.where("key is not null").groupBy("key")
-    nodes = nodes.agg(F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"))
+    each = each.withColumnRenamed("key", "digest")
+    nodes = each.where("digest is not null").groupBy("digest")
+    own = (F.first(name).alias(name) for name in ("label", "dim", "vector"))
+    nodes = nodes.agg(*own, F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    nodes = nodes.withColumn("key", node_key(F.col("least"), F.col("digest"))).drop("digest", "least")
     nodes = stored(nodes, "nodes")
     links = stored(find_links(nodes, rule), "links")
-    labels = components(links.where("b is not null and a != b").select("a", "b"))
+    labels = components(links.where("b is not null").select("a", "b")).withColumnRenamed("node", "key")
     counts = links.groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n"))
-    labels, own = labels.withColumnRenamed("node", "key"), nodes.select("key", "copies")
-    known = own.join(counts, "key", "left").join(labels, "key", "left")
-    known = known.select("key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "key").alias("component"))
-    known = stored(known, "known")
-    least = each.select("key", "id").join(known, "key").groupBy("component").agg(F.min("id").alias("least"))
-    told = known.join(least, "component").select("key", "n_links", "least")
-    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("least"))
-    out = each.select("id", "key").join(told, "key", "left")
+    known = nodes.select("key", "copies").join(counts, "key", "left").join(labels, "key", "left")
+    known = known.select(
+        F.substring("key", 10, 16).alias("digest"),
+        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        id_of(F.coalesce("component", "key")).alias("least"),
+    )
+    component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("least"))
+    out = each.select("id", "digest").join(stored(known, "known"), "digest", "left")
     return out.select(
         F.col("id").alias("vec_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

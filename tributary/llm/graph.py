@@ -19,24 +19,30 @@ TOGETHER = 250_000  # links a task contracts at a time
 def components(links: DataFrame) -> DataFrame:
     """node and component, the smallest node it reaches, for every node of the links ``a``, ``b`` (of one type that has an order).
 
-    Tasks first replace the links they hold by as few that join the same. Stars are then contracted in
+    ``links`` is read twice, so it should be a stored table. Up to ``TOGETHER`` links are contracted in one task, and that is all. Of
+    more, tasks first replace those they hold by as few that join the same. Stars are then contracted in
     turns: each node hands its larger neighbours, then its smaller ones, to its smallest neighbour, until
     every link leads to a root. The links of each turn are written, so that a lost executor costs one turn.
     """
     kind = links.schema["a"].dataType.simpleString()
-    links = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links")
+    links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
     tasks = max(1, -(-links.count() // TOGETHER))
-    links = stored(_clean(mapped(links.coalesce(tasks), contract_batches, f"a {kind}, b {kind}")), "links")
+    links = mapped(links.coalesce(tasks), contract_batches, f"a {kind}, b {kind}").where("a > b")
+    if tasks == 1:
+        return _labels(stored(links, "links"))
+    links = stored(links.distinct(), "links")
     before = _state(links)
     for _ in range(ROUNDS):
         large = stored(_towards_smallest(links.union(links.select("b", "a")), larger=True), "links")
         links = stored(_towards_smallest(large, larger=False), "links")
         state = _state(links)
         if state == before:
-            break
+            return _labels(links)
         before = state
-    else:
-        raise RuntimeError("the components did not settle")
+    raise RuntimeError("the components did not settle")
+
+
+def _labels(links: DataFrame) -> DataFrame:
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
@@ -45,10 +51,10 @@ def contract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """Links a, b -> for up to ``TOGETHER`` links at a time, each of their nodes with the smallest it reaches by them."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        held.append(batch)
-        if sum(each.num_rows for each in held) >= TOGETHER:
+        if held and sum(each.num_rows for each in held) + batch.num_rows > TOGETHER:
             yield contracted(held)
             held = []
+        held.append(batch)
     if held:
         yield contracted(held)
 

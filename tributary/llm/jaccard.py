@@ -462,7 +462,7 @@ def similar_documents(
     sets = stored(mapped(rows, set_batches, SETS, rule), "sets")
     signed = mapped(rows.select("text"), signature_batches, "signature long, node long", rule)
     dealt = signed.repartition("signature").sortWithinPartitions("signature", "node")
-    pairs = stored(mapped(dealt, shared_batches, "first long, node long").distinct(), "pairs")
+    pairs = mapped(dealt, shared_batches, "first long, node long").distinct()
 
     # The distinct sets, each with one of its texts.
     one = F.min_by(F.struct("node", "n_shingles", "doc_id", "text_hash", "sketch"), "text_hash")
@@ -477,7 +477,7 @@ def similar_documents(
     labelled = nodes.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
     links = links.union(_links(open_blocks(pairs, labelled), labelled, rows, rule))
 
-    labels = components(links).withColumnRenamed("node", "key")
+    labels = components(links).withColumnRenamed("node", "key")  # of two stored tables
     linked = stored(nodes.select("key", "copies").join(labels, "key"), "labels")
     sizes = stored(linked.groupBy("component").agg(F.sum("copies").alias("n")), "components")
     linked = linked.join(small(sizes), "component").select("key", "component", "n")

@@ -23,12 +23,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import mapped, stored
+from tributary.llm.common import mapped, small, stored
 from tributary.scratch import scratch_path
 
 GZIP = 31  # zlib's window bits for a gzip wrapper
 PIECE = 1 << 20
 HEADER_LIMIT = 1 << 20
+MOST_TASKS = 10_000
 CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -261,7 +262,8 @@ def planned_records(pages: DataFrame, id_column: str = "page_id", url_column: st
     payload = F.coalesce(F.col(html_column).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    latest = rows.groupBy("digest").agg(F.max("page_id").alias("latest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    latest = rows.groupBy("digest").agg(F.max("page_id").alias("latest"), F.count(F.lit(1)).alias("n"))
+    latest = small(stored(latest.where("n > 1").select("digest", "latest"), "latest"))
     revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("latest")) & F.col("latest").isNotNull(), F.lit(False))
     return (
         rows.join(latest, "digest", "left")
@@ -281,6 +283,11 @@ def write_archives(pages: DataFrame, settings: ArchiveSettings = ArchiveSettings
     return stored(mapped(planned_records(pages, **columns), write_batches, "path string, records long", folder, settings), "archives")
 
 
+def _dealt(archives: DataFrame) -> DataFrame:
+    """The archives one to a task, as adaptive execution would put many short paths together; of very many, several to a task."""
+    return archives.repartitionByRange(max(1, min(archives.count(), MOST_TASKS)), "path")
+
+
 def normalise_archives(archives: DataFrame, settings: ArchiveSettings = ArchiveSettings()) -> DataFrame:
     """Rewrite each archive with a member for each record and an index beside it; returns path, index and records.
 
@@ -288,11 +295,10 @@ def normalise_archives(archives: DataFrame, settings: ArchiveSettings = ArchiveS
     of none at all is read, too; one that is cut off fails.
     """
     folder = scratch_path(archives.sparkSession, "warc")
-    files = archives.select("path", "records").repartition(F.col("path"))
+    files = _dealt(archives.select("path", "records"))
     return stored(mapped(files, normalise_batches, "path string, index string, records long", folder, settings.member_level), "members")
 
 
 def read_pages(members: DataFrame) -> DataFrame:
     """One row for each record of normalised archives, read by their indexes."""
-    files = members.select("path", "index", "records").repartition(F.col("path"))
-    return mapped(files, read_batches, PAGES)
+    return mapped(_dealt(members.select("path", "index", "records")), read_batches, PAGES)
