@@ -1,10 +1,12 @@
+import collections
 import itertools
 import random
 
 import plain
 import pytest
+import xxhash
 
-from tributary.llm import lines
+from tributary.llm import common, lines
 from tributary.llm.lines import Blocks
 
 
@@ -56,44 +58,108 @@ def test_every_line_of_a_long_run_is_in_a_short_one():
                 assert {k for k in range(start, end) if words[k]} <= inside
 
 
+def key(line):
+    return xxhash.xxh3_64_intdigest(line.encode()) - 2**63
+
+
+def stretch_lines(a, b, rule):
+    """The lines of ``a`` in blocks shared with ``b``; all lines are distinct and in one order, so that there is one alignment."""
+    pairs = [(i, b.index(line)) for i, line in enumerate(a) if line in b]
+    assert pairs == sorted(pairs, key=lambda p: p[1])
+    words = [len(line.split()) for line in a]
+    out = set()
+    for x, y in itertools.combinations(range(len(pairs) + 1), 2):
+        part = pairs[x:y]
+        near = all(
+            k - i == m - j <= rule.gap + 1 and sum(words[i + 1 : k]) < rule.min_words
+            for (i, j), (k, m) in itertools.pairwise(part)
+        )
+        if near and sum(words[i] for i, _ in part) >= rule.min_words:
+            out.update(range(part[0][0], part[-1][0] + 1))
+    return out
+
+
 def expected(docs, rule):
-    """Every later document against the earliest holder of each run of its lines that has enough words, of any length."""
-    hashed = [[" ".join(plain.parts(line)) for line in (text or "").split("\n")] for _, text in docs]
+    """Every later document against the earliest holder of each run of its lines with enough words, and of each line that is rare in one."""
+    split = [[" ".join(plain.parts(line)) for line in (text or "").split("\n")] for _, text in docs]
+    worded = [[line for line in lines if line] for lines in split]
     order = sorted(range(len(docs)), key=lambda i: docs[i][0])
-    first = {}
-    out = {}
+    documents = collections.Counter(line for lines in worded for line in set(lines))
+    first, out = {}, {}
     for i in order:
-        partners = set()
-        for start, end in shortest(list(map(len, map(str.split, hashed[i]))), rule.min_words):
-            run = tuple(hashed[i][start:end])
-            if first.setdefault(run, i) != i:
-                partners.add(first[run])
+        met = set()
+        sizes = [len(line.split()) for line in worded[i]]
+        for start, end in itertools.combinations(range(len(sizes) + 1), 2):
+            if sum(sizes[start:end]) >= rule.min_words:
+                met.add(tuple(worded[i][start:end]))
+        for start, end in shortest(sizes, rule.min_words):
+            rare = sorted((documents[line], key(line), line) for line in set(worded[i][start:end]) if documents[line] > 1)
+            met.update(line for _, _, line in rare[: rule.rarest])
+        partners = {first.setdefault(each, i) for each in met} - {i}
         gone = set()
         for p in partners:
-            words = [len(line.split()) for line in hashed[i]]
-            gone.update(lines.common_blocks(hashed[i], hashed[p], words, rule.min_words))
-        kept = [line for k, line in enumerate((docs[i][1] or "").split("\n")) if k not in gone]
-        out[docs[i][0]] = "\n".join(kept), len(gone)
+            gone |= stretch_lines(worded[i], worded[p], rule) | run_lines(worded[i], worded[p], rule.min_words)
+        number = [k for k, line in enumerate(split[i]) if line]
+        lost = {number[k] for k in gone}
+        kept = [line for k, line in enumerate((docs[i][1] or "").split("\n")) if k not in lost]
+        out[docs[i][0]] = "\n".join(kept), len(lost)
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_agrees_with_comparing_all_holders(spark, seed):
+def in_order(seed, n, edited):
+    """Documents of distinct lines in one order, with passages of which some lines are edited."""
     rng = random.Random(seed)
-    pool = [plain.sentence(rng, rng.randrange(1, 14)) for _ in range(40)] + [""]
-    passages = [[plain.sentence(rng, 15) for _ in range(5)] for _ in range(4)]
+    pool = [plain.sentence(rng, rng.randrange(1, 14)) for _ in range(40)]
+    passages = [[plain.sentence(rng, 15) for _ in range(6)] for _ in range(4)]
     docs = []
-    for i in range(80):
-        text = rng.sample(pool, rng.randrange(1, 8)) + [plain.sentence(rng, 9) for _ in range(3)]
-        rng.shuffle(text)
-        if rng.random() < 0.5:
-            at = rng.randrange(len(text))
-            text[at:at] = passages[rng.randrange(4)]
+    for i in range(n):
+        text = [plain.sentence(rng, 9)] + [pool[k] for k in sorted(rng.sample(range(40), rng.randrange(1, 8)))]
+        for passage in passages:
+            if rng.random() < 0.3:
+                text += [plain.sentence(rng, rng.choice([3, 40]))]
+                text += [line if rng.random() > edited else plain.sentence(rng, 15) for line in passage]
         docs.append((i, "\n".join(text)))
-    rule = Blocks(min_words=20)
+    return docs
+
+
+@pytest.mark.parametrize(("seed", "edited"), [(1, 0.0), (2, 0.2)])
+def test_agrees_with_comparing_all_holders(spark, seed, edited):
+    docs, rule = in_order(seed, 80, edited), Blocks(min_words=20)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     got = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in lines.dedupe_lines(df, rule).collect()}
-    assert got == expected(docs, rule)
+    want = expected(docs, rule)
+    assert got == want
+    assert sum(n for _, n in want.values()) > 100
+
+
+def test_a_passage_with_an_edited_line_goes_whole_by_the_alignment(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = [plain.sentence(rng, 9) for _ in range(7)]
+    edit = [*passage[:3], plain.sentence(rng, 8), *passage[4:]]  # 27 words on either side, so that no run has 30
+    own = [plain.sentence(rng, 12) for _ in range(4)]
+    a, b = [own[0], *edit, own[1]], [own[2], *passage, own[3]]
+    words = [len(line.split()) for line in a]
+    assert lines.common_blocks(a, b, words, Blocks()) == list(range(1, 8))
+    assert lines.common_blocks(a, b, words, Blocks(gap=0)) == []
+    docs = spark.createDataFrame([(1, "\n".join(b)), (2, "\n".join(a))], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.dedupe_lines(docs).collect()}
+    assert got == {1: "\n".join(b), 2: f"{own[0]}\n{own[1]}"}
+    monkeypatch.setattr(lines, "aligned", lambda a, b: [])
+    assert lines.common_blocks(a, b, words, Blocks()) == []
+
+
+def test_a_hot_passage_is_dealt_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(lines, "PAIRS", 10)
+    rng = random.Random(9)
+    passage = "\n".join(plain.sentence(rng, 13) for _ in range(4))
+    docs = [(i, f"{plain.sentence(rng, 20)}\n{passage}") for i in range(200)]
+    ordered = []
+    monkeypatch.setattr(lines, "mapped", lambda df, f, *a: ordered.append((f.__name__, df)) or common.mapped(df, f, *a))
+    got = lines.dedupe_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["doc_id"]: r["lines_removed"] for r in got.collect()} == {i: 4 * (i > 0) for i in range(200)}
+    dealt = [df for name, df in ordered if name == "align_batches"][0].groupBy("group", "side").count().collect()
+    sizes = {side: [r["count"] for r in dealt if r["side"] == side] for side in (0, 1)}
+    assert sizes[0] == [1] * len(sizes[1]) and sum(sizes[1]) == 199 and len(sizes[1]) == 20 and max(sizes[1]) < 25
 
 
 def test_long_passages_are_left_in_the_first_document_only(spark):
@@ -167,7 +233,9 @@ def test_all_shared_runs_are_found():
         pool = [plain.sentence(rng, rng.randrange(1, 5)) for _ in range(rng.randrange(1, 7))]
         a, b = ([rng.choice(pool) for _ in range(rng.randrange(14))] for _ in range(2))
         least = rng.randrange(1, 12)
-        assert set(lines.common_blocks(a, b, [len(line.split()) for line in a], least)) == run_lines(a, b, least)
+        words = [len(line.split()) for line in a]
+        assert set(lines.common_blocks(a, b, words, Blocks(least, gap=0))) == run_lines(a, b, least)
+        assert set(lines.common_blocks(a, b, words, Blocks(least))) >= run_lines(a, b, least)
 
 
 def test_empty_lines_within_a_passage_do_not_matter(spark):
@@ -191,3 +259,13 @@ def test_empty_lines_within_a_passage_do_not_matter(spark):
         4: ("", 14, 48),
         5: (docs[4][1], 0, 0),
     }
+
+
+def test_documents_of_which_little_is_left_go(spark):
+    rng = random.Random(10)
+    passage = "\n".join(plain.sentence(rng, 10) for _ in range(5))
+    much, little, few = plain.sentence(rng, 34), plain.sentence(rng, 33), plain.sentence(rng, 9)
+    rows = [(1, f"first\n{passage}", 0), (2, f"{much}\n{passage}", 0), (3, f"{little}\n{passage}", 0), (4, f"{few}\n{passage}", 0), (5, few, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in lines.drop_shared_lines(docs).collect()}
+    assert kept == {1: (rows[0][1], 0), 2: (much, len(much)), 5: (few, 1)}

@@ -49,6 +49,20 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def without_lines(text: Column, places: Column) -> Column:
+    """The text without its lines at these places, in time linear in the lines."""
+    lines = F.split(text, "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places)
+    return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+
+def words_at(text: Column, places: Column) -> Column:
+    """The number of words in the lines at these places."""
+    lines = F.split(text, "\n")
+    # Blanks as the contracts have them; a text of blanks only has no words.
+    return F.size(F.regexp_extract_all(F.array_join(F.transform(places, lambda i: F.get(lines, i)), " "), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+
+
 def node_key(least: Column, digest: Column) -> Column:
     """The key of a node of a graph: the smallest id of its rows, then a digest of what they have in common.
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import LOWER, UPPER, same, stored, text_key
+from tributary.llm.common import LOWER, UPPER, same, stored, text_key, unused
 
 # What stands between words, whether or not A-Z are lowered: ASCII but digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -229,7 +229,8 @@ def digest(found: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their columns as they were."""
     bad = find_contamination(docs, benchmark, rule).where("contaminated")
-    bad = bad.select(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).alias("_found_")).distinct()
-    found = F.col("_found_")
+    name = unused(docs, "_found_")
+    bad = bad.select(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).alias(name)).distinct()
+    found = F.col(name)
     matches = same(F.col("doc_id").cast("long"), found.id) & (text_key(F.col("text")) == found.hash)
     return docs.join(bad, matches, "left_anti")

@@ -1,12 +1,12 @@
 """Lines that a later document shares with an earlier one, found by aligning the two.
 
-Only runs of lines with enough words are ever deleted, and these are rare. Documents meet
-through the hashes of such runs, each as short as may be: every later holder of a run with the
-earliest, whose number of pairs is at most that of runs, however many hold one. A pair is
+Documents meet through lines that are rare in the corpus: of every run of lines with enough words, each as short as may be,
+the rarest lines that several documents have, and the run itself. Each holder is paired with the earliest,
+so that pairs are no more than such lines and runs, however many documents hold one. A pair is
 aligned by patience diff: lines that both have once, in the longest common
-order, are anchors, and what lies between them is aligned in turn. Runs of aligned
-lines with enough words are deleted from the later document. Of the lines left, those in shared
-runs that no alignment in one order finds, as they repeat or have moved, go in the same way: every
+order, are anchors, and what lies between them is aligned in turn. A stretch of aligned
+lines with small gaps, such as an edited line leaves, is a block, and with enough words it is deleted from the later document. Of
+the lines left, those in shared runs that no alignment in one order finds, as they repeat or have moved, go in the same way: every
 occurrence in the later document is paired with the first in the earlier.
 """
 
@@ -24,14 +24,30 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ASCII_LOWER, joinable, mapped, stored, text_key
+from tributary.llm.common import ASCII_LOWER, joinable, mapped, small, stored, text_key, unused, without_lines, words_at
 
 
 @dataclass(frozen=True)
 class Blocks:
-    """Blocks of at least ``min_words`` words are deleted."""
+    """Blocks of at least ``min_words`` words are deleted, and with them gaps of up to ``gap`` lines.
+
+    Documents meet through the ``rarest`` lines of every run that may be deleted.
+    """
 
     min_words: int = 30
+    gap: int = 1
+    rarest: int = 2
+
+
+@dataclass(frozen=True)
+class Remains:
+    """A document goes if a deletion leaves fewer words than this, or a smaller part of them."""
+
+    min_words: int = 10
+    min_left: float = 0.4
+
+
+PAIRS = 256  # documents aligned with one earlier document in one group
 
 
 def short_runs(words: Sequence[int], min_words: int) -> set[tuple[int, int]]:
@@ -160,26 +176,41 @@ def shared_runs(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_wo
     return out
 
 
-def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_words: int) -> list[int]:
-    """The places in ``a`` of runs of lines with enough words that ``b`` has too, in any order and number.
+def stretches(pairs: Sequence[tuple[int, int]], words: Sequence[int], rule: Blocks) -> set[int]:
+    """The places of blocks: aligned pairs with small gaps, such as edited lines leave, and enough aligned words.
+
+    A gap has as many lines on either side, at most ``gap``, and fewer words than a block.
+    """
+    gone: set[int] = set()
+    block: list[int] = []
+    other = -1
+    for i, j in pairs:
+        between = range(block[-1] + 1, i) if block else ()
+        apart = len(between) > rule.gap or len(between) != j - other - 1
+        if block and (apart or sum(words[k] for k in between) >= rule.min_words):
+            gone |= _whole(block, words, rule)
+            block = []
+        block.append(i)
+        other = j
+    return gone | _whole(block, words, rule)
+
+
+def _whole(block: list[int], words: Sequence[int], rule: Blocks) -> set[int]:
+    enough = sum(words[k] for k in block) >= rule.min_words
+    return set(range(block[0], block[-1] + 1)) if block and enough else set()
+
+
+def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], rule: Blocks) -> list[int]:
+    """The places in ``a`` of blocks it has in common with ``b``, and of runs with enough words in any order and number.
 
     Lines without words, which are 0 or empty, are set aside first. They go where the lines with words next to them all go.
     """
     size = len(words)
     at = [i for i, count in enumerate(words) if count]
     a, b, words = [a[i] for i in at], [line for line in b if line], [words[i] for i in at]
-    gone: set[int] = set()
-    run: list[int] = []
-    last = (-2, -2)
-    for i, j in [*aligned(a, b), (len(a) + 1, -1)]:
-        if (i - 1, j - 1) != last:
-            if sum(words[k] for k in run) >= min_words:
-                gone.update(run)
-            run = []
-        run.append(i)
-        last = (i, j)
+    gone = stretches(aligned(a, b), words, rule)
     if len(gone) < len(a):
-        gone |= shared_runs(a, b, words, min_words, gone)
+        gone |= shared_runs(a, b, words, rule.min_words, gone)
     if not gone:
         return []
     out = [at[k] for k in gone]
@@ -190,20 +221,49 @@ def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_
     return sorted(out)
 
 
-def align_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """doc, lines, words, earlier lines -> doc, places to delete (pairs without any are left out)."""
+def align_batches(batches: Iterator[pa.RecordBatch], rule: Blocks) -> Iterator[pa.RecordBatch]:
+    """group, earlier, side, doc, lines, words in the order of groups, the earlier document (side 0) first -> doc, places to delete.
+
+    Pairs without any are left out.
+    """
+    of, earlier = None, []
     for batch in batches:
         kept, places = [], []
-        for row, (lines, words, earlier) in enumerate(zip(*(batch.column(i) for i in (1, 2, 3)), strict=True)):
-            found = common_blocks(lines.values.to_pylist(), earlier.values.to_pylist(), words.values.to_pylist(), min_words)
+        lines, words = batch.column(4), batch.column(5)
+        for row, (group, name, side) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)):
+            if side == 0:
+                of, earlier = (group, name), lines[row].values.to_pylist()
+                continue
+            if of != (group, name):
+                raise ValueError(f"the lines of {name} are missing")
+            found = common_blocks(lines[row].values.to_pylist(), earlier, words[row].values.to_pylist(), rule)
             if found:
                 kept.append(row)
                 places.append(found)
         if kept:
-            columns = [batch.column(0).take(pa.array(kept)), pa.array(places, pa.list_(pa.int32()))]
+            columns = [batch.column(3).take(pa.array(kept)), pa.array(places, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "places"])
 
 
+def rarest_batches(batches: Iterator[pa.RecordBatch], rule: Blocks) -> Iterator[pa.RecordBatch]:
+    """doc, lines, words, shared (line, documents) -> doc, line: the rarest shared lines of its short runs."""
+    for batch in batches:
+        docs, found = [], []
+        for row in range(batch.num_rows):
+            words = batch.column(2)[row].values.to_pylist()
+            lines = [line for line, size in zip(batch.column(1)[row].values.to_pylist(), words, strict=True) if size]
+            times = {each["line"]: each["documents"] for each in batch.column(3)[row].as_py()}
+            own: set[int] = set()
+            for start, end in short_runs([size for size in words if size], rule.min_words):
+                shared = {(times[line], line) for line in lines[start:end] if line in times}
+                own.update(line for _, line in sorted(shared)[: rule.rarest])
+            docs += [row] * len(own)
+            found += own
+        if docs:
+            columns = [batch.column(0).take(pa.array(docs)), pa.array(found, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "line"])
+
+
 DOC = "struct<unknown: boolean, id: long, hash: long>"
 
 
@@ -213,15 +273,34 @@ def _doc(id_column: Column, text: Column) -> Column:
     return F.struct(known.isNull().alias("unknown"), known.alias("id"), text_key(text).alias("hash"))
 
 
-def overlapping(lines: DataFrame) -> DataFrame:
-    """The pairs of documents to align: doc and earlier, the first to hold one of its runs."""
-    held = lines.select("doc", F.explode("runs").alias("run"))
-    shared = held.groupBy("run").agg(F.min("doc").alias("earlier"), F.max("doc").alias("last")).where("earlier != last")
-    return held.join(shared, "run").where("doc != earlier").select("doc", "earlier").distinct()
+def _with_earliest(held: DataFrame, by: str) -> DataFrame:
+    """Each holder of what ``by`` names with the earliest one; the earliest are stored, so that the join can split a hot one."""
+    shared = held.groupBy(by).agg(F.min("doc").alias("earlier"), F.max("doc").alias("last")).where("earlier != last")
+    shared = stored(shared.select(by, "earlier"), "shared")
+    return held.join(shared, by).where("doc != earlier").select("doc", "earlier")
+
+
+def rare_lines(lines: DataFrame, rule: Blocks) -> DataFrame:
+    """doc and line: the rarest of the lines in its runs that several documents have, counted over all."""
+    each = lines.select("doc", F.explode(F.array_distinct("lines")).alias("line")).where("line != 0")
+    counts = stored(each.groupBy("line").agg(F.count(F.lit(1)).alias("documents")).where("documents > 1"), "counts")
+    shared = each.join(counts, "line").groupBy("doc").agg(F.collect_list(F.struct("line", "documents")).alias("shared"))
+    worded = lines.where(F.size("runs") > 0).select("doc", "lines", "words")
+    return mapped(worded.join(shared, "doc"), rarest_batches, f"doc {DOC}, line long", rule)
+
+
+def overlapping(lines: DataFrame, rule: Blocks) -> DataFrame:
+    """The pairs of documents to align: doc and earlier, the first to hold one of its runs or of its rare lines."""
+    runs = _with_earliest(lines.select("doc", F.explode("runs").alias("run")), "run")
+    rare = _with_earliest(stored(rare_lines(lines, rule), "rare"), "line")
+    return runs.union(rare).distinct()
 
 
 def shared_blocks(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc and the places of its lines to delete, for the documents that have any."""
+    """doc and the places of its lines to delete, for the documents that have any.
+
+    The lines of an earlier document are moved once for ``PAIRS`` later ones.
+    """
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), text_key(F.col(text_column)).alias("text_hash"), F.col(text_column).alias("text")
     )
@@ -229,15 +308,36 @@ def shared_blocks(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "do
     lines = mapped(rows, line_batches, schema, rule.min_words)
     doc = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     lines = stored(lines.select(doc.alias("doc"), "lines", "words", "runs").dropDuplicates(["doc"]), "lines")
-    pairs = overlapping(lines)
-    earlier = lines.select(F.col("doc").alias("earlier"), F.col("lines").alias("earlier_lines"))
-    both = pairs.join(earlier, "earlier").join(lines, "doc").select("doc", "lines", "words", "earlier_lines")
-    found = mapped(both, align_batches, f"doc {DOC}, places array<int>", rule.min_words)
-    return found.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    pairs = stored(overlapping(lines, rule), "pairs")
+    many = pairs.groupBy("earlier").agg(F.ceil(F.count(F.lit(1)) / PAIRS).cast("int").alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("doc"), F.coalesce("parts", F.lit(1)))
+    dealt = pairs.join(small(stored(many, "many")), "earlier", "left")
+    dealt = dealt.select(F.xxhash64("earlier", part).alias("group"), "earlier", F.lit(1).alias("side"), "doc")
+    earlier = dealt.select("group", "earlier", F.lit(0).alias("side"), F.col("earlier").alias("doc")).distinct()
+    both = dealt.union(earlier).join(lines.select("doc", "lines", "words"), "doc")
+    both = both.select("group", "earlier", "side", "doc", "lines", "words")
+    ordered = both.repartition("group").sortWithinPartitions("group", "earlier", "side")
+    found = mapped(ordered, align_batches, f"doc {DOC}, places array<int>", rule)
+    return found.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
+
+
+def _marked(docs: DataFrame, name: str, rule: Blocks, id_column: str, text_column: str) -> DataFrame:
+    """``docs`` and a struct ``name``: the text left, lines and words removed; null where nothing is deleted."""
+    found = shared_blocks(docs, rule, id_column, text_column).select(F.struct("doc", "places").alias(name))
+    found = stored(found, "found")
+    marked, text = F.col(name), F.col(text_column)
+    joined = docs.join(joinable(found, f"{name}.places"), marked.doc == _doc(F.col(id_column), text), "left")
+    # In a column of its own, as within a lambda a new column of the text's name would be taken for the text.
+    what = F.struct(
+        without_lines(text, marked.places).alias("text"),
+        F.size(marked.places).alias("lines"),
+        words_at(text, marked.places).alias("words"),
+    )
+    return joined.withColumn(name, F.when(marked.isNotNull(), what))
 
 
 def dedupe_lines(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the shared blocks deleted from the text, and ``lines_removed``, ``words_removed``.
+    """``docs`` with the shared blocks deleted from the text, and ``lines_removed``, ``words_removed``, in place of columns of these names.
 
     Earlier is what has the smaller id; a null id comes last, equal ids go by a
     hash of their texts. Rows with the same id and text are one document and never
@@ -245,31 +345,27 @@ def dedupe_lines(docs: DataFrame, rule: Blocks = Blocks(), id_column: str = "doc
     their words, A-Z lowered; lines without words are set aside, and go where all lines with words
     next to them go.
     """
-    found = stored(shared_blocks(docs, rule, id_column, text_column).select(F.struct("doc", "places").alias("_found_")), "found")
-    places = F.col("_found_").places
-    text = F.col(text_column)
-    lines = F.split(text, "\n")
-    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(places, i)), "\n")
-    gone = F.array_join(F.filter(lines, lambda line, i: F.array_contains(places, i)), " ")
-    # Blanks as the contract has them; a text of blanks only has no words.
-    n_words = F.size(F.regexp_extract_all(gone, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
-    joined = docs.join(joinable(found, "_found_.places"), F.col("_found_").doc == _doc(F.col(id_column), text), "left")
+    name = unused(docs, "_found_")
+    joined, found = _marked(docs, name, rule, id_column, text_column), F.col(name)
+    counts = {"lines_removed": found.lines, "words_removed": found.words}
+    text = F.when(found.isNull(), F.col(text_column)).otherwise(found.text).alias(text_column)
     return joined.select(
-        *(c if c != text_column else F.when(places.isNull(), text).otherwise(left).alias(c) for c in docs.columns),
-        F.when(places.isNull(), 0).otherwise(F.size(places)).alias("lines_removed"),
-        F.when(places.isNull(), 0).otherwise(n_words).alias("words_removed"),
+        *(text if c == text_column else c for c in docs.columns if c.lower() not in counts),
+        *(F.coalesce(count, F.lit(0)).alias(c) for c, count in counts.items()),
     )
 
 
-def drop_shared_lines(docs: DataFrame, rule: Blocks = Blocks()) -> DataFrame:
-    """The documents without their shared blocks, less those that lose all their words by it.
+def drop_shared_lines(docs: DataFrame, rule: Blocks = Blocks(), remains: Remains = Remains()) -> DataFrame:
+    """The documents without their shared blocks, less those of which a deletion leaves too little.
 
     The columns of ``docs`` as they were; ``n_chars``, where there is one, follows the text.
     """
-    deduped = dedupe_lines(docs, rule)
-    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = deduped.where((F.col("lines_removed") == 0) | has_words)
+    name = unused(docs, "_found_")
+    joined, found = _marked(docs, name, rule, "doc_id", "text"), F.col(name)
+    words = F.size(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    enough = (words - found.words >= remains.min_words) & (words - found.words >= words * remains.min_left)
+    kept = joined.where(found.isNull() | enough)
+    columns = {"text": F.when(found.isNull(), F.col("text")).otherwise(found.text)}
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        kept = kept.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        columns["n_chars"] = F.when(found.isNull(), F.col("n_chars")).otherwise(F.length(found.text)).cast(docs.schema["n_chars"].dataType)
+    return kept.select(*(columns[c].alias(c) if c in columns else c for c in docs.columns))

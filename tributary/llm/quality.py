@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ASCII_LOWER, joinable, mapped, same, stored, text_key
+from tributary.llm.common import ASCII_LOWER, joinable, mapped, same, stored, text_key, unused, without_lines
 
 
 @dataclass(frozen=True)
@@ -182,19 +182,17 @@ def keep_good(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     ``n_chars``, where there is one, follows the text.
     """
     verdicts = judged(stored(profiles(docs), "quality"), limits).where("not kept or size(lines_removed) > 0")
-    verdict = F.struct("doc_id", "host", "text_hash", "kept", "lines_removed").alias("_verdict_")
+    name = unused(docs, "_verdict_")
+    verdict = F.struct("doc_id", "host", "text_hash", "kept", "lines_removed").alias(name)
     verdicts = stored(verdicts.select(verdict).distinct(), "verdicts")
-    verdict = F.col("_verdict_")
+    verdict = F.col(name)
     matches = (
         same(F.col("doc_id").cast("long"), verdict.doc_id)
         & same(F.col("source").cast("string"), verdict.host)
         & (text_key(F.col("text")) == verdict.text_hash)
     )
-    left = F.array_join(
-        F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(verdict.lines_removed, i)), "\n"
-    )
-    text = F.when(F.size(verdict.lines_removed) > 0, left).otherwise(F.col("text"))
-    judged_docs = docs.join(joinable(verdicts, "_verdict_.lines_removed"), matches, "left")
+    text = F.when(F.size(verdict.lines_removed) > 0, without_lines(F.col("text"), verdict.lines_removed)).otherwise(F.col("text"))
+    judged_docs = docs.join(joinable(verdicts, f"{name}.lines_removed"), matches, "left")
     return with_text(judged_docs.where(F.coalesce(verdict.kept, F.lit(True))), text, docs).select(*docs.columns)
 
 
