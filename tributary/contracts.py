@@ -30,11 +30,13 @@ class Contract:
     """A named schema, and the columns without which a row is of no use.
 
     A file has to have the required columns; ``contract_rules`` refuses rows that have a null in one.
+    ``one_line`` says that no cell of a landed file holds a line break, so that large files can be split.
     """
 
     name: str
     schema: StructType
     required: tuple[str, ...] = ()
+    one_line: bool = False
 
     @property
     def ddl(self) -> str:
@@ -43,7 +45,7 @@ class Contract:
 
     def without(self, *names: str) -> Contract:
         kept = tuple(name for name in self.required if name not in names)
-        return Contract(self.name, without_fields(self.schema, *names), kept)
+        return Contract(self.name, without_fields(self.schema, *names), kept, self.one_line)
 
     def in_order_of(self, header: list[str]) -> StructType:
         """The contract's columns in a file's own order, found by name in any case.

@@ -8,24 +8,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tributary.contracts import Contract
 from tributary.functions.payload import CORRUPT
-from tributary.settings import MIB
-from tributary.sources.records import joined_records, parse_records
 
-WHOLE_BYTES = 32 * MIB
-
-_QUOTING = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-
-
-def largest_file(spark: SparkSession, path: str | list[str]) -> int:
-    """Bytes of the largest landed file, from the listing; no content is read."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.agg(F.max("length")).first()[0] or 0
-
-
-def uncut_bytes(spark: SparkSession) -> int:
-    """Files up to so many bytes are read whole, which saves a pass over them."""
-    largest_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return min(WHOLE_BYTES, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(largest_split))
+# Taken for the text of rows that do not fit where the caller does not ask for it.
+_TEXT = "__record"
+_QUOTING = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
 def read_landed(
@@ -38,15 +24,21 @@ def read_landed(
     what could be read, and its text stands in the ``corrupt`` column. Every
     file has to have the same header.
 
-    Large files are split wherever Spark's settings say, and the rows do not depend on it: quoted cells may
-    hold line breaks, a CRLF is one line break, in cells too, lines of blanks only
-    are no records, and a file that ends inside a quoted cell fails the job with its name.
+    Quoted cells may hold line breaks, and a file is then read by one task: land many files, not one. Where the
+    contract says that a record is one line, files of any size are read in splits. Lines of
+    blanks only are no records.
     """
-    header = spark.read.options(**_QUOTING, multiLine="true", header="true").csv(path).columns
-    schema = contract.in_order_of(header)
-    options = dict(_QUOTING)
-    if corrupt:
-        schema = StructType([*schema.fields, StructField(corrupt, StringType())])
-        options["columnNameOfCorruptRecord"] = corrupt
-    files_are_whole = largest_file(spark, path) <= uncut_bytes(spark)
-    return parse_records(joined_records(spark, path, files_are_whole), header, schema, options)
+    options = {**_QUOTING, "multiLine": str(not contract.one_line).lower()}
+    schema = contract.in_order_of(spark.read.options(**options).csv(path).columns)
+    text = corrupt or _TEXT
+    with_text = StructType([*schema.fields, StructField(text, StringType())])
+    options |= {"columnNameOfCorruptRecord": text, "enforceSchema": "false"}
+    if contract.one_line and not corrupt:
+        return spark.read.options(**options).schema(schema).csv(path)
+    # Whether a row has too many or too few cells is not to depend on which of them are asked for.
+    rows = spark.read.options(**options, columnPruning="false").schema(with_text).csv(path)
+    if not contract.one_line:
+        # Spark takes a line of blanks for a record here. Its first cell is asked for, too, as no query may use the text alone.
+        first = F.trim(F.col(schema.names[0]).cast("string"))
+        rows = rows.where(F.col(text).isNull() | F.col(text).rlike(r"[^\x00-\x20]") | (first != ""))
+    return rows if corrupt else rows.drop(text)
