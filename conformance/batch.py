@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conformance.registry import query, table
@@ -362,3 +365,32 @@ def avg_large_values(spark, sf_dir):
         scale=CENTS,
         counts={"n": "price"},
     )
+
+
+_PLANS = ((1, {}), (7, {"broadcast_limit": 0, "fold_facts": False}), (200, {"broadcast_limit": 0, "fold_facts": True}))
+# Of doubles between 2**-12 and 2**40 all bits are whole after this shift, and text is read as the double next to it.
+_SHIFT = "pow(2.0, 64)"
+
+
+@query(
+    "avg_doubles_any_order",
+    f"""
+    select way, l_returnflag, p_brand, cast(cast(sum(cast(l_extendedprice * l_discount * {_SHIFT} as hugeint)) as varchar) as double)
+        / {_SHIFT} / count(*) as avg_discount,
+        cast(cast(sum(cast(p_retailprice * 0.1::double * {_SHIFT} as hugeint)) as varchar) as double) / {_SHIFT} / count(*) as avg_tenth
+    from lineitem join part on l_partkey = p_partkey, (select unnest(range({len(_PLANS)})) as way)
+    group by way, l_returnflag, p_brand
+    """,
+)
+def avg_doubles_any_order(spark, sf_dir):
+    """Averages of doubles, to the last bit, however the rows are dealt and joined."""
+    amount = F.col("l_extendedprice").cast("double") * F.col("l_discount").cast("double")
+    facts = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", amount.alias("amount"))
+    tenth = F.col("p_retailprice").cast("double") * F.lit(0.1)
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", tenth.alias("tenth"))
+    spec = StatsSpec(on=("l_partkey",), group_by=("l_returnflag", "p_brand"), measures={"avg_discount": "amount", "avg_tenth": "tenth"}, stamp=None)
+    ways = [
+        grouped_stats(facts.repartition(parts), part, spec.with_(**plan)).withColumn("way", F.lit(way).cast("long"))
+        for way, (parts, plan) in enumerate(_PLANS)
+    ]
+    return reduce(DataFrame.unionAll, ways)

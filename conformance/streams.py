@@ -16,7 +16,7 @@ from tributary.plans import STREAM_STATS, replay_table, run_event_enrichment
 from tributary.scratch import scratch_path
 from tributary.sinks import parquet_batches, topic_batches
 from tributary.sources import FileTopic, read_topic, stream_topic
-from tributary.streaming import start_enrichment, wait
+from tributary.streaming import deliver_dead_letters, start_enrichment, wait
 
 EVENT = StructType(
     [
@@ -126,6 +126,59 @@ def stream_replay(spark, sf_dir):
     return spark.read.parquet(out).drop("query", "batch_id")
 
 
+class _AppendsOnly:
+    """A sink that cannot take a batch back, like a database table; the first times it is called it fails."""
+
+    def __init__(self, path, failures=0):
+        self.path, self.failures, self.name = path, failures, f"append {path}"
+
+    def __call__(self, df, batch_id):
+        if self.failures:
+            self.failures -= 1
+            raise RuntimeError("sink not reachable")
+        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(self.path)
+
+
+_TWO_SINKS_SQL = f"""
+    select sink, event_type, c_mktsegment, c_nationkey, avg_value, avg_acctbal
+    from ({EVENT_STATS_SQL}), (select unnest(range(2)) as sink)
+    """
+
+
+def _two_sinks(spark, sf_dir, failures):
+    """The events as a topic, two sinks of which the second fails, and what either has."""
+    events = decode_rows(stream_topic(spark, _event_topic(spark, sf_dir)), EVENT)
+    sinks = [_AppendsOnly(scratch_path(spark, "first")), _AppendsOnly(scratch_path(spark, "second"), failures)]
+
+    def both():
+        kept = [spark.read.parquet(sink.path).drop("batch_id").withColumn("sink", F.lit(n).cast("long")) for n, sink in enumerate(sinks)]
+        return kept[0].unionByName(kept[1])
+
+    return events, sinks, both
+
+
+@query("stream_fanout_resumed", _TWO_SINKS_SQL)
+def stream_fanout_resumed(spark, sf_dir):
+    """The second sink fails once; on restart the batch goes to it alone, and both have it once."""
+    events, sinks, both = _two_sinks(spark, sf_dir, 1)
+    progress = scratch_path(spark, "progress")
+    try:
+        _run(spark, events, customers(spark, sf_dir), EVENT_STATS, sinks, progress)
+    except StreamingQueryException:
+        _run(spark, events, customers(spark, sf_dir), EVENT_STATS, sinks, progress)
+    return both()
+
+
+@query("stream_dead_letters", _TWO_SINKS_SQL)
+def stream_dead_letters(spark, sf_dir):
+    """The stream goes on without the second sink, which gets what it missed later."""
+    events, sinks, both = _two_sinks(spark, sf_dir, 1)
+    letters = scratch_path(spark, "letters")
+    _run(spark, events, customers(spark, sf_dir), EVENT_STATS, sinks, on_error="skip", dead_letters=letters)
+    deliver_dead_letters(spark, letters, sinks)
+    return both()
+
+
 @query(
     "batch_metrics",
     """

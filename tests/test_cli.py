@@ -6,6 +6,7 @@ from conformance.lake import land
 from conformance.shapes import bio, results
 from tributary import cli
 from tributary.contracts import AVERAGE_STATS
+from tributary.sources import read_zone
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def test_lake_in_one_go_and_step_by_step(spark, folder, capsys):
     cli.main(["silver", "--bronze", folder("b"), "--silver", folder("s")], spark)
     cli.main(["gold", "--silver", folder("s"), "--gold", folder("g"), "--preview", "3"], spark)
     assert "avg_height" in capsys.readouterr().out
-    whole, steps = (spark.read.parquet(f"{folder(name)}/avg_stats") for name in ("lake/gold", "g"))
+    whole, steps = (read_zone(spark, folder(name), "avg_stats") for name in ("lake/gold", "g"))
     assert AVERAGE_STATS.conform(whole).count() == steps.count() > 0
 
 

@@ -11,7 +11,7 @@ from tributary.operators import decode_rows, prepare_dimension
 from tributary.plans import STREAM_STATS, replay_table, run_event_enrichment
 from tributary.sinks import parquet_batches, topic_batches
 from tributary.sources import FileTopic, read_topic, stream_topic
-from tributary.streaming import enrich_batches, fan_out, freeze, wait
+from tributary.streaming import dead_letters, deliver_dead_letters, enrich_batches, fan_out, freeze, wait
 
 BIO = "athlete_id int, name string, sex string, height string, weight string, country_noc string"
 BIO_ROWS = [(1, "a", "M", "180", "80", "X"), (2, "b", "F", "170", "60", "Y"), (3, "c", "F", "bad", "60", "Y")]
@@ -278,3 +278,78 @@ def test_a_table_that_cannot_be_computed_is_never_skipped(spark):
     df = spark.range(3).select(F.raise_error(F.lit("no such luck")).alias("x"))
     with pytest.raises(Exception, match="no such luck"):
         fan_out(df, [], 1, on_error="skip")
+
+
+def put_in_order(path, *batches):
+    """A file for each batch, later ones changed later, as batches are taken in this order."""
+    for number, lines in enumerate(batches):
+        put(path, f"{number}.txt", lines)
+        os.utime(os.path.join(path, f"{number}.txt"), (1_000_000 + number, 1_000_000 + number))
+
+
+class Appends:
+    """A sink that keeps all it gets, and fails when told to."""
+
+    def __init__(self, name, *failing):
+        self.name, self.failing, self.got = name, list(failing), []
+
+    def __call__(self, df, batch_id):
+        if batch_id in self.failing:
+            self.failing.remove(batch_id)
+            raise RuntimeError(f"{self.name} not reachable")
+        self.got.append((batch_id, sorted(r["sport"] for r in df.collect())))
+
+
+def test_a_sink_that_has_a_batch_does_not_get_it_again(spark, folder):
+    topic = FileTopic(folder("in"), {"maxFilesPerTrigger": "1"})
+    put_in_order(topic.path, [message(1)], [message(2, sport="run")])
+    first, second, third = Appends("a"), Appends("b", 1, 1), Appends("c")
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            run(spark, topic, [first, second, third], folder("progress"))
+    run(spark, topic, [third, second, first], folder("progress"))  # in another order
+    put(topic.path, "2.txt", [message(1)])
+    run(spark, topic, [first, second, third], folder("progress"))
+    assert first.got == second.got == third.got == [(0, ["row"]), (1, ["run"]), (2, ["row"])]
+    with pytest.raises(ValueError, match="two sinks"):
+        fan_out(spark.range(1), [parquet_batches(folder("x")), parquet_batches(folder("x") + "/")], 0)
+
+
+def test_a_second_stream_has_a_ledger_of_its_own(spark, folder):
+    topic = FileTopic(folder("in"))
+    put(topic.path, "0.txt", [message(1)])
+    sink = Appends("a")
+    for progress in ("one", "two"):
+        run(spark, topic, [sink], folder(progress))
+    assert sink.got == [(0, ["row"])] * 2
+
+
+def test_missed_batches_are_kept_and_delivered_once(spark, folder):
+    topic = FileTopic(folder("in"), {"maxFilesPerTrigger": "1"})
+    put_in_order(topic.path, *([message(1, sport=sport)] for sport in ("row", "run", "swim")))
+    first, second, third = Appends("a"), Appends("b", 0, 2), parquet_batches(folder("out"))
+    run(spark, topic, [first, second, third], folder("progress"), on_error="skip", dead_letters=folder("dead"))
+    assert [b for b, _ in first.got] == [0, 1, 2] and [b for b, _ in second.got] == [1]
+    assert [r[0] for r in stored(spark, folder("out"))] == [1]
+    letters = dead_letters(spark, folder("dead"))
+    assert [(x.batch_id, x.sink.split()[0], x.error) for x in letters] == [(b, s, "b not reachable") for b in (0, 2) for s in ("b", "parquet")]
+    broken = Appends("b", 2)
+    with pytest.raises(RuntimeError):
+        deliver_dead_letters(spark, folder("dead"), [broken])
+    assert broken.got == [(0, ["row"])]
+    assert len(deliver_dead_letters(spark, folder("dead"), [second, third])) == 3
+    assert second.got == [(1, ["run"]), (2, ["swim"])]
+    assert [r[:2] for r in stored(spark, folder("out"))] == [(0, "row"), (1, "run"), (2, "swim")]
+    assert deliver_dead_letters(spark, folder("dead"), [second, third]) == [] == dead_letters(spark, folder("nowhere"))
+
+
+def test_a_checkpoint_keeps_to_its_rules(spark, folder):
+    topic = FileTopic(folder("in"))
+    put(topic.path, "0.txt", [message(1)])
+    sink = Appends("a")
+    run(spark, topic, [sink], folder("progress"))
+    with pytest.raises(ValueError, match="other rules"):
+        run(spark, topic, [sink], folder("progress"), spec=STREAM_STATS.with_(measure_policy="nan_is_null"))
+    put(topic.path, "1.txt", [message(2)])
+    run(spark, topic, [sink], folder("progress"), spec=STREAM_STATS.with_(broadcast_limit=0))
+    assert [b for b, _ in sink.got] == [0, 1]

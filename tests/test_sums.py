@@ -1,0 +1,80 @@
+import math
+import random
+import struct
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from tributary.functions import sums
+from tributary.operators import StatsSpec, grouped_stats, mean_by
+
+
+def exactly(values):
+    return float(sum(map(Fraction, values)))
+
+
+def bits(x):
+    return struct.pack(">d", x)
+
+
+def summed(spark, groups, parts=3):
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v double").repartition(parts)
+    df = df.groupBy("g").agg(*(c.alias(f"s{n}") for n, c in sums.added(sums.addends(F.col("v"))).items()))
+    names = sums.addends(F.lit(0.0))
+    return {r["g"]: r["t"] for r in df.select("g", sums.total({n: F.col(f"s{n}") for n in names}).alias("t")).collect()}
+
+
+def groups(rng):
+    return {
+        "plain": [rng.uniform(-1e6, 1e6) for _ in range(500)],
+        "wide": [rng.uniform(-1, 1) * 2.0 ** rng.randrange(-100, 150) for _ in range(300)],
+        "cancel": [x for _ in range(100) for x in (lambda y: (y, -y, rng.uniform(-1e-9, 1e-9)))(rng.uniform(-1e30, 1e30))],
+        "floats": [struct.unpack("f", struct.pack("f", rng.uniform(-1, 1) * 2.0 ** rng.randrange(-149, 127)))[0] for _ in range(200)],
+        "one": [0.1],
+        "zero": [0.1, -0.1],
+        "tie": [2.0**53, 1.0],
+        "tie and a bit": [2.0**53, 1.0, 2.0**-150],
+        "tie less a bit": [2.0**53, 3.0, -(2.0**-150)],
+        "least": [-(2.0**-154), 2.0**-153],
+        "large": [2.0**152, -(2.0**152), 2.0**152, 1.0],
+        "negative": [-0.1] * 10,
+    }
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sums_are_exact_and_rounded_once(spark, seed):
+    given = groups(random.Random(seed))
+    got = summed(spark, given)
+    assert {g: bits(x + 0.0) for g, x in got.items()} == {g: bits(exactly(v) + 0.0) for g, v in given.items()}
+
+
+def test_what_cannot_be_cut(spark):
+    nan, inf = float("nan"), float("inf")
+    got = summed(spark, {"nan": [nan, 1.0], "inf": [inf, 1.0], "both": [inf, -inf], "huge": [1e300, 2.0], "none": [None], "tiny": [5e-324, 1.0]})
+    assert math.isnan(got["nan"]) and got["inf"] == inf and math.isnan(got["both"])
+    assert got["huge"] == 1e300 and got["none"] == 0.0 and got["tiny"] == 1.0
+
+
+@pytest.mark.parametrize("join", ["broadcast", "shuffled", "folded"])
+def test_averages_are_the_same_on_every_plan(spark, join):
+    rng = random.Random(7)
+    facts = [(rng.randrange(40), rng.randrange(3), rng.uniform(-1e3, 1e3) * 10 ** rng.randrange(-9, 9)) for _ in range(4000)]
+    people = [(k, rng.uniform(0, 1)) for k in range(35) for _ in range(1 + k % 2)]
+    facts_df = spark.createDataFrame(facts, "k int, g int, v double")
+    people_df = spark.createDataFrame(people, "k int, w double")
+    spec = StatsSpec(on=("k",), group_by=("g",), measures={"v": "v", "w": "w"}, stamp=None)
+    spec = spec.with_(**{"broadcast": {}, "shuffled": {"broadcast_limit": 0, "fold_facts": False}, "folded": {"broadcast_limit": 0, "fold_facts": True}}[join])
+    want = {}
+    for g in range(3):
+        met = [(v, w) for k, h, v in facts if h == g for j, w in people if j == k]
+        want[g] = tuple(bits(exactly(x) / len(met)) for x in zip(*met, strict=True))
+    for parts in (1, 7, 50):
+        got = grouped_stats(facts_df.repartition(parts), people_df.repartition(parts), spec).collect()
+        assert {r["g"]: (bits(r["v"]), bits(r["w"])) for r in got} == want
+        alone = mean_by(facts_df.repartition(parts), ["g"], {"v": "v"}).collect()
+        assert {r["g"]: bits(r["v"]) for r in alone} == {
+            g: bits(exactly(x) / len(x)) for g in range(3) for x in [[v for _, h, v in facts if h == g]]
+        }

@@ -6,7 +6,7 @@ from tributary.contracts import ATHLETE_BIO
 from tributary.operators import rule_castable, rule_max_length, rule_not_null, split_rejects, tag_rejects
 from tributary.plans import copy_tables
 from tributary.sinks import append_table, batches, overwrite_zone, table_batches, table_options
-from tributary.sources import FileTopic, KafkaTopic, KeyRange, key_bounds, read_options, read_table, stream_topic
+from tributary.sources import FileTopic, KafkaTopic, KeyRange, key_bounds, read_options, read_table, read_zone, stream_topic
 
 ROWS = [(1, "180", "ok"), (2, "77-80", "ok"), (3, None, "much too long"), (None, "1", None)]
 RULES = [rule_not_null("id"), rule_castable("height"), rule_max_length("note", 5)]
@@ -42,7 +42,7 @@ def test_copy(spark, folder, condition, rows, rejected):
         staging=folder("staging"),
     )["people"]
     assert (copied.rows, copied.rejected, copied.rejects.count()) == (rows, rejected, rejected)
-    target = spark.read.schema(df.schema).parquet(folder("target") + "/people")
+    target = read_zone(spark, folder("target"), "people")
     assert target.count() == rows - rejected
 
 
@@ -187,5 +187,5 @@ def test_rejects_are_written_where_the_caller_says(spark, folder):
         lambda rows, name: overwrite_zone(rows, folder("to"), name),
         write_rejects=lambda rows, name: overwrite_zone(rows, folder("aside"), name),
     )
-    assert [tuple(r) for r in spark.read.parquet(folder("to") + "/t").collect()] == [(1, "a")]
-    assert [tuple(r) for r in spark.read.parquet(folder("aside") + "/t").collect()] == [(None, "b", ["k_missing"])]
+    assert [tuple(r) for r in read_zone(spark, folder("to"), "t").collect()] == [(1, "a")]
+    assert [tuple(r) for r in read_zone(spark, folder("aside"), "t").collect()] == [(None, "b", ["k_missing"])]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tributary.functions import sums
+
 KEEP_NAN = "keep_nan"
 NAN_IS_NULL = "nan_is_null"
 
@@ -43,9 +47,14 @@ def measure(column: Column | str, policy: str = KEEP_NAN, scale: int | None = No
     return F.when(~F.isnan(number), number)
 
 
-def exact_mean(total: Column, count: Column) -> Column:
-    """Sum over count as a double; null for a group without any value."""
-    return F.try_divide(total.cast("double"), count)
+def addends(value: Column, scale: int | None) -> dict[str, Column]:
+    """What is to be summed up of a measure, by a suffix: the decimal itself, or the parts of a double."""
+    return sums.addends(value) if scale is None else {"": value}
+
+
+def mean_of(summed: Mapping[str, Column], count: Column, scale: int | None) -> Column:
+    """The average from the summed-up addends as a double; null for a group without any value."""
+    return sums.mean(summed, count) if scale is None else F.try_divide(summed[""].cast("double"), count)
 
 
 def _column(column: Column | str) -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.numbers import KEEP_NAN, exact_mean, measure
+from tributary.functions.numbers import KEEP_NAN, addends, mean_of, measure
+from tributary.functions.sums import added
 
 
 def mean_by(
@@ -24,14 +25,18 @@ def mean_by(
     ``measures`` maps an output name to its column. A null group key forms a
     group of its own, nulls do not count, a group without values averages to
     null. ``counts`` maps an output name to the column whose usable values are
-    counted. ``scale`` makes the sums exact decimals (see ``measure``).
+    counted. Averages do not depend on the order of the rows: sums are exact, of doubles or,
+    with a ``scale``, of decimals (see ``measure``).
     """
     number = {name: measure(column, policy, scale) for name, column in measures.items()}
+    partials = {}
+    for name, value in number.items():
+        partials |= {f"__sum_{name}{part}": column for part, column in added(addends(value, scale)).items()}
+        partials[f"__count_{name}"] = F.count(value)
+    partials |= {name: F.count(measure(column, policy, scale)) for name, column in (counts or {}).items()}
+    summed = df.groupBy(*group_by).agg(*(column.alias(name) for name, column in partials.items()))
     averages = [
-        (F.avg(value) if scale is None else exact_mean(F.sum(value), F.count(value))).alias(name)
+        mean_of({part: F.col(f"__sum_{name}{part}") for part in addends(value, scale)}, F.col(f"__count_{name}"), scale).alias(name)
         for name, value in number.items()
     ]
-    counted = [
-        F.count(measure(column, policy, scale)).alias(name) for name, column in (counts or {}).items()
-    ]
-    return df.groupBy(*group_by).agg(*averages, *counted)
+    return summed.select(*group_by, *averages, *(counts or {}))

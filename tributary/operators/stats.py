@@ -23,7 +23,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.numbers import KEEP_NAN, exact_mean, measure
+from tributary.functions.numbers import KEEP_NAN, addends, mean_of, measure
+from tributary.functions.sums import added
 from tributary.operators.clean import fill_missing, require_not_null
 from tributary.operators.enrich import AUTO, DIMENSION, SHUFFLE, fits_broadcast, joinable, own_columns
 from tributary.scratch import scratch_path
@@ -47,8 +48,8 @@ class StatsSpec:
     takes the run's time, or is None for no such column.
 
     Results do not depend on ``join``, ``broadcast_limit``, ``fold_facts`` and
-    ``unique_dimension``, only the work does; without ``scale`` the last digits of averages
-    follow the order in which doubles are added. ``fold_facts`` is for dimensions
+    ``unique_dimension``, nor on the order of the rows, only the work does: doubles are added exactly,
+    and decimals are with ``scale``. ``fold_facts`` is for dimensions
     that are not broadcast; None leaves it to ``folding_pays``, and a stream then
     folds. ``unique_dimension=True`` saves folding a dimension known to hold each
     key once.
@@ -139,16 +140,20 @@ def stats_of(
     left = partials(pruned, keys, in_facts, spec, "f")
     joined = left.join(joinable(dimension.rows, dimension.broadcast), list(spec.on), "inner")
 
-    averages = []
+    partials = {}
     for name in spec.measures:
         side, other = ("d", "f") if name in dimension.measures else ("f", "d")
         rows_met = f"__{other}_rows"
         weight = F.col(rows_met) if rows_met in joined.columns else None
-        total = F.sum(_times(F.col(f"__{side}_sum_{name}"), weight))
-        count = F.sum(_times(F.col(f"__{side}_count_{name}"), weight))
-        averages.append(exact_mean(total, count).alias(name))
-
-    result = joined.groupBy(*spec.group_by).agg(*averages)
+        sums = added(_summable(joined, side, name, spec), weight)
+        partials |= {f"__sum_{name}{part}": column for part, column in sums.items()}
+        partials[f"__count_{name}"] = F.sum(_times(F.col(f"__{side}_count_{name}"), weight))
+    summed = joined.groupBy(*spec.group_by).agg(*(column.alias(name) for name, column in partials.items()))
+    averages = [
+        mean_of({part: F.col(f"__sum_{name}{part}") for part in _parts(spec)}, F.col(f"__count_{name}"), spec.scale).alias(name)
+        for name in spec.measures
+    ]
+    result = summed.select(*spec.group_by, *averages)
     if spec.stamp:
         result = result.withColumn(spec.stamp, F.current_timestamp() if run_ts is None else run_ts)
     return fill_missing(result, spec.fill) if spec.fill_when == AFTER else result
@@ -188,19 +193,33 @@ def _folded(df: DataFrame, keys, measures, spec: StatsSpec, side: str) -> DataFr
     partials = [F.count(F.lit(1)).alias(f"__{side}_rows")]
     for name in measures:
         value = measure(spec.measures[name], spec.measure_policy, spec.scale)
-        partials += [F.sum(value).alias(f"__{side}_sum_{name}"), F.count(value).alias(f"__{side}_count_{name}")]
+        sums = added(addends(value, spec.scale))
+        partials += [column.alias(f"__{side}_sum_{name}{part}") for part, column in sums.items()]
+        partials.append(F.count(value).alias(f"__{side}_count_{name}"))
     return df.groupBy(*keys).agg(*partials)
 
 
 def _one_each(df: DataFrame, keys, measures, spec: StatsSpec, side: str) -> DataFrame:
-    """The columns of ``_folded`` for rows that stand for themselves."""
+    """The keys of rows that stand for themselves, and each measure's value and count."""
     partials = []
     for name in measures:
         value = measure(spec.measures[name], spec.measure_policy, spec.scale)
         count = value.isNotNull().cast("bigint")
-        partials += [value.alias(f"__{side}_sum_{name}"), count.alias(f"__{side}_count_{name}")]
+        partials += [value.alias(f"__{side}_value_{name}"), count.alias(f"__{side}_count_{name}")]
     return df.select(*keys, *partials)
 
 
+def _parts(spec: StatsSpec) -> list[str]:
+    return list(addends(F.lit(0.0), spec.scale))
+
+
+def _summable(joined: DataFrame, side: str, name: str, spec: StatsSpec) -> dict[str, Column]:
+    """The addends of a measure: sums of folded rows, or those of a row's value, which is cut after the join."""
+    value = f"__{side}_value_{name}"
+    if value in joined.columns:
+        return addends(F.col(value), spec.scale)
+    return {part: F.col(f"__{side}_sum_{name}{part}") for part in _parts(spec)}
+
+
 def _times(value: Column, weight: Column | None) -> Column:
     return value if weight is None else value * weight

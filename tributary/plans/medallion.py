@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.contracts import ATHLETE_BIO, ATHLETE_EVENT_RESULTS, Contract
@@ -14,7 +14,7 @@ from tributary.operators.clean import distinct_rows, normalize_text
 from tributary.operators.stats import StatsSpec, grouped_stats
 from tributary.plans.presets import BATCH_STATS
 from tributary.sinks.tables import overwrite_zone
-from tributary.sources.lake import read_zone
+from tributary.sources.lake import counted_files, read_zone
 from tributary.sources.landing import read_landed
 
 log = logging.getLogger(__name__)
@@ -38,20 +38,18 @@ def landing_to_bronze(
 
     The files are parsed once. Rows that do not fit the contract go to the same
     table under ``rejected=true`` together with their text. Returns the rows and
-    the rejected rows of each table, counted while they were written.
+    the rejected rows of each table, as the written files have them.
     """
     counts = {}
     for contract in contracts:
         rows = read_landed(spark, landed[contract.name], contract)
-        seen = Observation(f"bronze-{contract.name}")
-        tagged = rows.withColumn(REJECTED, F.col(CORRUPT).isNotNull()).observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("rejected")
-        )
+        tagged = rows.withColumn(REJECTED, F.col(CORRUPT).isNotNull())
         path = overwrite_zone(tagged, bronze, contract.name, partition_by=(REJECTED,))
-        counts[contract.name] = dict(seen.get)
-        if not counts[contract.name]["rows"]:
+        found = counted_files(spark, tagged.schema, path, REJECTED)
+        if not found:
             # No row, no folder: without a flag folder the schema at least is there to read.
-            overwrite_zone(tagged, bronze, contract.name)
+            path = overwrite_zone(tagged, bronze, contract.name)
+        counts[contract.name] = {"rows": sum(found.values()), "rejected": found.get(True, 0)}
         log.info("%s: %s", path, counts[contract.name])
         _preview(spark.read.parquet(path), preview_rows)
     return counts

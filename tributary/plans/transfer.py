@@ -6,13 +6,12 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tributary.operators.rejects import REASONS, Rule, is_valid, tag_rejects
 from tributary.scratch import scratch_path
 from tributary.sinks.tables import write_topic
-from tributary.sources.lake import zone_path
+from tributary.sources.lake import counted_files, zone_path
 from tributary.sources.topics import Topic
 
 log = logging.getLogger(__name__)
@@ -50,19 +49,16 @@ def copy_tables(
     root = staging or scratch_path(spark, "copy")
     outcome = {}
     for table, table_rules in rules.items():
-        seen = Observation(f"copy-{table}")
         tagged = tag_rejects(read(table).withColumn(_VALID, is_valid(table_rules)), table_rules)
-        counted = tagged.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(_VALID)).alias("rejected")
-        )
         path = zone_path(root, table)
-        counted.write.mode("overwrite").partitionBy(_VALID).parquet(path)
+        tagged.write.mode("overwrite").partitionBy(_VALID).parquet(path)
         staged = spark.read.schema(tagged.schema).parquet(path)
+        counts = counted_files(spark, tagged.schema, path, _VALID)
         write(staged.filter(_VALID).drop(_VALID, REASONS), table)
         rejects = staged.filter(f"not {_VALID}").drop(_VALID)
         if write_rejects:
             write_rejects(rejects, table)
-        outcome[table] = Copied(seen.get["rows"], seen.get["rejected"], rejects)
+        outcome[table] = Copied(sum(counts.values()), counts.get(False, 0), rejects)
         log.info("%s: %s rows, %s rejected", table, outcome[table].rows, outcome[table].rejected)
     return outcome
 

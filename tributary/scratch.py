@@ -42,3 +42,34 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder a job wrote, wherever it is."""
     files, place = _file_system(spark, path)
     files.delete(place, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    files, place = _file_system(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(place)] if files.exists(place) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a file of at most some kilobytes."""
+    files, place = _file_system(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readNBytes(1 << 20)).decode()
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file that is there as a whole or not at all; False if there is one of that name."""
+    files, place = _file_system(spark, path)
+    _, part = _file_system(spark, f"{path}.{uuid.uuid4().hex}.part")
+    stream = files.create(part, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    done = not files.exists(place) and files.rename(part, place)
+    if not done:
+        files.delete(part, False)
+    return done

@@ -6,8 +6,8 @@ is run again therefore also has to know the stream, by ``sink_of_query``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,10 @@ class ParquetBatches:
     path: str
     query: str | None = None
 
+    @property
+    def name(self) -> str:
+        return f"parquet {self.path.rstrip('/')}"
+
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         of_query = f"/query={self.query}" if self.query else ""
         df.write.mode("overwrite").parquet(f"{self.path.rstrip('/')}{of_query}/batch_id={batch_id}")
@@ -37,6 +41,10 @@ class TopicBatches:
     topic: Topic
     query: str | None = None
 
+    @property
+    def name(self) -> str:
+        return f"topic {getattr(self.topic, 'path', None) or self.topic.name}"
+
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         write_topic(df, self.topic, batch_id, self.query)
 
@@ -59,17 +67,38 @@ def sink_of_query(sink: BatchSink, query_id: str) -> BatchSink:
     return replace(sink, query=query_id) if isinstance(sink, ParquetBatches | TopicBatches) else sink
 
 
+@dataclass(frozen=True)
+class TableBatches:
+    """See ``table_batches``."""
+
+    connection: Mapping[str, str]
+    table: str
+    batch_column: str | None = None
+    options: Mapping[str, object] = field(default_factory=dict)
+
+    @property
+    def name(self) -> str:
+        return f"table {self.table}"
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        if self.batch_column:
+            df = df.withColumn(self.batch_column, F.lit(batch_id).cast("bigint"))
+        append_table(df, self.connection, self.table, **self.options)
+
+
 def table_batches(
     connection: Mapping[str, str], table: str, *, batch_column: str | None = None, **options
 ) -> BatchSink:
     """Append to a database table, with the batch id in ``batch_column`` if named.
 
-    A batch that is run again appends again; the column lets readers tell.
+    A batch that is run again appends again, unless a ledger says that the table has it; the column lets readers tell.
     """
+    return TableBatches(connection, table, batch_column, options)
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        if batch_column:
-            df = df.withColumn(batch_column, F.lit(batch_id).cast("bigint"))
-        append_table(df, connection, table, **options)
 
-    return write
+def sink_names(sinks: Sequence[BatchSink]) -> list[str]:
+    """A name for each sink that is the same when a stream starts again: by where it writes, else by its place."""
+    names = [getattr(sink, "name", None) or f"sink {place}" for place, sink in enumerate(sinks)]
+    if len(set(names)) < len(names):
+        raise ValueError(f"two sinks write to one place: {names}")
+    return names

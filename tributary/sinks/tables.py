@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
 from tributary.operators.codec import encode_rows
-from tributary.scratch import exists
-from tributary.sources.lake import zone_path
+from tributary.scratch import discard, exists, read_small, write_small
+from tributary.sources.lake import MANIFEST, SNAPSHOTS, versions, zone_path
 from tributary.sources.topics import KafkaTopic, Topic
 
 BATCH_ROWS = 5_000
+KEPT = 3  # snapshots of a table, the present one included
 
 
 def overwrite_zone(df: DataFrame, zone: str, table: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Replace a zone's table and return where it is."""
-    path = zone_path(zone, table)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return path
+    """Replace a zone's table in one step and return the folder of its new snapshot.
+
+    The rows are written aside, and then one small file makes them the table. Until then, and if the
+    write fails, readers see the table as it was. Of two writers at a time the later one fails. The snapshots
+    of the last ``KEPT`` writes stay for those who still read them.
+    """
+    spark, path = df.sparkSession, zone_path(zone, table)
+    known = versions(spark, path)
+    snapshot = uuid.uuid4().hex
+    target = f"{path}/{SNAPSHOTS}/{snapshot}"
+    try:
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(target)
+    except Exception:
+        discard(spark, target)
+        raise
+    version = int(known[-1]) + 1 if known else 0
+    if not write_small(spark, f"{path}/{MANIFEST}/{version:012d}", snapshot):
+        discard(spark, target)
+        raise RuntimeError(f"{path} was written by someone else meanwhile")
+    for old in known[: max(0, len(known) + 1 - KEPT)]:
+        name = f"{path}/{MANIFEST}/{old}"
+        discard(spark, f"{path}/{SNAPSHOTS}/{read_small(spark, name)}")
+        discard(spark, name)
+    return target
 
 
 def table_options(
