@@ -1,3 +1,8 @@
+import html
+import random
+import re
+import time
+
 import numpy as np
 import pytest
 
@@ -115,3 +120,30 @@ def test_rows_that_are_odd(spark):
     got = language.identify(docs, nothing, "doc_id", "text", "source", markup=False)
     assert [r["lang"] for r in got.collect()] == ["und"] * 3
     assert language.identify(docs.limit(0), nothing, "doc_id", "text", "source", markup=False).count() == 0
+
+
+SLOW = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.IGNORECASE | re.DOTALL)
+
+
+def test_markup_is_left_out_as_one_pattern_would():
+    rng = random.Random(1)
+    pieces = ["<", ">", "<!--", "-->", "<script", "</script", "</SCRIPT >", "<style>", "</style\n>", "a", " ", "</p>", "<scripted>", "--", "!", "/", "<p x='"]
+    for _ in range(3000):
+        markup = "".join(rng.choices(pieces, k=rng.randrange(12)))
+        assert language.plain(markup) == html.unescape(SLOW.sub(" ", markup)), markup
+
+
+def test_hostile_pages_take_time_in_proportion():
+    for piece in ("<!--", "<script ", "<html ", "<style>", "</script", "<html lang = ", "<", "lang=\t", "<html lang" + " " * 50):
+        markup = "<html " + piece * (10_000_000 // len(piece))
+        start = time.perf_counter()
+        language.plain(markup)
+        language.declared_language(markup)
+        assert time.perf_counter() - start < 15, piece
+
+
+def test_more_labels_than_languages(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    rows = [("the cat and the dog", "en"), ("der Hund und die Katze", "de"), ("xyz", "junk1"), ("xyz", "junk2")]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == ("de", "en")

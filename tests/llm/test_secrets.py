@@ -1,4 +1,7 @@
+import math
+import random
 import re
+import time
 
 import pytest
 
@@ -115,3 +118,61 @@ def test_quoted_values_are_judged_whole():
     assert secrets.guessed_spans('token="" pwd="abc,d"', secrets.GuessModel()) == []
     assert secrets.guessed_spans('"token=" + value + "&q=" + shown', secrets.GuessModel()) == []
     assert secrets.guessed_spans('token="' * 20_000 + "'" * 20_000, secrets.GuessModel()) == []
+
+
+def every_way(value, model=secrets.GuessModel()):
+    """The cheapest of all segmentations, with every kind of segment told on its own."""
+    ranks, _ = secrets._ranks(model.words)
+
+    def walk(piece):
+        return any(piece in row or piece[::-1] in row for row in secrets.ROWS)
+
+    def cost(piece):
+        low = piece.lower()
+        leet = low.translate(secrets.LEET)
+        costs = [sum(map(secrets._brute, piece))]
+        if len(piece) > 2 and leet in ranks:
+            costs.append(ranks[leet] + (leet != low) * math.log10(2) + (piece != low) * math.log10(2))
+        if secrets.DATE.fullmatch(piece):
+            costs.append(math.log10(36600 if len(piece) > 4 else 100))
+        if len(piece) > 2 and walk(low):
+            costs.append(math.log10(40 * len(piece)))
+        for unit in range(1, 5):
+            times, rest = divmod(len(piece), unit)
+            if not rest and times > 2 and piece == piece[:unit] * times:
+                costs.append(sum(map(secrets._brute, piece[:unit])) + math.log10(times))
+        return min(costs)
+
+    best = [0.0]
+    for end in range(1, len(value) + 1):
+        best.append(min(best[start] + cost(value[start:end]) + model.per_segment for start in range(end)))
+    return best[-1]
+
+
+PIECES = ["aaaaa", "abcabcabc", "qwertyuio", "password", "P4ss", "2024", "20240131", "31.01.1999", "nopq", "zyx", "dragon", "x", "9", "Q", "#", "ab", "ba", "aa", "0987", "é", "poiuy"]
+
+
+def test_the_minimum_over_all_kinds_of_segments():
+    rng = random.Random(11)
+    values = ["aaaaaabcabcabc", "qwertyuiopassword", "nopqrs", "aaaaaaaaaaaaaaaaaaaaaaaab", "202420242024", "abababababcbcbcbcbc"]
+    values += ["".join(rng.choices(PIECES, k=rng.randrange(1, 7))) for _ in range(400)]
+    values += ["".join(rng.choices("ab", k=rng.randrange(1, 40))) for _ in range(200)]
+    for value in values:
+        assert secrets.guess_log10(value) == pytest.approx(every_way(value)), value
+    assert secrets.guess_log10("aaaaaabcabcabc") < 8 and secrets.guess_log10("qwertyuiopassword") < 4.5
+
+
+def test_long_values_of_every_kind_take_time_in_proportion():
+    for value in ("a" * 50_000, "ab" * 25_000, "qwertyuiop" * 5_000, "20240131" * 6_000, "".join("ab"[i * i % 7 % 2] for i in range(50_000))):
+        start = time.perf_counter()
+        secrets.guess_log10(value)
+        assert time.perf_counter() - start < 10
+
+
+def test_words_are_learnt_from_all_texts(spark):
+    texts = ["Zyzzogeton zyzzogeton, PASSWORD zyzzogeton", "quokka quokka", None, "", "ab quokka1zyzzogeton numbat"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    learnt = secrets.learnt_model(docs, model=secrets.GuessModel(learnt=2))
+    assert learnt.words == (*secrets.WORDS, "zyzzogeton", "quokka")
+    assert secrets.guess_log10("Quokka77zyzzogeton", learnt) < secrets.guess_log10("Quokka77zyzzogeton")
+    assert secrets.learnt_model(docs.limit(0)).words == tuple(secrets.WORDS)

@@ -23,10 +23,13 @@ from pyspark.sql import functions as F
 from tributary.llm.common import WORD_BYTES, mapped, stored
 
 BUCKETS = 1 << 14
-LANGUAGES = 512  # more labels than this are no languages
+LANGUAGES = 512  # the labels that have most trigrams; others are no languages
 
-HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.IGNORECASE | re.DOTALL)
-DECLARED = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([a-z]{2,3})\b", re.IGNORECASE)
+HIDDEN = re.compile(r"<(?:(script|style)\b|(!--))?", re.IGNORECASE)
+ENDS = {name: re.compile(rf"</{name}\s*+>", re.IGNORECASE) for name in ("script", "style")} | {"!--": re.compile("-->")}
+HTML = re.compile(r"<html\b", re.IGNORECASE)
+DECLARED = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*+=\s*+[\"']?+\s*+([a-z]{2,3})\b", re.IGNORECASE)
+NULLS = 4096  # keys that rows without a value are dealt over
 
 
 @dataclass(frozen=True)
@@ -83,28 +86,24 @@ class TextModel:
 def fit(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", rule: Fusion = Fusion()) -> TextModel:
     """Count the trigrams of every labelled text. Rows without a label or a text are left out.
 
-    The driver gets a sum for each language and bucket; without any label it is one
+    Of more than ``LANGUAGES`` labels those with most trigrams are languages, of equal ones the first by
+    name. The driver gets a sum for each language and bucket; without any label it is one
     language without a name, ``und``.
     """
     rows = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"))
     rows = rows.where("lang is not null and text is not null")
     counts = mapped(rows, count_batches, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    per_language = counts.groupBy("lang").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("counts"))
-    found = sorted(per_language.limit(LANGUAGES + 1).collect(), key=lambda row: row["lang"])
-    if len(found) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} labels in {lang_column}")
-    if not found:
+    counts = stored(counts, "trigrams")
+    largest = counts.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(LANGUAGES).select("lang")
+    found = counts.join(F.broadcast(largest), "lang", "left_semi").toArrow()
+    languages = sorted(set(found["lang"].to_pylist()))
+    if not languages:
         return TextModel(("und",), np.zeros((1, BUCKETS), np.float32), (0.0,))
-    table = np.full((len(found), BUCKETS), rule.smoothing)
-    for row, counted in zip(table, found, strict=True):
-        buckets = np.fromiter(counted["counts"].keys(), np.int64)
-        row[buckets] += np.fromiter(counted["counts"].values(), np.float64)
+    table = np.full((len(languages), BUCKETS), rule.smoothing)
+    place = {lang: k for k, lang in enumerate(languages)}
+    table[[place[lang] for lang in found["lang"].to_pylist()], found["bucket"].to_numpy()] += found["n"].to_numpy()
     sums = table.sum(axis=1)
-    return TextModel(
-        tuple(row["lang"] for row in found),
-        np.log(table / sums[:, None]).astype(np.float32),
-        tuple(np.log(sums / sums.sum()).tolist()),
-    )
+    return TextModel(tuple(languages), np.log(table / sums[:, None]).astype(np.float32), tuple(np.log(sums / sums.sum()).tolist()))
 
 
 def address(url: str | None) -> tuple[str | None, str | None, str | None]:
@@ -124,7 +123,31 @@ def address(url: str | None) -> tuple[str | None, str | None, str | None]:
 
 
 def plain(markup: str) -> str:
-    return html.unescape(HIDDEN.sub(" ", markup))
+    """The text of a page without its tags, comments, scripts and styles, in one pass; what is never closed is a tag."""
+    out, at, lacking = [], 0, set()
+    while (opened := HIDDEN.search(markup, at)) is not None:
+        kind = (opened[1] or opened[2] or "").lower()
+        end = -1
+        if kind and kind not in lacking:
+            closed = ENDS[kind].search(markup, opened.start() + len(kind) + 1)
+            end = closed.end() if closed else -1
+            if not closed:
+                lacking.add(kind)  # nor is there one for those that follow
+        if end < 0:
+            end = markup.find(">", opened.start() + 1) + 1
+            if not end:
+                break
+        out.append(markup[at : opened.start()])
+        at = end
+    out.append(markup[at:])
+    return html.unescape(" ".join(out))
+
+
+def declared_language(markup: str) -> str | None:
+    """The language that the page's first html tag declares."""
+    tag = HTML.search(markup)
+    found = tag and DECLARED.match(markup, tag.start())
+    return found[1].lower() if found else None
 
 
 SCORED = "id long, host string, domain string, suffix string, declared string, n_trigrams long, p array<double>"
@@ -137,7 +160,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: TextModel, rule: Fus
         for begin in range(0, batch.num_rows, 512):
             part = batch.slice(begin, 512)
             raw = [scalar.as_py() or "" for scalar in part.column(2)]
-            declared = [DECLARED.search(text) for text in raw] if markup else [None] * len(raw)
+            declared = [declared_language(text) for text in raw] if markup else [None] * len(raw)
             buckets, spans = trigrams([plain(text) for text in raw] if markup else raw)
             sizes = spans[:, 1] - spans[:, 0]
             evidence = np.zeros((len(raw), n))
@@ -153,7 +176,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: TextModel, rule: Fus
                 [
                     part.column(0),
                     *(pa.array(place, pa.string()) for place in places),
-                    pa.array([found and found[1].lower() for found in declared], pa.string()),
+                    pa.array(declared, pa.string()),
                     pa.array(np.maximum(sizes, 0), pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1) * n, pa.int32()), pa.array(p.ravel())),
                 ],
@@ -192,12 +215,17 @@ def fuse(scored: DataFrame, languages: tuple[str, ...], rule: Fusion = Fusion())
     all_prior = F.array(*(F.lit(((x or 0.0) + 1 / n) / (whole["n"] + 1)) for x in whole["own"]))
     domains = scored.where("domain is not null").groupBy("domain").agg(_sums(n).alias("domain_sums"), F.count(F.lit(1)).alias("domain_n"))
     hosts = scored.where("host is not null").groupBy("host").agg(_sums(n).alias("host_sums"), F.count(F.lit(1)).alias("host_n"))
-    joined = (
-        scored.join(domains, "domain", "left")
-        .join(hosts, "host", "left")
-        .join(_reliability(scored, "declared", n, rule), F.col("declared") == F.col("declared_value"), "left")
-        .join(_reliability(scored, "suffix", n, rule), F.col("suffix") == F.col("suffix_value"), "left")
-    )
+    domains, hosts = domains.withColumnRenamed("domain", "domain_value"), hosts.withColumnRenamed("host", "host_value")
+    joined = scored
+    for name, known in (
+        ("domain", domains),
+        ("host", hosts),
+        ("declared", _reliability(scored, "declared", n, rule)),
+        ("suffix", _reliability(scored, "suffix", n, rule)),
+    ):
+        # Rows without a value are dealt over many keys that no value has.
+        none = F.concat(F.lit("\x00"), F.pmod(F.xxhash64("id", "host", "n_trigrams"), F.lit(NULLS)).cast("string"))
+        joined = joined.join(known, F.coalesce(F.col(name), none) == F.col(f"{name}_value"), "left")
 
     def without_self(sums: str) -> Column:
         return F.zip_with(sums, "p", lambda x, y: x - y)

@@ -16,7 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+    documents = table(spark, sf_dir, "documents")
+    return secrets.digest(secrets.scan_secrets(documents, model=secrets.learnt_model(documents)))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 The cost of guessing a value is the cheapest way to cut it into dictionary
 words, dates, repeats, keyboard walks and brute-force spans, found by dynamic
-programming over its positions. Work per value is linear in its length.
+programming over its positions, with every part of a walk or a repeat as a segment. Work per value is linear in its length.
+Words are ranked by how often the corpus has them.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 from hashlib import sha256
 
@@ -59,9 +60,13 @@ LEET = str.maketrans("013457@$!", "oieastasi")
 
 @dataclass(frozen=True)
 class GuessModel:
-    """What a guesser is taken to know, as decimal logarithms of the number of guesses."""
+    """What a guesser is taken to know, as decimal logarithms of the number of guesses.
+
+    ``words`` are in the order they are tried; ``learnt_model`` adds up to ``learnt`` of a corpus.
+    """
 
     words: tuple[str, ...] = tuple(WORDS)
+    learnt: int = 20_000
     min_log10: float = 8.0
     min_length: int = 6
     per_segment: float = math.log10(2)  # the guesser does not know where segments end
@@ -74,22 +79,51 @@ def _ranks(words: tuple[str, ...]) -> tuple[dict[str, float], int]:
 
 
 @cache
-def _steps() -> dict[str, str]:
-    """For a pair of neighbours on a keyboard row or in the alphabet, the row and direction."""
-    steps = {}
+def _steps() -> dict[str, tuple[str, ...]]:
+    """For a pair of neighbours on keyboard rows or in the alphabet, the rows and directions."""
+    steps: dict[str, tuple[str, ...]] = {}
     for row in ROWS:
         for a, b in zip(row, row[1:], strict=False):
-            steps.setdefault(a + b, f"{row[0]}+")
-            steps.setdefault(b + a, f"{row[0]}-")
+            steps[a + b] = (*steps.get(a + b, ()), f"{row[0]}+")
+            steps[b + a] = (*steps.get(b + a, ()), f"{row[0]}-")
     return steps
 
 
+WALK_LEAST, DATE_LENGTHS, UNITS, TIMES_LEAST = 3, range(4, 11), range(1, 5), 3
 DATE = re.compile(
     r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])"
     r"|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d"
-    r"|(?:19|20)\d\d"
+    r"|(?:19|20)\d\d",
+    re.ASCII,
 )
-REPEAT = re.compile(r"(.{1,4}?)\1{2,}", re.DOTALL)
+
+
+class LogMin:
+    """The least of value + log10(j - i) over the (i, value) added so far, for a growing j.
+
+    A later one with a larger value is better at first, and from some j on the earlier one is. On
+    the stack the last is the best now, and each is overtaken by the one below it before that is by the next.
+    """
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[int, float, float]] = []  # i, value, the j at which the one below is better
+
+    @staticmethod
+    def overtaken(early: tuple[int, float, float], i: int, value: float) -> float:
+        ratio = 10 ** min(value - early[1], 300)
+        return (ratio * i - early[0]) / (ratio - 1) if ratio > 1 else math.inf
+
+    def add(self, i: int, value: float) -> None:
+        while self.stack and self.stack[-1][1] >= value:
+            self.stack.pop()
+        while len(self.stack) > 1 and self.overtaken(self.stack[-1], i, value) >= self.stack[-1][2]:
+            self.stack.pop()
+        self.stack.append((i, value, self.overtaken(self.stack[-1], i, value) if self.stack else math.inf))
+
+    def least(self, j: int) -> float:
+        while len(self.stack) > 1 and j >= self.stack[-1][2]:
+            self.stack.pop()
+        return self.stack[-1][1] + math.log10(j - self.stack[-1][0]) if self.stack else math.inf
 
 
 def _brute(char: str) -> float:
@@ -101,43 +135,69 @@ def _brute(char: str) -> float:
     return math.log10(33) if char.isascii() else 2.0
 
 
+def word_cost(value: str, lower: str, plain: str, rank: float) -> float:
+    """A word of this rank, written with other letters or cases."""
+    return rank + ((plain != lower) + (value != lower)) * math.log10(2)
+
+
+def date_cost(length: int) -> float:
+    return math.log10(366 * 100 if length > 4 else 100)
+
+
 def guess_log10(value: str, model: GuessModel = GuessModel()) -> float:
     """The decimal logarithm of the guesses the cheapest segmentation needs; 0 for an empty value."""
     n = len(value)
     ranks, longest = _ranks(model.words)
     lower = value.lower() if len(value.lower()) == n else value
     plain = lower.translate(LEET)
-    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: start and cost of a segment
+    steps, brute = _steps(), [0.0, *map(_brute, value)]
+    walks: dict[str, int] = {}  # by row and direction: letters of the walk that ends here
+    same = dict.fromkeys(UNITS, 0)  # by length of the unit: letters in turn equal to those so far before
+    repeats: dict[tuple[int, int], LogMin] = {}
 
-    for start in range(n):
-        for end in range(start + 3, min(n, start + longest) + 1):
+    # spelled: the cheapest way that ends in a brute-force span; best[i]: any way to i.
+    best, spelled = [0.0] * (n + 1), math.inf
+    for end in range(1, n + 1):
+        spelled = min(spelled, best[end - 1] + model.per_segment) + brute[end]
+        found = math.inf
+        for start in range(max(0, end - longest), end - 2):
             rank = ranks.get(plain[start:end])
             if rank is not None:
-                changed = (plain[start:end] != lower[start:end]) + (value[start:end] != lower[start:end])
-                ends[end].append((start, rank + changed * math.log10(2)))
-        date = DATE.match(value, start)
-        if date:
-            ends[date.end()].append((start, math.log10(366 * 100 if date.end() - start > 4 else 100)))
-    for match in REPEAT.finditer(value):
-        unit, times = match.group(1), (match.end() - match.start()) // len(match.group(1))
-        ends[match.end()].append((match.start(), sum(map(_brute, unit)) + math.log10(times)))
-    steps, start = _steps(), 0
-    while start < n - 1:
-        way, end = steps.get(lower[start : start + 2]), start + 1
-        while way and steps.get(lower[end - 1 : end + 1]) == way and end < n:
-            end += 1
-        if end - start >= 3:
-            ends[end].append((start, math.log10(40 * (end - start))))
-        start = max(start + 1, end - 1)
-
-    # spelled[i]: the cheapest way to i that ends in a brute-force span; best[i]: any way.
-    best, spelled = [0.0] + [math.inf] * n, [math.inf] * (n + 1)
-    for end in range(1, n + 1):
-        spelled[end] = min(spelled[end - 1], best[end - 1] + model.per_segment) + _brute(value[end - 1])
-        best[end] = min([spelled[end], *(best[s] + cost + model.per_segment for s, cost in ends[end])])
+                found = min(found, best[start] + word_cost(value[start:end], lower[start:end], plain[start:end], rank))
+        if value[end - 1] in "0123456789":
+            for length in DATE_LENGTHS:
+                if length <= end and DATE.fullmatch(value, end - length, end):
+                    found = min(found, best[end - length] + date_cost(length))
+        walks = {way: walks.get(way, 1) + 1 for way in steps.get(lower[end - 2 : end], ())} if end > 1 else {}
+        for length in range(WALK_LEAST, max(walks.values(), default=0) + 1):
+            found = min(found, best[end - length] + math.log10(40 * length))
+        for unit in UNITS:
+            same[unit] = same[unit] + 1 if end > unit and value[end - 1] == value[end - 1 - unit] else 0
+            if same[unit] < unit * (TIMES_LEAST - 1):
+                continue
+            if same[unit] < unit * TIMES_LEAST:
+                repeats[unit, end % unit] = LogMin()
+            start = end - unit * TIMES_LEAST
+            times = repeats[unit, end % unit]
+            times.add(start // unit, best[start])
+            found = min(found, times.least(end // unit) + sum(brute[end - unit + 1 : end + 1]))
+        best[end] = min(spelled, found + model.per_segment)
     return best[n]
 
 
+def learnt_model(docs: DataFrame, text_column: str = "text", model: GuessModel = GuessModel()) -> GuessModel:
+    """The model with the words the corpus has most often, of 3 to 20 letters a to z, after those it has; ties by the alphabet.
+
+    All texts are counted; the driver gets ``learnt`` words.
+    """
+    pieces = F.filter(F.split(F.lower(F.col(text_column)), "[^a-z]++"), lambda word: F.length(word).between(3, 20))
+    counts = docs.select(F.explode(pieces).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    known = set(model.words)
+    top = counts.orderBy(F.desc("n"), "word").limit(model.learnt + len(known)).collect()
+    learnt = [row["word"] for row in top if row["word"] not in known][: model.learnt]
+    return replace(model, words=(*model.words, *learnt))
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """The spans of the three patterns as start, rank of the kind, end."""
     spans = []
