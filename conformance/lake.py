@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,17 +14,18 @@ from conformance.shapes import BATCH_STATS_SQL, bio, dirty, exact_avg, results
 from tributary.contracts import ATHLETE_BIO, ATHLETE_EVENT_RESULTS, Contract
 from tributary.functions.numbers import NAN_IS_NULL
 from tributary.operators import rule_castable, rule_max_length, rule_not_null
-from tributary.plans import BATCH_STATS, copy_tables, run_medallion
+from tributary.plans import BATCH_STATS, bronze_to_silver, copy_tables, land_new_files, run_medallion, silver_to_gold
+from tributary.plans.medallion import read_bronze
 from tributary.scratch import scratch_path
-from tributary.sinks import overwrite_zone
+from tributary.sinks import Buckets, overwrite_zone
 from tributary.sources import read_landed, read_zone
 
 CENTS = 2
 
 
-def land(df, path):
+def land(df, path, mode="error"):
     """Write a table the way a landed file looks: header, quotes doubled, spaces kept."""
-    df.write.options(
+    df.write.mode(mode).options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue='""'
     ).csv(path)
     return path
@@ -44,6 +46,21 @@ def csv_landing_documents(spark, sf_dir):
     return read_landed(spark, path, Contract("documents", documents.schema, ("doc_id",)), corrupt=None)
 
 
+@query("landing_incremental", "select * from customer")
+def landing_incremental(spark, sf_dir):
+    """Files land twice, and the second run parses the new ones only."""
+    customer = table(spark, sf_dir, "customer")
+    contract = Contract("customer", customer.schema, ("c_custkey",))
+    path, bronze, progress = (scratch_path(spark, name) for name in ("customer", "bronze", "progress"))
+    added = []
+    for half in (0, 1):
+        land(customer.where(F.col("c_custkey") % 2 == half), path, "append")
+        added.append(land_new_files(spark, {"customer": path}, bronze, [contract], checkpoints=progress)["customer"]["rows"])
+    if min(added) == sum(added):
+        raise ValueError(f"each run adds its half, not {added}")
+    return read_bronze(spark, bronze, "customer")
+
+
 @contextlib.contextmanager
 def _splits_of(spark, size):
     """Files are cut into splits of this many bytes; what is read has to be written before the end."""
@@ -123,6 +140,18 @@ def medallion_gold(spark, sf_dir):
     return spark.read.parquet(path).drop("timestamp")
 
 
+@query("gold_bucketed", BATCH_STATS_SQL)
+def gold_bucketed(spark, sf_dir):
+    """Gold from silver tables laid out by the key they are joined on, with a merge join."""
+    lake, buckets = scratch_path(spark, "lake"), Buckets("athlete_id", 8, f"silver_{uuid.uuid4().hex[:12]}")
+    for name, rows in ((ATHLETE_BIO.name, bio(spark, sf_dir)), (ATHLETE_EVENT_RESULTS.name, results(spark, sf_dir))):
+        overwrite_zone(rows, f"{lake}/bronze", name)
+    bronze_to_silver(spark, f"{lake}/bronze", f"{lake}/silver", buckets=buckets)
+    spec = BATCH_STATS.with_(measure_policy=NAN_IS_NULL, scale=CENTS, broadcast_limit=0)
+    path = silver_to_gold(spark, f"{lake}/silver", f"{lake}/gold", spec=spec, buckets=buckets)
+    return spark.read.parquet(path).drop("timestamp")
+
+
 @query("lake_overwrite", "select * from part")
 def lake_overwrite(spark, sf_dir):
     """A zone table written twice holds the second table only."""

@@ -7,7 +7,8 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from tributary.sinks import overwrite_zone, tables
+from tributary.operators import StatsSpec, grouped_stats
+from tributary.sinks import Buckets, overwrite_zone, tables
 from tributary.sources import read_zone
 from tributary.sources.lake import snapshot_path
 
@@ -97,3 +98,23 @@ def test_rows_of_tasks_that_are_run_again_count_once(tmp_path):
     env = {name: value for name, value in os.environ.items() if not name.startswith("SPARK_")}
     done = subprocess.run([sys.executable, "-c", RETRIED, ROOT, str(tmp_path)], capture_output=True, text=True, timeout=200, env=env)
     assert "COUNTS 100 25" in done.stdout, done.stderr[-2000:]
+
+
+def test_tables_laid_out_by_key_are_joined_without_a_shuffle(spark, folder):
+    buckets = Buckets("k", 4, "laid_out")
+    facts = spark.range(2000).selectExpr("id % 50 as k", "id % 3 as g", "id as v").union(spark.sql("select cast(null as bigint), 1L, 2L"))
+    people = spark.range(50).selectExpr("id as k", "id % 2 as h", "id as w")
+    for name, rows in (("facts", facts), ("people", people)):
+        overwrite_zone(rows, folder("silver"), name, buckets=buckets)
+    assert read_zone(spark, folder("silver"), "facts").count() == 2001
+    facts, people = spark.table("laid_out_facts"), spark.table("laid_out_people")
+    spec = StatsSpec(on=("k",), group_by=("g", "h"), measures={"v": "v", "w": "w"}, stamp=None, broadcast_limit=0)
+    for fold in (True, False):
+        stats = grouped_stats(facts, people, spec.with_(fold_facts=fold))
+        plan = stats._jdf.queryExecution().executedPlan().toString().split("Join")
+        assert len(plan) == 2 and "Exchange" not in plan[1] and "Bucketed: true" in plan[1]
+        assert {(r["g"], r["h"]): r["v"] for r in stats.collect()} == {
+            (g, h): sum(x) / len(x) for g in range(3) for h in range(2) for x in [[i for i in range(2000) if i % 3 == g and i % 50 % 2 == h]]
+        }
+    spark.sql("drop table laid_out_facts")
+    spark.sql("drop table laid_out_people")

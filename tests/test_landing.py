@@ -7,7 +7,8 @@ import pytest
 
 from tributary.contracts import Contract, ContractError
 from tributary.functions.payload import CORRUPT
-from tributary.plans import bronze_to_silver, landing_to_bronze
+from tributary.operators import StatsSpec
+from tributary.plans import bronze_to_silver, land_new_files, landing_to_bronze, medallion, run_medallion
 from tributary.plans.medallion import read_bronze
 from tributary.sources import read_landed, read_zone
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -194,3 +195,46 @@ def test_a_table_of_rejected_rows_only(spark, folder):
     assert landing_to_bronze(spark, landed, folder("bronze"), [CONTRACT]) == {"people": {"rows": 3, "rejected": 3}}
     bronze_to_silver(spark, folder("bronze"), folder("silver"), ["people"], with_rejected=False)
     assert read_zone(spark, folder("silver"), "people", CONTRACT).count() == 0
+
+
+FACTS = Contract("facts", StructType([StructField("athlete_id", IntegerType()), StructField("sport", StringType())]), ("athlete_id",))
+SPEC = StatsSpec(on=("athlete_id",), group_by=("sport",), measures={"avg_height": "height"}, stamp=None)
+
+
+def test_a_run_that_failed_goes_on_where_it_ended(spark, folder, monkeypatch):
+    landed = {"people": land(folder("in"), "a.csv", GOOD), "facts": land(folder("facts"), "f.csv", ["1,row", "2,row"], "athlete_id,sport")}
+    scans = []
+    monkeypatch.setattr(medallion, "read_landed", lambda spark, path, contract: scans.append(contract.name) or read_landed(spark, path, contract))
+    silvers = []
+    monkeypatch.setattr(medallion, "bronze_to_silver", lambda *a, **k: silvers.append(1) or bronze_to_silver(*a, **k))
+    options = {"contracts": [CONTRACT, FACTS], "resume": True, "facts": "facts", "dimension": "people"}
+    with pytest.raises(Exception, match="no_such"):
+        run_medallion(spark, landed, folder("lake"), **options, spec=SPEC.with_(group_by=("no_such",)))
+    assert scans == ["people", "facts"] and silvers == [1]
+    path = run_medallion(spark, landed, folder("lake"), **options, spec=SPEC)
+    assert scans == ["people", "facts"] and silvers == [1]
+    assert spark.read.parquet(path).count() == 1 == read_zone(spark, folder("lake/gold"), "avg_stats").count()
+    assert run_medallion(spark, landed, folder("lake"), **options, spec=SPEC) == path
+    land(folder("facts"), "g.csv", ["3,swim"], "athlete_id,sport")
+    later = run_medallion(spark, landed, folder("lake"), **options, spec=SPEC)
+    assert len(scans) == 4 and silvers == [1, 1] and later != path and spark.read.parquet(later).count() == 2
+    run_medallion(spark, landed, folder("lake"), **(options | {"resume": False}), spec=SPEC)
+    assert len(scans) == 6
+
+
+def test_only_what_newly_landed_is_read(spark, folder):
+    landed = {"people": land(folder("in"), "a.csv", GOOD + BROKEN)}
+
+    def run():
+        return land_new_files(spark, landed, folder("bronze"), [CONTRACT], checkpoints=folder("progress"))["people"]
+
+    assert run() == {"rows": 4, "rejected": 0}
+    assert run() == {"rows": 0, "rejected": 0}
+    land(folder("in"), "b.csv", ["8,new,1", *BAD])
+    assert run() == {"rows": 4, "rejected": 3}
+    assert read_bronze(spark, folder("bronze"), "people").count() == 8
+    good = read_bronze(spark, folder("bronze"), "people", with_rejected=False)
+    assert sorted(r[0] for r in good.collect()) == [1, 2, 3, 4, 8] and good.columns == CONTRACT.schema.names
+    landing_to_bronze(spark, landed, folder("whole"), [CONTRACT])
+    with pytest.raises(ValueError, match="as a whole"):
+        land_new_files(spark, landed, folder("whole"), [CONTRACT], checkpoints=folder("other"))

@@ -19,6 +19,7 @@ from tributary.operators.rejects import contract_rules
 from tributary.plans import (
     bronze_to_silver,
     copy_tables,
+    land_new_files,
     landing_to_bronze,
     replay_table,
     run_event_enrichment,
@@ -29,9 +30,9 @@ from tributary.plans.medallion import TABLES
 from tributary.plans.presets import STREAM_STATS
 from tributary.settings import BASE_SETTINGS, input_bytes, session_settings
 from tributary.sinks import append_table, overwrite_zone, parquet_batches, table_batches, topic_batches
-from tributary.sources import FileTopic, KafkaTopic, key_bounds, read_table
+from tributary.sources import FileTopic, KafkaTopic, key_bounds, read_table, read_zone
 from tributary.sources.topics import Topic
-from tributary.streaming import wait
+from tributary.streaming import deliver_dead_letters, wait
 from tributary.streaming.enrichment import TRIGGER_SECONDS
 
 
@@ -56,6 +57,9 @@ def _parser() -> argparse.ArgumentParser:
     for sub in (bronze, silver, gold):
         sub.add_argument("--preview", type=int, default=0, help="rows to show of each table")
 
+    lake.add_argument("--resume", action="store_true", help="leave out steps that are done and whose input is as it was")
+    bronze.add_argument("--checkpoints", help="add only what has landed since the last run with this folder")
+
     copy = job("copy", "--source", "--target")
     copy.add_argument("--mode", default="append", choices=["append", "overwrite"])
     copy.add_argument("--rejects-path", help="Parquet folder of the rows without a required value; else they fail the job")
@@ -71,11 +75,16 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--key", help="an evenly spread column to read a database table by in parallel")
         sub.add_argument("--partitions", type=int, default=16, help="parallel reads when --key is given")
 
-    stream.add_argument("--out-path", help="Parquet folder of the averages")
-    stream.add_argument("--out-topic")
-    stream.add_argument("--out-connection", help="settings of the database for the averages")
-    stream.add_argument("--out-table")
-    stream.add_argument("--batch-column", help="column of --out-table that takes the batch id")
+    deliver = job("deliver", "--dead-letters")
+    deliver.add_argument("--servers", help="the broker; without it a topic is a folder of text files")
+    deliver.add_argument("--connections", type=int, default=8, help="tasks that write to a database at a time")
+    for sub in (stream, deliver):
+        sub.add_argument("--out-path", help="Parquet folder of the averages")
+        sub.add_argument("--out-topic")
+        sub.add_argument("--out-connection", help="settings of the database for the averages")
+        sub.add_argument("--out-table")
+        sub.add_argument("--batch-column", help="column of --out-table that takes the batch id")
+    stream.add_argument("--dead-letters", help="with --on-error skip, a folder that keeps what sinks have missed, for the job deliver")
     stream.add_argument("--frozen-path", help="folder for the copy of the table while the stream runs")
     stream.add_argument("--rejects-path", help="Parquet folder of the messages that are of no use")
     stream.add_argument("--every", type=int, default=TRIGGER_SECONDS, help="seconds between batches")
@@ -110,7 +119,10 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
 
 def _bronze(spark, args):
     landed = _landed(args.landing)
-    landing_to_bronze(spark, landed, args.bronze, preview_rows=args.preview)
+    if args.checkpoints:
+        land_new_files(spark, landed, args.bronze, checkpoints=args.checkpoints)
+    else:
+        landing_to_bronze(spark, landed, args.bronze, preview_rows=args.preview)
 
 
 def _silver(spark, args):
@@ -125,7 +137,7 @@ def _gold(spark, args):
 
 def _lake(spark, args):
     landed = _landed(args.landing)
-    run_medallion(spark, landed, args.lake, with_rejected=not args.without_rejected)
+    run_medallion(spark, landed, args.lake, with_rejected=not args.without_rejected, resume=args.resume)
 
 
 def _copy(spark, args):
@@ -147,8 +159,7 @@ def _replay(spark, args):
     replay_table(_table(spark, args), _topic(args.servers, args.topic))
 
 
-def _stream(spark, args):
-    limit = {"maxOffsetsPerTrigger" if args.servers else "maxFilesPerTrigger": args.batch_limit}
+def _sinks(args):
     sinks = []
     if args.out_path:
         sinks.append(parquet_batches(args.out_path))
@@ -163,11 +174,16 @@ def _stream(spark, args):
         )
     if args.out_topic:
         sinks.append(topic_batches(_topic(args.servers, args.out_topic)))
+    return sinks
+
+
+def _stream(spark, args):
+    limit = {"maxOffsetsPerTrigger" if args.servers else "maxFilesPerTrigger": args.batch_limit}
     query = run_event_enrichment(
         spark,
         _topic(args.servers, args.topic, limit if args.batch_limit else {}),
         _table(spark, args),
-        sinks,
+        _sinks(args),
         checkpoint=args.checkpoint,
         spec=STREAM_STATS.with_(measure_policy=args.policy),
         rejects=parquet_batches(args.rejects_path) if args.rejects_path else None,
@@ -175,10 +191,15 @@ def _stream(spark, args):
         available_now=args.available_now,
         on_error=args.on_error,
         frozen_path=args.frozen_path,
+        dead_letters=args.dead_letters,
     )
     wait(query)
 
 
+def _deliver(spark, args):
+    deliver_dead_letters(spark, args.dead_letters, _sinks(args))
+
+
 _JOBS = {
     "bronze": _bronze,
     "silver": _silver,
@@ -187,6 +208,7 @@ _JOBS = {
     "copy": _copy,
     "replay": _replay,
     "stream": _stream,
+    "deliver": _deliver,
 }
 
 
@@ -212,7 +234,8 @@ def _settings(path: str) -> dict[str, str]:
 
 def _table(spark, args):
     if not args.source:
-        return spark.read.parquet(args.table)
+        zone, _, name = args.table.rstrip("/").rpartition("/")
+        return read_zone(spark, zone, name)
     source = _settings(args.source)
     return read_table(spark, source, args.table, keys=_keys(spark, source, args.table, args))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -16,7 +17,33 @@ BATCH_ROWS = 5_000
 KEPT = 3  # snapshots of a table, the present one included
 
 
-def overwrite_zone(df: DataFrame, zone: str, table: str, partition_by: tuple[str, ...] = ()) -> str:
+@dataclass(frozen=True)
+class Buckets:
+    """Tables laid out by a key: ``number`` files, each sorted, known to the session's catalog as ``<prefix>_<table>``.
+
+    Tables with the same key and number are joined and grouped by it without a shuffle. Rows without a key share a file.
+    """
+
+    key: str
+    number: int
+    prefix: str
+
+    def name(self, table: str) -> str:
+        return f"{self.prefix}_{table}"
+
+
+def _written(df: DataFrame, path: str, table: str, partition_by: tuple[str, ...], buckets: Buckets | None) -> None:
+    if buckets is None:
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+        return
+    # A task has the rows of one file, as Spark deals rows over tasks and over buckets alike.
+    writer = df.repartition(buckets.number, buckets.key).write.bucketBy(buckets.number, buckets.key).sortBy(buckets.key)
+    writer.mode("overwrite").option("path", path).format("parquet").saveAsTable(buckets.name(table))
+
+
+def overwrite_zone(
+    df: DataFrame, zone: str, table: str, partition_by: tuple[str, ...] = (), buckets: Buckets | None = None
+) -> str:
     """Replace a zone's table in one step and return the folder of its new snapshot.
 
     The rows are written aside, and then one small file makes them the table. Until then, and if the
@@ -28,7 +55,7 @@ def overwrite_zone(df: DataFrame, zone: str, table: str, partition_by: tuple[str
     snapshot = uuid.uuid4().hex
     target = f"{path}/{SNAPSHOTS}/{snapshot}"
     try:
-        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(target)
+        _written(df, target, table, partition_by, buckets)
     except Exception:
         discard(spark, target)
         raise
