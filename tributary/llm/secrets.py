@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import mapped
+from tributary.llm.common import mapped, stored
 
 # The three patterns and the least length of what they must find.
 ASSIGN = re.compile(
@@ -186,16 +186,23 @@ def guess_log10(value: str, model: GuessModel = GuessModel()) -> float:
 
 
 def learnt_model(docs: DataFrame, text_column: str = "text", model: GuessModel = GuessModel()) -> GuessModel:
-    """The model with the words the corpus has most often, of 3 to 20 letters a to z, after those it has; ties by the alphabet.
+    """The model with the words the corpus has most often, of 3 to 20 letters a to z, after those it has.
 
-    All texts are counted; the driver gets ``learnt`` words.
+    All texts are counted. The driver gets up to ``learnt`` words: as many classes of about as frequent ones as that has room for.
     """
     pieces = F.filter(F.split(F.lower(F.col(text_column)), "[^a-z]++"), lambda word: F.length(word).between(3, 20))
     counts = docs.select(F.explode(pieces).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    known = set(model.words)
-    top = counts.orderBy(F.desc("n"), "word").limit(model.learnt + len(known)).collect()
-    learnt = [row["word"] for row in top if row["word"] not in known][: model.learnt]
-    return replace(model, words=(*model.words, *learnt))
+    known = docs.sparkSession.createDataFrame([(word,) for word in model.words] or [("",)], "word string")
+    counts = counts.join(F.broadcast(known), "word", "left_anti").withColumn("class", F.floor(F.log2("n") * 64))
+    counts, room, least = stored(counts, "words"), model.learnt, None
+    for row in counts.groupBy("class").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("class")).collect():
+        if row["words"] > room:
+            break
+        room, least = room - row["words"], row["class"]
+    if least is None:
+        return model
+    learnt = counts.where(F.col("class") >= least).orderBy(F.desc("n"), "word").collect()
+    return replace(model, words=(*model.words, *(row["word"] for row in learnt)))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
