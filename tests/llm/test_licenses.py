@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import plain
 import pytest
@@ -104,3 +105,49 @@ def test_rows_that_are_odd(spark):
     got = sorted(((r["doc_id"], r["labels"], r["score"]) for r in licenses.scan_licenses(docs).collect()), key=repr)
     assert got == [(1, "mit", 0.9), (1, "mit", 0.9), (None, "", 0.0)]
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
+
+
+def choices(tree):
+    """All the ways to take a tree of and/or: sets of leaves that are to be met together."""
+    if isinstance(tree, str):
+        return [{tree}]
+    left, op, right = tree
+    if op == "or":
+        return choices(left) + choices(right)
+    return [a | b for a in choices(left) for b in choices(right)]
+
+
+def written(tree):
+    return tree if isinstance(tree, str) else f"( {written(tree[0])} {tree[1]} {written(tree[2])} )"
+
+
+def test_and_joins_obligations_and_or_leaves_a_choice():
+    asks = {"mit": 1, "gpl-3.0": 3, "lgpl-2.1": 2, "agpl-3.0": 4, "cc0-1.0": 0, "odd-1": 6, "gpl-2.0 with classpath-exception-2.0": 2, "gpl-2.0 with some-words": 3}
+    rng = random.Random(1)
+
+    def grown(depth):
+        return rng.choice(sorted(asks)) if not depth or rng.random() < 0.3 else (grown(depth - 1), rng.choice(["and", "or"]), grown(depth - 1))
+
+    for _ in range(500):
+        tree = grown(4)
+        terms = licenses.evaluated(written(tree).split())
+        assert terms.asks == min(max(asks[leaf] for leaf in each) for each in choices(tree)), tree
+        leaves = set().union(*choices(tree))
+        assert terms.exceptions == {leaf.split(" with ")[1] for leaf in leaves if " with " in leaf}
+
+
+@pytest.mark.parametrize(
+    "text, obligation, exceptions",
+    [
+        ("SPDX-License-Identifier: GPL-2.0-only OR MIT", "notice", ""),
+        ("SPDX-License-Identifier: GPL-2.0-only AND MIT", "copyleft", ""),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "file copyleft", "classpath-exception-2.0"),
+        ("SPDX-License-Identifier: AGPL-3.0 WITH Classpath-exception-2.0", "network copyleft", "classpath-exception-2.0"),
+        ("SPDX-License-Identifier: MIT\nSPDX-License-Identifier: AGPL-3.0", "network copyleft", ""),
+        ("SPDX-License-Identifier: strange-1.0", "unknown", ""),
+        ("SPDX-License-Identifier: (", None, ""),
+        ("the MIT license", None, ""),
+    ],
+)
+def test_what_tags_ask_for(text, obligation, exceptions):
+    assert licenses.scan(text)[7:] == (obligation, exceptions)

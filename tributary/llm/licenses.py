@@ -2,14 +2,16 @@
 
 One Aho-Corasick automaton over the words of a text finds the phrases, another
 over its lower-cased characters finds the tags. The expression after a tag is
-parsed by the shunting-yard method (``with`` binds before ``and`` before ``or``) and evaluated
-to the licences it names.
+parsed by the shunting-yard method (``with`` binds before ``and`` before ``or``) and evaluated:
+who takes it meets the obligations of all that ``and`` joins and of the least that ``or`` leaves to choose, and an
+exception after ``with`` may lower those of the licence before it.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import ahocorasick
@@ -42,6 +44,23 @@ NOTICES = {
     "boost software license": "bsl",
     "permission to use copy modify and or distribute this software for any purpose": "isc",
     "all rights reserved": "proprietary",
+    "gnu free documentation license": "gfdl",
+    "server side public license": "sspl",
+    "business source license": "busl",
+    "common development and distribution license": "cddl",
+    "european union public licence": "eupl",
+    "artistic license": "artistic",
+    "academic free license": "afl",
+    "sil open font license": "ofl",
+    "open database license": "odbl",
+    "python software foundation license": "psf",
+    "postgresql license": "postgresql",
+    "zlib license": "zlib",
+    "expat license": "mit",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution share alike": "cc-by-sa",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution non commercial": "cc-by-nc",
 }
 
 # Tags that a licence expression follows.
@@ -52,8 +71,20 @@ FAMILIES = {
     "mit": "mit", "apache-": "apache", "gpl-": "gpl", "lgpl-": "lgpl", "agpl-": "agpl", "bsd-": "bsd", "0bsd": "bsd",
     "mpl-": "mpl", "epl-": "epl", "isc": "isc", "cc0-": "cc0", "cc-by-": "cc-by", "cc-by-sa-": "cc-by-sa",
     "cc-by-nc-": "cc-by-nc", "unlicense": "unlicense", "bsl-": "bsl", "zlib": "zlib", "wtfpl": "wtfpl",
-    "licenseref-": "proprietary",
+    "licenseref-": "proprietary", "gfdl-": "gfdl", "sspl-": "sspl", "busl-": "busl", "cddl-": "cddl", "eupl-": "eupl",
+    "artistic-": "artistic", "afl-": "afl", "ofl-": "ofl", "odbl-": "odbl", "psf-": "psf", "python-2": "psf", "postgresql": "postgresql",
 }
+
+# What a licence asks for, the least first; a licence that is not known may ask for anything.
+OBLIGATIONS = ("none", "notice", "file copyleft", "copyleft", "network copyleft", "no commerce", "unknown")
+# The obligations of each family.
+ASKS = {
+    "cc0": 0, "unlicense": 0, "wtfpl": 0, "mit": 1, "apache": 1, "bsd": 1, "isc": 1, "zlib": 1, "bsl": 1, "cc-by": 1, "psf": 1, "postgresql": 1,
+    "afl": 1, "ofl": 1, "artistic": 2, "lgpl": 2, "mpl": 2, "epl": 2, "cddl": 2, "eupl": 3, "gpl": 3, "gfdl": 3, "odbl": 3, "cc-by-sa": 3,
+    "agpl": 4, "sspl": 4, "cc-by-nc": 5, "busl": 5, "proprietary": 6,
+}
+# Exceptions, by prefix, that let a copyleft work be linked or distributed with others.
+LINKING = ("classpath-exception", "gcc-exception", "llvm-exception", "linux-syscall-note", "font-exception", "autoconf-exception", "bison-exception", "openssl-exception", "universal-foss-exception")
 POWER = {"or": 1, "and": 2, "with": 3}
 TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*")
 
@@ -96,17 +127,33 @@ def postfix(tokens: list[str]) -> list[str]:
     return out + pending[::-1]
 
 
-def licences(expression: list[str]) -> set[str]:
-    """The families an expression names; an exception after ``with`` names none."""
-    stack: list[set[str]] = []
+@dataclass(frozen=True)
+class Terms:
+    """The families and exceptions that an expression names, and what it asks for."""
+
+    families: frozenset[str] = frozenset()
+    exceptions: frozenset[str] = frozenset()
+    asks: int = len(OBLIGATIONS) - 1
+
+
+def evaluated(expression: list[str]) -> Terms:
+    """``and`` asks for what either side does, ``or`` for the lesser of both, ``with`` for less if its exception is for linking."""
+    stack: list[Terms] = []
     for token in postfix(expression):
-        if token in POWER:
-            right, left = stack.pop(), stack.pop()
-            stack.append(left if token == "with" else left | right)
-        else:
+        if token not in POWER:
             name = family(token)
-            stack.append({name} if name else set())
-    return stack.pop()
+            stack.append(Terms(frozenset({name} if name else ()), frozenset({token}), ASKS.get(name, len(OBLIGATIONS) - 1)))
+            continue
+        right, left = stack.pop(), stack.pop()
+        if token == "with":
+            eased = any(each.startswith(LINKING) for each in right.exceptions)
+            asks = min(left.asks, OBLIGATIONS.index("file copyleft")) if eased and left.asks <= OBLIGATIONS.index("copyleft") else left.asks
+            stack.append(Terms(left.families, frozenset(f"with {each}" for each in right.exceptions), asks))
+        else:
+            named = frozenset(each for side in (left, right) for each in side.exceptions if each.startswith("with "))
+            stack.append(Terms(left.families | right.families, named, (max if token == "and" else min)(left.asks, right.asks)))
+    end = stack.pop()
+    return Terms(end.families, frozenset(each.removeprefix("with ") for each in end.exceptions if each.startswith("with ")), end.asks)
 
 
 def longest_expression(tokens: Iterable[str]) -> list[str]:
@@ -126,10 +173,10 @@ def longest_expression(tokens: Iterable[str]) -> list[str]:
     return taken[:whole]
 
 
-def tagged(line: str) -> set[str]:
-    """The families of the longest expression at the start of a line; none if it starts with none."""
+def tagged(line: str) -> Terms | None:
+    """The terms of the longest expression at the start of a line; none if it starts with none."""
     expression = longest_expression(match[0] for match in TOKEN.finditer(line))
-    return licences(expression) if expression else set()
+    return evaluated(expression) if expression else None
 
 
 @cache
@@ -150,8 +197,8 @@ def _tags() -> ahocorasick.Automaton:
     return automaton
 
 
-def scan(text: str) -> tuple[int, int, int | None, int | None, str, str, float]:
-    """n_words, n_base, first_word, last_word, base_labels, labels and score of a text."""
+def scan(text: str) -> tuple[int, int, int | None, int | None, str, str, float, str | None, str]:
+    """n_words, n_base, first_word, last_word, base_labels, labels, score, obligation and exceptions of a text."""
     data = text.encode()
     words = data.translate(WORD_BYTES).split()
     # One character for each byte, so that the automaton sees words only where words are.
@@ -168,13 +215,16 @@ def scan(text: str) -> tuple[int, int, int | None, int | None, str, str, float]:
             at = start
             starts.append(counted)
             base.add(label)
-    strength = 0.0
+    strength, asks, exceptions = 0.0, -1, set()
     lower = data.translate(ASCII_LOWER).decode()
     for end, _ in _tags().iter(lower):
         stop = lower.find("\n", end)
-        named = tagged(lower[end + 1 : stop if stop >= 0 else len(lower)])
-        labels |= named
-        strength = max(strength, 1.0 if named else 0.5)
+        terms = tagged(lower[end + 1 : stop if stop >= 0 else len(lower)])
+        if terms:
+            labels |= terms.families
+            exceptions |= terms.exceptions
+            asks = max(asks, terms.asks)
+        strength = max(strength, 1.0 if terms and terms.families else 0.5)
     if labels:
         strength = max(strength, 0.9 if base else 0.6)
     return (
@@ -185,17 +235,19 @@ def scan(text: str) -> tuple[int, int, int | None, int | None, str, str, float]:
         ",".join(sorted(base)),
         ",".join(sorted(labels)),
         strength,
+        OBLIGATIONS[asks] if asks >= 0 else None,
+        ",".join(sorted(exceptions)),
     )
 
 
 SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, "
-    "base_labels string, labels string, score double"
+    "base_labels string, labels string, score double, obligation string, exceptions string"
 )
 
 
 def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
+    kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()] + [pa.string()] * 2
     names = [part.split()[0] for part in SCHEMA.split(", ")]
     for batch in batches:
         rows = [scan(scalar.as_py() or "") for scalar in batch.column(1)]
@@ -205,7 +257,9 @@ def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: places of the base phrases, labels, and a score.
+    """One row per row of ``docs``: places of the base phrases, labels, a score, and what tags say.
+
+    ``obligation`` is what all the tags' expressions together ask for, null without any; ``exceptions`` are those after ``with``.
 
     The score is 1 for a tag with a licence, 0.9 for a base phrase, 0.6 for another
     notice, 0.5 for a tag that names no known licence, else 0. Null and empty texts
