@@ -57,6 +57,17 @@ def test_rows_that_are_odd(spark):
     assert sum(r["contaminated"] for r in got) == 6
 
 
+def test_long_items_that_repeat_are_held_once(spark, monkeypatch):
+    rng = random.Random(6)
+    item, other = plain.sentence(rng, 60, 500), plain.sentence(rng, 30, 500)
+    kept = []
+    stored = contamination.stored
+    monkeypatch.setattr(contamination, "stored", lambda df, label: kept.append((label, stored(df, label))) or kept[-1][1])
+    check(spark, [(1, f"{item} x " * 80 + other), (2, f"{other} {item}")], [(1, item), (2, other)])
+    candidates = {r["doc_id"]: r["candidates"] for r in dict(kept)["candidates"].collect()}
+    assert sorted(len(c["begins"]) for c in candidates[1]) == [1, 80] and len(candidates[2]) == 2
+
+
 def test_empty_tables_and_clashing_names(spark):
     docs = spark.createDataFrame([(1, "a b c", "x", 9, "t")], "doc_id long, text string, items string, position long, term string")
     items = spark.createDataFrame([(1, "a b", "n")], "item_id long, text string, words string")

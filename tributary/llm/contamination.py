@@ -122,10 +122,13 @@ def _covered(hits: DataFrame, items: DataFrame, bounded: bool, *by: str) -> Data
 def phrase_matches(docs: DataFrame, candidates: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents with an exact window: the positions hit and the items.
 
-    A document's candidates are compared with its words in one pass over them.
+    A document's candidates are compared with its words in one pass over them. It has each item once, with all its beginnings.
     """
-    each = F.struct("item_id", "words", "width", "begin")
-    wanted = stored(candidates.groupBy("doc_id", "text_hash").agg(F.collect_list(each).alias("candidates")), "candidates")
+    key = ["doc_id", "text_hash"]
+    item = [F.first(name).alias(name) for name in ("item_id", "words", "width")]
+    per_item = candidates.groupBy(*key, "item").agg(*item, F.collect_list("begin").alias("begins"))
+    each = F.struct("item_id", "words", "width", "begins")
+    wanted = stored(per_item.groupBy(*key).agg(F.collect_list(each).alias("candidates")), "candidates")
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("d"), text_key(text).alias("h"), text.alias("text"))
     matches = same(F.col("d"), F.col("doc_id")) & (F.col("h") == F.col("text_hash"))
@@ -133,23 +136,25 @@ def phrase_matches(docs: DataFrame, candidates: DataFrame, id_column: str = "doc
         rows = rows.join(F.broadcast(wanted.select("doc_id", "text_hash")), matches, "left_semi")
     both = rows.join(wanted.hint("shuffle_hash"), matches)
 
-    def matched(words: Column, c: Column) -> Column:
-        there = F.transform(c.words, lambda word, place: F.coalesce(F.get(words, c.begin + place) == word, F.lit(False)))
-        return F.struct(c.item_id.alias("item_id"), c.begin.alias("begin"), c.width.alias("width"), there.alias("there"))
+    def places(words: Column, c: Column, begin: Column) -> Column:
+        """The positions hit by the exact windows of an item that begins here."""
+        there = F.transform(c.words, lambda word, place: F.coalesce(F.get(words, begin + place) == word, F.lit(False)))
 
-    def found(c: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(c.there) - c.width)
-        exact = F.filter(starts, lambda start: ~F.array_contains(F.slice(c.there, start + 1, c.width), False))
-        return F.struct(
-            c.item_id.alias("item_id"),
-            F.flatten(F.transform(exact, lambda s: F.sequence(c.begin + s, c.begin + s + c.width - 1))).alias("places"),
-        )
+        def hit(there: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.size(there) - c.width)
+            exact = F.filter(starts, lambda start: ~F.array_contains(F.slice(there, start + 1, c.width), False))
+            return F.flatten(F.transform(exact, lambda s: F.sequence(begin + s, begin + s + c.width - 1)))
+
+        return F.get(F.transform(F.array(there), hit), F.lit(0))
+
+    def found(words: Column, c: Column) -> Column:
+        hits = F.transform(c.begins, lambda begin: places(words, c, begin))
+        return F.struct(c.item_id.alias("item_id"), F.array_distinct(F.flatten(hits)).alias("places"))
 
     def all_found(words: Column) -> Column:
-        each = F.transform("candidates", lambda c: matched(words, c))
-        return F.filter(F.transform(each, found), lambda m: F.size(m.places) > 0)
+        return F.filter(F.transform("candidates", lambda c: found(words, c)), lambda m: F.size(m.places) > 0)
 
-    # The words are an argument, as a column of them would be made anew for each place they are asked for.
+    # The words and what is there are arguments, as columns of them would be made anew for each place they are asked for.
     words = _words(_lowered(F.col("text")))
     return (
         both.select("doc_id", "text_hash", F.get(F.transform(F.array(words), all_found), F.lit(0)).alias("matches"))
