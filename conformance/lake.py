@@ -13,7 +13,7 @@ from conformance.registry import query, table
 from conformance.shapes import BATCH_STATS_SQL, bio, dirty, exact_avg, results
 from tributary.contracts import ATHLETE_BIO, ATHLETE_EVENT_RESULTS, Contract
 from tributary.functions.numbers import NAN_IS_NULL
-from tributary.operators import rule_castable, rule_max_length, rule_not_null
+from tributary.operators import contract_rules, rule_castable, rule_max_length, rule_not_null
 from tributary.plans import BATCH_STATS, bronze_to_silver, copy_tables, land_new_files, run_medallion, silver_to_gold
 from tributary.plans.medallion import read_bronze
 from tributary.scratch import scratch_path
@@ -197,6 +197,29 @@ def rejected_rows(spark, sf_dir):
     return _copy(spark, sf_dir)[0].rejects.select("o_orderkey", "price", "o_orderpriority")
 
 
+@query(
+    "copy_tables_by_contract",
+    f"""
+    select o_orderkey, price, o_orderpriority, concat_ws(',',
+        case when o_orderpriority is null then 'o_orderpriority_missing' end,
+        case when price is not null and try_cast(price as float) is null then 'price_not_float' end,
+        case when length(o_orderpriority) > 10 then 'o_orderpriority_too_long' end) as reasons
+    from ({_ORDERS})
+    """,
+)
+def rows_by_contract(spark, sf_dir):
+    """All rows, those copied and those refused, with the rules of the contract that each one breaks."""
+    orders = table(spark, sf_dir, "orders")
+    source = orders.select("o_orderkey", "o_custkey", "o_orderpriority", F.expr(_PRICE).alias("price"))
+    contract = Contract("orders", source.schema).ruled(["o_orderpriority"], {"price": "float"}, {"o_orderpriority": 10})
+    target = scratch_path(spark, "target")
+    rules = {"orders": contract_rules(contract)}
+    copied = copy_tables(spark, rules, lambda name: source, lambda df, name: overwrite_zone(df, target, name))["orders"]
+    columns = ["o_orderkey", "price", "o_orderpriority"]
+    valid = read_zone(spark, target, "orders").select(*columns, F.lit("").alias("reasons"))
+    return valid.union(copied.rejects.select(*columns, F.array_join("reject_reasons", ",")))
+
+
 # A record in twelve has a cell too many, one too few (the last), or an athlete that is no number.
 _FAULT = "c_custkey % 12"
 

@@ -61,6 +61,38 @@ def test_copy_reads_settings_and_hands_them_on(spark, folder, monkeypatch, tmp_p
     ]
 
 
+@pytest.mark.parametrize("keep", [True, False])
+def test_copy_leaves_out_what_the_rules_refuse(spark, folder, monkeypatch, tmp_path, keep):
+    for name in ("source", "target"):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"url": f"jdbc:{name}"}))
+    rules = {"athlete_bio": {"required": ["name"], "castable": {"height": "float"}, "longest": {"sex": 6}}}
+    (tmp_path / "rules.json").write_text(json.dumps(rules))
+    rows = [(1, "A", "Female", "180"), (2, None, "Male", None), (3, "C", "unknown", "tall"), (4, "D", None, None), (None, "E", None, "1")]
+
+    def read(spark, connection, table, contract, keys):
+        if table != "athlete_bio":
+            return spark.createDataFrame([], contract.schema)
+        given = spark.createDataFrame(rows, "athlete_id int, name string, sex string, height string")
+        return given.unionByName(spark.createDataFrame([], contract.schema), allowMissingColumns=True)
+
+    written = {}
+    monkeypatch.setattr(cli, "read_table", read)
+    monkeypatch.setattr(cli, "append_table", lambda df, connection, table, **how: written.update({table: [r.athlete_id for r in df.collect()]}))
+    arguments = ["copy", "--source", str(tmp_path / "source.json"), "--target", str(tmp_path / "target.json"), "--rules", str(tmp_path / "rules.json")]
+    cli.main([*arguments, *(["--rejects-path", folder("aside")] if keep else [])], spark)
+    assert sorted(written["athlete_bio"]) == [1, 4] and written["athlete_event_results"] == []
+    if keep:
+        aside = {r.athlete_id: r.reject_reasons for r in read_zone(spark, folder("aside"), "athlete_bio").collect()}
+        assert aside == {2: ["name_missing"], 3: ["height_not_float", "sex_too_long"], None: ["athlete_id_missing"]}
+
+
+def test_rules_name_known_tables(spark, tmp_path):
+    (tmp_path / "c.json").write_text("{}")
+    (tmp_path / "rules.json").write_text('{"athletes": {}}')
+    with pytest.raises(cli.ContractError, match="athletes"):
+        cli.main(["copy", *(x for o in ("--source", "--target") for x in (o, str(tmp_path / "c.json"))), "--rules", str(tmp_path / "rules.json")], spark)
+
+
 def test_a_job_is_needed():
     with pytest.raises(SystemExit):
         cli.main([])

@@ -54,6 +54,14 @@ def test_schema_subtraction():
     assert contract.schema.names == ["a"] and contract.required == ("a",)
 
 
+def test_rules_of_a_contract():
+    contract = Contract("t", SCHEMA, ("a",)).ruled(["b", "a"], {"b": "date"}, {"b": 3}).ruled(longest={"b": 4})
+    assert contract.required == ("a", "b") and contract.castable == {"b": "date"} and contract.longest == {"b": 4}
+    assert contract.without("b") == Contract("t", contract.without("b").schema, ("a",)) and hash(contract)
+    with pytest.raises(ContractError, match="c"):
+        contract.ruled(longest={"c": 1})
+
+
 def test_contract_ddl_and_conformity(spark):
     assert Contract("t", SCHEMA).ddl == "a int, b string"
     assert ATHLETE_EVENT_RESULTS.ddl.startswith("edition string, edition_id int")

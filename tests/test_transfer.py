@@ -173,6 +173,23 @@ def test_key_ranges():
     assert key_range("k", 1, 9, 4) == KeyRange("k", 1, 9, 4)
 
 
+def test_rules_of_a_contract(spark):
+    from tributary.contracts import Contract
+    from tributary.operators.rejects import contract_rules
+
+    df = spark.createDataFrame([*ROWS, (5, None, None), (6, "", "€€€€€"), (7, "1e3", "€€€€€€"), (8, "nan", "")], "id int, height string, note string")
+    contract = Contract("t", df.schema, ("id",), castable={"height": "float"}, longest={"note": 5})
+    valid, rejects = split_rejects(df, contract_rules(contract))
+    assert sorted(r.id for r in valid.collect()) == [1, 5, 8]
+    assert {r.id: r.reject_reasons for r in rejects.collect()} == {
+        2: ["height_not_float"],
+        3: ["note_too_long"],
+        6: ["height_not_float"],
+        7: ["note_too_long"],
+        None: ["id_missing"],
+    }
+
+
 def test_rejects_are_written_where_the_caller_says(spark, folder):
     from tributary.contracts import Contract
     from tributary.operators.rejects import contract_rules

@@ -3,7 +3,8 @@
     spark-submit --py-files tributary.zip run.py lake --landing s --lake t
 
 Connection settings are read from JSON files the caller names; a file holds the
-options of Spark's JDBC source (``url``, ``user``, ``password``, ``driver``).
+options of Spark's JDBC source (``url``, ``user``, ``password``, ``driver``). So are
+the rules of a copy, ``{"athlete_bio": {"castable": {"height": "float"}, "longest": {"name": 200}}}``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tributary.operators.rejects import contract_rules
+from tributary.contracts import ContractError
+from tributary.operators import contract_rules
 from tributary.plans import (
     bronze_to_silver,
     copy_tables,
@@ -62,7 +64,8 @@ def _parser() -> argparse.ArgumentParser:
 
     copy = job("copy", "--source", "--target")
     copy.add_argument("--mode", default="append", choices=["append", "overwrite"])
-    copy.add_argument("--rejects-path", help="Parquet folder of the rows without a required value; else they fail the job")
+    copy.add_argument("--rejects-path", help="Parquet folder of the rows that a table's contract refuses; without it and --rules they fail the job")
+    copy.add_argument("--rules", help="JSON file of rules by table: required (columns), castable (column to type), longest (column to characters)")
     replay = job("replay", "--topic")
     stream = job("stream", "--topic", "--checkpoint")
     for sub in (replay, stream):
@@ -143,10 +146,15 @@ def _lake(spark, args):
 def _copy(spark, args):
     source, target = _settings(args.source), _settings(args.target)
     contracts = {contract.name: contract for contract in TABLES}
+    rules = _settings(args.rules) if args.rules else {}
+    for name, of_table in rules.items():
+        if name not in contracts:
+            raise ContractError(f"rules for unknown table {name}")
+        contracts[name] = contracts[name].ruled(**of_table)
     rejects = args.rejects_path
     copy_tables(
         spark,
-        {name: contract_rules(contract) if rejects else () for name, contract in contracts.items()},
+        {name: contract_rules(contract) if rejects or rules else () for name, contract in contracts.items()},
         read=lambda name: read_table(
             spark, source, name, contract=contracts[name], keys=_keys(spark, source, name, args)
         ),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
@@ -27,9 +28,10 @@ def without_fields(schema: StructType, *names: str) -> StructType:
 
 @dataclass(frozen=True)
 class Contract:
-    """A named schema, and the columns without which a row is of no use.
+    """A named schema, and what a row has to meet to be of use.
 
-    A file has to have the required columns; ``contract_rules`` refuses rows that have a null in one.
+    A file has to have the required columns; ``contract_rules`` refuses rows that have a null in one. It also refuses rows
+    with a text that does not read as the type ``castable`` gives its column, or with more characters than ``longest`` allows; a missing text does neither.
     ``one_line`` says that no cell of a landed file holds a line break, so that large files can be split.
     """
 
@@ -37,6 +39,8 @@ class Contract:
     schema: StructType
     required: tuple[str, ...] = ()
     one_line: bool = False
+    castable: Mapping[str, str] = field(default_factory=dict, hash=False)
+    longest: Mapping[str, int] = field(default_factory=dict, hash=False)
 
     @property
     def ddl(self) -> str:
@@ -44,8 +48,20 @@ class Contract:
         return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
 
     def without(self, *names: str) -> Contract:
-        kept = tuple(name for name in self.required if name not in names)
-        return Contract(self.name, without_fields(self.schema, *names), kept, self.one_line)
+        required = tuple(name for name in self.required if name not in names)
+        castable, longest = ({k: v for k, v in rules.items() if k not in names} for rules in (self.castable, self.longest))
+        return replace(self, schema=without_fields(self.schema, *names), required=required, castable=castable, longest=longest)
+
+    def ruled(
+        self, required: Sequence[str] = (), castable: Mapping[str, str] | None = None, longest: Mapping[str, int] | None = None
+    ) -> Contract:
+        """The contract with these rules in addition, or ``ContractError`` when they name a column it does not have."""
+        castable, longest = castable or {}, longest or {}
+        unknown = [name for name in (*required, *castable, *longest) if name not in self.schema.names]
+        if unknown:
+            raise ContractError(f"{self.name}: rules for unknown columns {unknown}")
+        required = tuple(dict.fromkeys((*self.required, *required)))
+        return replace(self, required=required, castable={**self.castable, **castable}, longest={**self.longest, **longest})
 
     def in_order_of(self, header: list[str]) -> StructType:
         """The contract's columns in a file's own order, found by name in any case.

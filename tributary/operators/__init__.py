@@ -13,6 +13,7 @@ from tributary.operators.enrich import enrich, fits_broadcast, measured_size, ow
 from tributary.operators.means import mean_by
 from tributary.operators.rejects import (
     Rule,
+    contract_rules,
     rule_castable,
     rule_max_length,
     rule_not_null,
@@ -32,6 +33,7 @@ __all__ = [
     "PreparedDimension",
     "Rule",
     "StatsSpec",
+    "contract_rules",
     "decode_rows",
     "distinct_rows",
     "drop_columns",

@@ -35,8 +35,9 @@ def rule_not_null(column: str) -> Rule:
     return Rule(f"{column}_missing", lambda: F.col(column).isNotNull())
 
 
-def rule_castable(column: str, to: str = "float") -> Rule:
-    return Rule(f"{column}_not_{to}", lambda: is_castable(column, to))
+def rule_castable(column: str, to: str = "float", missing: bool = False) -> Rule:
+    """The text reads as this type; with ``missing``, or there is none."""
+    return Rule(f"{column}_not_{to}", lambda: is_castable(column, to) | (F.lit(missing) & F.col(column).isNull()))
 
 
 def rule_max_length(column: str, characters: int) -> Rule:
@@ -48,8 +49,12 @@ def rule_max_length(column: str, characters: int) -> Rule:
 
 
 def contract_rules(contract: Contract) -> list[Rule]:
-    """What a contract asks of a row: its required columns are there."""
-    return [rule_not_null(column) for column in contract.required]
+    """What a contract asks of a row: its required columns are there, its texts read as what they should and are no longer than they may."""
+    return [
+        *(rule_not_null(column) for column in contract.required),
+        *(rule_castable(column, to, missing=True) for column, to in contract.castable.items()),
+        *(rule_max_length(column, characters) for column, characters in contract.longest.items()),
+    ]
 
 
 def tag_rejects(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
