@@ -197,3 +197,13 @@ def test_exact_sums_keep_six_places_through_weights(spark):
     for join in ("broadcast", "shuffle"):
         ((_, _, got),) = rows(grouped_stats(facts, dim, spec.with_(join=join)))
         assert got == pytest.approx(want, rel=1e-15)
+
+
+def test_averages_with_a_dimension_too_large_for_the_broadcast_asked_for(spark):
+    facts = spark.createDataFrame([(i % 7, "row", float(i)) for i in range(100)], "k int, sport string, v double")
+    dim = spark.createDataFrame([(i % 5, "M", float(i)) for i in range(20)], "k int, sex string, h double")
+    spec = StatsSpec(("k",), ("sport", "sex"), {"v": "v", "h": "h"}, stamp=None, join="broadcast")
+    small, beyond = grouped_stats(facts, dim, spec), grouped_stats(facts, dim, spec.with_(broadcast_limit=100))
+    assert rows(small) == rows(beyond)
+    plans = [df._jdf.queryExecution().sparkPlan().toString() for df in (small, beyond)]
+    assert ["Broadcast" in plan for plan in plans] == [True, False] and "SortMergeJoin" in plans[1]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tributary.functions.numbers import KEEP_NAN, addends, mean_of, measure
 from tributary.functions.sums import added
 from tributary.operators.clean import fill_missing, require_not_null
-from tributary.operators.enrich import AUTO, DIMENSION, SHUFFLE, fits_broadcast, joinable, own_columns
+from tributary.operators.enrich import AUTO, BROADCAST, DIMENSION, SHUFFLE, fits_broadcast, joinable, own_columns
 from tributary.scratch import scratch_path
 from tributary.settings import BROADCAST_LIMIT_BYTES
 
@@ -99,7 +99,8 @@ def prepare_dimension(
     """Fold the dimension once; a stream does this at start and reuses it for every batch.
 
     With a ``path``, or if working the dimension out takes a shuffle, the folded rows are written
-    there, or to a scratch table, and the copy is measured and joined.
+    there, or to a scratch table, and the copy is measured and joined. A dimension beyond the limit is shuffled even
+    if the spec asks for ``broadcast``: the averages are the same, and its memory would grow with the table.
     """
     if spec.prefer != DIMENSION:
         dimension = dimension.drop(*(set(fact_columns) - set(spec.on)))
@@ -115,7 +116,7 @@ def prepare_dimension(
         path = path or scratch_path(rows.sparkSession, "dimension")
         rows.write.mode("overwrite").parquet(path)
         rows = pruned = rows.sparkSession.read.schema(rows.schema).parquet(path)
-    broadcast = fits_broadcast(pruned, spec.join, spec.broadcast_limit)
+    broadcast = fits_broadcast(pruned, AUTO if spec.join == BROADCAST else spec.join, spec.broadcast_limit)
     return PreparedDimension(rows, spec.on, group_by, measures, broadcast)
 
 
