@@ -367,6 +367,8 @@ def avg_large_values(spark, sf_dir):
     )
 
 
+# Ways to deal and join the facts: the tasks they are dealt to, one more for each so many rows, and the plan.
+_ROWS_A_TASK = 1_000_000
 _PLANS = ((1, {}), (7, {"broadcast_limit": 0, "fold_facts": False}), (200, {"broadcast_limit": 0, "fold_facts": True}))
 # Of doubles between 2**-12 and 2**40 all bits are whole after this shift, and text is read as the double next to it.
 _SHIFT = "pow(2.0, 64)"
@@ -389,8 +391,9 @@ def avg_doubles_any_order(spark, sf_dir):
     tenth = F.col("p_retailprice").cast("double") * F.lit(0.1)
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", tenth.alias("tenth"))
     spec = StatsSpec(on=("l_partkey",), group_by=("l_returnflag", "p_brand"), measures={"avg_discount": "amount", "avg_tenth": "tenth"}, stamp=None)
+    more = facts.count() // _ROWS_A_TASK
     ways = [
-        grouped_stats(facts.repartition(parts), part, spec.with_(**plan)).withColumn("way", F.lit(way).cast("long"))
+        grouped_stats(facts.repartition(parts + more), part, spec.with_(**plan)).withColumn("way", F.lit(way).cast("long"))
         for way, (parts, plan) in enumerate(_PLANS)
     ]
     return reduce(DataFrame.unionAll, ways)

@@ -78,3 +78,16 @@ def test_averages_are_the_same_on_every_plan(spark, join):
         assert {r["g"]: bits(r["v"]) for r in alone} == {
             g: bits(exactly(x) / len(x)) for g in range(3) for x in [[v for _, h, v in facts if h == g]]
         }
+
+
+def test_no_way_deals_all_facts_of_a_large_table_to_one_task(spark, monkeypatch):
+    from conformance import QUERIES, batch
+
+    sf = "/root/testdata/sf0.001"
+    want = {tuple(r) for r in QUERIES["avg_doubles_any_order"](spark, sf).collect()}
+    monkeypatch.setattr(batch, "_ROWS_A_TASK", 1000)
+    df = QUERIES["avg_doubles_any_order"](spark, sf)
+    more = spark.read.parquet(f"{sf}/lineitem.parquet").count() // 1000
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert more > 1 and [f"Repartition {parts + more}, true" in plan for parts in (1, 7, 200)] == [True] * 3
+    assert {tuple(r) for r in df.collect()} == want
