@@ -207,3 +207,17 @@ def test_averages_with_a_dimension_too_large_for_the_broadcast_asked_for(spark):
     assert rows(small) == rows(beyond)
     plans = [df._jdf.queryExecution().sparkPlan().toString() for df in (small, beyond)]
     assert ["Broadcast" in plan for plan in plans] == [True, False] and "SortMergeJoin" in plans[1]
+
+
+def test_facts_of_very_many_groups_are_not_folded(spark, monkeypatch):
+    """A task's map of the groups is bounded, whatever the size of the table."""
+    from tributary.operators import stats
+
+    facts = spark.range(0, 1000, 1, 2).selectExpr("id % 100 as k", "'s' as sport", "cast(id as double) as v")
+    dim = spark.range(100).selectExpr("id as k", "if(id % 2 = 0, 'M', 'F') as sex", "cast(id as double) as h")
+    spec = StatsSpec(("k",), ("sport", "sex"), {"v": "v", "h": "h"}, stamp=None, join="shuffle")
+    assert stats.folding_pays(facts, ["k", "sport"])
+    folded = rows(grouped_stats(facts, dim, spec))
+    monkeypatch.setattr(stats, "MOST_GROUPS", 50)
+    assert not stats.folding_pays(facts, ["k", "sport"])
+    assert rows(grouped_stats(facts, dim, spec)) == folded

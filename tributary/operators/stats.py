@@ -11,7 +11,8 @@ dimension row that meets ``m`` facts adds ``m`` times to a dimension sum. So
   facts then shuffles a few rows per task instead of a third of the table.
 
 Folding facts pays where keys repeat. Where they hardly do, it shuffles the facts
-once to fold them and most of them again to join them; then they are better
+once to fold them and most of them again to join them, and where there are very many
+of them, each task holds a large map; then they are better
 joined as they are, and adaptive execution splits the partitions of hot keys.
 """
 
@@ -37,6 +38,10 @@ BEFORE, AFTER = "before", "after"
 # and this bounds that at a quarter of the rows.
 ROWS_PER_GROUP = 4
 
+# A task may meet every group, and its map of them, some 250 bytes each and more with several measures,
+# is not to grow with the table: facts of more groups than this are joined as they are.
+MOST_GROUPS = 1_000_000
+
 
 @dataclass(frozen=True)
 class StatsSpec:
@@ -173,7 +178,7 @@ def grouped_stats(
 
 
 def folding_pays(facts: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether facts repeat their keys often enough to be folded before a join.
+    """Whether facts repeat their keys often enough, and these are few enough, to be folded before a join.
 
     One aggregate over the key columns, in a sketch of fixed size per task; the
     answer only chooses between two plans for the same result. Facts that take a shuffle
@@ -186,7 +191,7 @@ def folding_pays(facts: DataFrame, keys: Sequence[str]) -> bool:
         return True
     groups = F.approx_count_distinct(F.xxhash64(*keys))
     seen = facts.agg(F.count(F.lit(1)).alias("rows"), groups.alias("groups")).first()
-    return seen["groups"] * ROWS_PER_GROUP <= seen["rows"]
+    return seen["groups"] <= MOST_GROUPS and seen["groups"] * ROWS_PER_GROUP <= seen["rows"]
 
 
 def _folded(df: DataFrame, keys, measures, spec: StatsSpec, side: str) -> DataFrame:
