@@ -126,3 +126,36 @@ def test_the_sample_is_bounded_in_characters(spark, monkeypatch):
     toxicity.fit(docs, labels, toxicity.Training(total=2_550))
     toxicity.fit(docs, labels)
     assert len(given[0]) == 25 and len(given[1]) > 200 and given[1][:25] == given[0]
+
+
+def test_every_labelled_text_is_learnt_from(spark):
+    """Words that only texts outside the sample have, long ones too, count for the model, however the rows are dealt."""
+    rng = random.Random(3)
+    plain_words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(plain_words, k=12)) + (f" vile{i % 3}" if i % 2 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    given = []
+    original = toxicity.train
+    training = Training(rows=8, characters=200, shard=120, rounds=8)
+    long = [(i, text + " w1" * 100 if i % 5 == 0 else text) for i, text in rows]
+    toxicity.train = lambda texts, *rest: given.append(texts) or original(texts, *rest)
+    try:
+        models = [toxicity.fit(spark.createDataFrame(long, "doc_id long, text string").repartition(n), labels, training) for n in (1, 5)]
+    finally:
+        toxicity.train = original
+    assert len(given[0]) <= 8 and given[0] == given[1]
+    assert (models[0].embedding == models[1].embedding).all() and models[0].thresholds == models[1].thresholds
+    scored = toxicity.score_documents(spark.createDataFrame(long, "doc_id long, text string"), models[0]).where("held_out").collect()
+    assert sum(r["predicted"] == r["doc_id"] % 2 for r in scored) > 0.9 * len(scored) > 50
+
+
+def test_frequent_words_are_counted_over_all_texts(spark):
+    rows = spark.createDataFrame([(f"of the rare{i} " + "the " * (i % 3),) for i in range(50)] + [("of of a b",), ("b",)], "text string")
+    assert toxicity.frequent_words(rows.repartition(7), Training()) == [b"of", b"the", b"b"]
+    assert toxicity.frequent_words(rows, Training(frequent=1)) == [b"of"]
+
+
+def test_thresholds_of_equal_answers():
+    """Answers that are alike stay on one side, and each counts as often as its weight says."""
+    found = toxicity.thresholds(np.array([2.0, 1, 1, 0]), np.array([1, 1, 0, 0]), np.array([5.0, 20, 4, 50]), np.zeros(4, int), 2)
+    assert found == (0.5, 0.5)
