@@ -159,3 +159,11 @@ def test_thresholds_of_equal_answers():
     """Answers that are alike stay on one side, and each counts as often as its weight says."""
     found = toxicity.thresholds(np.array([2.0, 1, 1, 0]), np.array([1, 1, 0, 0]), np.array([5.0, 20, 4, 50]), np.zeros(4, int), 2)
     assert found == (0.5, 0.5)
+
+
+def test_an_id_counts_once_however_many_rows_it_has(spark):
+    docs = spark.createDataFrame([(i, f"some words here{i % 4} " + ("moron" if i % 2 else "")) for i in range(120)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    training = Training(epochs=1, shard=50)
+    once, often = (toxicity.fit(df, labels, training) for df in (docs, docs.union(docs).union(docs).repartition(5)))
+    assert (once.embedding == often.embedding).all() and once.thresholds == often.thresholds and once.offset == often.offset

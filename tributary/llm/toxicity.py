@@ -377,12 +377,20 @@ def _code_type(buckets: int) -> str:
 
 
 def encode(batches: Iterator[pa.RecordBatch], frequent: list[bytes], buckets: int) -> Iterator[pa.RecordBatch]:
-    """key, y, back, text -> key, y, back, codes, places: a number for each word's pair of buckets, and the frequent words it has."""
+    """id, key, y, back, text -> id, key, y, back, codes, places: a number for each word's pair of buckets, and the frequent words it has.
+
+    Of a batch's rows with one id that of the smallest key goes on, so that an id of very many rows makes few.
+    """
     kind, languages = _code_type(buckets), Languages({word: place for place, word in enumerate(frequent)})
     numbers: dict[bytes, int] = {}
     for batch in batches:
+        least: dict[int, tuple[int, int]] = {}
+        for i, (number, key) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            least[number] = min(least.get(number, (key, i)), (key, i))
+        if len(least) < batch.num_rows:
+            batch = batch.take(pa.array(sorted(i for _, i in least.values())))
         codes, places = [], []
-        for scalar in batch.column(3):
+        for scalar in batch.column(4):
             words = words_of(scalar.as_py())
             if len(numbers) > 500_000:
                 numbers.clear()
@@ -392,8 +400,8 @@ def encode(batches: Iterator[pa.RecordBatch], frequent: list[bytes], buckets: in
                     numbers[word] = first * (buckets + 1) + second
             codes.append(np.fromiter((numbers[word] for word in words), kind, len(words)).tobytes())
             places.append(np.array(languages.places(words), "<u2").tobytes())
-        arrays = [*batch.columns[:3], pa.array(codes, pa.binary()), pa.array(places, pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["key", "y", "back", "codes", "places"])
+        arrays = [*batch.columns[:4], pa.array(codes, pa.binary()), pa.array(places, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["id", "key", "y", "back", "codes", "places"])
 
 
 BLOCK = 1024  # rows of an embedding that are sent together
@@ -402,11 +410,15 @@ WORDS_TOGETHER = 200_000
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[int, int, bool, np.ndarray, list[int]]]:
-    kind = _code_type(buckets)
+    """The rows of a shard, in which those of an id follow each other: the first of each id."""
+    kind, last = _code_type(buckets), None
     for batch in batches:
-        for key, y, back, codes, places in zip(*batch.columns, strict=True):
-            numbers = np.frombuffer(codes.as_py(), kind).astype(np.int64)
-            yield key.as_py(), y.as_py(), back.as_py(), numbers, np.frombuffer(places.as_py(), "<u2").tolist()
+        for scalar, _, y, back, codes, places in zip(*batch.columns, strict=True):
+            number = scalar.as_py()
+            if number == last:
+                continue
+            last, numbers = number, np.frombuffer(codes.as_py(), kind).astype(np.int64)
+            yield number, y.as_py(), back.as_py(), numbers, np.frombuffer(places.as_py(), "<u2").tolist()
 
 
 def _dense(model: Model) -> np.ndarray:
@@ -430,8 +442,8 @@ def learn_shard(batches: Iterator[pa.RecordBatch], model: Model, squares: list[n
         docs.clear()
         labels.clear()
 
-    for key, y, back, codes, places in _encoded(batches, training.buckets):
-        first = key if first is None else first
+    for number, y, back, codes, places in _encoded(batches, training.buckets):
+        first = number if first is None else first
         if len(places) >= 8 and len(sums):
             sums[model.languages.at(places), places] += 1 / np.sqrt(len(places))
         if back and apart:
@@ -537,8 +549,8 @@ def learn_thresholds(rows: DataFrame, model: Model, apart: bool) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> Model:
     """Train on all labelled rows that are not held out.
 
-    An id with several labels is toxic if one says so; null labels are left out, as are null texts. Each row of ``docs`` with a
-    labelled id is learnt from. One in ``training.held_back`` ids, by a hash, sets the thresholds instead; if there is only one
+    An id with several labels is toxic if one says so; null labels are left out, as are null texts. Of several texts
+    of an id, that of the smallest hash is learnt from. One in ``training.held_back`` ids, by a hash, sets the thresholds instead; if there is only one
     kind of label among these or among the others, all rows do both. The model depends on the rows only, not on how they lie in files.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
@@ -550,10 +562,12 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = Training()) ->
     frequent = frequent_words(rows, training)
     found = train(*_sample(docs, known, training), frequent, training)
 
-    encoded = mapped(rows.select(F.xxhash64("id", "text").alias("key"), "y", back, "text"), encode, _ENCODED, frequent, training.buckets)
-    encoded = encoded.repartition(-(-n // training.shard) or 1, "key").sortWithinPartitions("key").persist(StorageLevel.DISK_ONLY)
+    encoded = mapped(rows.select("id", F.xxhash64("text").alias("key"), "y", back, "text"), encode, _ENCODED, frequent, training.buckets)
+    encoded = encoded.repartition(-(-n // training.shard) or 1, "id").sortWithinPartitions(F.xxhash64("id"), "id", "key")
+    encoded.persist(StorageLevel.DISK_ONLY)
     try:
-        counts = Counter({(row["back"], row["y"]): row["count"] for row in encoded.groupBy("back", "y").count().collect()})
+        counted = encoded.select("id", "back", "y").distinct().groupBy("back", "y").count().collect()
+        counts = Counter({(row["back"], row["y"]): row["count"] for row in counted})
         toxic = counts[False, 1] + counts[True, 1]
         if not toxic or toxic == counts.total():
             return Model(training, base=float(toxic > 0))
@@ -567,7 +581,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = Training()) ->
         encoded.unpersist()
 
 
-_ENCODED = "key long, y int, back boolean, codes binary, places binary"
+_ENCODED = "id long, key long, y int, back boolean, codes binary, places binary"
 
 
 def _sample(docs: DataFrame, known: DataFrame, training: Training) -> tuple[list[str], list[int], np.ndarray]:
